@@ -3,10 +3,12 @@
 1. Every text becomes its sorted array of distinct 64-bit shingle hashes; equal sets collapse to one representative.
 2. Candidates: two linked sets share one of their first n - ceil(t * n) + 1 shingles in any common total order. The order
    puts shingles that many documents hold last; their list is a bounded one and only orders, so it never drops a pair.
-3. Sets that are connected by such shared shingles form one tile; large ones are cut into size bands (linked sizes lie at
+   Where few sets share a shingle, their pairs pass by size and signature; where more do, all of them stay together.
+3. Sets that are connected by such candidates form one tile; large ones are cut into size bands (linked sizes lie at
    most one band apart) and hashed parts of bounded size, and every pair of parts of equal or neighbouring bands is a tile.
-4. In a tile, sets run in order of size against those within the size bound. Bitmap signatures give an upper bound of the
-   overlap, (|x| + |y| - bits that differ) / 2; only pairs that pass are intersected as sorted arrays. Pairs already
+4. In a tile, sets run in order of size against those within the size bound. A bitmap signature holds the parity of the
+   shingles that hash to each bit, so every bit that differs costs a shingle that only one set has: an upper bound of the
+   overlap is (|x| + |y| - bits that differ) / 2; only pairs that pass are intersected as sorted arrays. Pairs already
    connected are passed over, so a group of copies gives one edge a member and not all its pairs.
 """
 
@@ -30,7 +32,11 @@ MIX2 = np.uint64(0xC4CEB9FE1A85EC53)
 LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], np.uint8)
 SPACE = np.array([i == 32 or 9 <= i <= 13 for i in range(256)])
 #: The list of frequent shingles: this many at most (1.5 MB), each in so many documents of a batch at least.
-HOT_MOST, HOT_LEAST = 1 << 16, 12
+HOT_MOST, HOT_LEAST = 1 << 18, 4
+#: Sets sharing a shingle up to which their pairs are tested one by one.
+FEW = 16
+#: Bits of a signature (binary logarithm).
+WIDTH = 11
 #: A tile's bounds: sets, and shingles in them.
 TILE_SETS, TILE_SHINGLES = 1024, 1 << 20
 #: Representatives whose ids are broadcast to pick out their texts; more are joined by a shuffle.
@@ -132,7 +138,7 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int) -> tuple[np.nd
 
 
 def _sketches(words: int, num: int, den: int, hot):
-    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("prefix", pa.list_(pa.int64()))])
+    out = pa.schema([("id", pa.int64()), ("n", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("prefix", pa.list_(pa.int64())), ("mark", pa.binary())])
 
     def run(batches):
         keys, level = hot.value
@@ -141,7 +147,7 @@ def _sketches(words: int, num: int, den: int, hot):
         for batch in batches:
             data, offsets = utf8(batch.column(1))
             ids = batch.column(0)
-            n, h1, h2, prefix = [], [], [], []
+            n, h1, h2, prefix, mark = [], [], [], [], []
             for s in shingles(data, offsets, words):
                 p = len(s) - -(-num * len(s) // den) + 1 if len(s) else 0
                 first = s[:p]
@@ -158,9 +164,10 @@ def _sketches(words: int, num: int, den: int, hot):
                 h1.append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 h2.append(int(_mix(s + BASE).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 prefix.append(first.view(np.int64))
+                mark.append(signature(s).tobytes())
             lens = np.cumsum([0, *map(len, prefix)])
             lists = pa.ListArray.from_arrays(pa.array(lens, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
-            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists], schema=out)
+            yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists, pa.array(mark, pa.binary())], schema=out)
 
     return run
 
@@ -177,13 +184,26 @@ def _sets(words: int):
     return run
 
 
-def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """One row of 64-bit words a set; as many bits as twice the largest set, 256 to 65,536."""
-    width = min(16, max(8, (2 * max(map(len, sets)) - 1).bit_length()))
-    rows = np.zeros((len(sets), 1 << width), bool)
-    for row, s in zip(rows, sets, strict=True):
-        row[(s >> np.uint64(64 - width)).astype(np.int64)] = True
-    return np.packbits(rows, axis=1).view(np.uint64)
+def signature(s: np.ndarray) -> np.ndarray:
+    """Parity of the number of shingles at each of 2^WIDTH bits."""
+    return np.packbits(np.bincount((s >> np.uint64(64 - WIDTH)).astype(np.int64), minlength=1 << WIDTH).astype(np.uint8) & 1)
+
+
+def _few(num: int, den: int):
+    """Of pairs with sizes and signatures, those whose overlap can be large enough."""
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("mark_a", "mark_b"))
+            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            keep = pa.array((both - differ) // 2 * (num + den) >= num * both)
+            yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], schema=out)
+
+    return run
 
 
 def common(x: np.ndarray, y: np.ndarray) -> int:
@@ -199,8 +219,8 @@ def tile_edges(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None,
     ids, sets = ids[order], [sets[i] for i in order]
     side = None if side is None else side[order]
     n = np.array([len(s) for s in sets], np.int64)
-    marks = bitmaps(sets)
-    part = np.arange(len(ids))
+    marks = np.stack([signature(x) for x in sets]).view(np.uint64)
+    part = np.unique(ids, return_inverse=True)[1]
     ends = np.searchsorted(n, n * den // num, "right")
     for i in range(len(ids)):
         if ends[i] <= i + 1:
@@ -250,13 +270,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     hot = spark.sparkContext.broadcast(frequent_shingles(own, "text", words))
-    sig = cut(own.mapInArrow(_sketches(words, num, den, hot), "id long, n long, h1 long, h2 long, prefix array<long>"), "sketches")
+    sig = cut(own.mapInArrow(_sketches(words, num, den, hot), "id long, n long, h1 long, h2 long, prefix array<long>, mark binary"), "sketches")
     real = sig.where((F.col("n") > 0) & F.col("id").isNotNull())
-    reps = real.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "prefix")).alias("r")).select("h1", "h2", F.col("r.id").alias("rep"), F.col("r.n").alias("n"), F.col("r.prefix").alias("prefix"))
-    shared = reps.select("rep", F.explode("prefix").alias("shingle")).selectExpr("rep", "min(rep) over (partition by shingle) as pivot")
-    parts = cut(connected_components(shared.where("rep <> pivot").distinct(), "rep", "pivot"), "candidates")
+    reps = real.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "prefix", "mark")).alias("r")).select("r.*").withColumnRenamed("id", "rep")
+    parts = cut(connected_components(_candidates(reps, num, den), "a", "b"), "candidates")
     parts = parts.union(parts.select(F.col("component").alias("node"), "component").distinct())
-    members = parts.join(reps.select(F.col("rep").alias("node"), "n"), "node").select(F.col("node").alias("rep"), F.col("component").alias("grp"), "n")
+    members = parts.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy(F.col("node").alias("rep")).agg(F.min("component").alias("grp"), F.max("n").alias("n"))
     linked = _linked(own, cut(members, "members"), words, num, den)
     classes = real.groupBy("h1", "h2").agg(F.min("id").alias("rep")).join(linked.withColumnRenamed("node", "rep"), "rep", "left").select(
         "h1", "h2", F.coalesce("component", "rep").alias("component"))
@@ -265,6 +284,20 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return rows.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component", "id").alias("component_id"))
 
 
+def _candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
+    """Edges (a, b) over (rep, n, prefix, mark) whose components hold every linked pair."""
+    shared = reps.select("rep", "n", F.explode("prefix").alias("shingle")).selectExpr("*", "count(*) over (partition by shingle) as sets", "min(rep) over (partition by shingle) as pivot")
+    shared = cut(shared.where("sets > 1"), "shared")
+    lists = shared.where(F.col("sets") <= FEW).groupBy("shingle").agg(F.array_sort(F.collect_list(F.struct("n", "rep"))).alias("s"))
+    pairs = lists.select(F.explode(F.expr(
+        f"flatten(transform(s, (x, i) -> transform(filter(slice(s, i + 2, size(s)), y -> y.n * {num} <= x.n * {den}), y -> struct(least(x.rep, y.rep) as a, greatest(x.rep, y.rep) as b))))")).alias("p"))
+    pairs = pairs.select("p.*").where("a < b").distinct()
+    for c in ("a", "b"):
+        pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("mark").alias(f"mark_{c}")), c)
+    few = pairs.select("a", "b", "n_a", "n_b", "mark_a", "mark_b").mapInArrow(_few(num, den), "a long, b long")
+    return few.union(shared.where(F.col("sets") > FEW).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+
+
 def _linked(own: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """(node, component) of the verified links among candidates (rep, grp, n)."""
     size = members.groupBy("grp").agg(F.count("*").alias("sets"), F.sum("n").alias("shingles"))
@@ -275,7 +308,7 @@ def _linked(own: DataFrame, members: DataFrame, words: int, num: int, den: int)
     picked = own.join(F.broadcast(picked) if count <= BROADCAST_ROWS else picked, "id")
     sets = picked.select("rep", "grp", "big", "text").mapInArrow(_sets(words), "rep long, grp long, big boolean, n long, shingles binary")
     band = F.floor(F.log(F.col("n")) / F.lit(math.log(den / num * 1.0001))).cast("int")
-    sets = sets.dropDuplicates(["rep", "grp"]).withColumn("band", band)
+    sets = sets.withColumn("band", band)
     none = F.struct(F.lit(-1).alias("band"), F.lit(0).alias("part"))
     small = sets.where(~F.col("big")).select("grp", none.alias("lo"), none.alias("hi"), "big", "rep", "shingles", F.lit(0).alias("side"))
     if big.isEmpty():
