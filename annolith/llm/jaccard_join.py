@@ -38,7 +38,7 @@ FEW = 16
 #: Bits of a signature (binary logarithm).
 WIDTH = 11
 #: A tile's bounds: sets, and shingles in them.
-TILE_SETS, TILE_SHINGLES = 1024, 1 << 20
+TILE_SETS, TILE_SHINGLES = 4096, 1 << 23
 #: Representatives whose ids are broadcast to pick out their texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
@@ -273,6 +273,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sig = cut(own.mapInArrow(_sketches(words, num, den, hot), "id long, n long, h1 long, h2 long, prefix array<long>, mark binary"), "sketches")
     real = sig.where((F.col("n") > 0) & F.col("id").isNotNull())
     reps = real.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "prefix", "mark")).alias("r")).select("r.*").withColumnRenamed("id", "rep")
+    reps = cut(reps, "representatives")
     parts = cut(connected_components(_candidates(reps, num, den), "a", "b"), "candidates")
     parts = parts.union(parts.select(F.col("component").alias("node"), "component").distinct())
     members = parts.join(reps.select(F.col("rep").alias("node"), "n"), "node").groupBy(F.col("node").alias("rep")).agg(F.min("component").alias("grp"), F.max("n").alias("n"))
