@@ -3,7 +3,8 @@
 1. Every text becomes its sorted array of distinct 64-bit shingle hashes; equal sets collapse to one representative.
 2. Candidates: two linked sets share one of their first n - ceil(t * n) + 1 shingles in any common total order. The order
    puts shingles that many documents hold last; their list is a bounded one and only orders, so it never drops a pair.
-   Where few sets share a shingle, their pairs pass by size and signature; where more do, all of them stay together.
+   Sets that share a shingle become candidates where their sizes and signatures allow a link: up to FEW of them pair by
+   pair, up to CROWD in one pass over the group that keeps only its components. Larger crowds stay together untested.
 3. Sets that are connected by such candidates form one tile; large ones are cut into size bands (linked sizes lie at
    most one band apart) and hashed parts of bounded size, and every pair of parts of equal or neighbouring bands is a tile.
 4. In a tile, sets run in order of size against those within the size bound. A bitmap signature holds the parity of the
@@ -33,8 +34,8 @@ LOWER = np.array([i + 32 if 65 <= i <= 90 else i for i in range(256)], np.uint8)
 SPACE = np.array([i == 32 or 9 <= i <= 13 for i in range(256)])
 #: The list of frequent shingles: this many at most (1.5 MB), each in so many documents of a batch at least.
 HOT_MOST, HOT_LEAST = 1 << 18, 4
-#: Sets sharing a shingle up to which their pairs are tested one by one.
-FEW = 16
+#: Sets sharing a shingle up to which their pairs are listed, and up to which one task holds their signatures.
+FEW, CROWD = 16, 4096
 #: Bits of a signature (binary logarithm).
 WIDTH = 11
 #: A tile's bounds: sets, and shingles in them.
@@ -206,6 +207,18 @@ def _few(num: int, den: int):
     return run
 
 
+def _crowds(num: int, den: int):
+    out = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def run(batches):
+        for _, t in groups(batches, ["shingle"]):
+            marks = np.frombuffer(b"".join(t.column("mark").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            if found := component_edges(t.column("rep").to_numpy().astype(np.int64), t.column("n").to_numpy().astype(np.int64), marks, num, den):
+                yield arrow_batch(out, a=[x for x, _ in found], b=[x for _, x in found])
+
+    return run
+
+
 def common(x: np.ndarray, y: np.ndarray) -> int:
     """Size of the intersection of two sorted arrays of distinct values."""
     if len(x) > len(y):
@@ -213,13 +226,13 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def tile_edges(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None, num: int, den: int) -> list[tuple[int, int]]:
-    """(id, smallest id of its component within the tile) for every member but that one. side: only pairs of two sides count."""
-    order = np.lexsort((ids, [len(s) for s in sets]))
-    ids, sets = ids[order], [sets[i] for i in order]
+def component_edges(ids: np.ndarray, n: np.ndarray, marks: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """(id, smallest id of its component) for every member but that one.
+
+    Pairs link by their sets, or without sets where sizes and signatures allow it. side: only pairs of two sides count."""
+    order = np.lexsort((ids, n))
+    ids, n, marks = ids[order], n[order], marks[order]
     side = None if side is None else side[order]
-    n = np.array([len(s) for s in sets], np.int64)
-    marks = np.stack([signature(x) for x in sets]).view(np.uint64)
     part = np.unique(ids, return_inverse=True)[1]
     ends = np.searchsorted(n, n * den // num, "right")
     for i in range(len(ids)):
@@ -233,15 +246,13 @@ def tile_edges(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray | None,
             continue
         differ = np.bitwise_count(marks[j] ^ marks[i]).sum(axis=1, dtype=np.int64)
         both = n[j] + n[i]
-        for k in j[(both - differ) // 2 * (num + den) >= num * both]:
-            if part[k] != part[i]:
-                overlap = common(sets[i], sets[k])
-                if overlap * (num + den) >= num * (n[i] + n[k]):
-                    part[part == part[k]] = part[i]
+        for k in j[(both - differ) // 2 * (num + den) >= num * both].tolist():
+            if part[k] != part[i] and (sets is None or common(sets[order[i]], sets[order[k]]) * (num + den) >= num * int(n[i] + n[k])):
+                part[part == part[k]] = part[i]
     least: dict[int, int] = {}
     for x, p in zip(ids.tolist(), part.tolist(), strict=True):
         least[p] = min(x, least.get(p, x))
-    return [(x, least[p]) for x, p in zip(ids.tolist(), part.tolist(), strict=True) if x != least[p]]
+    return [(x, least[p]) for x, p in sorted(set(zip(ids.tolist(), part.tolist(), strict=True))) if x != least[p]]
 
 
 def _tiles(num: int, den: int):
@@ -252,7 +263,8 @@ def _tiles(num: int, den: int):
             ids = t.column("rep").to_numpy().astype(np.int64)
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]
             side = t.column("side").to_numpy().astype(np.int64) if lo != hi else None
-            if found := tile_edges(ids, sets, side, num, den):
+            n, marks = np.array([len(x) for x in sets], np.int64), np.stack([signature(x) for x in sets]).view(np.uint64)
+            if found := component_edges(ids, n, marks, num, den, sets, side):
                 yield arrow_batch(out, rep=[x for x, _ in found], low=[x for _, x in found], big=[big] * len(found))
 
     return run
@@ -296,7 +308,9 @@ def _candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("mark").alias(f"mark_{c}")), c)
     few = pairs.select("a", "b", "n_a", "n_b", "mark_a", "mark_b").mapInArrow(_few(num, den), "a long, b long")
-    return few.union(shared.where(F.col("sets") > FEW).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+    crowd = shared.where((F.col("sets") > FEW) & (F.col("sets") <= CROWD)).select("shingle", "rep", "n").join(reps.select("rep", "mark"), "rep")
+    crowd = crowd.repartition("shingle").sortWithinPartitions("shingle", "rep").mapInArrow(_crowds(num, den), "a long, b long")
+    return few.union(crowd).union(shared.where(F.col("sets") > CROWD).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
 
 
 def _linked(own: DataFrame, members: DataFrame, words: int, num: int, den: int) -> DataFrame:
