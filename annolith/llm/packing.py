@@ -18,27 +18,27 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from annolith.llm.common import arrow_batch, groups
-from annolith.llm.segments import encoder, in_batches
+from annolith.llm.common import arrow_batch, groups, utf8
+from annolith.llm.segments import encoder
 
 SHARD = 16_384
 
 
 def _pieces(path: str, end_id: int, capacity: int, keep_ids: bool):
     out = pa.schema([("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())] + [("ids", pa.binary())] * keep_ids)
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def run(batches):
         library = encoder(path)
         for batch in batches:
-            ids, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in in_batches(texts):
+            docs = batch.column(0).to_pylist()
+            for a, b, ids, at in library.encode(*utf8(batch.column(1))):
                 rows: dict[str, list] = {f.name: [] for f in out}
-                for doc, x in zip(ids[a:b], library.encode(texts[a:b]), strict=True):
-                    x += end
-                    for k in range(0, len(x), 4 * capacity):
-                        part = x[k : k + 4 * capacity]
-                        for name, v in zip(rows, (doc, k // (4 * capacity), k // 4, len(part) // 4, zlib.crc32(part), part), strict=False):
+                for i in range(b - a):
+                    own = np.concatenate((ids[at[i] : at[i + 1]], end))
+                    for k in range(0, len(own), capacity):
+                        part = own[k : k + capacity].astype("<u4").tobytes()
+                        for name, v in zip(rows, (docs[a + i], k // capacity, k, len(part) // 4, zlib.crc32(part), part), strict=False):
                             rows[name].append(v)
                 yield arrow_batch(out, **rows)
 

@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, cut, scratch
-from annolith.llm.segments import encoder, in_batches
+from annolith.llm.common import arrow_batch, cut, scratch, utf8
+from annolith.llm.segments import encoder
 
 MAGIC = b"ANNOSST1"
 FOOTER = struct.Struct("<QQQQQQI8s")
@@ -191,7 +191,7 @@ class ShardReader:
 
 def _writer(path: str, end_id: int, folder: str):
     out = pa.schema([("shard", pa.int64()), ("path", pa.string()), ("docs", pa.int64()), ("ids", pa.int64())])
-    end = np.array([end_id], "<u4").tobytes()
+    end = np.array([end_id], np.uint32)
 
     def run(batches):
         disk, root = pafs.FileSystem.from_uri(folder)
@@ -199,14 +199,14 @@ def _writer(path: str, end_id: int, folder: str):
         final, trial, writer, sink = f"{root}/shard-{shard:08d}.sst", f"{root}/.trial-{uuid.uuid4().hex}", None, None
         library = encoder(path)
         for batch in batches:
-            docs, texts = batch.column(0).to_pylist(), [x or "" for x in batch.column(1).to_pylist()]
-            for a, b in in_batches(texts):
+            docs = batch.column(0).to_pylist()
+            for a, b, ids, at in library.encode(*utf8(batch.column(1))):
                 if writer is None:
                     disk.create_dir(root, recursive=True)
                     sink = disk.open_output_stream(trial)
                     writer = ShardWriter(sink)
-                for doc, x in zip(docs[a:b], library.encode(texts[a:b]), strict=True):
-                    writer.add(key_of(doc), np.frombuffer(x + end, "<u4"))
+                for i in range(b - a):
+                    writer.add(key_of(docs[a + i]), np.concatenate((ids[at[i] : at[i + 1]], end)))
         if writer is not None:
             writer.close()
             sink.close()
