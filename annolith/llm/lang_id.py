@@ -39,7 +39,7 @@ def _trigrams(low: np.ndarray) -> np.ndarray:
 
 def _chunks(column):
     data, offsets = utf8(column)
-    for a, b in runs(offsets, 4 << 20):
+    for a, b in runs(offsets, 1 << 20):
         part, own = LOWER[data[offsets[a] : offsets[b]]], offsets[a : b + 1] - offsets[a]
         yield a, b, part, own
 
@@ -68,7 +68,7 @@ class TextModel:
     def __init__(self, langs: list[str], counts: np.ndarray):
         self.langs = [*langs, UND]
         p = (counts + SMOOTH) / (counts.sum(axis=1, keepdims=True) + SMOOTH * BUCKETS)
-        self.logs = np.log(np.vstack([p, np.full((1, BUCKETS), 1.0 / BUCKETS)])).T.astype(np.float32)
+        self.logs = np.log(np.vstack([p, np.full((1, BUCKETS), 1.0 / BUCKETS)])).astype(np.float32)
 
 
 def fit_text(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", fit_rows: int = FIT_ROWS) -> TextModel:
@@ -91,7 +91,7 @@ def _scores(model, names: list[str]):
 
     def run(batches):
         logs = model.value.logs
-        width = logs.shape[1]
+        width = len(logs)
         for batch in batches:
             total, grams = np.zeros((batch.num_rows, width)), np.zeros(batch.num_rows, np.int64)
             for a, b, part, own in _chunks(batch.column("text")):
@@ -99,11 +99,13 @@ def _scores(model, names: list[str]):
                     continue
                 t = _trigrams(part)
                 ink = _LETTER[part]
-                sums = np.concatenate((np.zeros((1, width)), logs[t].cumsum(axis=0, dtype=np.float64)))
                 letters = np.concatenate(([0], np.cumsum(ink)))
                 lo = np.minimum(own[:-1], len(t))
                 hi = np.maximum(lo, np.minimum(own[1:] - 2, len(t)))
-                total[a:b] = sums[hi] - sums[lo]
+                sums = np.zeros(len(t) + 1)
+                for i in range(width):
+                    np.cumsum(logs[i][t], dtype=np.float64, out=sums[1:])
+                    total[a:b, i] = sums[hi] - sums[lo]
                 grams[a:b] = np.where(letters[own[1:]] - letters[own[:-1]] > 0, hi - lo, 0)
             tempered = total * (WEIGHT * np.minimum(grams, TEMPER) / np.maximum(grams, 1))[:, None]
             lists = pa.ListArray.from_arrays(pa.array(np.arange(batch.num_rows + 1) * width, pa.int32()), pa.array(tempered.ravel()))
