@@ -11,8 +11,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+#: Bytes of one Arrow batch, so that a Python worker's memory doesn't follow the length of texts.
+BATCH_BYTES = 16 << 20
+
+
+def bound_batches(spark: SparkSession) -> None:
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def shared_dir(spark: SparkSession) -> str:
     """URI of the folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local tests)."""
+    bound_batches(spark)
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         found = tempfile.mkdtemp(prefix="annolith-")
@@ -33,6 +42,7 @@ def cut(df: DataFrame, what: str = "cut") -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

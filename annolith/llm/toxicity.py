@@ -26,7 +26,7 @@ LEXICON, LEXICON_VOTERS, PATTERN_VOTERS = 60, 10, 6
 VOTERS = LEXICON_VOTERS + PATTERN_VOTERS
 WORD = np.array([48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122 or i >= 128 for i in range(256)])
 UPPER = np.array([65 <= i <= 90 for i in range(256)])
-CHUNK = 2 << 20
+CHUNK = 1 << 19
 
 
 def text_words(data: np.ndarray, offsets: np.ndarray):
