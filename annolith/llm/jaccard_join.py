@@ -22,10 +22,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, cut, groups, runs, utf8
+from annolith.llm.common import arrow_batch, cut, groups, lean, runs, utf8
 from annolith.llm.components import connected_components
 
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 BASE = np.uint64(0x9E3779B97F4A7C15)
 UNBASE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 MIX = np.uint64(0xFF51AFD7ED558CCD)
@@ -131,7 +131,7 @@ def frequent_shingles(docs: DataFrame, text_col: str, words: int) -> tuple[np.nd
     """The HOT_MOST most frequent shingles (sorted) and the binary logarithms of their counts, from all documents.
 
     A shingle is counted where a batch of documents holds it HOT_LEAST times; the list only orders shingles."""
-    counts = docs.select(text_col).mapInArrow(_frequent(words), "shingle long, docs long")
+    counts = docs.select(text_col).mapInArrow(lean(_frequent(words)), "shingle long, docs long")
     top = counts.groupBy("shingle").agg(F.sum("docs").alias("docs")).orderBy(F.desc("docs"), "shingle").limit(HOT_MOST).toPandas()
     keys = top["shingle"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(keys)
@@ -282,7 +282,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     own = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     hot = spark.sparkContext.broadcast(frequent_shingles(own, "text", words))
-    sig = cut(own.mapInArrow(_sketches(words, num, den, hot), "id long, n long, h1 long, h2 long, prefix array<long>, mark binary"), "sketches")
+    sig = cut(own.mapInArrow(lean(_sketches(words, num, den, hot)), "id long, n long, h1 long, h2 long, prefix array<long>, mark binary"), "sketches")
     real = sig.where((F.col("n") > 0) & F.col("id").isNotNull())
     reps = real.groupBy("h1", "h2").agg(F.min(F.struct("id", "n", "prefix", "mark")).alias("r")).select("r.*").withColumnRenamed("id", "rep")
     reps = cut(reps, "representatives")
@@ -307,9 +307,9 @@ def _candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
     pairs = pairs.select("p.*").where("a < b").distinct()
     for c in ("a", "b"):
         pairs = pairs.join(reps.select(F.col("rep").alias(c), F.col("n").alias(f"n_{c}"), F.col("mark").alias(f"mark_{c}")), c)
-    few = pairs.select("a", "b", "n_a", "n_b", "mark_a", "mark_b").mapInArrow(_few(num, den), "a long, b long")
+    few = pairs.select("a", "b", "n_a", "n_b", "mark_a", "mark_b").mapInArrow(lean(_few(num, den)), "a long, b long")
     crowd = shared.where((F.col("sets") > FEW) & (F.col("sets") <= CROWD)).select("shingle", "rep", "n").join(reps.select("rep", "mark"), "rep")
-    crowd = crowd.repartition("shingle").sortWithinPartitions("shingle", "rep").mapInArrow(_crowds(num, den), "a long, b long")
+    crowd = crowd.repartition("shingle").sortWithinPartitions("shingle", "rep").mapInArrow(lean(_crowds(num, den)), "a long, b long")
     return few.union(crowd).union(shared.where(F.col("sets") > CROWD).select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
 
 
@@ -321,7 +321,7 @@ def _linked(own: DataFrame, members: DataFrame, words: int, num: int, den: int)
     picked = members.select(F.col("rep").alias("id"), "rep", "grp", "big")
     count = members.count()
     picked = own.join(F.broadcast(picked) if count <= BROADCAST_ROWS else picked, "id")
-    sets = picked.select("rep", "grp", "big", "text").mapInArrow(_sets(words), "rep long, grp long, big boolean, n long, shingles binary")
+    sets = picked.select("rep", "grp", "big", "text").mapInArrow(lean(_sets(words)), "rep long, grp long, big boolean, n long, shingles binary")
     band = F.floor(F.log(F.col("n")) / F.lit(math.log(den / num * 1.0001))).cast("int")
     sets = sets.withColumn("band", band)
     none = F.struct(F.lit(-1).alias("band"), F.lit(0).alias("part"))
@@ -343,4 +343,4 @@ def _linked(own: DataFrame, members: DataFrame, words: int, num: int, den: int)
 def _tiled(rows: DataFrame, num: int, den: int) -> DataFrame:
     rows = rows.withColumns({"lo": F.concat_ws(".", "lo.band", "lo.part"), "hi": F.concat_ws(".", "hi.band", "hi.part")})
     rows = rows.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi", "rep")
-    return rows.mapInArrow(_tiles(num, den), "rep long, low long, big boolean")
+    return rows.mapInArrow(lean(_tiles(num, den)), "rep long, low long, big boolean")

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolith.llm.common import cut, runs, utf8
+from annolith.llm.common import cut, lean, runs, utf8
 from annolith.llm.jaccard_join import LOWER
 
 #: Labelled texts that the trigram model is learnt from, at most; the sample is drawn by a hash over the whole table.
@@ -77,7 +77,7 @@ def fit_text(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang"
     share = fit_rows / max(rows.count(), fit_rows)
     if share < 1:
         rows = rows.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000))
-    got = rows.mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
+    got = rows.mapInArrow(lean(_count), "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
     langs = sorted(got["lang"].unique())
     counts = np.zeros((len(langs), BUCKETS))
     for i, lang in enumerate(langs):
@@ -128,7 +128,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     clean = lambda c: F.nullif(F.lower(F.trim(F.coalesce(F.col(c), F.lit("")))), F.lit(""))
     rows = rows.select("key", "text", *(clean(c).alias(c) for c in ("declared", "suffix", "host")))
     schema = "key long, declared string, suffix string, host string, grams long, ll array<double>"
-    scored = rows.mapInArrow(_scores(spark.sparkContext.broadcast(model), ["key", "declared", "suffix", "host"]), schema)
+    scored = rows.mapInArrow(lean(_scores(spark.sparkContext.broadcast(model), ["key", "declared", "suffix", "host"])), schema)
     best = F.expr("cast(array_position(ll, array_max(ll)) - 1 as int)")
     scored = cut(scored.withColumn("own", F.when(F.col("grams") > 0, best)).withColumn("domain", F.expr("if(host is null, null, array_join(slice(split(host, '[.]'), greatest(1, size(split(host, '[.]')) - 1), 2), '.'))")), "scores")
     votes = scored.where("own is not null")

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from annolith.llm.common import arrow_batch, groups, utf8
-from annolith.llm.segments import encoder
+from annolith.llm.common import arrow_batch, groups, lean, utf8
+from annolith.llm.segments import encoder, forget
 
 SHARD = 16_384
 
@@ -48,7 +48,7 @@ def _pieces(path: str, end_id: int, capacity: int, keep_ids: bool):
 def token_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32 and, if asked for, ids: little-endian unsigned 32-bit) of each piece of each row."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_pieces(path, end_id, capacity, keep_ids), schema)
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_pieces(path, end_id, capacity, keep_ids), forget), schema)
 
 
 def sum_of_squares(lengths: np.ndarray, capacity: int) -> np.ndarray:
@@ -150,4 +150,4 @@ def pack(pieces: DataFrame, capacity: int = 4096, shard: int = SHARD) -> DataFra
     schema = StructType(list(pieces.schema)).add("sequence_id", "long").add("offset", "long")
     rows = pieces.withColumn("shard", F.expr(f"pmod(xxhash64(doc_id, piece, length), {n})"))
     rows = rows.repartition("shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece")
-    return rows.mapInArrow(_packed(capacity, list(pieces.columns), to_arrow_schema(schema)), schema)
+    return rows.mapInArrow(lean(_packed(capacity, list(pieces.columns), to_arrow_schema(schema))), schema)

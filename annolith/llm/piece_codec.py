@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, runs, utf8
+from annolith.llm.common import arrow_batch, lean, runs, utf8
 
 KEPT = 600_000
 CHUNK = 8 << 20
@@ -144,6 +144,12 @@ def codec(path: str) -> PieceCodec:
     return _codecs[path]
 
 
+def forget() -> None:
+    """Drop the runs that the worker's codecs have kept."""
+    for x in _codecs.values():
+        x.kept = {}
+
+
 def _run(path: str):
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
@@ -161,7 +167,7 @@ def _run(path: str):
 
 def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, ids array<int>, text decoded from them) of each row's whole text; a null or empty text has no ids."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_run(path), "doc_id long, ids array<int>, text string")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_run(path), forget), "doc_id long, ids array<int>, text string")
 
 
 def _digest(path: str):
@@ -182,4 +188,4 @@ def _digest(path: str):
 
 def piece_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, n_pieces, ids_crc32 of the little-endian unsigned 32-bit ids, round_trip: whether decoding gives the text back)."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(_digest(path), "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_digest(path), forget), "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")

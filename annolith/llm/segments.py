@@ -2,7 +2,7 @@
 
 A pre-tokenizer that never puts a character before white space and that white space into one token treats every run of
 white space with the characters after it on its own; the same holds between a letter or digit and punctuation other than
-an apostrophe. So a text's ids are those of its runs in order; each worker keeps the ids of runs it has met (KEPT at most,
+an apostrophe. So a text's ids are those of its runs in order; each task keeps the ids of runs it has met (KEPT at most,
 then it starts anew). Both public vocabularies in use are of that kind; the tests hold the result against whole-text calls
 of the library.
 """
@@ -127,3 +127,9 @@ def encoder(path: str) -> SegmentEncoder:
     if path not in _encoders:
         _encoders[path] = SegmentEncoder(path)
     return _encoders[path]
+
+
+def forget() -> None:
+    """Drop the runs that the worker's encoders have kept."""
+    for x in _encoders.values():
+        x.kept = {}

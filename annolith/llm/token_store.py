@@ -27,8 +27,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, cut, scratch, utf8
-from annolith.llm.segments import encoder
+from annolith.llm.common import arrow_batch, cut, lean, scratch, utf8
+from annolith.llm.segments import encoder, forget
 
 MAGIC = b"ANNOSST1"
 FOOTER = struct.Struct("<QQQQQQI8s")
@@ -227,7 +227,7 @@ def write_shards(docs: DataFrame, path: str, end_id: int = 0, folder: str | None
     n = max(1, -(-rows.count() // shard_docs))
     tie = F.xxhash64("text")
     rows = rows.repartitionByRange(n, F.col("doc_id"), tie).sortWithinPartitions(F.col("doc_id"), tie, "text")
-    done = cut(rows.mapInArrow(_writer(path, end_id, folder), "shard long, path string, docs long, ids long"), "manifest")
+    done = cut(rows.mapInArrow(lean(_writer(path, end_id, folder), forget), "shard long, path string, docs long, ids long"), "manifest")
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return folder, done.withColumn("start", F.coalesce(F.sum("ids").over(before), F.lit(0)).cast("long"))
 
@@ -255,4 +255,4 @@ def read_shards(folder: str, manifest: DataFrame) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the shards that the manifest lists."""
     shards = max(1, manifest.count())
     rows = manifest.select("path", "start", "shard").repartitionByRange(shards, "shard").select("path", "start")
-    return rows.mapInArrow(_reader(folder), "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return rows.mapInArrow(lean(_reader(folder)), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, cut, groups
+from annolith.llm.common import arrow_batch, cut, groups, lean
 
 SEGMENT = 16
 CODES_IN_BLOCK, QUERIES_IN_BLOCK = 1 << 16, 1 << 12
@@ -126,7 +126,7 @@ def top_k(codes: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     left = kept.select("code", F.size("ids").cast("long").alias("n"), F.lit(False).alias("is_query"), F.expr(f"pmod(xxhash64(code), {n_codes})").alias("code_block"), F.explode(F.expr(f"sequence(0L, {n_queries - 1}L)")).alias("query_block"))
     right = wanted.select("code", F.lit(0).cast("long").alias("n"), F.lit(True).alias("is_query"), F.explode(F.expr(f"sequence(0L, {n_codes - 1}L)")).alias("code_block"), F.expr(f"pmod(xxhash64(code), {n_queries})").alias("query_block"))
     rows = left.unionByName(right).repartition("code_block", "query_block").sortWithinPartitions("code_block", "query_block", "is_query", "code")
-    near = rows.mapInArrow(_blocks(k + 1), "query_code long, code long, distance int")
+    near = rows.mapInArrow(lean(_blocks(k + 1)), "query_code long, code long, distance int")
     best = near.join(kept, "code").select("query_code", "distance", F.explode("ids").alias("neighbor_id"))
     order = Window.partitionBy("query_code").orderBy("distance", "neighbor_id")
     best = best.withColumn("r", F.row_number().over(order)).where(F.col("r") <= k + 1)

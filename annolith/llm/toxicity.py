@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annolith.llm.common import arrow_batch, cut, is_held_out, runs, utf8
+from annolith.llm.common import arrow_batch, cut, is_held_out, lean, runs, utf8
 from annolith.llm.jaccard_join import BASE, LOWER, _mix, _power
 
 #: Labelled texts that voters and classifier are fitted on, at most; drawn by a hash over all labelled rows.
@@ -240,17 +240,17 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
     Without labels of both classes no lexicon is found and every score is the base rate, a half at most."""
     texts = training_sample(docs, labels, id_col, text_col, label_col, fit_rows)
-    got = texts.mapInArrow(_training, "toxic int, words binary").toArrow()
+    got = texts.mapInArrow(lean(_training), "toxic int, words binary").toArrow()
     sample = sorted(((t, np.frombuffer(w, np.uint64)) for t, w in zip(got.column(0).to_pylist(), got.column(1).to_pylist(), strict=True)), key=lambda x: (x[0], len(x[1]), x[1][:4].tobytes()))
     voters = find_voters(sample)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(voters)
-    known = texts.mapInArrow(_known(sent), "toxic int, mask int, x array<double>").toArrow()
+    known = texts.mapInArrow(lean(_known(sent)), "toxic int, mask int, x array<double>").toArrow()
     toxic, mask = np.array(known.column(0).to_pylist(), np.int64), np.array(known.column(1).to_pylist(), np.int64)
     if not len(toxic):
         return voters, None, np.concatenate(([-2.0], np.zeros(len(voters.words) + 3 + PATTERN_VOTERS)))
     x = np.array(known.column(2).to_pylist())
-    counted = docs.select(text_col).mapInArrow(_masks(sent), "mask int, n long").groupBy("mask").agg(F.sum("n").alias("n")).toPandas()
+    counted = docs.select(text_col).mapInArrow(lean(_masks(sent)), "mask int, n long").groupBy("mask").agg(F.sum("n").alias("n")).toPandas()
     masks = np.union1d(counted["mask"].to_numpy(np.int64), mask)
     counts = np.zeros(len(masks), np.int64)
     counts[np.searchsorted(masks, counted["mask"].to_numpy(np.int64))] = counted["n"].to_numpy()
@@ -277,7 +277,7 @@ def score(docs: DataFrame, labels: DataFrame, key, text_col: str = "text", id_co
     """(key, score) for every row of docs; key: a long column. A null or empty text gets the score of no words at all."""
     voters, _, weights = fit(docs, labels, id_col, text_col, label_col)
     context = docs.sparkSession.sparkContext
-    return docs.select(key.alias("key"), F.col(text_col)).mapInArrow(_scores(context.broadcast(voters), context.broadcast(weights)), "key long, score double")
+    return docs.select(key.alias("key"), F.col(text_col)).mapInArrow(lean(_scores(context.broadcast(voters), context.broadcast(weights))), "key long, score double")
 
 
 def document_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:

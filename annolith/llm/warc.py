@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, In, InputPartition, IsNotNull
 
-from annolith.llm.common import arrow_batch, cut, scratch
+from annolith.llm.common import arrow_batch, cut, lean, scratch
 
 EXTRA = struct.Struct("<4sIBBH2sHII")
 SIGNATURE = b"\x1f\x8b\x08\x04"
@@ -91,7 +91,7 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
     rows = rows.join(again, "digest", "left")
     revisit = F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.col("page_id"))
     rows = rows.select("page_id", "url", "html", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("keep")).alias("refers_to"))
-    cut(rows.mapInArrow(_writer(folder, date), "path string, records long"), "archive")
+    cut(rows.mapInArrow(lean(_writer(folder, date)), "path string, records long"), "archive")
     return folder
 
 
