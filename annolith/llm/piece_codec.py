@@ -19,8 +19,8 @@ from pyspark.sql import functions as F
 
 from annolith.llm.common import arrow_batch, lean, runs, utf8
 
-KEPT = 600_000
-CHUNK = 8 << 20
+KEPT = 250_000
+CHUNK = 4 << 20
 SPACE = "▁"
 
 _codecs: dict[str, "PieceCodec"] = {}
@@ -111,7 +111,7 @@ class PieceCodec:
             start = np.cumsum(size) - size
             which = coded.indices.to_numpy(zero_copy_only=False)
             rows = np.searchsorted(cuts, own)
-            for c, d in runs(own, CHUNK >> 2):
+            for c, d in runs(own, CHUNK >> 1):
                 w = which[rows[c] : rows[d]]
                 n = size[w]
                 ends = np.cumsum(n)

@@ -18,7 +18,7 @@ from annolith.llm.common import runs, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CHUNK = 8 << 20
+CHUNK = 4 << 20
 SPACE = np.array([i == 32 or 9 <= i <= 13 for i in range(256)])
 WORD = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 POINT = np.array([chr(i) in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~" for i in range(256)])
@@ -26,7 +26,7 @@ INK = np.array([not (i == 32 or 9 <= i <= 13 or 28 <= i <= 31) for i in range(25
 #: Last bytes of white space beyond ASCII, and first bytes of those of three bytes.
 WIDE_LAST = np.array([i in (0x85, 0xA0, 0xA8, 0xA9, 0xAF, 0x9F) or 0x80 <= i <= 0x8A for i in range(256)])
 WIDE_LEAD = np.array([i in (0xE1, 0xE2, 0xE3) for i in range(256)])
-KEPT = 600_000
+KEPT = 250_000
 JOINED = 64
 
 _encoders: dict[str, "SegmentEncoder"] = {}
@@ -76,7 +76,7 @@ class SegmentEncoder:
             start = np.cumsum(size) - size
             which = coded.indices.to_numpy(zero_copy_only=False)
             rows = np.searchsorted(cuts, own)
-            for c, d in runs(own, CHUNK >> 2):
+            for c, d in runs(own, CHUNK >> 1):
                 w = which[rows[c] : rows[d]]
                 n = size[w]
                 ends = np.cumsum(n)
