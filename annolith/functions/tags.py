@@ -81,15 +81,15 @@ def occurrences(text: Column, value: Column) -> Column:
 def occurrence_contexts(text: Column, value: Column) -> Column:
     """For each occurrence of value in the tag-free text, its sentence: bounded by . ! ? ; or a line end, the right one kept."""
     clean = strip_tags(text)
-    mark = F.lit("")  # stands for the value, so that its own delimiters bound nothing
+    mark = F.lit("\ue000")  # stands for the value, so that its own delimiters bound nothing
     marked = F.replace(clean, value, mark)
-    pieces = F.split(marked, "", -1)
+    pieces = F.split(marked, "\ue000", -1)
     n = F.size(pieces) - 1
     strip = lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")
 
     def sentence(i: Column) -> Column:
-        before = F.array_join(F.slice(pieces, 1, i), "")
-        after = F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "")
+        before = F.array_join(F.slice(pieces, 1, i), "\ue000")
+        after = F.array_join(F.slice(pieces, i + 1, F.size(pieces)), "\ue000")
         left = F.regexp_extract(F.replace(before, mark, value), r"[^.!?;\n]*\z", 0)
         right = F.regexp_extract(F.replace(after, mark, value), r"^[^.!?;\n]*[.!?;\n]?", 0)
         return strip(F.concat(left, value, right))
@@ -99,7 +99,7 @@ def occurrence_contexts(text: Column, value: Column) -> Column:
 
 def preceding(text: Column, value: Column, width: int = 30) -> Column:
     """The `width` characters before each occurrence of value in the tag-free text."""
-    pieces = F.split(F.replace(strip_tags(text), value, F.lit("")), "", -1)
+    pieces = F.split(F.replace(strip_tags(text), value, F.lit("\ue000")), "\ue000", -1)
     n = F.size(pieces) - 1
-    before = lambda i: F.right(F.array_join(F.slice(pieces, 1, i), ""), F.lit(width))
-    return F.when((F.length(value) > 0) & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.replace(before(i), F.lit(""), value))).otherwise(F.array().cast("array<string>"))
+    before = lambda i: F.right(F.array_join(F.slice(pieces, 1, i), "\ue000"), F.lit(width))
+    return F.when((F.length(value) > 0) & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.replace(before(i), F.lit("\ue000"), value))).otherwise(F.array().cast("array<string>"))

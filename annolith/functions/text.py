@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 SEQUENCE_LIMIT, NGRAM_LIMIT = 0.84, 0.72
 
@@ -37,7 +38,7 @@ def ratio(a: str, b: str, least: float = 0.0) -> float:
     return m.ratio() if least <= 0 or m.quick_ratio() >= least else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
 
@@ -45,14 +46,14 @@ def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
 def best_earlier(least: float):
     """UDF (text, earlier texts) -> the first most similar earlier text's ratio, 0 where none reaches `least`."""
 
-    @F.pandas_udf("double")
+    @F.pandas_udf(DoubleType())
     def run(text: pd.Series, earlier: pd.Series) -> pd.Series:
         return pd.Series([max((ratio(e, t or "", least) for e in (es if es is not None else ())), default=0.0) for t, es in zip(text, earlier, strict=True)])
 
     return run
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def imitation_form(text: pd.Series) -> pd.Series:
     """Tagged spans become ENTITY, other tags spaces; NFKC, case-folded word tokens joined by single spaces."""
 

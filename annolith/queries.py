@@ -2,10 +2,397 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from annolith.functions import detect, tags, text
+from annolith.operators import audit, flow, samples
+from annolith.plans import catalog, runs
+from annolith.plans.planner import compatible_frames, plan_tasks
+
+QUERIES: dict = {}
+ORACLES: dict[str, str] = {}
+
+EMAIL_SQL = r"'[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}'"
+#: DuckDB rendition of the spans of documents' e-mail and IP addresses (RE2 has no look-around: numbers with dots are taken whole).
+DETECTED_SQL = f"""
+    select doc_id, 'EMAIL' as label, unnest(regexp_extract_all(text, {EMAIL_SQL})) as value from documents
+    union all
+    select doc_id, 'IP', v from (select doc_id, unnest(regexp_extract_all(text, '[\\d.]+')) as v from documents) where regexp_full_match(v, '(\\d{{1,3}}\\.){{3}}\\d{{1,3}}')
+"""
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLES[f.__name__] = sql
+        return f
+
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def detected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def labelled(label: str):
+        return F.transform(detect.all_matches(F.col("text"), label), lambda v: F.struct(F.lit(label).alias("label"), v.alias("value")))
+
+    found = F.concat(labelled("EMAIL"), labelled("IP"))
+    return table(spark, sf_dir, "documents").select("doc_id", F.explode(found).alias("m")).select("doc_id", "m.*")
+
+
+@query(f"select doc_id, label, value, count(*) as n from ({DETECTED_SQL}) group by all")
+def detect_structured_pii(spark, sf_dir):
+    return detected(spark, sf_dir).groupBy("doc_id", "label", "value").agg(F.count("*").alias("n"))
+
+
+@query(f"""
+select doc_id, 'EMAIL' as label, regexp_extract(text, {EMAIL_SQL}) as value from documents where regexp_matches(text, {EMAIL_SQL})
+union all select doc_id, 'IP', v[1] from (select doc_id, list_filter(regexp_extract_all(text, '[\\d.]+'), lambda x: regexp_full_match(x, '(\\d{{1,3}}\\.){{3}}\\d{{1,3}}')) as v from documents) where len(v) > 0
+""")
+def first_match_per_label(spark, sf_dir):
+    found = table(spark, sf_dir, "documents").select("doc_id", F.explode(detect.first_matches(F.col("text"))).alias("m"))
+    return found.where(F.col("m.label").isin("EMAIL", "IP")).select("doc_id", "m.label", "m.value")
+
+
+@query("""
+with n as (select doc_id, unnest(regexp_extract_all(text, '\\d+')) as number from documents),
+     c as (select doc_id, number, list_sum(list_transform(range(1, length(number) + 1), lambda i: case when i % 2 = 1 then number[-i]::int
+             when number[-i]::int * 2 > 9 then number[-i]::int * 2 - 9 else number[-i]::int * 2 end)) as total from n where length(number) between 13 and 19)
+select doc_id, number, total % 10 = 0 as luhn_valid, count(*) as n from c group by all
+""")
+def luhn_valid_cards(spark, sf_dir):
+    numbers = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(r"[0-9]+"), F.lit(0))).alias("number"))
+    numbers = numbers.where(F.length("number").between(13, 19))
+    check = detect.luhn_digit(F.expr("left(number, length(number) - 1)")) == F.right("number", F.lit(1))
+    return numbers.groupBy("doc_id", "number", check.alias("luhn_valid")).agg(F.count("*").alias("n"))
+
+
+def _tagged(spark, sf_dir) -> DataFrame:
+    """Documents whose e-mail addresses are tagged in place; angle brackets of the text itself are taken out first."""
+    plain = F.regexp_replace("text", "[<>]", " ")
+    return table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace(plain, detect.DETECTORS["EMAIL"], "<EMAIL>$0</EMAIL>").alias("tagged")).where(F.col("tagged").contains("<EMAIL>"))
+
+
+SPANS_SQL = rf"""
+with t as (select doc_id, regexp_replace(text, '[<>]', ' ', 'g') as text from documents where regexp_matches(text, {EMAIL_SQL})),
+     p as (select doc_id, text, regexp_extract_all(text, {EMAIL_SQL}) as v, string_split_regex(text, {EMAIL_SQL}) as parts from t),
+     e as (select doc_id, v, parts, unnest(range(1, len(v) + 1)) as i from p),
+     s as (select doc_id, i, v[i] as value, list_sum(list_transform(parts[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(v[:i - 1], lambda x: length(x))), 0) as b from e)
+"""
+
+
+@query(SPANS_SQL + 'select doc_id, \'EMAIL\' as label, cast(b as int) as start, cast(b + length(value) as int) as "end", value as text from s')
+def tag_and_format_spans(spark, sf_dir):
+    rows = _tagged(spark, sf_dir).select("doc_id", F.explode(tags.format_spans(F.col("tagged"))["entities"]).alias("e"))
+    return rows.select("doc_id", "e.label", "e.start", "e.end", "e.text")
+
+
+@query(SPANS_SQL + "select doc_id, cast(count(*) as bigint) as spans, true as valid from s group by doc_id")
+def span_invariants(spark, sf_dir):
+    rows = _tagged(spark, sf_dir).select("doc_id", tags.format_spans(F.col("tagged")).alias("f"))
+    return rows.select("doc_id", F.size("f.entities").cast("long").alias("spans"), tags.spans_hold(F.col("f.text"), F.col("f.entities")).alias("valid"))
+
+
+SKELETON_SQL = r"trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))"
+
+
+@query(f"select doc_id, sha256({SKELETON_SQL}) as skeleton from documents")
+def sentence_skeletons(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(tags.skeleton(F.col("text")), 256).alias("skeleton"))
+
+
+@query(f"select cast(sum(n) as bigint) as n, cast(sum(n - 1) as bigint) as duplicates from (select count(*) as n from documents group by {SKELETON_SQL})")
+def exact_duplicate_rate(spark, sf_dir):
+    return audit.duplicate_counts(table(spark, sf_dir, "documents").select(F.sha2(tags.skeleton(F.col("text")), 256).alias("skeleton")))
+
+
+@query(f"select label, count(*) as n_values, count(distinct lower(trim(value))) as n_distinct from ({DETECTED_SQL}) group by label")
+def entity_unique_ratio(spark, sf_dir):
+    return audit.unique_ratios(detected(spark, sf_dir))
+
+
+@query("select 'CARD_ISSUER' as label, count(*) as n_values, count(distinct lower(trim(c_mktsegment))) as n_distinct from customer")
+def categorical_coverage(spark, sf_dir):
+    return audit.unique_ratios(table(spark, sf_dir, "customer").select(F.lit("CARD_ISSUER").alias("label"), F.col("c_mktsegment").alias("value")))
+
+
+@query("select source, lang, count(*) as n from documents group by all")
+def frame_distribution(spark, sf_dir):
+    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
+
+
+NGRAM_SQL = """
+with b as (select row_number() over (order by item_id) - 1 as i, item_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as b from benchmark),
+     n as (select count(*) as n from b),
+     d as (select doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as a from documents),
+     k as (select doc_id, item_id, a, b, case when least(len(a), len(b)) < 8 then 2 else 3 end as w from d, (select unnest([0, 1, 2]) as j), n join b on b.i = (doc_id + j) % n),
+     g as (select doc_id, item_id, list_distinct(list_transform(range(1, len(a) - w + 2), lambda i: array_to_string(a[i:i + w - 1], ' '))) as x,
+                  list_distinct(list_transform(range(1, len(b) - w + 2), lambda i: array_to_string(b[i:i + w - 1], ' '))) as y from k),
+     s as (select doc_id, item_id, len(list_intersect(x, y)) as common, len(x) as nx, len(y) as ny from g)
+select doc_id, item_id, cast(common as bigint) as common, cast(nx + ny - common as bigint) as total from s
+"""
+
+
+@query(NGRAM_SQL)
+def ngram_jaccard_benchmark(spark, sf_dir):
+    """Each document against three benchmark items (by number): shared and all n-grams."""
+    token = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
+    items = table(spark, sf_dir, "benchmark").select("item_id", token(F.col("text")).alias("b"))
+    items = items.withColumn("i", F.row_number().over(Window.orderBy("item_id")) - 1)
+    n = items.count()
+    docs = table(spark, sf_dir, "documents").select("doc_id", token(F.col("text")).alias("a"), F.explode(F.array(*(F.lit(j) for j in range(3)))).alias("j"))
+    pairs = docs.withColumn("i", F.pmod(F.col("doc_id") + F.col("j"), F.lit(n))).join(items, "i")
+    width = F.when(F.least(F.size("a"), F.size("b")) < 8, 2).otherwise(3)
+    x, y = text.ngrams(F.col("a"), width), text.ngrams(F.col("b"), width)
+    common = F.size(F.array_intersect(x, y)).cast("long")
+    return pairs.select("doc_id", "item_id", common.alias("common"), (F.size(x) + F.size(y) - common).cast("long").alias("total"))
+
+
+def _h(*key: str) -> str:
+    return f"cast('0x' || substr(md5(concat_ws('|', {', '.join(key)})), 1, 8) as bigint)"
+
+
+def _bag_sql(values: list[str], axis: str) -> str:
+    items = ", ".join(f"'{v}'" for v in values)
+    k = len(values)
+    bag = f"cast(cast(floor((seq - 1) / {k}) as bigint) as varchar)"
+    return f"list_transform(list_sort(list_transform([{items}], lambda v: {{'h': md5(concat_ws('|', '174', '{axis}', {bag}, v)), 'v': v}})), lambda x: x.v)[cast((seq - 1) % {k} + 1 as int)] as {axis}"
+
+
+SEQ = "(select unnest(range(1, 2001)) as seq)"
+
+
+@query(f"""
+select cast(seq as int) as sequence_no,
+       case when {_h("'174'", "'difficulty'", "seq::varchar")} / 4294967296.0 < 0.4 then 'easy' when {_h("'174'", "'difficulty'", "seq::varchar")} / 4294967296.0 < 0.4 + 0.4 then 'medium' else 'hard' end as difficulty,
+       case when {_h("'174'", "'sample_type'", "seq::varchar")} / 4294967296.0 < 0.6 then 'positive' when {_h("'174'", "'sample_type'", "seq::varchar")} / 4294967296.0 < 0.6 + 0.2 then 'pure_negative' else 'hard_negative' end as sample_type
+from {SEQ}
+""")
+def plan_difficulty_types(spark, sf_dir):
+    return plan_tasks(spark, runs.demo()).select("sequence_no", "difficulty", "sample_type")
+
+
+@query(f"select cast(seq as int) as sequence_no, {', '.join(_bag_sql(v, k) for k, v in catalog.AXES.items())} from {SEQ}")
+def plan_quota_axes(spark, sf_dir):
+    return plan_tasks(spark, runs.demo()).select("sequence_no", *catalog.AXES)
+
+
+POOL = "['PERSON', 'DATE', 'TIME', 'EMAIL', 'PHONE', 'ADDRESS', 'MONEY', 'CARD_NUMBER', 'ORGANIZATION', 'GENDER']"
+
+
+@query(f"select cast(seq as int) as sequence_no, case when seq <= 200 then {POOL}[cast(floor((seq - 1) / 20) as int) + 1] else {POOL}[cast({_h("'174'", "'primary'", "seq::varchar")} % 10 as int) + 1] end as label from {SEQ}")
+def plan_mandatory_labels(spark, sf_dir):
+    return plan_tasks(spark, runs.demo()).select("sequence_no", F.element_at("focus_labels", 1).alias("label"))
+
+
+_PLAN_SQL = f"""
+with d as (select seq, {_h("'174'", "'difficulty'", "seq::varchar")} / 4294967296.0 as u, {_h("'174'", "'sample_type'", "seq::varchar")} / 4294967296.0 as v from {SEQ}),
+     t as (select seq, case when u < 0.4 then 2 when u < 0.4 + 0.4 then 4 else 6 end as lim, case when v < 0.6 then 'p' when v < 0.6 + 0.2 then 'n' else 'h' end as k from d),
+     c as (select *, case k when 'p' then least(lim, 6) when 'n' then lim else least(lim, 3, 2) end as most from t),
+     b as (select *, case k when 'p' then greatest(0, 6 - most) when 'n' then 3 else greatest(0, 3 - most) end as budget,
+             list_filter([{', '.join(f"case when {_h("'174'", f"'constraint:{n}'", "seq::varchar")} / 4294967296.0 < {p} then '{n}' end" for n, p in (("multi_sentence", 0.5), ("abbreviation", 0.3), ("numeric_noise", 0.2)))}], lambda x: x is not null) as drawn from c)
+"""
+
+
+@query(_PLAN_SQL + f"select cast(seq as int) as sequence_no, cast(lim as int) as max_entities, cast({_h("'174'", "'focus_count'", "seq::varchar")} % most + 1 as int) as n_labels, array_to_string(drawn[:budget], ',') as constraints from b")
+def plan_complexity_budget(spark, sf_dir):
+    return plan_tasks(spark, runs.demo()).select("sequence_no", "max_entities", F.size("focus_labels").alias("n_labels"), F.array_join("optional_constraints", ",").alias("constraints"))
+
+
+_FRAMES_SQL = " union all ".join(f"select '{k}' as frame_id, string_split('{v[4]}', ' ') as labels" for k, v in catalog.FRAMES.items())
+
+
+@query(f"""
+with f as ({_FRAMES_SQL}), s as (select a.event_type as x, b.event_type as y from (select distinct event_type from events) a, (select distinct event_type from events) b),
+     l as (select x, y, [{", ".join("'" + v + "'" for v in catalog.LABELS)}][cast((length(x) * 7) % 44 as int) + 1] as a, [{", ".join("'" + v + "'" for v in catalog.LABELS)}][cast((length(y) * 11) % 44 as int) + 1] as b from s)
+select x, y, a, b, frame_id from l join f on list_has_all(f.labels, [a, b])
+""")
+def label_frame_compat(spark, sf_dir):
+    kinds = table(spark, sf_dir, "events").select("event_type").distinct()
+    names = F.array(*(F.lit(x) for x in catalog.LABELS))
+    label = lambda c, k: F.element_at(names, (F.length(c) * k % 44 + 1).cast("int"))
+    pairs = kinds.select(F.col("event_type").alias("x")).crossJoin(F.broadcast(kinds.select(F.col("event_type").alias("y"))))
+    pairs = pairs.withColumns({"a": label(F.col("x"), 7), "b": label(F.col("y"), 11)})
+    return pairs.select("x", "y", "a", "b", F.explode(compatible_frames(F.array("a", "b"))).alias("frame_id"))
+
+
+@query(f"select distinct upper(trim(event_type)) as label from events where upper(trim(event_type)) not in ({', '.join(repr(x) for x in catalog.LABELS)})")
+def unknown_labels_anti(spark, sf_dir):
+    asked = table(spark, sf_dir, "events").select(F.upper(F.trim("event_type")).alias("label")).distinct()
+    return asked.join(F.broadcast(catalog.labels(spark)), "label", "left_anti")
+
+
+_ISSUES = ("missing_entity_metadata", "invalid_output", "decoy_context_unclear", "credential_risk")
+_TYPES_SQL = "list_filter([" + ", ".join(f"case when event_id // {2 ** i} % 2 = 1 then '{x}' end" for i, x in enumerate(_ISSUES)) + "], lambda x: x is not null)"
+
+
+@query(f"""
+with t as (select event_id, {_TYPES_SQL} as types from events)
+select event_id, case when len(types) = 0 then 'PASS' when list_contains(types, 'credential_risk') then 'REJECTED'
+  when list_contains(types, 'missing_entity_metadata') and not list_contains(types, 'decoy_context_unclear') then 'FIXABLE' else 'REGENERATE' end as status,
+  case when len(types) = 0 then null when list_contains(types, 'credential_risk') then 'critical'
+  when list_contains(types, 'missing_entity_metadata') and not list_contains(types, 'decoy_context_unclear') then 'low' else 'high' end as severity from t
+""")
+def issue_routing(spark, sf_dir):
+    types = F.filter(F.array(*(F.when(F.floor(F.col("event_id") / 2**i) % 2 == 1, F.lit(x)) for i, x in enumerate(_ISSUES))), lambda x: x.isNotNull())
+    return table(spark, sf_dir, "events").select("event_id", flow.route(types).alias("r")).select("event_id", "r.status", "r.severity")
+
+
+@query("""
+select conv_id, case when bool_or(role = 'system') then 'SEEDS' when bool_or(role = 'assistant') then 'CONTEXT' when count(*) > 0 then 'TEXT' end as scope from conversations group by conv_id
+""")
+def regeneration_scope(spark, sf_dir):
+    scope = F.when(F.col("role") == "system", "SEEDS").when(F.col("role") == "assistant", "CONTEXT").otherwise("TEXT")
+    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.collect_set(scope).alias("scopes"))
+    return rows.select("conv_id", flow.worst_scope(F.col("scopes")).alias("scope"))
+
+
+@query("""
+with n as (select event_id, user_id, event_type, row_number() over (partition by user_id order by event_id) as seq from events),
+     p as (select *, max(seq) over (partition by user_id, event_type order by seq rows between unbounded preceding and 1 preceding) as last from n)
+select event_id, user_id, coalesce(seq - last <= 3, false) as reused from p
+""")
+def recent_window_entity_reuse(spark, sf_dir):
+    """Whether one of the user's last three events had the same type."""
+    rows = table(spark, sf_dir, "events").withColumn("seq", F.row_number().over(Window.partitionBy("user_id").orderBy("event_id")))
+    rows = rows.withColumns({"label": F.lit("VALUE"), "value": F.col("event_type")})
+    return audit.reused_values(rows, "user_id", "seq", 3).select("event_id", "user_id", "reused")
+
+
+_CALLS_SQL = """
+calls as (select conv_id, turn, case role when 'user' then 'generator' when 'assistant' then 'judge' else 'repair' end as category, length(text) as i, length(text) // 2 as o from conversations),
+priced as (select *, cast(round(cast(cast(i as decimal(18,0)) * 2.50 + cast(o as decimal(18,0)) * 10.00 as decimal(28,2)) / 1000000, 8) as decimal(20,8)) as cost from calls)
+"""
+
+
+def _calls(spark, sf_dir) -> DataFrame:
+    role = F.when(F.col("role") == "user", "generator").when(F.col("role") == "assistant", "judge").otherwise("repair")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", role.alias("category"), F.length("text").alias("input_tokens"), F.floor(F.length("text") / 2).cast("int").alias("output_tokens"))
+    return rows.withColumn("money_cost", text.token_cost(F.col("input_tokens"), F.col("output_tokens")))
+
+
+@query(f"""
+with {_CALLS_SQL}
+select conv_id, cast(sum(case when category = 'generator' then i else 0 end) as bigint) as generator_input, cast(sum(case when category = 'judge' then i else 0 end) as bigint) as judge_input,
+       cast(sum(case when category = 'repair' then o else 0 end) as bigint) as repair_output, cast(sum(i + o) as bigint) as total_tokens from priced group by conv_id
+""")
+def usage_rollup_by_slot(spark, sf_dir):
+    return flow.usage_by_slot(_calls(spark, sf_dir), ["conv_id"]).select("conv_id", "generator_input", "judge_input", "repair_output", "total_tokens")
+
+
+@query("select conv_id, turn, cast(round((length(text) * 250 + (length(text) // 2) * 1000)) as bigint) as cost_e8 from conversations")
+def token_cost(spark, sf_dir):
+    """Cost of each call in units of 1e-8."""
+    return _calls(spark, sf_dir).select("conv_id", "turn", (F.col("money_cost") * 100_000_000).cast("long").alias("cost_e8"))
+
+
+@query(f"with {_CALLS_SQL} select conv_id, category, min(turn) as turn from priced group by conv_id, category")
+def usage_dedup(spark, sf_dir):
+    return flow.first_by_key(_calls(spark, sf_dir), ["conv_id", "category"], ["turn"]).select("conv_id", "category", "turn")
+
+
+@query("select user_id, event_type, event_id from (select *, row_number() over (partition by user_id, event_type order by event_id desc) as n from events) where n = 1")
+def slot_latest_replacement(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumns({"replacement_no": F.col("event_id"), "sequence_no": F.col("event_id")})
+    return flow.latest_in_slot(rows, "user_id", "event_type").select("user_id", "event_type", "event_id")
+
+
+@query("select o_orderkey as sequence_no, o_orderstatus as status from orders where o_orderstatus <> 'F'")
+def pending_tasks(spark, sf_dir):
+    status = F.when(F.col("o_orderstatus") == "F", "ACCEPTED").otherwise(F.col("o_orderstatus"))
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sequence_no"), status.alias("status"))
+    return flow.pending(rows)
+
+
+@query("""
+select c.conv_id, min(c.turn) as first_turn, cast(count(*) as bigint) as turns, bool_and(ok) as alternates, count(distinct role) = 2 as two_speakers
+from (select *, coalesce(role <> lag(role) over (partition by conv_id order by turn), true) as ok from conversations) c group by c.conv_id
+""")
+def chat_structure_check(spark, sf_dir):
+    before = F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn"))
+    rows = table(spark, sf_dir, "conversations").withColumn("ok", F.coalesce(F.col("role") != before, F.lit(True)))
+    return rows.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.count("*").alias("turns"), F.every("ok").alias("alternates"), (F.count_distinct("role") == 2).alias("two_speakers"))
+
+
+@query("select user_id, event_type, min(event_id) as event_id, count(*) as deliveries from events group by user_id, event_type")
+def event_dedup_idempotent(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"), F.count("*").alias("deliveries"))
+
+
+@query("select time_bucket(interval '10 minutes', ts) as window_start, event_type, count(*) as n from events group by all")
+def event_window_counts(spark, sf_dir):
+    from annolith.streaming.events import counts
+
+    return counts(table(spark, sf_dir, "events"), "ts")
+
+
+@query("select doc_id, sha256(text) as output_hash from documents")
+def output_hash(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("output_hash"))
+
+
+@query()
+def near_duplicate_rate(spark, sf_dir):
+    """Conversation turns close to one of the 200 turns before them in their conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", tags.skeleton(F.col("text")).alias("skeleton"))
+    return audit.near_duplicates(rows, "conv_id", "turn", "skeleton").select("conv_id", "turn", F.round("best_ratio", 6).alias("best_ratio"), "near_duplicate")
+
+
+@query()
+def imitation_guard(spark, sf_dir):
+    """Conversation turns against the first three turns of the next conversation."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
+    examples = rows.where("turn < 3").groupBy((F.col("conv_id") - 1).alias("conv_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("examples"))
+    out = audit.imitation(rows.join(examples, "conv_id"), "text", "examples")
+    return out.select("conv_id", "turn", "closest", F.round("sequence", 6).alias("sequence"), F.round("ngram", 6).alias("ngram"), "imitates")
+
+
+@query()
+def seed_values(spark, sf_dir):
+    """A value, its variant and format check for every label and customer."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey").crossJoin(F.broadcast(catalog.labels(spark)))
+    rows = rows.withColumn("made", samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label")))
+    return rows.select("c_custkey", "label", "made.value", "made.variant", detect.valid_format(F.col("label"), F.col("made.value")).alias("valid"))
+
+
+@query()
+def decoy_pick(spark, sf_dir):
+    packs = samples.seed_packs(plan_tasks(spark, runs.demo()), catalog.strategies(spark), 174)
+    checked = samples.seed_pack_issues(packs, catalog.strategies(spark))
+    return checked.select("sequence_no", "sample_type", F.size("positives").alias("n_seeds"), F.explode_outer("decoys").alias("d"), F.size("pack_issues").alias("n_issues")).select("sequence_no", "sample_type", "n_seeds", "d.strategy_id", "d.value", "n_issues")
+
+
+@query()
+def render_offline(spark, sf_dir):
+    rows = runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo())
+    return rows.select("sequence_no", "sample_type", "tagged_text", "valid")
+
+
+@query()
+def validate_output(spark, sf_dir):
+    """Issues of candidates whose tags are damaged in every fifth text."""
+    config = runs.demo()
+    packs = samples.seed_packs(plan_tasks(spark, config), catalog.strategies(spark), config.random_seed)
+    rows = samples.render(packs, runs.DOCUMENTS).withColumn("tagged_text", F.when(F.col("sequence_no") % 5 == 0, F.regexp_replace("tagged_text", "</[A-Z_]+>", "")).otherwise(F.col("tagged_text")))
+    return samples.validate(rows).select("sequence_no", F.explode_outer("issues").alias("i")).select("sequence_no", "i.type", "i.scope", "i.label", "i.value")
+
+
+@query()
+def audit_report(spark, sf_dir):
+    accepted, _ = runs.run(spark, runs.demo(num_samples=400))
+    values = lambda f: F.transform("decoys", lambda d: d[f])
+    rows = accepted.select(F.lit("demo").alias("run_id"), "sequence_no", "tagged_text", "entities", values("value").alias("decoys"), F.col("context_frame_id").alias("frame_id"), values("strategy_id").alias("strategy_ids"), F.col("optional_constraints").alias("constraints"))
+    flat = audit.report(rows)
+    return flat.select("n", "duplicates", "exact_duplicate_rate", "near_duplicate_rate", F.to_json("unique_ratio").alias("unique_ratio"), F.to_json("coverage").alias("coverage"), F.to_json("frames").alias("frames"), F.to_json("strategies").alias("strategies"), F.to_json("constraint_counts").alias("constraints"))
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLES)
