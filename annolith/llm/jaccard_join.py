@@ -36,8 +36,8 @@ SPACE = np.array([i == 32 or 9 <= i <= 13 for i in range(256)])
 HOT_MOST, HOT_LEAST = 1 << 18, 4
 #: Sets sharing a shingle up to which their pairs are listed, and up to which one task holds their signatures.
 FEW, CROWD = 16, 4096
-#: Bits of a signature (binary logarithm).
-WIDTH = 11
+#: Bits of a signature (binary logarithms).
+NARROWEST, WIDEST = 11, 17
 #: A tile's bounds: sets, and shingles in them.
 TILE_SETS, TILE_SHINGLES = 4096, 1 << 23
 #: Representatives whose ids are broadcast to pick out their texts; more are joined by a shuffle.
@@ -186,8 +186,20 @@ def _sets(words: int):
 
 
 def signature(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles at each of 2^WIDTH bits."""
-    return np.packbits(np.bincount((s >> np.uint64(64 - WIDTH)).astype(np.int64), minlength=1 << WIDTH).astype(np.uint8) & 1)
+    """Parity of the number of shingles at each bit, as 64-bit words: twice as many bits as shingles, within bounds.
+
+    The low bits of a hash choose the place, so halves fold into a narrower signature by exclusive or."""
+    width = min(WIDEST, max(NARROWEST, len(s).bit_length() + 1))
+    count = np.bincount((s & np.uint64((1 << width) - 1)).astype(np.int64), minlength=1 << width)
+    return np.packbits(count.astype(np.uint8) & 1).view(np.uint64)
+
+
+def fold(marks: np.ndarray, words: int) -> np.ndarray:
+    """Signatures (one a row) folded to a number of words."""
+    while marks.shape[1] > words:
+        half = marks.shape[1] // 2
+        marks = marks[:, :half] ^ marks[:, half:]
+    return marks
 
 
 def _few(num: int, den: int):
@@ -198,8 +210,15 @@ def _few(num: int, den: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1) for c in ("mark_a", "mark_b"))
-            differ = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+            x, y = batch.column("mark_a").to_pylist(), batch.column("mark_b").to_pylist()
+            shapes: dict[tuple[int, int], list[int]] = {}
+            for i in range(len(x)):
+                shapes.setdefault((len(x[i]), len(y[i])), []).append(i)
+            differ = np.zeros(len(x), np.int64)
+            for (p, q), rows in shapes.items():
+                words = min(p, q) // 8
+                m, n = (fold(np.frombuffer(b"".join([z[i] for i in rows]), np.uint64).reshape(len(rows), -1), words) for z in (x, y))
+                differ[rows] = np.bitwise_count(m ^ n).sum(axis=1, dtype=np.int64)
             both = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
             keep = pa.array((both - differ) // 2 * (num + den) >= num * both)
             yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], schema=out)
@@ -212,7 +231,7 @@ def _crowds(num: int, den: int):
 
     def run(batches):
         for _, t in groups(batches, ["shingle"]):
-            marks = np.frombuffer(b"".join(t.column("mark").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            marks = [np.frombuffer(x, np.uint64) for x in t.column("mark").to_pylist()]
             if found := component_edges(t.column("rep").to_numpy().astype(np.int64), t.column("n").to_numpy().astype(np.int64), marks, num, den):
                 yield arrow_batch(out, a=[x for x, _ in found], b=[x for _, x in found])
 
@@ -226,12 +245,14 @@ def common(x: np.ndarray, y: np.ndarray) -> int:
     return int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
 
 
-def component_edges(ids: np.ndarray, n: np.ndarray, marks: np.ndarray, num: int, den: int, sets: list[np.ndarray] | None = None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
+def component_edges(ids: np.ndarray, n: np.ndarray, marks: list[np.ndarray], num: int, den: int, sets: list[np.ndarray] | None = None, side: np.ndarray | None = None) -> list[tuple[int, int]]:
     """(id, smallest id of its component) for every member but that one.
 
     Pairs link by their sets, or without sets where sizes and signatures allow it. side: only pairs of two sides count."""
     order = np.lexsort((ids, n))
-    ids, n, marks = ids[order], n[order], marks[order]
+    ids, n, marks = ids[order], n[order], [marks[i] for i in order]
+    words = np.array([len(x) for x in marks])  # grows with the size, so a set meets only sets of as many words or more
+    by = {w: (int(np.argmax(words >= w)), np.concatenate([fold(x[None, :], w) for x in marks[int(np.argmax(words >= w)) :]])) for w in np.unique(words).tolist()}
     side = None if side is None else side[order]
     part = np.unique(ids, return_inverse=True)[1]
     ends = np.searchsorted(n, n * den // num, "right")
@@ -244,7 +265,8 @@ def component_edges(ids: np.ndarray, n: np.ndarray, marks: np.ndarray, num: int,
         j = np.flatnonzero(open_) + i + 1
         if not len(j):
             continue
-        differ = np.bitwise_count(marks[j] ^ marks[i]).sum(axis=1, dtype=np.int64)
+        first, own = by[int(words[i])]
+        differ = np.bitwise_count(own[j - first] ^ own[i - first]).sum(axis=1, dtype=np.int64)
         both = n[j] + n[i]
         for k in j[(both - differ) // 2 * (num + den) >= num * both].tolist():
             if part[k] != part[i] and (sets is None or common(sets[order[i]], sets[order[k]]) * (num + den) >= num * int(n[i] + n[k])):
@@ -263,7 +285,7 @@ def _tiles(num: int, den: int):
             ids = t.column("rep").to_numpy().astype(np.int64)
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]
             side = t.column("side").to_numpy().astype(np.int64) if lo != hi else None
-            n, marks = np.array([len(x) for x in sets], np.int64), np.stack([signature(x) for x in sets]).view(np.uint64)
+            n, marks = np.array([len(x) for x in sets], np.int64), [signature(x) for x in sets]
             if found := component_edges(ids, n, marks, num, den, sets, side):
                 yield arrow_batch(out, rep=[x for x, _ in found], low=[x for _, x in found], big=[big] * len(found))
 
