@@ -37,7 +37,7 @@ HOT_MOST, HOT_LEAST = 1 << 18, 4
 #: Sets sharing a shingle up to which their pairs are listed, and up to which one task holds their signatures.
 FEW, CROWD = 16, 4096
 #: Bits of a signature (binary logarithms).
-NARROWEST, WIDEST = 11, 17
+NARROWEST, WIDEST = 10, 17
 #: A tile's bounds: sets, and shingles in them.
 TILE_SETS, TILE_SHINGLES = 4096, 1 << 23
 #: Representatives whose ids are broadcast to pick out their texts; more are joined by a shuffle.
@@ -165,7 +165,7 @@ def _sketches(words: int, num: int, den: int, hot):
                 h1.append(int(s.sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 h2.append(int(_mix(s + BASE).sum(dtype=np.uint64).view(np.int64)) if len(s) else 0)
                 prefix.append(first.view(np.int64))
-                mark.append(signature(s).tobytes())
+                mark.append(signature(s, num, den).tobytes())
             lens = np.cumsum([0, *map(len, prefix)])
             lists = pa.ListArray.from_arrays(pa.array(lens, pa.int32()), pa.array(np.concatenate(prefix) if prefix else np.zeros(0, np.int64)))
             yield pa.RecordBatch.from_arrays([ids.cast(pa.int64()), pa.array(n, pa.int64()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), lists, pa.array(mark, pa.binary())], schema=out)
@@ -185,11 +185,12 @@ def _sets(words: int):
     return run
 
 
-def signature(s: np.ndarray) -> np.ndarray:
-    """Parity of the number of shingles at each bit, as 64-bit words: twice as many bits as shingles, within bounds.
+def signature(s: np.ndarray, num: int, den: int) -> np.ndarray:
+    """Parity of the number of shingles at each bit, as 64-bit words.
 
-    The low bits of a hash choose the place, so halves fold into a narrower signature by exclusive or."""
-    width = min(WIDEST, max(NARROWEST, len(s).bit_length() + 1))
+    Linked sets differ in n * (den - num) / num shingles at most; unrelated ones in half of the bits, of which there are four times
+    as many as that, within bounds. The low bits of a hash choose the place, so halves fold into a narrower signature by exclusive or."""
+    width = min(WIDEST, max(NARROWEST, (4 * len(s) * (den - num) // num).bit_length()))
     count = np.bincount((s & np.uint64((1 << width) - 1)).astype(np.int64), minlength=1 << width)
     return np.packbits(count.astype(np.uint8) & 1).view(np.uint64)
 
@@ -285,7 +286,7 @@ def _tiles(num: int, den: int):
             ids = t.column("rep").to_numpy().astype(np.int64)
             sets = [np.frombuffer(x.as_py(), np.uint64) for x in t.column("shingles")]
             side = t.column("side").to_numpy().astype(np.int64) if lo != hi else None
-            n, marks = np.array([len(x) for x in sets], np.int64), [signature(x) for x in sets]
+            n, marks = np.array([len(x) for x in sets], np.int64), [signature(x, num, den) for x in sets]
             if found := component_edges(ids, n, marks, num, den, sets, side):
                 yield arrow_batch(out, rep=[x for x, _ in found], low=[x for _, x in found], big=[big] * len(found))
 
