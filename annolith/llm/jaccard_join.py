@@ -322,8 +322,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def _candidates(reps: DataFrame, num: int, den: int) -> DataFrame:
     """Edges (a, b) over (rep, n, prefix, mark) whose components hold every linked pair."""
-    shared = reps.select("rep", "n", F.explode("prefix").alias("shingle")).selectExpr("*", "count(*) over (partition by shingle) as sets", "min(rep) over (partition by shingle) as pivot")
-    shared = cut(shared.where("sets > 1"), "shared")
+    held = reps.select("rep", "n", F.explode("prefix").alias("shingle"))
+    # counted before the join, which splits a hot shingle's rows over tasks; a window would sort them all in one
+    counts = held.groupBy("shingle").agg(F.count("*").alias("sets"), F.min("rep").alias("pivot")).where("sets > 1")
+    shared = cut(held.join(counts, "shingle"), "shared")
     lists = shared.where(F.col("sets") <= FEW).groupBy("shingle").agg(F.array_sort(F.collect_list(F.struct("n", "rep"))).alias("s"))
     pairs = lists.select(F.explode(F.expr(
         f"flatten(transform(s, (x, i) -> transform(filter(slice(s, i + 2, size(s)), y -> y.n * {num} <= x.n * {den}), y -> struct(least(x.rep, y.rep) as a, greatest(x.rep, y.rep) as b))))")).alias("p"))
