@@ -74,9 +74,10 @@ def replacements(rejected: DataFrame, last_sequence_no: int, budget: int) -> tup
     return new, rejected.where(F.col("replacement_no") >= budget)
 
 
-def attempt_rounds(tasks: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max_attempts: int, cut: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+def attempt_rounds(tasks: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max_attempts: int, cut: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[DataFrame, DataFrame]:
     """(accepted, rejected): rounds over the tasks that are left, max_attempts at most.
 
+    prepare(rows) changes a failed row's task columns for its next attempt.
     attempt(tasks, n) gives each task's candidate with the array `issues`; cut(df) writes a round's result to shared storage, so a
     round is computed once. Rejected rows carry the last attempt's issues."""
     left, accepted, rejected = tasks, None, None
@@ -87,12 +88,18 @@ def attempt_rounds(tasks: DataFrame, attempt: Callable[[DataFrame, int], DataFra
         again = (F.col("routed.status") != "PASS") & (F.col("routed.status") != "REJECTED") & F.lit(n < max_attempts)
         lost = done.where((F.col("routed.status") != "PASS") & ~again)
         rejected = lost if rejected is None else rejected.unionByName(lost)
-        left = done.where(again).select(*tasks.columns)
+        left = prepare(done.where(again)).select(*tasks.columns)
         if left.isEmpty():
             break
     return accepted, rejected
 
 
+def accepted_samples(tasks: DataFrame, samples: DataFrame) -> DataFrame:
+    """samples (task_id, ...) of accepted tasks (task_id, slot_no, replacement_no, status), in order of slot and replacement."""
+    done = tasks.where(F.col("status") == "ACCEPTED").select("task_id", F.coalesce("slot_no", "sequence_no").alias("slot_no"), "replacement_no")
+    return samples.join(done, "task_id").orderBy("slot_no", "replacement_no")
+
+
 def first_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key: idempotent events, recorded calls."""
     w = Window.partitionBy(*keys).orderBy(*order)

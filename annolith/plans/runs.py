@@ -4,31 +4,63 @@ from __future__ import annotations
 
 import dataclasses
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolith import shared
-from annolith.functions import tags
+from annolith.functions import rng, tags
 from annolith.operators import flow, samples
 from annolith.plans import catalog
-from annolith.plans.planner import RunConfig, plan_tasks
+from annolith.plans.planner import RunConfig, compatible_frames, plan_tasks
 
 DOCUMENTS = {k: v[1] for k, v in catalog.FRAMES.items()}
 
 
-def candidates(spark: SparkSession, tasks: DataFrame, config: RunConfig, attempt: int = 1) -> DataFrame:
+def candidates(spark: SparkSession, tasks: DataFrame, config: RunConfig, attempt: int | Column = 1) -> DataFrame:
     """Validated offline candidates of tasks: seeds and look-alikes of this attempt, rendered text, issues."""
     only = config.hard_negative_mode == "decoy_only"
     packs = samples.seed_packs(tasks, catalog.strategies(spark), config.random_seed, attempt, only)
     return samples.validate(samples.render(packs, DOCUMENTS, config.structure, config.custom_instruction, only), only)
 
 
-def run(spark: SparkSession, config: RunConfig, cut=shared.cut) -> tuple[DataFrame, DataFrame]:
-    """(accepted samples with text and spans, rejected candidates)."""
-    tasks = cut(plan_tasks(spark, config))
-    accepted, rejected = flow.attempt_rounds(tasks, lambda left, n: candidates(spark, left, config, n), config.max_regenerate_attempts + 1, cut)
+def other_frame(seed: int, *key) -> Column:
+    """A compatible frame that isn't the present one; the present one where there is no other."""
+    others = F.filter(compatible_frames(F.col("focus_labels")), lambda f: f != F.col("context_frame_id"))
+    picked = F.get(others, (rng.bits(seed, "other_frame", *key) % F.greatest(F.size(others), F.lit(1))).cast("int"))
+    return F.coalesce(picked, F.col("context_frame_id"))
+
+
+def regenerate(rows: DataFrame, seed: int) -> DataFrame:
+    """Failed candidates with the task of their next attempt, by the widest scope of their issues.
+
+    TEXT keeps seeds and frame, SEEDS draws new seeds, CONTEXT keeps the seeds in another frame."""
+    scope = flow.worst_scope(F.transform("issues", lambda i: i["scope"]))
+    rows = rows.withColumn("_scope", scope)
+    return rows.withColumns({
+        "context_frame_id": F.when(F.col("_scope") == "CONTEXT", other_frame(seed, F.col("task_id"), F.col("attempt_no").cast("string"))).otherwise(F.col("context_frame_id")),
+        "seed_attempt": F.col("seed_attempt") + F.when(F.col("_scope") == "SEEDS", 1).otherwise(0),
+    }).drop("_scope")
+
+
+def run(spark: SparkSession, config: RunConfig, cut=shared.cut, attempt=None) -> tuple[DataFrame, DataFrame]:
+    """(accepted samples with text and spans, last candidates of slots that no replacement could fill).
+
+    attempt(tasks, n) gives candidates with issues, the offline ones by default. A rejected task is replaced in its slot by a
+    new one with another number, seed and frame, max_task_replacements times at most."""
+    attempt = attempt or (lambda left, n: candidates(spark, left, config, F.col("seed_attempt")))
+    left = cut(plan_tasks(spark, config).withColumns({"run_id": F.lit(config.run_name), "seed_attempt": F.lit(1), "status": F.lit("CREATED"), "parent_task_id": F.lit(None).cast("string")}))
+    names, last, accepted, lost = left.columns, config.num_samples, None, None
+    for _ in range(config.max_task_replacements + 1):
+        good, bad = flow.attempt_rounds(left, attempt, config.max_regenerate_attempts + 1, cut, lambda rows: regenerate(rows, config.random_seed))
+        spent = bad.where(F.col("replacement_no") >= config.max_task_replacements)
+        accepted, lost = (good, spent) if accepted is None else (accepted.unionByName(good), lost.unionByName(spent))
+        new, _ = flow.replacements(bad.select(*names), last, config.max_task_replacements)
+        left = cut(new.withColumns({"context_frame_id": other_frame(config.random_seed, F.col("task_id")), "seed_attempt": F.lit(1)}).select(*names))
+        if not (more := left.count()):
+            break
+        last += more
     formatted = accepted.withColumn("formatted", tags.format_spans(F.col("tagged_text")))
-    return formatted.orderBy("slot_no", "replacement_no"), rejected
+    return formatted.orderBy("slot_no", "replacement_no"), lost
 
 
 def demo(**changes) -> RunConfig:

@@ -203,3 +203,120 @@ def test_event_stream(spark, tmp_path):
     q.stop()
     assert sorted(r.idempotency_key for r in spark.sql("select * from seen").collect()) == ["k1", "k2"]
     assert sorted(r.n for r in counts(rows).collect()) == [1, 2]
+
+
+def test_replacements_fill_slots_with_new_tasks(spark):
+    from annolith.shared import cut
+
+    config = runs.demo(num_samples=20, minimum_per_label=1, max_regenerate_attempts=1, max_task_replacements=2)
+    issue = F.array(F.struct(F.lit("x").alias("type"), F.lit("SEEDS").alias("scope"), F.lit("r").alias("reason"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("value")).cast(samples.ISSUE))
+    good = lambda n: (F.col("slot_no") > 4) | (F.col("slot_no") > 1) & (F.col("replacement_no") == 2) & F.lit(n == 2)
+
+    def attempt(left, n):
+        rows = runs.candidates(spark, left, config, F.col("seed_attempt"))
+        return rows.withColumn("issues", F.when(good(n), F.filter("issues", lambda i: F.lit(False))).otherwise(issue))
+
+    ok, lost = runs.run(spark, config, cut, attempt)
+    rows = {r.slot_no: r for r in ok.collect()}
+    assert sorted(rows) == list(range(2, 21)) and [r.slot_no for r in lost.collect()] == [1]
+    assert all(rows[s].replacement_no == 2 and rows[s].seed_attempt == 2 and rows[s].sequence_no > 24 and rows[s].parent_task_id for s in (2, 3, 4))
+    first = {r.slot_no: r for r in plan_tasks(spark, config).collect()}
+    assert all(rows[s].focus_labels == first[s].focus_labels and rows[s].task_id != first[s].task_id for s in (2, 3, 4))
+
+
+def test_regeneration_scopes(spark):
+    tasks = plan_tasks(spark, runs.demo(num_samples=3, minimum_per_label=0)).withColumns({"seed_attempt": F.lit(1), "attempt_no": F.lit(1)})
+    scopes = F.element_at(F.array(F.lit("TEXT"), F.lit("CONTEXT"), F.lit("SEEDS")), F.col("sequence_no"))
+    rows = tasks.withColumns({"issues": F.array(F.struct(scopes.alias("scope"))), "was": F.col("context_frame_id")})
+    got = {r.sequence_no: r for r in runs.regenerate(rows, 1).collect()}
+    assert [got[i].seed_attempt for i in (1, 2, 3)] == [1, 1, 2] and [got[i].context_frame_id != got[i].was for i in (1, 2, 3)] == [False, True, False]
+
+
+def test_repair_preservation_and_verification(spark):
+    from annolith.operators import verify
+    from annolith.shared import cut
+
+    broken = lambda **k: [i.type for i in _candidate(spark, **k["now"]).select(verify.preservation_issues(F.lit(k.get("was", "")), F.col("tagged_text"), F.col("entities"), F.col("positives"), F.col("decoys")).alias("x")).first().x]
+    assert broken(now={}) == []
+    assert broken(now={"tagged_text": "Hẹn."}) == ["REPAIR_CHANGED_POSITIVE_SEED"]
+    decoy = ("s", "DATE", "32/13/2026", ["q"], ["f"])
+    assert broken(now={"decoys": [decoy], "tagged_text": "<DATE>21/10/2026</DATE> 32/13/2026"}, was="32/13/2026") == []
+    assert broken(now={"decoys": [decoy], "tagged_text": "<DATE>21/10/2026</DATE>"}, was="32/13/2026") == ["REPAIR_CHANGED_DECOY"]
+    assert broken(now={"decoys": [decoy], "tagged_text": "<DATE>21/10/2026</DATE> <X>32/13/2026</X>"}, was="32/13/2026") == ["REPAIR_CHANGED_DECOY"]
+
+    rows = spark.range(7).withColumnRenamed("id", "k").crossJoin(_candidate(spark))
+    first, later = ["PASS", "REGENERATE", "REJECTED"] + ["FIXABLE"] * 4, ["PASS", "REJECTED", "FIXABLE", "PASS"]
+    table = lambda xs: F.array(*(F.lit(x) for x in xs))
+    none = F.array().cast(f"array<{verify.ISSUE}>")
+
+    def judge(df):
+        status = F.element_at(table(later), (F.col("k") - 2).cast("int")) if "origin" in df.columns else F.element_at(table(first), (F.col("k") + 1).cast("int"))
+        return df.withColumn("verdict", F.struct(status.alias("status"), none.alias("issues")))
+
+    def repair(df):
+        spoilt = F.regexp_replace("tagged_text", "<DATE>.*</DATE>", "x")
+        return df.withColumn("tagged_text", F.when(F.col("k") == 6, spoilt).otherwise(F.concat(F.col("tagged_text"), F.lit(" Sửa."))))
+
+    got = {r.k: r for r in verify.verify(rows, judge, repair, samples.validate, cut).collect()}
+    assert [got[k].outcome for k in range(7)] == ["PASS", "REGENERATE", "REJECTED", "FIXED", "REJECTED", "REGENERATE", "REGENERATE"]
+    assert got[3].tagged_text.endswith("Sửa.") and not got[4].tagged_text.endswith("Sửa.") and got[6].stages == ["judge", "repair"] and got[6].verdict_issues
+    assert {r.outcome for r in verify.verify(rows, judge, repair, samples.validate, cut, max_repairs=0).where("k > 2").collect()} == {"REGENERATE"}
+
+
+def test_novelty_guard(spark):
+    from annolith.operators.novelty import guard
+
+    entity = "array<struct<label:string,value:string>>"
+    rows = spark.createDataFrame(
+        [("r", 1, "a b c d e f g h", [("DATE", "1/1/2020")], True), ("r", 2, "a b c d e f g h", [], True), ("r", 3, "other words entirely", [("DATE", "1/1/2020 ")], True),
+         ("r", 4, "zzz", [("GENDER", "nam")], False), ("r", 5, "zzz", [("GENDER", "nam")], True), ("q", 1, "a b c d e f g h", None, True), ("r", 6, "a b c d e f g i", [], True)],
+        f"run_id string, sequence_no int, skeleton string, entities {entity}, valid boolean")
+    got = {(r.run_id, r.sequence_no): r for r in guard(rows, "enforce").collect()}
+    types = lambda *k: [i.type for i in got[k].novelty_issues]
+    assert types("r", 2) == ["duplicate_sentence_skeleton"] and types("r", 3) == ["duplicate_entity_value"] and types("r", 5) == [] and types("r", 6) == ["near_duplicate_sentence"]
+    assert [got["r", i].accepted for i in range(1, 7)] == [True, False, False, False, True, False] and got["q", 1].accepted and len(got["r", 6].nearest) == 2
+    assert [r.accepted for r in guard(rows, "audit").where("run_id = 'r'").orderBy("sequence_no").collect()] == [True, True, True, False, True, True]
+    assert guard(rows.limit(0)).count() == 0
+
+
+def test_guidance(spark):
+    from annolith.plans import guidance
+
+    e = lambda p: [(f"{p}{i}", "t", "r") for i in range(5)]
+    from annolith.sources.files import EXAMPLE
+
+    tax = spark.createDataFrame([("DATE", "d", ["one", "two"], (e("p"), e("n"), e("h"))), ("TIME", "t", [], (e("p"), [], []))], f"code string, definition string, rules array<string>, examples struct<POSITIVE:{EXAMPLE},PURE_NEGATIVE:{EXAMPLE},HARD_NEGATIVE:{EXAMPLE}>")
+    tasks = spark.createDataFrame([("a", ["DATE", "TIME"], "hard_negative"), ("b", ["TIME", "NONE"], "positive")], "task_id string, focus_labels array<string>, sample_type string")
+    got = {r.task_id: r for r in guidance.taxonomy_context(tasks, tax, 3).collect()}
+    ids = [x.id for x in got["a"].context.focus.examples]
+    assert got["a"].context.focus.rule == "one\ntwo" and len(ids) == 3 and ids == sorted(ids) and ids[0].startswith("h") and got["a"].missing == []
+    assert [(o.label, o.examples) for o in got["a"].context.others] == [("TIME", [])] and got["b"].missing == ["NONE"]
+    m = one(spark, guidance.messages("s", x=F.lit(None).cast("string"), r=guidance.reflection(F.array(F.struct(F.lit("t").alias("type"), F.lit("why").alias("reason"))))))
+    assert m[0].content == "s" and m[1].content == '{"x":null,"r":{"mandatory_repairs":["why"],"must_not_repeat":[{"type":"t","reason":"why"}]}}'
+
+
+def test_exchange(spark, tmp_path):
+    import json
+
+    from annolith.sources import exchange
+
+    task = {"task_id": "t", "focus_labels": ["DATE"], "difficulty": "easy", "sample_type": "positive", "max_entities": 2}
+    pack = {"seed_pack_id": "s", "task_id": "t", "sample_type": "positive", "context_frame": {"frame_id": "f"}}
+    lines = [{"task": task, "seed_pack": pack, "attempt_no": 1}, {"task": task | {"difficulty": "odd"}, "seed_pack": pack, "attempt_no": 4}, {"task": {"task_id": "t"}, "attempt_no": 1}]
+    (tmp_path / "r.json").write_text("\n".join(map(json.dumps, lines)) + "\nnot json\n")
+    got = exchange.read_requests(spark, str(tmp_path / "r.json")).collect()
+    assert got[0].errors == [] and got[0].idempotency_key == "t:attempt:1:data-generation"
+    assert got[1].errors == ["unknown difficulty", "attempt_no is not between 1 and max_attempts"] and len(got[2].errors) == 2 and got[3].errors
+
+    def answer(content, **usage):
+        return one(spark, exchange.parse_answer(F.col("a")), a=json.dumps({"choices": [{"message": {"content": json.dumps(content)}}], "usage": usage}))
+
+    r = answer({"tagged_text": ["a ", {"text": "<X>b</X>"}], "entities": [{"label": "X", "value": "b"}, {}]}, prompt_tokens=3, completion_tokens=4)
+    assert (r.tagged_text, [tuple(e) for e in r.entities], r.total_tokens, r.error) == ("a <X>b</X>", [("X", "b"), ("", "")], 7, None)
+    assert answer({"tagged_text": " ", "entities": []}).error == "no tagged_text" and answer({"tagged_text": "x", "entities": 1}).error == "entities is no list"
+    assert one(spark, exchange.parse_answer(F.col("a")), a="{}").error and answer({"tagged_text": "[x] y", "entities": []}).tagged_text == "[x] y"
+    assert [one(spark, exchange.api_style(F.col("u")), u=u) for u in ("https://x.OpenAI.azure.com/v1", "https://api.x.test", "junk")] == ["azure", "openai", "openai"]
+    ok, lost = runs.run(spark, runs.demo(num_samples=10, minimum_per_label=1))
+    assert tuple(exchange.run_summary(ok, lost, 10).first()) == ("COMPLETED", 10, 0, 800, 400) and exchange.result_events(ok).count() == 10
+    flat = flow.accepted_samples(spark.createDataFrame([("a", 2, 0, "ACCEPTED"), ("b", 1, 1, "ACCEPTED"), ("c", 1, 0, "REJECTED")], "task_id string, slot_no int, replacement_no int, status string").withColumn("sequence_no", F.lit(9)), spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "task_id string, x int"))
+    assert [r.x for r in flat.collect()] == [2, 1]
