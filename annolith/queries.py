@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annolith.functions import detect, tags, text
-from annolith.operators import audit, flow, samples
-from annolith.plans import catalog, runs
+from annolith.operators import audit, flow, novelty, samples, verify
+from annolith.plans import catalog, guidance, runs
 from annolith.plans.planner import compatible_frames, plan_tasks
 
 QUERIES: dict = {}
@@ -354,7 +354,7 @@ def imitation_guard(spark, sf_dir):
 @query()
 def seed_values(spark, sf_dir):
     """A value, its variant and format check for every label and customer."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey").crossJoin(F.broadcast(catalog.labels(spark)))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
     rows = rows.withColumn("made", samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label")))
     return rows.select("c_custkey", "label", "made.value", "made.variant", detect.valid_format(F.col("label"), F.col("made.value")).alias("valid"))
 
@@ -381,6 +381,127 @@ def validate_output(spark, sf_dir):
     return samples.validate(rows).select("sequence_no", F.explode_outer("issues").alias("i")).select("sequence_no", "i.type", "i.scope", "i.label", "i.value")
 
 
+@query(_PLAN_SQL + "select cast(seq as int) as sequence_no, unnest(drawn[:budget]) as name from b")
+def plan_constraints(spark, sf_dir):
+    return plan_tasks(spark, runs.demo()).select("sequence_no", F.explode("optional_constraints").alias("name"))
+
+
+@query(_PLAN_SQL + "select k, name, count(*) as n from (select case k when 'p' then 'positive' when 'n' then 'pure_negative' else 'hard_negative' end as k, unnest(drawn[:budget]) as name from b) group by all")
+def constraint_distribution(spark, sf_dir):
+    rows = plan_tasks(spark, runs.demo()).select(F.col("sample_type").alias("k"), F.explode("optional_constraints").alias("name"))
+    return rows.groupBy("k", "name").agg(F.count("*").alias("n"))
+
+
+VARIANTS = {
+    "PERSON": "full_name family_given family_middle_given", "PHONE": "local_compact local_spaced international_spaced", "EMAIL": "dot_local hyphen_local plus_alias",
+    "DATE": "dmy_slash iso_date dmy_hyphen", "ADDRESS": "street apartment building", "GENDER": "default default default", "ZIP_CODE": "default default default",
+}
+
+
+@query("with v(label, names) as (values " + ", ".join(f"('{k}', string_split('{v}', ' '))" for k, v in VARIANTS.items()) + f"""),
+     d as (select label, names[cast({_h("'174'", "'query'", "c_custkey::varchar", "label", "'variant'")} % 3 as int) + 1] as variant from customer, v)
+select label, variant, count(*) as n from d group by all""")
+def format_variant_distribution(spark, sf_dir):
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in VARIANTS))).alias("label"))
+    made = samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label"))
+    return rows.select("label", made["variant"].alias("variant")).groupBy("label", "variant").agg(F.count("*").alias("n"))
+
+
+NUMBERS_SQL = "(select distinct doc_id, unnest(regexp_extract_all(text, '[0-9]+')) as value from documents)"
+
+
+@query(f"""
+select doc_id, value, array_to_string(list_sort(list_filter([case when regexp_full_match(value, '(84|0)[35789][0-9]{{8}}') then 'PHONE' end, case when length(value) in (5, 6) then 'ZIP_CODE' end,
+  case when length(value) between 13 and 19 then 'CARD_NUMBER' end, case when length(value) in (3, 4) then 'CVV' end, case when length(value) in (3, 4) then 'PIN' end], lambda x: x is not null)), ',') as labels from {NUMBERS_SQL}
+""")
+def value_structured_labels(spark, sf_dir):
+    """The labels that each number in a document could stand for."""
+    numbers = table(spark, sf_dir, "documents").select("doc_id", F.explode(F.array_distinct(F.regexp_extract_all("text", F.lit("[0-9]+"), F.lit(0)))).alias("value"))
+    return numbers.select("doc_id", "value", F.array_join(detect.structured_labels(F.col("value")), ",").alias("labels"))
+
+
+FORMATS = {"dmy_slash": ("dd/MM/yyyy", "%d/%m/%Y"), "dmy_hyphen": ("dd-MM-yyyy", "%d-%m-%Y"), "iso": ("yyyy-MM-dd", "%Y-%m-%d"), "mdy_slash": ("MM/dd/yyyy", "%m/%d/%Y"), "dots": ("dd.MM.yyyy", "%d.%m.%Y")}
+
+
+@query(" union all ".join(
+    f"select o_orderkey, '{k}' as form, {'day(o_orderdate) <= 12' if k == 'mdy_slash' else str(k != 'dots').lower()} as valid from orders" for k in FORMATS))
+def seed_format_checks(spark, sf_dir):
+    """Whether order dates, written in five ways, have the format of DATE values."""
+    forms = F.array(*(F.struct(F.lit(k).alias("form"), F.date_format("o_orderdate", v[0]).alias("value")) for k, v in FORMATS.items()))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(forms).alias("f"))
+    return rows.select("o_orderkey", "f.form", detect.valid_format(F.lit("DATE"), F.col("f.value")).alias("valid"))
+
+
+@query(rf"""
+with e as (select doc_id, regexp_replace(text, '</?[A-Za-z][A-Za-z0-9_]*>', '', 'g') as t, regexp_extract(text, {EMAIL_SQL}) as v from documents where regexp_matches(text, {EMAIL_SQL})),
+     p as (select doc_id, v, string_split(t, v) as parts from e), i as (select *, unnest(range(1, len(parts))) as i from p)
+select doc_id, v as value, cast(i as int) as i, regexp_replace(regexp_extract(list_reduce(parts[:i], lambda a, b: a || v || b), '[^.!?;\n]*$') || v || regexp_extract(list_reduce(parts[i + 1:], lambda a, b: a || v || b), '^[^.!?;\n]*[.!?;\n]?'), '^[ \t\n\x0B\f\r]+|[ \t\n\x0B\f\r]+$', '', 'g') as context from i
+""")
+def decoy_contexts(spark, sf_dir):
+    """The sentence around each occurrence of a document's first e-mail address."""
+    rows = table(spark, sf_dir, "documents").where(F.col("text").rlike(detect.DETECTORS["EMAIL"])).withColumn("value", F.regexp_extract("text", detect.DETECTORS["EMAIL"], 0))
+    return rows.select("doc_id", "value", F.posexplode(tags.occurrence_contexts(F.col("text"), F.col("value"))).alias("at", "context")).select("doc_id", "value", (F.col("at") + 1).alias("i"), "context")
+
+
+@query("""
+with t as (select o_orderkey as task, o_custkey as slot_no, cast(row_number() over (partition by o_custkey order by o_orderkey) - 1 as int) as replacement_no, o_orderstatus from orders),
+     s as (select l_orderkey as task, count(*) as n from lineitem group by l_orderkey)
+select task, slot_no, replacement_no, n from t join s using (task) where o_orderstatus = 'F'
+""")
+def accepted_samples_ordered(spark, sf_dir):
+    """Orders as tasks, customers as slots, lines as samples: those of accepted tasks, by slot and replacement."""
+    number = F.row_number().over(Window.partitionBy("o_custkey").orderBy("o_orderkey")) - 1
+    status = F.when(F.col("o_orderstatus") == "F", "ACCEPTED").otherwise("CREATED")
+    tasks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"), F.col("o_custkey").alias("slot_no"), F.col("o_orderkey").alias("sequence_no"), number.alias("replacement_no"), status.alias("status"))
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("task_id")).agg(F.count("*").alias("n"))
+    return flow.accepted_samples(tasks, lines).select(F.col("task_id").alias("task"), "slot_no", "replacement_no", "n")
+
+
+@query("""
+select event_id, case event_id % 5 when 0 then 'PASS' when 1 then 'REGENERATE' when 2 then 'REJECTED' else case when event_id % 7 = 0 then 'REGENERATE' when event_id % 3 = 0 then 'FIXED' when event_id % 3 = 1 then 'REJECTED' else 'REGENERATE' end end as outcome,
+       case when event_id % 5 < 3 then 1 when event_id % 7 = 0 then 2 else 3 end as calls from events
+""")
+def verification_outcomes(spark, sf_dir):
+    """Judged path of one candidate an event, by stand-in models that decide by its number."""
+    from annolith.shared import cut
+
+    word = lambda xs, n: F.element_at(F.array(*(F.lit(x) for x in xs)), (F.col("event_id") % n + 1).cast("int"))
+    none = F.array().cast(f"array<{verify.ISSUE}>")
+    seed = F.struct(F.lit("TIME").alias("label"), F.date_format("ts", "HH:mm").alias("value"))
+    rows = table(spark, sf_dir, "events").select(
+        "event_id", F.lit("positive").alias("sample_type"), F.array(F.lit("TIME")).alias("focus_labels"), F.lit(2).alias("max_entities"),
+        F.array(F.struct(seed["label"].alias("label"), seed["value"].alias("value"), F.lit("24h").alias("variant"))).alias("positives"),
+        F.array().cast("array<struct<strategy_id:string,label:string,value:string,required:array<string>,forbidden:array<string>>>").alias("decoys"),
+        F.concat(F.lit("Lúc <TIME>"), seed["value"], F.lit("</TIME>.")).alias("tagged_text"), F.array(seed).alias("entities"))
+
+    def judge(df):
+        status = word(["PASS", "REGENERATE", "REJECTED", "FIXABLE", "FIXABLE"], 5) if "origin" not in df.columns else word(["PASS", "REJECTED", "FIXABLE"], 3)
+        return df.withColumn("verdict", F.struct(status.alias("status"), none.alias("issues")))
+
+    def repair(df):
+        return df.withColumn("tagged_text", F.when(F.col("event_id") % 7 == 0, "Lúc này.").otherwise(F.concat("tagged_text", F.lit(" Sửa."))))
+
+    out = verify.verify(rows, judge, repair, samples.validate, cut)
+    return out.select("event_id", "outcome", F.size("stages").alias("calls"))
+
+
+@query()
+def novelty_guard(spark, sf_dir):
+    """Conversation turns against those accepted before in their conversation; none is accepted twice."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", tags.skeleton(F.col("text")).alias("skeleton"), F.array().cast("array<struct<label:string,value:string>>").alias("entities"), F.lit(True).alias("valid"))
+    out = novelty.guard(rows, "enforce", "conv_id", "turn")
+    return out.select("conv_id", "turn", F.round("max_similarity", 6).alias("max_similarity"), F.size("nearest").alias("n_nearest"), F.array_join(F.transform("novelty_issues", lambda i: i["type"]), ",").alias("issues"), "accepted")
+
+
+@query("""
+select conv_id, turn, '{"role":' || to_json(role) || ',"length":' || length(text) || '}' as content from conversations where text is not null
+""")
+def message_envelopes(spark, sf_dir):
+    rows = table(spark, sf_dir, "conversations").where("text is not null")
+    made = guidance.messages("system", role=F.col("role"), length=F.length("text"))
+    return rows.select("conv_id", "turn", made[1]["content"].alias("content"))
+
+
 @query()
 def audit_report(spark, sf_dir):
     accepted, _ = runs.run(spark, runs.demo(num_samples=400))
