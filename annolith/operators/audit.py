@@ -43,7 +43,9 @@ def reused_values(entities: DataFrame, run: str, order: str, window: int = GUARD
 def imitation(rows: DataFrame, text_col: str, examples_col: str) -> DataFrame:
     """rows (key..., text, examples array<string>) with closest, sequence, ngram, imitates: against each row's few examples."""
     keys = [c for c in rows.columns if c not in (text_col, examples_col)]
-    each = rows.select(*keys, T.imitation_form(text_col).alias("a"), F.posexplode(examples_col).alias("at", "example")).withColumn("b", T.imitation_form("example"))
+    # dealt by the keys before the comparisons, so that few large files still use all cores; the grouping below keeps the partitioning
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    each = rows.repartition(n, *keys).select(*keys, T.imitation_form(text_col).alias("a"), F.posexplode(examples_col).alias("at", "example")).withColumn("b", T.imitation_form("example"))
     tokens = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
     each = each.withColumns({"sequence": T.sequence_ratio("a", "b"), "ngram": T.ngram_jaccard(tokens(F.col("a")), tokens(F.col("b")))})
     best = F.max_by(F.struct("at", "sequence", "ngram"), F.struct(F.greatest("sequence", "ngram"), -F.col("at"))).alias("best")

@@ -147,9 +147,9 @@ def ngram_jaccard_benchmark(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", token(F.col("text")).alias("a"), F.explode(F.array(*(F.lit(j) for j in range(3)))).alias("j"))
     pairs = docs.withColumn("i", F.pmod(F.col("doc_id") + F.col("j"), F.lit(n))).join(items, "i")
     width = F.when(F.least(F.size("a"), F.size("b")) < 8, 2).otherwise(3)
-    x, y = text.ngrams(F.col("a"), width), text.ngrams(F.col("b"), width)
-    common = F.size(F.array_intersect(x, y)).cast("long")
-    return pairs.select("doc_id", "item_id", common.alias("common"), (F.size(x) + F.size(y) - common).cast("long").alias("total"))
+    pairs = pairs.select("doc_id", "item_id", text.ngrams(F.col("a"), width).alias("x"), text.ngrams(F.col("b"), width).alias("y"))
+    pairs = pairs.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long"))
+    return pairs.select("doc_id", "item_id", "common", (F.size("x") + F.size("y") - F.col("common")).cast("long").alias("total"))
 
 
 def _h(*key: str) -> str:
