@@ -320,3 +320,22 @@ def test_exchange(spark, tmp_path):
     assert tuple(exchange.run_summary(ok, lost, 10).first()) == ("COMPLETED", 10, 0, 800, 400) and exchange.result_events(ok).count() == 10
     flat = flow.accepted_samples(spark.createDataFrame([("a", 2, 0, "ACCEPTED"), ("b", 1, 1, "ACCEPTED"), ("c", 1, 0, "REJECTED")], "task_id string, slot_no int, replacement_no int, status string").withColumn("sequence_no", F.lit(9)), spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "task_id string, x int"))
     assert [r.x for r in flat.collect()] == [2, 1]
+
+
+def test_near_duplicates_equal_brute_force(spark):
+    import difflib
+    import random
+
+    r = random.Random(3)
+    texts = ["".join(r.choice("ab ") for _ in range(r.randrange(3, 12))) for _ in range(40)]
+    rows = spark.createDataFrame([("r", i, t) for i, t in enumerate(texts)], "run string, n int, t string")
+    got = {x.n: x.near_duplicate for x in audit.near_duplicates(rows, "run", "n", "t", 0.8, 5).collect()}
+    close = lambda i: any(p != texts[i] and difflib.SequenceMatcher(None, p, texts[i]).ratio() >= 0.8 for p in texts[max(0, i - 5) : i])
+    want = {i: close(i) for i in range(40)}
+    assert got == want and any(want.values()) and not all(want.values())
+
+
+def test_imitation(spark):
+    rows = spark.createDataFrame([(1, "Hẹn <DATE>1/2/2020</DATE> ở quán", ["khác hẳn hoàn toàn", "Hẹn <DATE>3/4/2021</DATE> ở quán"]), (2, "xyz", ["Hẹn gặp ở quán"]), (3, "a b c", ["a b c", "a b c"])], "k int, t string, e array<string>")
+    got = {x.k: x for x in audit.imitation(rows, "t", "e").collect()}
+    assert got[1].imitates and got[1].closest == 1 and got[1].sequence == 1.0 and not got[2].imitates and got[3].closest == 0
