@@ -1,7 +1,7 @@
 """Toxicity by weak supervision.
 
-1. Lexicon: words that toxic labelled texts hold far more often than clean ones, dealt into LEXICON_VOTERS voters; pattern
-   voters look at shouting, exclamation, insults per word and the like. Every voter fires or not, so a text's votes are
+1. Lexicon: every word that toxic labelled texts hold far more often than clean ones; all of them are features of the
+   classifier, and for the label model they are dealt into LEXICON_VOTERS voters. Pattern voters look at shouting, exclamation, insults per word and the like. Every voter fires or not, so a text's votes are
    one of 2^VOTERS masks; masks are counted over all texts by grouped aggregation.
 2. Label model: a latent class (toxic or not) generates the votes along a tree of the strongest conditional correlations
    between voters. EM over the mask counts, with the labelled training rows' masks clamped, estimates the class balance,
@@ -22,8 +22,12 @@ from annolith.llm.jaccard_join import BASE, LOWER, _mix, _power
 
 #: Labelled texts that voters and classifier are fitted on, at most; drawn by a hash over all labelled rows.
 FIT_ROWS = 10_000
-LEXICON, LEXICON_VOTERS, PATTERN_VOTERS = 60, 10, 6
+LEXICON_VOTERS, PATTERN_VOTERS = 10, 6
+#: Toxic labelled texts that hold a word of the lexicon, at least.
+SUPPORT = 3
 VOTERS = LEXICON_VOTERS + PATTERN_VOTERS
+#: Features besides words: the constant, three densities, the patterns.
+DENSE = 4 + PATTERN_VOTERS
 WORD = np.array([48 <= i <= 57 or 65 <= i <= 90 or 97 <= i <= 122 or i >= 128 for i in range(256)])
 UPPER = np.array([65 <= i <= 90 for i in range(256)])
 CHUNK = 1 << 19
@@ -88,26 +92,25 @@ class Voters:
         order = np.argsort(words)
         self.words, self.voter = words[order], voter[order]
 
-    def features(self, h: np.ndarray, at: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Vote masks and the classifier's features of each row."""
+    def features(self, h: np.ndarray, at: np.ndarray, marks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Vote masks, the classifier's dense features of each row, and (row, lexicon word) of each word that a row holds."""
         rows = len(at) - 1
         n = np.diff(at)
-        hits = np.zeros((rows, len(self.words)))
+        row = word = np.zeros(0, np.int64)
         if len(self.words) and len(h):
             i = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
             where = np.flatnonzero(self.words[i] == h)
-            row = np.searchsorted(at, where, "right") - 1
-            np.add.at(hits, (row, i[where]), 1)
-        all_ = hits.sum(axis=1)
+            row, word = np.searchsorted(at, where, "right") - 1, i[where]
+        all_ = np.bincount(row, minlength=rows).astype(np.float64)
         bang, upper, ink, digit = (marks[:, i] for i in range(4))
         patterns = [bang >= 3, upper * 2 > ink, all_ >= 2, all_ * 200 >= np.maximum(n, 1), n < 8, digit * 5 > ink]
         votes = np.zeros((rows, VOTERS), bool)
-        for v in range(LEXICON_VOTERS):
-            votes[:, v] = (hits[:, self.voter == v] > 0).any(axis=1) if (self.voter == v).any() else False
+        votes[row, self.voter[word]] = True
         votes[:, LEXICON_VOTERS:] = np.stack(patterns, axis=1)
         mask = (votes << np.arange(VOTERS)).sum(axis=1)
-        dense = np.stack([np.log1p(all_), np.log1p(100 * all_ / np.maximum(n, 1)), np.log1p(n) / 10], axis=1)
-        return mask, np.concatenate([np.ones((rows, 1)), hits > 0, dense, votes[:, LEXICON_VOTERS:]], axis=1).astype(np.float64)
+        dense = np.stack([np.ones(rows), np.log1p(all_), np.log1p(100 * all_ / np.maximum(n, 1)), np.log1p(n) / 10], axis=1)
+        own = np.unique(row * max(len(self.words), 1) + word)
+        return mask, np.concatenate([dense, votes[:, LEXICON_VOTERS:]], axis=1).astype(np.float64), own // max(len(self.words), 1), own % max(len(self.words), 1)
 
 
 def find_voters(sample: list[tuple[int, np.ndarray]]) -> Voters:
@@ -121,9 +124,8 @@ def find_voters(sample: list[tuple[int, np.ndarray]]) -> Voters:
     bad, all_ = np.bincount(index, of), np.bincount(index)
     clean = all_ - bad
     odds = np.log((bad + 0.5) / (y.sum() - bad + 0.5)) - np.log((clean + 0.5) / (len(y) - y.sum() - clean + 0.5))
-    least = max(3, 0.01 * y.sum())
-    good = np.flatnonzero((bad >= least) & ((bad - np.sqrt(bad)) / np.maximum(all_, 1) >= 0.5))
-    best = good[np.lexsort((vocabulary[good], -bad[good] * np.maximum(odds[good], 0)))][:LEXICON]
+    good = np.flatnonzero((bad >= SUPPORT) & ((bad - np.sqrt(bad)) / np.maximum(all_, 1) >= 0.5))
+    best = good[np.lexsort((vocabulary[good], -bad[good] * np.maximum(odds[good], 0)))]
     return Voters(vocabulary[best], np.arange(len(best)) % LEXICON_VOTERS)
 
 
@@ -229,7 +231,9 @@ def _scores(voters, weights):
         for batch in batches:
             score = np.zeros(batch.num_rows)
             for a, b, h, at, marks in text_words(*utf8(batch.column(1))):
-                score[a:b] = 1 / (1 + np.exp(-np.clip(voters.value.features(h, at, marks)[1] @ weights.value, -30, 30)))
+                _, dense, row, word = voters.value.features(h, at, marks)
+                total = dense @ weights.value[: dense.shape[1]] + np.bincount(row, weights.value[dense.shape[1] + word], b - a)
+                score[a:b] = 1 / (1 + np.exp(-np.clip(total, -30, 30)))
             yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), pa.array(score)], schema=out)
 
     return run
@@ -245,11 +249,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     voters = find_voters(sample)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(voters)
-    known = texts.mapInArrow(lean(_known(sent)), "toxic int, mask int, x array<double>").toArrow()
+    known = texts.mapInArrow(lean(_known(sent)), "toxic int, mask int, dense array<double>, words array<int>").toArrow()
     toxic, mask = np.array(known.column(0).to_pylist(), np.int64), np.array(known.column(1).to_pylist(), np.int64)
     if not len(toxic):
-        return voters, None, np.concatenate(([-2.0], np.zeros(len(voters.words) + 3 + PATTERN_VOTERS)))
-    x = np.array(known.column(2).to_pylist())
+        return voters, None, np.concatenate(([-2.0], np.zeros(DENSE - 1 + len(voters.words))))
+    dense = known.column(2).combine_chunks().flatten().to_numpy().reshape(len(toxic), DENSE)
+    x = np.concatenate([dense, np.zeros((len(toxic), len(voters.words)))], axis=1)
+    words = known.column(3).combine_chunks()
+    x[np.repeat(np.arange(len(toxic)), words.value_lengths().to_numpy()), DENSE + words.flatten().to_numpy()] = 1
     counted = docs.select(text_col).mapInArrow(lean(_masks(sent)), "mask int, n long").groupBy("mask").agg(F.sum("n").alias("n")).toPandas()
     masks = np.union1d(counted["mask"].to_numpy(np.int64), mask)
     counts = np.zeros(len(masks), np.int64)
@@ -261,14 +268,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
 
 def _known(voters):
-    out = pa.schema([("toxic", pa.int32()), ("mask", pa.int32()), ("x", pa.list_(pa.float64()))])
+    out = pa.schema([("toxic", pa.int32()), ("mask", pa.int32()), ("dense", pa.list_(pa.float64())), ("words", pa.list_(pa.int32()))])
 
     def run(batches):
         for batch in batches:
             toxic = batch.column(0).to_pylist()
             for a, b, h, at, marks in text_words(*utf8(batch.column(1))):
-                mask, x = voters.value.features(h, at, marks)
-                yield arrow_batch(out, toxic=toxic[a:b], mask=mask, x=list(x))
+                mask, dense, row, word = voters.value.features(h, at, marks)
+                yield arrow_batch(out, toxic=toxic[a:b], mask=mask, dense=list(dense), words=np.split(word, np.searchsorted(row, np.arange(1, b - a))))
 
     return run
 

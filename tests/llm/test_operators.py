@@ -260,3 +260,13 @@ def test_pipeline_stages(spark, tmp_path):
     assert seen[0] - seen[1] == {104, *range(200, 240)}
     assert seen[1] - seen[2] == {100, 101} and None in seen[2]
     assert {x.doc_id for x in corpus_pipeline.run(spark, str(tmp_path)).collect()} == seen[2]
+
+
+def test_toxicity_lexicon_holds_every_word_that_passes():
+    """80 words, the last 20 of them in 4 of 400 toxic texts only, are all features; a word of two texts is none."""
+    words = [toxicity.word_hash(f"bad{i}") for i in range(80)]
+    times = [5] * 60 + [4] * 20
+    toxic = [w for w, n in zip(words, times, strict=True) for _ in range(n)]
+    toxic += [toxicity.word_hash("twice")] * 2 + [toxicity.word_hash(f"once{i}") for i in range(400 - len(toxic) - 2)]
+    sample = [(1, np.array([w], np.uint64)) for w in toxic] + [(0, np.array([toxicity.word_hash(f"good{i}")], np.uint64)) for i in range(400)]
+    assert sorted(toxicity.find_voters(sample).words.tolist()) == sorted(words)
