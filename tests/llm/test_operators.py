@@ -270,3 +270,28 @@ def test_toxicity_lexicon_holds_every_word_that_passes():
     toxic += [toxicity.word_hash("twice")] * 2 + [toxicity.word_hash(f"once{i}") for i in range(400 - len(toxic) - 2)]
     sample = [(1, np.array([w], np.uint64)) for w in toxic] + [(0, np.array([toxicity.word_hash(f"good{i}")], np.uint64)) for i in range(400)]
     assert sorted(toxicity.find_voters(sample).words.tolist()) == sorted(words)
+
+
+def test_audio_alignment_equals_brute_force(spark):
+    """Noisy copies without two equal integers at one offset, a motif at too short an overlap, prints of all lengths."""
+    r = np.random.default_rng(6)
+    noisy = lambda x, share: x ^ np.packbits(r.random((len(x), 32)) < share, axis=1).view("<u4")[:, 0]
+    p = {i: r.integers(0, 1 << 32, n, np.uint32) for i, n in ((0, 56), (20, 40), (40, 16), (60, 15), (80, 130), (100, 0), (120, 60))}
+    for i, (of, a, b, share) in enumerate([(0, 0, 56, 0.15), (0, 10, 56, 0.2), (0, 30, 56, 0.23), (20, 0, 40, 0.22), (40, 0, 16, 0.1), (80, 50, 130, 0.2), (80, 0, 40, 0.24), (60, 0, 15, 0.0)]):
+        p[201 + i] = noisy(p[of][a:b], share)
+    p[301] = np.concatenate([p[120][50:], r.integers(0, 1 << 32, 4, np.uint32), noisy(p[120][14:], 0.1)])  # ten exact windows at an overlap of ten
+    p[401] = p[80].copy()
+    got = {(x.query_id, x.match_class): (x.offset, x.hits, x.bit_errors, x.bits) for x in audio_prints.align(spark.createDataFrame([(i, x.astype("<u4").tobytes()) for i, x in p.items()], "id long, print binary"), F.col("id") % 20 == 0).collect()}
+    want = {}
+    for q, c in itertools.product([i for i in p if i % 20 == 0], [i for i in p if i != 401]):
+        x, y, best = p[q], p[c], []
+        for o in range(-len(x), len(y)):
+            a, b = max(0, -o), min(len(x), len(y) - o)
+            errors, bits = audio_prints.bit_errors(x, y, o)
+            if q != c and b - a >= 16 and errors <= 0.25 * bits:
+                hits = int((x[a:b] == y[a + o : b + o]).sum())
+                best.append(((-hits, errors / bits, abs(o), o), (o, hits, errors, bits)))
+        if best:
+            want[q, c] = min(best)[1]
+    assert {k: v for k, v in got.items() if k[1] is not None} == want
+    assert {(0, 201), (0, 202), (0, 203), (20, 204), (40, 205), (80, 206), (80, 207), (120, 301)} <= set(want)
