@@ -1,16 +1,22 @@
-"""SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a one-pass Viterbi search.
-
-For every position the automaton gives the pieces that end there, longest first (the state's own piece, then those along
-its output links); each relaxes the best score of a segmentation that ends at the position. Of equal scores the longest
-last piece wins. A character that no piece covers becomes its UTF-8 bytes' pieces. Text is taken as it is, with one space
-put before it (the model's dummy prefix), spaces stand for U+2581, and a literal U+2581 is encoded as bytes, so decoding gives every
-text back. Since no piece holds a space after another character, each run of spaces with what follows it is
-searched once per batch of documents and kept by the worker (KEPT at most, then it starts anew).
+"""SentencePiece encoding and decoding, by the rule of the model's kind.
+
+A BPE model's ids come of its merges: of the neighbours that make a piece together those of the best score join first, the
+leftmost of equal ones, until none is left. The best sum of scores, which is a unigram model's rule, gives other ids there.
+
+Viterbi: an Aho-Corasick automaton over the pieces drives a one-pass search. For every position it gives the pieces that end
+there, longest first (the state's own piece, then those along its output links); each relaxes the best score of a
+segmentation that ends at the position. Of equal scores the longest last piece wins.
+
+By both rules a character that no piece covers becomes its UTF-8 bytes' pieces. Text is taken as it is, with one space put
+before it (the model's dummy prefix), spaces stand for U+2581, and a literal U+2581 is encoded as bytes, so decoding gives
+every text back. Since no piece holds a space after another character, each run of spaces with what follows it is encoded
+once per batch of documents and kept by the worker (KEPT at most, then it starts anew).
 """
 
 from __future__ import annotations
 
 import zlib
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -23,16 +29,23 @@ KEPT = 250_000
 CHUNK = 4 << 20
 SPACE = "▁"
 
-_codecs: dict[str, "PieceCodec"] = {}
+BPE = 2  # model_type of the trainer
+
+_codecs: dict[tuple[str, bool], "PieceCodec"] = {}
 
 
 class PieceCodec:
-    def __init__(self, path: str):
+    def __init__(self, path: str, viterbi: bool = True):
+        """viterbi: search the best sum of scores whatever the model's kind."""
         import ahocorasick
         import sentencepiece
+        from sentencepiece import sentencepiece_model_pb2
 
+        with open(path, "rb") as f:
+            self.merges = not viterbi and sentencepiece_model_pb2.ModelProto.FromString(f.read()).trainer_spec.model_type == BPE
         model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.automaton = ahocorasick.Automaton()
+        self.pieces: dict[str, tuple[float, int]] = {}
         self.bytes = np.zeros(256, np.int64)
         self.plain: list[bytes] = []
         least = 0.0
@@ -49,6 +62,7 @@ class PieceCodec:
                 least = min(least, score)
                 self.inner_space |= SPACE in piece.lstrip(SPACE)
                 self.automaton.add_word(piece, (len(piece), i, score))
+                self.pieces[piece] = (-score, i)
                 self.plain.append(piece.replace(SPACE, " ").encode())
         self.automaton.make_automaton()
         self.unknown = least - 10.0
@@ -89,6 +103,30 @@ class PieceCodec:
             at -= size
         return out[::-1]
 
+    def merge(self, text: str) -> list[int]:
+        """Ids by merges of a text whose prefix is already there."""
+        marked = text.replace(SPACE, "￿").replace(" ", SPACE)
+        n, pieces = len(marked), self.pieces
+        end, before = list(range(1, n + 1)), list(range(-1, n))  # of the symbol that starts at a place; end 0: none does
+        heap = [(pieces[marked[i : i + 2]][0], i, i + 1, i + 2) for i in range(n - 1) if marked[i : i + 2] in pieces]
+        heapify(heap)
+        while heap:
+            _, a, b, c = heappop(heap)
+            if end[a] != b or end[b] != c:  # one of the two has merged since
+                continue
+            end[a], end[b], before[c] = c, 0, a
+            if c < n and marked[a : end[c]] in pieces:
+                heappush(heap, (pieces[marked[a : end[c]]][0], a, c, end[c]))
+            if a and marked[before[a] : c] in pieces:
+                heappush(heap, (pieces[marked[before[a] : c]][0], before[a], a, c))
+        out: list[int] = []
+        at = 0
+        while at < n:
+            found = pieces.get(marked[at : end[at]])
+            out += [found[1]] if found else [int(self.bytes[b]) for b in text[at].encode("utf-8", "surrogatepass")]
+            at = end[at]
+        return out
+
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """For ranges of rows: (first row, one past the last, all their ids, offsets of each row's ids)."""
         for a, b in runs(offsets, CHUNK):
@@ -121,13 +159,14 @@ class PieceCodec:
     def _values(self, distinct: list[bytes]) -> list[bytes]:
         if len(self.kept) > KEPT:
             self.kept = {}
+        find = self.merge if self.merges else self.search
         for x in distinct:
             if x not in self.kept:
-                self.kept[x] = np.array(self.search(x.decode("utf-8")), "<u4").tobytes()
+                self.kept[x] = np.array(find(x.decode("utf-8")), "<u4").tobytes()
         return [self.kept[x] for x in distinct]
 
     def encode_text(self, text: str) -> list[int]:
-        return self.search(" " + text) if text else []
+        return (self.merge if self.merges else self.search)(" " + text) if text else []
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of a row's ids; the space that encoding put first is taken off."""
@@ -137,11 +176,11 @@ class PieceCodec:
         return text[1:] if text[:1] == b" " else text
 
 
-def codec(path: str) -> PieceCodec:
+def codec(path: str, viterbi: bool) -> PieceCodec:
     """The worker's codec for a model file."""
-    if path not in _codecs:
-        _codecs[path] = PieceCodec(path)
-    return _codecs[path]
+    if (path, viterbi) not in _codecs:
+        _codecs[path, viterbi] = PieceCodec(path, viterbi)
+    return _codecs[path, viterbi]
 
 
 def forget() -> None:
@@ -150,11 +189,11 @@ def forget() -> None:
         x.kept = {}
 
 
-def _run(path: str):
+def _run(path: str, viterbi: bool):
     out = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("text", pa.string())])
 
     def run(batches):
-        own = codec(path)
+        own = codec(path, viterbi)
         for batch in batches:
             docs = batch.column(0)
             for a, b, ids, at in own.encode(*utf8(batch.column(1))):
@@ -165,16 +204,18 @@ def _run(path: str):
     return run
 
 
-def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, ids array<int>, text decoded from them) of each row's whole text; a null or empty text has no ids."""
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_run(path), forget), "doc_id long, ids array<int>, text string")
+def encode_pieces(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text", viterbi: bool = True) -> DataFrame:
+    """(doc_id, ids array<int>, text decoded from them) of each row's whole text; a null or empty text has no ids.
+
+    The ids are those of the best sum of scores, or with viterbi=False the model's own."""
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_run(path, viterbi), forget), "doc_id long, ids array<int>, text string")
 
 
 def _digest(path: str):
     out = pa.schema([("doc_id", pa.int64()), ("n_pieces", pa.int64()), ("ids_crc32", pa.int64()), ("round_trip", pa.bool_())])
 
     def run(batches):
-        own = codec(path)
+        own = codec(path, False)
         for batch in batches:
             docs = batch.column(0).to_pylist()
             data, offsets = utf8(batch.column(1))
@@ -187,5 +228,7 @@ def _digest(path: str):
 
 
 def piece_digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, n_pieces, ids_crc32 of the little-endian unsigned 32-bit ids, round_trip: whether decoding gives the text back)."""
+    """(doc_id, n_pieces, ids_crc32 of the little-endian unsigned 32-bit ids, round_trip: whether decoding gives the text back).
+
+    The ids are the model's own, as the library gives them."""
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_digest(path), forget), "doc_id long, n_pieces long, ids_crc32 long, round_trip boolean")

@@ -295,3 +295,16 @@ def test_audio_alignment_equals_brute_force(spark):
             want[q, c] = min(best)[1]
     assert {k: v for k, v in got.items() if k[1] is not None} == want
     assert {(0, 201), (0, 202), (0, 203), (20, 204), (40, 205), (80, 206), (80, 207), (120, 301)} <= set(want)
+
+
+def test_piece_digests_equal_library(spark):
+    """The ids are the library's own; the model's normaliser is the identity with a space put first."""
+    import sentencepiece
+
+    library, r = sentencepiece.SentencePieceProcessor(model_file=PIECE), random.Random(9)
+    texts = [x or "" for x in ODD if "▁" not in (x or "")] + ["Elle a les yeux bleus", "The quick brown, fox's   !!", "x" * 3000, "  lead", "tail  "]
+    texts += ["".join(r.choice("  \n\t.,'-aeinrstlABÉéßñ日本1!") for _ in range(120)) for _ in range(200)]
+    got = {x.doc_id: x for x in piece_codec.piece_digests(docs(spark, texts), PIECE).collect()}
+    ids = [library.encode(t) for t in texts]
+    assert [(got[i].n_pieces, got[i].ids_crc32, got[i].round_trip) for i in range(len(texts))] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes()), True) for x in ids]
+    assert [x.ids for x in piece_codec.encode_pieces(docs(spark, texts), PIECE, viterbi=False).orderBy("doc_id").collect()] == ids
