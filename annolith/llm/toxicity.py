@@ -75,14 +75,13 @@ def _training(batches):
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, fit_rows: int) -> DataFrame:
-    """(toxic, text) of labelled rows outside the held-out fold, one for each opening, fit_rows at most."""
+    """(toxic, text) of labelled rows outside the held-out fold, fit_rows at most; equal texts of one label count once."""
     own = labels.where(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull() & ~is_held_out(F.col(id_col))).groupBy(F.col(id_col).alias("fit_id")).agg(F.max(label_col).cast("int").alias("toxic"))
     share = fit_rows / max(own.count(), fit_rows)
     if share < 1:
         own = own.where(F.pmod(F.xxhash64("fit_id"), F.lit(1_000_000)) < int(share * 1_000_000))
     rows = docs.select(F.col(id_col).alias("fit_id"), F.col(text_col).alias("text")).join(F.broadcast(own), "fit_id")
-    first = F.min_by(F.struct("toxic", "text"), F.struct(F.xxhash64("text"), "toxic")).alias("r")
-    return cut(rows.where("text is not null").groupBy(F.substring("text", 1, 60).alias("opening")).agg(first).select("r.toxic", "r.text"), "sample")
+    return cut(rows.where("text is not null").select("toxic", "text").distinct(), "sample")
 
 
 class Voters:

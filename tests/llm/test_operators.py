@@ -308,3 +308,12 @@ def test_piece_digests_equal_library(spark):
     ids = [library.encode(t) for t in texts]
     assert [(got[i].n_pieces, got[i].ids_crc32, got[i].round_trip) for i in range(len(texts))] == [(len(x), zlib.crc32(np.array(x, "<u4").tobytes()), True) for x in ids]
     assert [x.ids for x in piece_codec.encode_pieces(docs(spark, texts), PIECE, viterbi=False).orderBy("doc_id").collect()] == ids
+
+
+def test_training_sample_tells_texts_of_one_header_apart(spark):
+    header = "All texts of this source begin with the same words of a header: "
+    rows = [(i, header + f"text {i}") for i in range(1, 60)] + [(60, "copy"), (61, "copy"), (62, "copy"), (63, None)]
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    d, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    got = sorted((x.toxic, x.text) for x in toxicity.training_sample(d, lab, "doc_id", "text", "toxic", 1000).collect())
+    assert got == sorted({(int(i % 3 == 0), t) for i, t in rows if t and not held(i)})
