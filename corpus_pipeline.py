@@ -53,16 +53,20 @@ def toxic_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group that links of five-word shingles, similarity 0.8 or more, hold together: the smallest id.
 
-    Of rows with one id one stays; rows without id stay."""
-    classes = jaccard_classes(docs, words=5, num=8, den=10)
-    ids = classes.where("doc_id is not null")
-    dropped = _checked(ids.where("doc_id <> component_id").select(F.col("doc_id").alias("drop_id")).distinct())
-    kept = docs.join(dropped, F.col("doc_id") == F.col("drop_id"), "left_anti")
-    rows, distinct = ids.agg(F.count("*"), F.count_distinct("doc_id")).first()
-    if rows == distinct:
+    Every distinct id and text is a node of its own, with or without id; a row without id stays only where its group has none
+    with one. Of rows of equal id and text one stays; a text without shingles links with nothing."""
+    classes = jaccard_classes(docs.select(_key().alias("key"), "text"), id_col="key", words=5, num=8, den=10).where("n_shingles > 0")
+    linked = cut(classes.where("key <> component_id").select("key", "component_id").distinct(), "linked")
+    members = _checked(linked.union(linked.select(F.col("component_id").alias("key"), "component_id")).distinct())
+    named = docs.select(_key().alias("key"), "doc_id").join(members, "key")
+    first = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first"))
+    dropped = members.join(_checked(first.select("component_id", F.col("first.key").alias("first"))), "component_id").where("key <> first")
+    kept = _without(docs, dropped.select(F.col("key").alias("reject_key")))
+    again = _checked(classes.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select(F.col("key").alias("again")))
+    if again.isEmpty():
         return kept
-    named = kept.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*kept.columns), F.xxhash64("text")).alias("r")).select("r.*")
-    return named.unionByName(kept.where("doc_id is null"))
+    once = kept.join(again, _key() == F.col("again"), "left_semi").groupBy(_key().alias("key")).agg(F.min_by(F.struct(*kept.columns), F.xxhash64(*kept.columns)).alias("r"))
+    return once.select("r.*").unionByName(kept.join(again, _key() == F.col("again"), "left_anti"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

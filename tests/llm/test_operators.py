@@ -317,3 +317,15 @@ def test_training_sample_tells_texts_of_one_header_apart(spark):
     d, lab = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int")
     got = sorted((x.toxic, x.text) for x in toxicity.training_sample(d, lab, "doc_id", "text", "toxic", 1000).collect())
     assert got == sorted({(int(i % 3 == 0), t) for i, t in rows if t and not held(i)})
+
+
+def test_near_duplicates_drop_only_texts_that_link(spark):
+    import corpus_pipeline
+
+    r = random.Random(11)
+    a, b, c, d = (" ".join(f"w{r.randrange(5000)}" for _ in range(60)) for _ in range(4))
+    rows = [(1, a), (1, b), (2, a), (3, b + " more"), (None, c), (None, c), (None, c + " more"), (4, d), (4, d), (None, d), (5, ""), (5, ""), (None, None)]
+    frame = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(x.doc_id, x.text) for x in corpus_pipeline.near_duplicates(spark, frame, "").collect()]
+    assert sorted(x for x in got if x[0]) == sorted([(1, a), (1, b), (4, d), (5, ""), (5, "")])
+    assert sum(x == (None, None) for x in got) == 1 and sum(i is None and (t or "").startswith(c) for i, t in got) == 1 and len(got) == 7
