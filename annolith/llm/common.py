@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 
 #: Bytes of one Arrow batch, so that a Python worker's memory doesn't follow the length of texts.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def bound_batches(spark: SparkSession) -> None:
@@ -21,10 +21,12 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """URI of the folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (local tests)."""
+    """URI of the folder that driver and executors share: spark.checkpoint.dir. A local master, which has no other machine, may go without."""
     bound_batches(spark)
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="annolith-")
         spark.conf.set("spark.checkpoint.dir", f"file://{found}")
     return (found if "://" in found else f"file://{found}").rstrip("/")

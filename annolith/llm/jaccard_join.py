@@ -43,7 +43,7 @@ TILE_SETS, TILE_SHINGLES = 4096, 1 << 23
 #: Representatives whose ids are broadcast to pick out their texts; more are joined by a shuffle.
 BROADCAST_ROWS = 1_000_000
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -53,14 +53,15 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = max(CHUNK + 1, 1 << n.bit_length())
-    if size not in _powers:
-        up, down = np.full(size, BASE), np.full(size, UNBASE)
-        up[0] = down[0] = 1
-        if size > 4 * CHUNK:
-            return np.cumprod(up), np.cumprod(down)
-        _powers[size] = np.cumprod(up), np.cumprod(down)
-    return _powers[size]
+    """Powers of BASE and of its inverse, more than n of each; kept for runs of usual size only."""
+    if _powers and n <= CHUNK:
+        return _powers[0]
+    up, down = np.full(max(n, CHUNK) + 1, BASE), np.full(max(n, CHUNK) + 1, UNBASE)
+    up[0] = down[0] = 1
+    found = np.cumprod(up, out=up), np.cumprod(down, out=down)
+    if n <= CHUNK:
+        _powers.append(found)
+    return found
 
 
 def shingles(data: np.ndarray, offsets: np.ndarray, words: int):

@@ -2,9 +2,9 @@
 
 A pre-tokenizer that never puts a character before white space and that white space into one token treats every run of
 white space with the characters after it on its own; the same holds between a letter or digit and punctuation other than
-an apostrophe. So a text's ids are those of its runs in order; each task keeps the ids of runs it has met (KEPT at most,
-then it starts anew). Both public vocabularies in use are of that kind; the tests hold the result against whole-text calls
-of the library.
+an apostrophe. So a text's ids are those of its runs in order; each task keeps the ids of runs that it has met lately (two
+generations of KEPT runs of SHORT bytes at most). Both public vocabularies in use are of that kind; the tests hold the
+result against whole-text calls of the library.
 """
 
 from __future__ import annotations
@@ -18,7 +18,7 @@ from annolith.llm.common import runs, utf8
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-CHUNK = 4 << 20
+CHUNK = 1 << 20
 SPACE = np.array([i == 32 or 9 <= i <= 13 for i in range(256)])
 WORD = np.array([chr(i).isalnum() and i < 128 for i in range(256)])
 POINT = np.array([chr(i) in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~" for i in range(256)])
@@ -26,7 +26,8 @@ INK = np.array([not (i == 32 or 9 <= i <= 13 or 28 <= i <= 31) for i in range(25
 #: Last bytes of white space beyond ASCII, and first bytes of those of three bytes.
 WIDE_LAST = np.array([i in (0x85, 0xA0, 0xA8, 0xA9, 0xAF, 0x9F) or 0x80 <= i <= 0x8A for i in range(256)])
 WIDE_LEAD = np.array([i in (0xE1, 0xE2, 0xE3) for i in range(256)])
-KEPT = 250_000
+#: Runs of a generation, and bytes of a run that is kept.
+KEPT, SHORT = 125_000, 64
 JOINED = 64
 
 _encoders: dict[str, "SegmentEncoder"] = {}
@@ -54,7 +55,7 @@ class SegmentEncoder:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
-        self.kept: dict[bytes, bytes] = {}
+        self.kept, self.older = {}, {}
         vocab = self.library.get_vocab()
         #: Whether tokens end words (else they start them, with the letter that stands for a space), and which ids do.
         self.ends = any(x.endswith("</w>") for x in vocab)
@@ -91,16 +92,22 @@ class SegmentEncoder:
         return out
 
     def _values(self, distinct: list[bytes]) -> list[bytes]:
-        if len(self.kept) > KEPT:
-            self.kept = {}
         found = list(map(self.kept.get, distinct))
+        for i in [i for i, v in enumerate(found) if v is None]:
+            found[i] = self.older.get(distinct[i])
+            if found[i] is not None:
+                self.kept[distinct[i]] = found[i]
         miss = [i for i, v in enumerate(found) if v is None]
-        self._learn([distinct[i] for i in miss])
+        learnt = self._learn([distinct[i] for i in miss])
         for i in miss:
-            found[i] = self.kept[distinct[i]]
+            found[i] = learnt[distinct[i]]
+        self.kept.update((x, v) for x, v in learnt.items() if len(x) <= SHORT)
+        if len(self.kept) > KEPT:
+            self.kept, self.older = {}, self.kept
         return found
 
-    def _learn(self, new: list[bytes]) -> None:
+    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
+        learnt: dict[bytes, bytes] = {}
         plain, other = [], []
         for x in new:
             text = x.decode("utf-8")
@@ -115,11 +122,12 @@ class SegmentEncoder:
             cuts = (np.append(0, edge) if self.ends else np.append(edge, len(ids))) * 4
             raw, cuts = ids.tobytes(), cuts.tolist()
             for (x, _), i, j in zip(part, cuts, cuts[1:], strict=False):
-                self.kept[x] = raw[i:j]
+                learnt[x] = raw[i:j]
         for a in range(0, len(other), 4096):
             part = other[a : a + 4096]
             for (x, _), e in zip(part, self.library.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
-                self.kept[x] = np.array(e.ids, "<u4").tobytes()
+                learnt[x] = np.array(e.ids, "<u4").tobytes()
+        return learnt
 
 
 def encoder(path: str) -> SegmentEncoder:
@@ -132,4 +140,4 @@ def encoder(path: str) -> SegmentEncoder:
 def forget() -> None:
     """Drop the runs that the worker's encoders have kept."""
     for x in _encoders.values():
-        x.kept = {}
+        x.kept, x.older = {}, {}
