@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -15,7 +17,9 @@ DETECTORS = {
     "IP": r"(?U)(?<![\d.])(?:\d{1,3}\.){3}\d{1,3}(?![\d.])",
     "ACCOUNT_ID": r"(?iU)\b(?:ACC|USR|EMP|INC|BH)-[A-Z0-9]{5,}\b",
 }
+#: Tokens of another locale or of a placeholder.
 MIXED_LOCALE = r"(?iU)JaneHuyện|JohnQuận|SmithPhường|\b(?:County|Street|Avenue|undefined|null|N/A|xxx)\b"
+#: Cities that an address ends with, labels of digits alone, shapes of bare values.
 CITIES = ("TP. Hồ Chí Minh", "Đà Nẵng", "Hà Nội")
 DIGIT_LABELS = ("CARD_NUMBER", "NATIONAL_ID", "BANK_ACCOUNT", "TIN", "ZIP_CODE", "CVV", "PIN")
 SHAPES = {
@@ -47,30 +51,39 @@ def _date(value: Column, pattern: str, order: tuple[int, int, int]) -> Column:
     return value.rlike(pattern) & F.coalesce((F.try_make_timestamp(year, month, day, F.lit(0), F.lit(0), F.lit(0))).isNotNull(), F.lit(False))
 
 
-def valid_format(label: Column, value: Column) -> Column:
-    """Whether a value has its label's format; labels without one need a value that is not blank."""
+def _shaped(value: Column) -> dict[str, Column]:
+    """For each label with a format of its own, whether the value has it."""
     full = lambda p: value.rlike(p)
     date = _date(value, r"^([0-9]{1,2})/([0-9]{1,2})/([0-9]{4})$", (3, 2, 1)) | _date(value, r"^([0-9]{1,2})-([0-9]{1,2})-([0-9]{4})$", (3, 2, 1)) | _date(value, r"^([0-9]{4})-([0-9]{1,2})-([0-9]{1,2})$", (1, 2, 3))
-    time = full(r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:([0-5]?[0-9]|6[01]))?$") | full(r"(?i)^(0?[1-9]|1[0-2]):[0-5]?[0-9]\s+(AM|PM)$")
-    address = value.contains(" đường ") & value.contains("phường") & F.greatest(*(value.endswith(c) for c in CITIES))
-    return (
-        F.when(label == "EMAIL", full(r"(?U)^[\w.+-]+@[\w.-]+\.[A-Za-z]{2,}$"))
-        .when(label.isin("DATE", "BIRTHDATE"), date)
-        .when(label == "TIME", time)
-        .when(label == "PHONE", full(r"(?U)^(?:\+?84|0)[ .-]?(?:3|5|7|8|9)(?:[ .-]?\d){8}$"))
-        .when(label == "URL", full(r"(?i)^https?://[^/?#]+"))
-        .when(label == "IP", full(rf"^({OCTET}\.){{3}}{OCTET}$") | full(IPV6))
-        .when(label == "ADDRESS", address)
-        .when(label.isin(*DIGIT_LABELS), full(r"^\p{Nd}+$"))
-        .otherwise(F.length(F.regexp_replace(value, r"^\s+|\s+$", "")) > 0)
-    )
+    return {
+        "EMAIL": full(_whole("EMAIL")),
+        "PHONE": full(_whole("PHONE")),
+        "DATE": date,
+        "BIRTHDATE": date,
+        "TIME": full(r"^([01]?[0-9]|2[0-3]):[0-5]?[0-9](:([0-5]?[0-9]|6[01]))?$") | full(r"(?i)^(0?[1-9]|1[0-2]):[0-5]?[0-9]\s+(AM|PM)$"),
+        "URL": full(r"(?i)^https?://[^/?#]+"),
+        "IP": full(rf"^({OCTET}\.){{3}}{OCTET}$") | full(IPV6),
+        "ADDRESS": value.contains(" đường ") & value.contains("phường") & F.greatest(*(value.endswith(c) for c in CITIES)),
+    }
+
+
+def _whole(label: str) -> str:
+    """A detector's pattern for a value as a whole, without what may stand around it."""
+    return "(?U)^" + re.sub(r"\(\?<?!.*?\)", "", DETECTORS[label].removeprefix("(?U)")) + "$"
+
+
+def valid_format(label: Column, value: Column) -> Column:
+    """Whether a value has its label's format; labels without one need a value that is not blank."""
+    out = F.when(label.isin(*DIGIT_LABELS), value.rlike(r"^\p{Nd}+$")).otherwise(F.length(F.regexp_replace(value, r"^\s+|\s+$", "")) > 0)
+    for name, fits in _shaped(value).items():
+        out = F.when(label == name, fits).otherwise(out)
+    return out
 
 
 def structured_labels(value: Column) -> Column:
     """Sorted labels whose format the bare value has."""
-    checked = [F.when(valid_format(F.lit(x), value), F.lit(x)) for x in ("EMAIL", "PHONE", "URL", "IP", "DATE", "BIRTHDATE", "TIME", "ADDRESS")]
-    shaped = [F.when(value.rlike(p), F.lit(x)) for x, p in SHAPES.items()]
-    return F.array_sort(F.filter(F.array(*checked, *shaped), lambda x: x.isNotNull()))
+    found = [F.when(fits, F.lit(name)) for name, fits in _shaped(value).items()] + [F.when(value.rlike(p), F.lit(name)) for name, p in SHAPES.items()]
+    return F.array_sort(F.filter(F.array(*found), lambda x: x.isNotNull()))
 
 
 def luhn_digit(payload: Column) -> Column:

@@ -103,3 +103,11 @@ def preceding(text: Column, value: Column, width: int = 30) -> Column:
     n = F.size(pieces) - 1
     before = lambda i: F.right(F.array_join(F.slice(pieces, 1, i), "\ue000"), F.lit(width))
     return F.when((F.length(value) > 0) & (n > 0), F.transform(F.sequence(F.lit(1), n), lambda i: F.replace(before(i), F.lit("\ue000"), value))).otherwise(F.array().cast("array<string>"))
+
+
+def window_context(text: Column, value: Column, width: int = 80) -> Column:
+    """The first occurrence of value in the tag-free text with `width` characters on either side, trimmed; null without one."""
+    clean = strip_tags(text)
+    at = F.instr(clean, value)
+    start = F.greatest(at - width, F.lit(1))
+    return F.when((at > 0) & (F.length(value) > 0), F.regexp_replace(F.substr(clean, start, at + F.length(value) + width - start), r"^\s+|\s+$", ""))

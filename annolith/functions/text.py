@@ -9,7 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType
+from pyspark.sql.types import DoubleType, StringType, StructType
 
 SEQUENCE_LIMIT, NGRAM_LIMIT = 0.84, 0.72
 
@@ -53,16 +53,48 @@ def best_earlier(least: float):
     return run
 
 
+def imitation_tokens(text: str | None) -> list[str]:
+    """Tagged spans become ENTITY, other tags spaces; NFKC, case-folded word tokens."""
+    t = re.sub(r"<([A-Za-z][A-Za-z0-9_]*)>.*?</\1>", " ENTITY ", text or "", flags=re.DOTALL)
+    t = unicodedata.normalize("NFKC", re.sub(r"</?[A-Za-z][A-Za-z0-9_]*>", " ", t)).casefold()
+    return re.findall(r"\w+", t)
+
+
 @F.pandas_udf(StringType())
 def imitation_form(text: pd.Series) -> pd.Series:
-    """Tagged spans become ENTITY, other tags spaces; NFKC, case-folded word tokens joined by single spaces."""
+    return text.map(lambda t: " ".join(imitation_tokens(t)))
+
+
+def token_jaccard(a: list[str], b: list[str]) -> float:
+    """ngram_jaccard of token lists."""
+    width = 2 if min(len(a), len(b)) < 8 else 3
+    x, y = ({tuple(t[i : i + width]) for i in range(len(t) - width + 1)} for t in (a, b))
+    return len(x & y) / len(x | y) if x and y else 0.0
+
 
-    def one(t: str) -> str:
-        t = re.sub(r"<([A-Za-z][A-Za-z0-9_]*)>.*?</\1>", " ENTITY ", t or "", flags=re.DOTALL)
-        t = unicodedata.normalize("NFKC", re.sub(r"</?[A-Za-z][A-Za-z0-9_]*>", " ", t)).casefold()
-        return " ".join(re.findall(r"\w+", t))
+@F.pandas_udf(StructType().add("closest", "integer").add("sequence", "double").add("ngram", "double"))
+def closest_example(text: pd.Series, examples: pd.Series) -> pd.DataFrame:
+    """The example with the greatest of both measures, the first of equal ones; nulls without examples."""
+    kept: dict[str, list[str]] = {}
 
-    return text.map(one)
+    def tokens(t: str) -> list[str]:
+        if t not in kept:
+            if len(kept) > 1000:
+                kept.clear()
+            kept[t] = imitation_tokens(t)
+        return kept[t]
+
+    out = []
+    for t, es in zip(text, examples, strict=True):
+        best, own = (None, None, None), imitation_tokens(t)
+        for i, e in enumerate(es if es is not None else ()):
+            other = tokens(e or "")
+            now = (i, ratio(" ".join(own), " ".join(other)), token_jaccard(own, other))
+            if best[0] is None or max(now[1:]) > max(best[1:]):
+                best = now
+        out.append(best)
+    found = pd.DataFrame(out, columns=["closest", "sequence", "ngram"])
+    return found.astype({"closest": "Int32", "sequence": "float64", "ngram": "float64"})
 
 
 def token_cost(tokens_in: Column, tokens_out: Column, price_in: str = "2.50", price_out: str = "10.00") -> Column:
@@ -71,6 +103,16 @@ def token_cost(tokens_in: Column, tokens_out: Column, price_in: str = "2.50", pr
     return F.round(numerator.cast("decimal(28,2)") / F.lit(1_000_000).cast("decimal(7,0)"), 8).cast("decimal(20,8)")
 
 
+def ascii_tokens(text: Column) -> Column:
+    """Runs of a-z and 0-9 of the text in lower case."""
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda x: x != "")
+
+
+def output_hash(text: Column) -> Column:
+    """What an event names a text by."""
+    return F.sha2(text, 256)
+
+
 def file_stem(name: Column) -> Column:
     """A safe file name: runs of other characters become _, dots and underscores at the ends go; `pii-run` if none is left."""
     safe = F.regexp_replace(F.regexp_replace(name, r"(?U)[^\w.-]+", "_"), r"^[._]+|[._]+$", "")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolith.functions import text as T
@@ -10,6 +11,8 @@ from annolith.functions.tags import skeleton
 from annolith.plans.catalog import CATEGORICAL
 
 AUDIT_LIMIT, AUDIT_WINDOW, GUARD_LIMIT, GUARD_WINDOW = 0.88, 200, 0.9, 100
+#: Rows of a run that are compared in one task.
+BLOCK = 1000
 
 
 def unique_ratios(entities: DataFrame) -> DataFrame:
@@ -24,11 +27,32 @@ def duplicate_counts(skeletons: DataFrame) -> DataFrame:
 
 
 def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit: float = AUDIT_LIMIT, window: int = AUDIT_WINDOW) -> DataFrame:
-    """rows with best_ratio and near_duplicate: difflib's ratio to the most similar, but different, of the `window` texts before in the run."""
-    before = Window.partitionBy(run).orderBy(order).rowsBetween(-window, -1)
-    earlier = F.filter(F.array_distinct(F.collect_list(text_col).over(before)), lambda x: x != F.col(text_col))
-    rows = rows.withColumn("best_ratio", T.best_earlier(limit)(F.col(text_col), earlier))
-    return rows.withColumn("near_duplicate", F.col("best_ratio") >= limit)
+    """rows with best_ratio and near_duplicate: difflib's ratio to the most similar, but different, of the `window` texts before in the run.
+
+    A run is cut into blocks of consecutive rows, each with the `window` rows before it as well, so that blocks are compared in
+    parallel and no row carries others' texts. Rows of one run and order are taken in order of their text."""
+    key = dict(rows.dtypes)
+    size = max(BLOCK, window)
+    numbered = rows.select(run, order, text_col, (F.row_number().over(Window.partitionBy(run).orderBy(order, text_col)) - 1).alias("_at"))
+    block = F.floor(F.col("_at") / size)
+    dealt = numbered.withColumn("_block", F.explode(F.filter(F.array(block, F.when(F.col("_at") % size >= size - window, block + 1)), lambda b: b.isNotNull())))
+
+    def one(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_at").reset_index(drop=True)
+        at, own, texts = pdf["_at"].to_numpy(), pdf["_block"].to_numpy() * size, [t or "" for t in pdf[text_col]]
+        out = []
+        for i in range(len(pdf)):
+            if at[i] >= own[i]:  # rows before are there to be compared with
+                out.append((i, max((T.ratio(e, texts[i], limit) for e in set(texts[max(0, i - window) : i]) if e != texts[i]), default=0.0)))
+        return pdf.iloc[[i for i, _ in out]].assign(best_ratio=[r for _, r in out])[[run, order, text_col, "best_ratio"]]
+
+    found = dealt.groupBy(run, "_block").applyInPandas(one, f"`{run}` {key[run]}, `{order}` {key[order]}, `{text_col}` string, best_ratio double")
+    others = [c for c in rows.columns if c not in (run, order, text_col)]
+    if others:
+        same = Window.partitionBy(run, order, text_col).orderBy(F.lit(1))
+        left, right = (d.withColumn("_n", F.row_number().over(same)) for d in (rows, found))
+        found = left.join(right, (F.lit(True) & left[run].eqNullSafe(right[run]) & left[order].eqNullSafe(right[order]) & left[text_col].eqNullSafe(right[text_col]) & (left["_n"] == right["_n"]))).select(*(left[c] for c in rows.columns), right["best_ratio"])
+    return found.withColumn("near_duplicate", F.col("best_ratio") >= limit)
 
 
 def reused_values(entities: DataFrame, run: str, order: str, window: int = GUARD_WINDOW) -> DataFrame:
@@ -40,22 +64,69 @@ def reused_values(entities: DataFrame, run: str, order: str, window: int = GUARD
     return entities.withColumn("reused", F.coalesce(F.col(order) - last <= window, F.lit(False)) & ~F.col("label").isin(*CATEGORICAL))
 
 
+def closest_example(text: Column, examples: Column) -> Column:
+    """struct<closest, sequence, ngram> of the example most like a text by either measure, the first of equal ones; null without examples."""
+    return T.closest_example(text, examples)
+
+
+def imitates(closest: Column) -> Column:
+    return F.coalesce((closest["sequence"] >= T.SEQUENCE_LIMIT) | (closest["ngram"] >= T.NGRAM_LIMIT), F.lit(False))
+
+
 def imitation(rows: DataFrame, text_col: str, examples_col: str) -> DataFrame:
-    """rows (key..., text, examples array<string>) with closest, sequence, ngram, imitates: against each row's few examples."""
+    """rows (key..., text, examples array<string>) with closest, sequence, ngram, imitates: against each row's few examples.
+
+    One row out for each row in; without examples the measures are null and nothing is imitated."""
     keys = [c for c in rows.columns if c not in (text_col, examples_col)]
-    # dealt by the keys before the comparisons, so that few large files still use all cores; the grouping below keeps the partitioning
+    # dealt by the keys before the comparisons, so that few large files still use all cores
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    each = rows.repartition(n, *keys).select(*keys, T.imitation_form(text_col).alias("a"), F.posexplode(examples_col).alias("at", "example")).withColumn("b", T.imitation_form("example"))
-    tokens = lambda c: F.filter(F.split(c, " "), lambda x: x != "")
-    each = each.withColumns({"sequence": T.sequence_ratio("a", "b"), "ngram": T.ngram_jaccard(tokens(F.col("a")), tokens(F.col("b")))})
-    best = F.max_by(F.struct("at", "sequence", "ngram"), F.struct(F.greatest("sequence", "ngram"), -F.col("at"))).alias("best")
-    out = each.groupBy(*keys).agg(best)
-    hit = (F.col("best.sequence") >= T.SEQUENCE_LIMIT) | (F.col("best.ngram") >= T.NGRAM_LIMIT)
-    return out.select(*keys, F.col("best.at").alias("closest"), F.col("best.sequence").alias("sequence"), F.col("best.ngram").alias("ngram"), hit.alias("imitates"))
+    out = rows.repartition(n, *keys).select(*keys, closest_example(F.col(text_col), F.col(examples_col)).alias("best"))
+    return out.select(*keys, "best.closest", "best.sequence", "best.ngram", imitates(F.col("best")).alias("imitates"))
+
+
+def with_seed_events(results: DataFrame, events: DataFrame) -> DataFrame:
+    """results (task_id, ...) with decoys, strategy_ids and frame_id of the task's last seed.validated event, null without one.
+
+    events: (event_type, causation_id, idempotency_key, payload), a seed event's payload holding attempt, frame, decoys."""
+    schema = "attempt int, frame string, decoys array<struct<strategy_id:string,value:string>>"
+    seeds = events.where("event_type = 'seed.validated'").select(F.col("causation_id").alias("task_id"), F.from_json("payload", schema).alias("p"))
+    last = seeds.groupBy("task_id").agg(F.max_by("p", F.col("p.attempt")).alias("p"))
+    part = lambda f: F.transform("p.decoys", lambda d: d[f])
+    return results.join(last.select("task_id", part("value").alias("decoys"), part("strategy_id").alias("strategy_ids"), F.col("p.frame").alias("frame_id")), "task_id", "left")
+
+
+def frequencies(rows: DataFrame, *by: str) -> DataFrame:
+    """(by..., n): how often each combination occurs."""
+    return rows.groupBy(*by).agg(F.count("*").alias("n"))
+
+
+def dialogue_shape(rows: DataFrame, run: str, order: str, speaker: str) -> DataFrame:
+    """(run, first_turn, turns, alternates, two_speakers) of conversations."""
+    before = F.lag(speaker).over(Window.partitionBy(run).orderBy(order))
+    rows = rows.withColumn("_ok", F.coalesce(F.col(speaker) != before, F.lit(True)))
+    return rows.groupBy(run).agg(F.min(order).alias("first_turn"), F.count("*").alias("turns"), F.every("_ok").alias("alternates"), (F.count_distinct(speaker) == 2).alias("two_speakers"))
+
+
+#: n-grams of the smaller side that are broadcast; more are joined by a shuffle.
+BROADCAST_GRAMS = 2_000_000
+
+
+def shared_ngrams(docs: DataFrame, items: DataFrame, doc: str, item: str) -> DataFrame:
+    """(doc, item, common, total) of every pair of docs and items (key, tokens array) that share an n-gram of the pair's width.
+
+    The width is 2 where either side has under 8 tokens, else 3. Each side lists only the widths that a pair could need; items
+    are the small side, broadcast once their n-grams are counted."""
+    both = lambda df, key, short_other: df.select(key, F.size("tokens").alias("size"), "tokens", F.explode(F.when(F.size("tokens") < 8, F.array(F.lit(2))).otherwise(F.array(F.lit(2), F.lit(3)) if short_other else F.array(F.lit(3)))).alias("w"))
+    grams = lambda df, key, short_other, pre: both(df, key, short_other).withColumn("g", T.ngrams(F.col("tokens"), F.col("w"))).select(key, F.col("size").alias(f"{pre}_size"), "w", F.size("g").alias(f"{pre}_n"), F.explode("g").alias("gram"))
+    short_items = not items.where(F.size("tokens") < 8).isEmpty()
+    right = grams(items, item, True, "i")
+    right = F.broadcast(right) if right.count() <= BROADCAST_GRAMS else right
+    met = grams(docs, doc, short_items, "d").join(right, ["w", "gram"]).where((F.col("w") == 2) == (F.least("d_size", "i_size") < 8))
+    return met.groupBy(doc, item, "d_n", "i_n").agg(F.count("*").alias("common")).select(doc, item, "common", (F.col("d_n") + F.col("i_n") - F.col("common")).cast("long").alias("total"))
 
 
 def report(samples: DataFrame) -> DataFrame:
-    """One row: duplicate rates, unique ratios, coverage and frequencies of samples (run_id, sequence_no, tagged_text, entities, decoys array<string>, frame_id, strategy_ids, constraints)."""
+    """One row: duplicate rates, unique ratios, coverage and frequencies of samples (run_id, sequence_no, tagged_text, entities, decoys array<string>, frame_id, strategy_ids, constraints, variants array<struct<label, variant>>)."""
     rows = samples.withColumn("skeleton", skeleton(F.col("tagged_text"), F.col("decoys")))
     entities = samples.select(F.explode("entities").alias("e")).select("e.*")
     ratio = unique_ratios(entities)
@@ -65,6 +136,7 @@ def report(samples: DataFrame) -> DataFrame:
     out = out.join(near_duplicates(rows, "run_id", "sequence_no", "skeleton").agg(F.avg(F.col("near_duplicate").cast("double")).alias("near_duplicate_rate")))
     out = out.join(as_map(ratio.where(~F.col("label").isin(*CATEGORICAL)), "label", (F.col("n_distinct") / F.col("n_values")).alias("r"), "unique_ratio"))
     out = out.join(as_map(ratio.where(F.col("label").isin(*CATEGORICAL)), "label", "n_distinct", "coverage"))
-    for col, name in ((F.array("frame_id"), "frames"), (F.col("strategy_ids"), "strategies"), (F.col("constraints"), "constraint_counts")):
+    variants = F.transform("variants", lambda v: F.concat(v["label"], F.lit(":"), v["variant"]))
+    for col, name in ((F.array("frame_id"), "frames"), (F.col("strategy_ids"), "strategies"), (F.col("constraints"), "constraint_counts"), (variants, "variant_counts")):
         out = out.join(counts(col, name))
     return out.withColumn("exact_duplicate_rate", F.col("duplicates") / F.col("n"))

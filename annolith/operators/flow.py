@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -74,24 +72,35 @@ def replacements(rejected: DataFrame, last_sequence_no: int, budget: int) -> tup
     return new, rejected.where(F.col("replacement_no") >= budget)
 
 
-def attempt_rounds(tasks: DataFrame, attempt: Callable[[DataFrame, int], DataFrame], max_attempts: int, cut: Callable[[DataFrame], DataFrame], prepare: Callable[[DataFrame], DataFrame] = lambda rows: rows) -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected): rounds over the tasks that are left, max_attempts at most.
+def next_attempt(tasks: DataFrame, candidates: DataFrame) -> DataFrame:
+    """tasks (task_id, status, max_attempts) with attempt_no: where work goes on, null if no attempt is left.
+
+    A task whose last candidate (task_id, attempt_no) is still being checked goes on with that attempt, any other with the next."""
+    last = candidates.groupBy("task_id").agg(F.max("attempt_no").alias("_last"))
+    rows = tasks.join(last, "task_id", "left")
+    at = F.coalesce("_last", F.lit(0)) + F.when(F.col("status").isin("VALIDATING", "VERIFYING") & F.col("_last").isNotNull(), 0).otherwise(1)
+    return rows.withColumn("attempt_no", F.when(at <= F.col("max_attempts"), at).cast("int")).drop("_last")
+
+
+def batch(tasks: DataFrame, limit: int, batch_size: int) -> DataFrame:
+    """The first pending tasks, as many as the smaller of both bounds."""
+    return pending(tasks).limit(min(limit, batch_size))
+
 
-    prepare(rows) changes a failed row's task columns for its next attempt.
-    attempt(tasks, n) gives each task's candidate with the array `issues`; cut(df) writes a round's result to shared storage, so a
-    round is computed once. Rejected rows carry the last attempt's issues."""
-    left, accepted, rejected = tasks, None, None
-    for n in range(1, max_attempts + 1):
-        done = cut(attempt(left, n).withColumn("attempt_no", F.lit(n)).withColumn("routed", route(F.array_distinct(F.transform("issues", lambda i: i["type"])))))
-        good = done.where("routed.status = 'PASS'")
-        accepted = good if accepted is None else accepted.unionByName(good)
-        again = (F.col("routed.status") != "PASS") & (F.col("routed.status") != "REJECTED") & F.lit(n < max_attempts)
-        lost = done.where((F.col("routed.status") != "PASS") & ~again)
-        rejected = lost if rejected is None else rejected.unionByName(lost)
-        left = prepare(done.where(again)).select(*tasks.columns)
-        if left.isEmpty():
-            break
-    return accepted, rejected
+def new_candidates(candidates: DataFrame, known: DataFrame) -> DataFrame:
+    """Of candidates (task_id, attempt_no, ...) one each, without those that are known already."""
+    return first_by_key(candidates, ["task_id", "attempt_no"], ["task_id"]).join(known.select("task_id", "attempt_no"), ["task_id", "attempt_no"], "left_anti")
+
+
+def ledger(attempts: DataFrame) -> DataFrame:
+    """(run_id, slot_no, task_id, attempt_no, category, input_tokens, output_tokens, money_cost) of attempts: one row for the
+    generator's call and one, without tokens of its own, for each judging stage."""
+    from annolith.functions.text import token_cost
+
+    base = ("run_id", "slot_no", "task_id", "attempt_no")
+    generated = attempts.select(*base, F.lit("generator").alias("category"), "input_tokens", "output_tokens")
+    judged = attempts.select(*base, F.explode("stages").alias("category"), F.lit(0).alias("input_tokens"), F.lit(0).alias("output_tokens"))
+    return generated.unionByName(judged).withColumn("money_cost", token_cost(F.col("input_tokens"), F.col("output_tokens")))
 
 
 def accepted_samples(tasks: DataFrame, samples: DataFrame) -> DataFrame:
@@ -106,6 +115,11 @@ def first_by_key(rows: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return rows.withColumn("_n", F.row_number().over(w)).where("_n = 1").drop("_n")
 
 
+def deliveries(events: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """(keys..., id_col, deliveries): the first event of each key and how often it came."""
+    return events.groupBy(*keys).agg(F.min(id_col).alias(id_col), F.count("*").alias("deliveries"))
+
+
 def usage_by_slot(calls: DataFrame, slot: list[str]) -> DataFrame:
     """Tokens in, out and cost of each slot, by category and in all; calls: (slot..., category, input_tokens, output_tokens, money_cost)."""
     each = []

@@ -6,6 +6,7 @@ from collections import deque
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from annolith.functions.text import ratio
 from annolith.operators.audit import GUARD_LIMIT, GUARD_WINDOW
@@ -19,6 +20,8 @@ ISSUES = "array<struct<type:string,scope:string,label:string,value:string>>"
 def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str = "sequence_no", limit: float = GUARD_LIMIT, window: int = GUARD_WINDOW, feedback: int = FEEDBACK) -> DataFrame:
     """(run, order, max_similarity, nearest, novelty_issues, accepted) of rows (run, order, skeleton, entities, valid).
 
+    A row with a true column `prior`, if there is one, was accepted in an earlier round: it comes first and isn't judged.
+
     Each candidate is held against the `window` results of its run accepted before it, in order; nearest lists the most
     similar skeletons, `feedback` at most, for a new attempt. A value of a label that is not categorical and was accepted
     before, an equal skeleton and one of ratio `limit` or more are issues. audit accepts every valid row; enforce only those
@@ -32,7 +35,10 @@ def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         recent: deque = deque(maxlen=window)
         out = []
-        for r in pdf.sort_values(order).to_dict("records"):
+        for r in pdf.sort_values(["prior", order], ascending=[False, True]).to_dict("records"):
+            if r["prior"]:
+                recent.append((r["skeleton"] or "", {(e["label"], (e["value"] or "").strip().casefold()) for e in (r["entities"] if r["entities"] is not None else ()) if e["label"] not in CATEGORICAL}))
+                continue
             skeleton, valid = r["skeleton"] or "", bool(r["valid"])
             pairs = [(e["label"], (e["value"] or "").strip().casefold(), e["value"]) for e in (r["entities"] if r["entities"] is not None else ()) if e["label"] not in CATEGORICAL]
             near, issues = [], []
@@ -48,4 +54,5 @@ def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str
             out.append((r[run], r[order], near[0][0] if near else 0.0, [s for _, s in near[:feedback]], issues, good))
         return pd.DataFrame(out, columns=[run, order, "max_similarity", "nearest", "novelty_issues", "accepted"])
 
-    return rows.select(run, order, "skeleton", "entities", "valid").groupBy(run).applyInPandas(one, schema)
+    prior = F.col("prior") if "prior" in rows.columns else F.lit(False)
+    return rows.select(run, order, "skeleton", "entities", "valid", prior.alias("prior")).groupBy(run).applyInPandas(one, schema)

@@ -40,7 +40,10 @@ def preservation_issues(text: Column, repaired: Column, entities: Column, positi
 
 
 def verify(candidates: DataFrame, judge: Callable[[DataFrame], DataFrame], repair: Callable[[DataFrame], DataFrame], recheck: Callable[[DataFrame], DataFrame], cut: Callable[[DataFrame], DataFrame], max_repairs: int = 1) -> DataFrame:
-    """candidates with outcome (PASS, FIXED, REGENERATE, REJECTED), its issues, and the stages that were called.
+    """candidates with outcome (PASS, FIXED, REGENERATE, REJECTED, VERIFYING), its issues, and the stages that were called.
+
+    VERIFYING: a call failed for reasons of infrastructure (verdict status ERROR, or a repair without text). The candidate is
+    as it was and can be verified again; its attempt isn't used up.
 
     candidates: (tagged_text, entities, positives, decoys, ...). judge(rows) adds verdict struct<status, issues>; repair(rows)
     replaces tagged_text and entities; recheck(rows) adds issues, as the validator does. Each call's rows are written once
@@ -50,11 +53,13 @@ def verify(candidates: DataFrame, judge: Callable[[DataFrame], DataFrame], repai
     first = cut(judge(candidates).withColumnRenamed("verdict", "initial"))
     fixable = F.col("initial.status") == "FIXABLE"
     settled = first.where(~fixable if max_repairs else F.lit(True))
-    out = settled.select(*names, F.when(fixable, "REGENERATE").otherwise(F.col("initial.status")).alias("outcome"), F.col("initial.issues").alias("verdict_issues"), F.array(F.lit("judge")).alias("stages"))
+    out = settled.select(*names, F.when(fixable, "REGENERATE").when(F.col("initial.status") == "ERROR", "VERIFYING").otherwise(F.col("initial.status")).alias("outcome"), F.col("initial.issues").alias("verdict_issues"), F.array(F.lit("judge")).alias("stages"))
     if not max_repairs:
         return out
     origin = F.struct(F.col("tagged_text"), F.col("entities")).alias("origin")
     fixed = cut(repair(first.where(fixable).select(*names, origin)))
+    dead = fixed.where("tagged_text is null").select(*(F.col(f"origin.{n}").alias(n) if n in ("tagged_text", "entities") else F.col(n) for n in names), F.lit("VERIFYING").alias("outcome"), _empty().alias("verdict_issues"), F.array(F.lit("judge"), F.lit("repair")).alias("stages"))
+    fixed = fixed.where("tagged_text is not null")
     kept = preservation_issues(F.col("origin.tagged_text"), F.col("tagged_text"), F.col("entities"), F.col("positives"), F.col("decoys"))
     checked = fixed.withColumn("broken", kept)
     rest = recheck(checked.drop("issues", "valid")) if "issues" in names else recheck(checked)
@@ -68,8 +73,8 @@ def verify(candidates: DataFrame, judge: Callable[[DataFrame], DataFrame], repai
     good = status == "PASS"
     last = final.select(
         *(F.when(good, F.col(n)).otherwise(F.col(f"origin.{n}")).alias(n) if n in ("tagged_text", "entities") else F.col(n) for n in names),
-        F.when(good, "FIXED").when(status == "REJECTED", "REJECTED").otherwise("REGENERATE").alias("outcome"),
+        F.when(good, "FIXED").when(status == "REJECTED", "REJECTED").when(status == "ERROR", "VERIFYING").otherwise("REGENERATE").alias("outcome"),
         F.when(good, _empty()).otherwise(F.col("final.issues")).alias("verdict_issues"),
         F.array(F.lit("judge"), F.lit("repair"), F.lit("final_judge")).alias("stages"),
     )
-    return out.unionByName(failed).unionByName(last)
+    return out.unionByName(dead).unionByName(failed).unionByName(last)

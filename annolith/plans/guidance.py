@@ -17,7 +17,7 @@ def taxonomy_context(tasks: DataFrame, taxonomy: DataFrame, seed: int = 0) -> Da
     The first label gets definition, rules (one a line) and examples of the sample type, FEW_SHOT of them at most, drawn by
     (seed, task, label) and kept in their order; the others get no examples. Labels without an entry are in missing."""
     each = tasks.select("task_id", "sample_type", F.posexplode("focus_labels").alias("at", "code"))
-    rows = each.join(F.broadcast(taxonomy.select("code", "definition", "rules", "examples")), "code", "left")
+    rows = each.join(taxonomy.select("code", "definition", "rules", "examples"), "code", "left")
     group = F.lit(None)
     for kind, name in GROUPS.items():
         group = F.when(F.col("sample_type") == kind, F.col(f"examples.{name}")).otherwise(group)

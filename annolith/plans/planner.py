@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annolith.functions import rng
@@ -40,6 +40,18 @@ class RunConfig:
     max_regenerate_attempts: int = 2
     max_task_replacements: int = 2
     random_seed: int = 0
+    max_seed_pack_attempts: int = 5
+    reject_mixed_locale: bool = True
+    pure_negative_structured_scan: bool = True
+    hard_negative_structured_scan: bool = True
+    quality_checks: bool = False
+    novelty_mode: str = "audit"
+    near_duplicate_threshold: float = 0.9
+    novelty_recent_window: int = 100
+    max_novelty_feedback: int = 3
+    max_repairs: int = 1
+    #: balanced: samples of equal label sets take the compatible frames in turn; least_used: the frame that the whole run has used least.
+    frame_policy: str = "balanced"
 
     def __post_init__(self) -> None:
         self.language = {"vietnamese": "vi", "vi-vn": "vi", "vi_vn": "vi"}.get(self.language.strip().lower(), self.language.strip().lower())
@@ -72,6 +84,16 @@ def config_errors(c: RunConfig) -> list[str]:
         out.append("structure is contract, chat or custom")
     if (c.structure == "custom") != bool(c.custom_instruction):
         out.append("custom_instruction goes with the custom structure only")
+    ranges = {
+        "max_seed_pack_attempts": (c.max_seed_pack_attempts, 1, 20), "max_repairs": (c.max_repairs, 0, 1), "near_duplicate_threshold": (c.near_duplicate_threshold, 0.5, 1),
+        "novelty_recent_window": (c.novelty_recent_window, 1, 10_000), "max_novelty_feedback": (c.max_novelty_feedback, 0, 10), "batch_size": (c.batch_size, 1, 10_000),
+        "max_regenerate_attempts": (c.max_regenerate_attempts, 0, 4), "max_task_replacements": (c.max_task_replacements, 0, 10),
+    }
+    out += [f"{name} is {lo} to {hi}" for name, (value, lo, hi) in ranges.items() if not lo <= value <= hi]
+    if c.novelty_mode not in ("off", "audit", "enforce"):
+        out.append("novelty_mode is off, audit or enforce")
+    if c.frame_policy not in ("balanced", "least_used"):
+        out.append("frame_policy is balanced or least_used")
     if not c.pool:
         out.append("no labels")
     if unknown := sorted(set(c.pool) - set(catalog.LABELS)):
@@ -106,7 +128,7 @@ def _capacity(c: RunConfig, difficulty: str, kind: str) -> int:
 
 def compatible_frames(labels: Column, excluded: list[str] = ()) -> Column:
     """Ids of the frames that support all labels."""
-    table = F.array(*(F.struct(F.lit(k).alias("id"), F.array(*(F.lit(x) for x in v[4].split())).alias("labels")) for k, v in catalog.FRAMES.items() if k not in excluded))
+    table = F.array(*(F.struct(F.lit(k).alias("id"), F.array(*(F.lit(x) for x in v[4])).alias("labels")) for k, v in catalog.FRAMES.items() if k not in excluded))
     return F.transform(F.filter(table, lambda f: F.size(F.array_except(labels, f["labels"])) == 0), lambda f: f["id"])
 
 
@@ -157,17 +179,22 @@ def plan_tasks(spark: SparkSession, c: RunConfig) -> DataFrame:
     elif c.structure == "custom":
         axes["document_structure"] = F.lit("custom_format")
     rows = rows.withColumns(axes).withColumn("frames", compatible_frames(F.col("focus_labels")))
-    at = F.col("sequence_no") - 1
-    order = rng.shuffled(F.col("frames"), c.random_seed, "frame", F.floor(at / F.size("frames")).cast("string"))
+    # samples of one label set take its frames in turn, in another order each time round; a run has 100,000 rows at most
+    labels = F.array_join(F.array_sort("focus_labels"), ",")
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(labels).orderBy("sequence_no")) - 1)
+    at = F.col("at")
+    order = rng.shuffled(F.col("frames"), c.random_seed, "frame", labels, F.floor(at / F.size("frames")).cast("string"))
+    rows = rows.withColumn("context_frame_id", F.element_at(order, (at % F.size("frames") + 1).cast("int")))
+    if c.frame_policy == "least_used":
+        rows = least_used_frames(rows.withColumn("run", F.lit(c.run_name)), "run", c.random_seed).withColumn("context_frame_id", F.col("frame_id")).drop("run", "frame_id")
     return rows.withColumns({
-        "context_frame_id": F.element_at(order, (at % F.size("frames") + 1).cast("int")),
         "task_seed": rng.bits(c.random_seed, "task", seq),
         "task_id": F.md5(F.concat_ws("|", F.lit(c.run_name), F.lit(str(c.random_seed)), seq)),
         "slot_no": F.col("sequence_no"),
         "language": F.lit(c.language),
         "max_attempts": F.lit(c.max_regenerate_attempts + 1),
         "replacement_no": F.lit(0),
-    }).drop("frames", "primary_label", "max_focus")
+    }).drop("frames", "primary_label", "max_focus", "at")
 
 
 def least_used_frames(tasks: DataFrame, run_col: str = "run_id", seed: int = 0) -> DataFrame:
@@ -179,7 +206,7 @@ def least_used_frames(tasks: DataFrame, run_col: str = "run_id", seed: int = 0)
         import hashlib
 
         used: dict[str, int] = {}
-        supported = {k: set(v[4].split()) for k, v in catalog.FRAMES.items()}
+        supported = {k: set(v[4]) for k, v in catalog.FRAMES.items()}
         pdf = pdf.sort_values("sequence_no").reset_index(drop=True)
         out = []
         for n, labels in zip(pdf["sequence_no"], pdf["focus_labels"], strict=True):
@@ -191,3 +218,15 @@ def least_used_frames(tasks: DataFrame, run_col: str = "run_id", seed: int = 0)
 
     schema = ", ".join(f"`{n}` {t}" for n, t in tasks.dtypes) + ", frame_id string"
     return tasks.groupBy(run_col).applyInPandas(one, schema)
+
+
+def select_frame(preferred: Column, labels: Column, seed: int, *key) -> Column:
+    """The preferred frame if it supports all labels, else a drawn one that does; null where none does."""
+    fit = compatible_frames(labels)
+    drawn = F.get(fit, (rng.bits(seed, "frame_pick", *key) % F.greatest(F.size(fit), F.lit(1))).cast("int"))
+    return F.when(F.array_contains(fit, preferred), preferred).otherwise(drawn)
+
+
+def unknown_labels(asked: DataFrame, column: str) -> DataFrame:
+    """Distinct labels that are not in the domain."""
+    return asked.where(~F.col(column).isin(*catalog.LABELS)).select(column).distinct()

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolith.functions import detect, tags, text
+from annolith.functions import detect, tags, templates, text
 from annolith.operators import audit, flow, novelty, samples, verify
-from annolith.plans import catalog, guidance, runs
-from annolith.plans.planner import compatible_frames, plan_tasks
+from annolith.plans import catalog, guidance, runs, values
+from annolith.plans.planner import compatible_frames, plan_tasks, unknown_labels
+from annolith.plans.strategies import registry, strategies
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -122,34 +123,27 @@ def categorical_coverage(spark, sf_dir):
 
 @query("select source, lang, count(*) as n from documents group by all")
 def frame_distribution(spark, sf_dir):
-    return table(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count("*").alias("n"))
+    return audit.frequencies(table(spark, sf_dir, "documents"), "source", "lang")
 
 
 NGRAM_SQL = """
-with b as (select row_number() over (order by item_id) - 1 as i, item_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as b from benchmark),
-     n as (select count(*) as n from b),
-     d as (select doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as a from documents),
-     k as (select doc_id, item_id, a, b, case when least(len(a), len(b)) < 8 then 2 else 3 end as w from d, (select unnest([0, 1, 2]) as j), n join b on b.i = (doc_id + j) % n),
-     g as (select doc_id, item_id, list_distinct(list_transform(range(1, len(a) - w + 2), lambda i: array_to_string(a[i:i + w - 1], ' '))) as x,
-                  list_distinct(list_transform(range(1, len(b) - w + 2), lambda i: array_to_string(b[i:i + w - 1], ' '))) as y from k),
-     s as (select doc_id, item_id, len(list_intersect(x, y)) as common, len(x) as nx, len(y) as ny from g)
-select doc_id, item_id, cast(common as bigint) as common, cast(nx + ny - common as bigint) as total from s
+with b as (select item_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as t from benchmark),
+     d as (select doc_id, list_filter(string_split_regex(lower(text), '[^a-z0-9]+'), lambda x: x <> '') as t from documents),
+     w as (select unnest([2, 3]) as w),
+     gb as (select item_id, len(t) as size, w, list_distinct(list_transform(range(1, len(t) - w + 2), lambda i: array_to_string(t[i:i + w - 1], ' '))) as g from b, w),
+     gd as (select doc_id, len(t) as size, w, list_distinct(list_transform(range(1, len(t) - w + 2), lambda i: array_to_string(t[i:i + w - 1], ' '))) as g from d, w),
+     xb as (select item_id, size, w, len(g) as n, unnest(g) as gram from gb), xd as (select doc_id, size, w, len(g) as n, unnest(g) as gram from gd)
+select doc_id, item_id, count(*) as common, cast(any_value(xd.n) + any_value(xb.n) - count(*) as bigint) as total from xd join xb using (w, gram)
+where w = case when least(xd.size, xb.size) < 8 then 2 else 3 end group by doc_id, item_id
 """
 
 
 @query(NGRAM_SQL)
 def ngram_jaccard_benchmark(spark, sf_dir):
-    """Each document against three benchmark items (by number): shared and all n-grams."""
-    token = lambda c: F.filter(F.split(F.lower(c), "[^a-z0-9]+"), lambda x: x != "")
-    items = table(spark, sf_dir, "benchmark").select("item_id", token(F.col("text")).alias("b"))
-    items = items.withColumn("i", F.row_number().over(Window.orderBy("item_id")) - 1)
-    n = items.count()
-    docs = table(spark, sf_dir, "documents").select("doc_id", token(F.col("text")).alias("a"), F.explode(F.array(*(F.lit(j) for j in range(3)))).alias("j"))
-    pairs = docs.withColumn("i", F.pmod(F.col("doc_id") + F.col("j"), F.lit(n))).join(items, "i")
-    width = F.when(F.least(F.size("a"), F.size("b")) < 8, 2).otherwise(3)
-    pairs = pairs.select("doc_id", "item_id", text.ngrams(F.col("a"), width).alias("x"), text.ngrams(F.col("b"), width).alias("y"))
-    pairs = pairs.withColumn("common", F.size(F.array_intersect("x", "y")).cast("long"))
-    return pairs.select("doc_id", "item_id", "common", (F.size("x") + F.size("y") - F.col("common")).cast("long").alias("total"))
+    """Every document and benchmark item that share an n-gram: shared and all n-grams of both."""
+    tokens = text.ascii_tokens(F.col("text"))
+    items = table(spark, sf_dir, "benchmark").select("item_id", tokens.alias("tokens"))
+    return audit.shared_ngrams(table(spark, sf_dir, "documents").select("doc_id", tokens.alias("tokens")), items, "doc_id", "item_id")
 
 
 def _h(*key: str) -> str:
@@ -203,7 +197,7 @@ def plan_complexity_budget(spark, sf_dir):
     return plan_tasks(spark, runs.demo()).select("sequence_no", "max_entities", F.size("focus_labels").alias("n_labels"), F.array_join("optional_constraints", ",").alias("constraints"))
 
 
-_FRAMES_SQL = " union all ".join(f"select '{k}' as frame_id, string_split('{v[4]}', ' ') as labels" for k, v in catalog.FRAMES.items())
+_FRAMES_SQL = " union all ".join(f"select '{k}' as frame_id, {list(v[4])} as labels" for k, v in catalog.FRAMES.items())
 
 
 @query(f"""
@@ -222,8 +216,8 @@ def label_frame_compat(spark, sf_dir):
 
 @query(f"select distinct upper(trim(event_type)) as label from events where upper(trim(event_type)) not in ({', '.join(repr(x) for x in catalog.LABELS)})")
 def unknown_labels_anti(spark, sf_dir):
-    asked = table(spark, sf_dir, "events").select(F.upper(F.trim("event_type")).alias("label")).distinct()
-    return asked.join(F.broadcast(catalog.labels(spark)), "label", "left_anti")
+    asked = table(spark, sf_dir, "events").select(F.upper(F.trim("event_type")).alias("label"))
+    return unknown_labels(asked, "label")
 
 
 _ISSUES = ("missing_entity_metadata", "invalid_output", "decoy_context_unclear", "credential_risk")
@@ -313,14 +307,12 @@ select c.conv_id, min(c.turn) as first_turn, cast(count(*) as bigint) as turns,
 from (select *, coalesce(role <> lag(role) over (partition by conv_id order by turn), true) as ok from conversations) c group by c.conv_id
 """)
 def chat_structure_check(spark, sf_dir):
-    before = F.lag("role").over(Window.partitionBy("conv_id").orderBy("turn"))
-    rows = table(spark, sf_dir, "conversations").withColumn("ok", F.coalesce(F.col("role") != before, F.lit(True)))
-    return rows.groupBy("conv_id").agg(F.min("turn").alias("first_turn"), F.count("*").alias("turns"), F.every("ok").alias("alternates"), (F.count_distinct("role") == 2).alias("two_speakers"))
+    return audit.dialogue_shape(table(spark, sf_dir, "conversations"), "conv_id", "turn", "role")
 
 
 @query("select user_id, event_type, min(event_id) as event_id, count(*) as deliveries from events group by user_id, event_type")
 def event_dedup_idempotent(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.min("event_id").alias("event_id"), F.count("*").alias("deliveries"))
+    return flow.deliveries(table(spark, sf_dir, "events"), ["user_id", "event_type"], "event_id")
 
 
 @query("select time_bucket(interval '10 minutes', ts) as window_start, event_type, count(*) as n from events group by all")
@@ -332,7 +324,7 @@ def event_window_counts(spark, sf_dir):
 
 @query("select doc_id, sha256(text) as output_hash from documents")
 def output_hash(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", F.sha2("text", 256).alias("output_hash"))
+    return table(spark, sf_dir, "documents").select("doc_id", text.output_hash(F.col("text")).alias("output_hash"))
 
 
 @query()
@@ -347,37 +339,115 @@ def imitation_guard(spark, sf_dir):
     """Conversation turns against the first three turns of the next conversation."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "text")
     examples = rows.where("turn < 3").groupBy((F.col("conv_id") - 1).alias("conv_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "text"))), lambda x: x["text"]).alias("examples"))
-    out = audit.imitation(rows.join(examples, "conv_id"), "text", "examples")
+    out = audit.imitation(rows.join(examples, "conv_id", "left"), "text", "examples")
     return out.select("conv_id", "turn", "closest", F.round("sequence", 6).alias("sequence"), F.round("ngram", 6).alias("ngram"), "imitates")
 
 
-@query()
+def _templates_sql(labels) -> str:
+    rows = ", ".join(f"('{label}', [{', '.join(templates.sql_parts(parts) for _, parts in values.PARSED[label])}], {[name for name, _ in values.PARSED[label]]})" for label in labels)
+    return f"templates(label, parts, variants) as (values {rows})"
+
+
+def _pick(h: str, size: str) -> str:
+    return f"cast({h} % {size} as int) + 1"
+
+
+_VALUE_SQL = templates.sql_drawn(f"t.parts[{_pick(_h("'174'", "'query'", 'c_custkey::varchar', 't.label', "'variant'"), 'len(t.parts)')}]", "'174', 'query', c_custkey::varchar, t.label")
+
+
+@query(f"with {_templates_sql(catalog.LABELS)} select c_custkey, t.label, {_VALUE_SQL} as value, variants[{_pick(_h("'174'", "'query'", 'c_custkey::varchar', 't.label', "'variant'"), 'len(t.parts)')}] as variant, true as valid from customer, templates t")
 def seed_values(spark, sf_dir):
     """A value, its variant and format check for every label and customer."""
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
-    rows = rows.withColumn("made", samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label")))
+    rows = samples.with_templates(rows).select("c_custkey", "label", samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label")).alias("made"))
     return rows.select("c_custkey", "label", "made.value", "made.variant", detect.valid_format(F.col("label"), F.col("made.value")).alias("valid"))
 
 
-@query()
+def _shuffled_sql(items: str, *key: str) -> str:
+    return f"list_transform(list_sort(list_transform({items}, lambda v: {{'h': md5(concat_ws('|', {', '.join(key)}, v)), 'v': v}})), lambda x: x.v)"
+
+
+DEMO_LABELS = runs.demo().focus_labels
+_FRAME_LIST = "[" + ", ".join(f"{{'id': '{k}', 'labels': {list(v[4])}}}" for k, v in catalog.FRAMES.items()) + "]"
+_STRATEGY_LIST = ", ".join(
+    f"('{label}', [" + ", ".join(f"{{'id': '{name}', 'cue': '{required[0]}', 'regex': $re${regex}$re$, 'parts': {templates.sql_parts(parts)}}}" for name, x, _, _, _, regex, required, *_, parts in sorted(registry(), key=lambda r: r[0]) if x == label) + "])"
+    for label in DEMO_LABELS)
+#: tasks of the demo run: number, id, type, labels, axes, frame.
+TASKS_SQL = _PLAN_SQL + f""",
+     p1 as (select *, case when seq <= 200 then {POOL}[cast(floor((seq - 1) / 20) as int) + 1] else {POOL}[{_pick(_h("'174'", "'primary'", "seq::varchar"), "10")}] end as first, cast({_h("'174'", "'focus_count'", "seq::varchar")} % most as int) as more from b),
+     p2 as (select *, list_concat([first], {_shuffled_sql(f"list_filter({POOL}, lambda x: x <> first)", "'174'", "'label_order'", "seq::varchar")}[:more]) as labels from p1),
+     p3 as (select *, list_transform(list_filter({_FRAME_LIST}, lambda f: list_has_all(f.labels, labels)), lambda f: f.id) as frames, array_to_string(list_sort(labels), ',') as key from p2),
+     p4 as (select *, row_number() over (partition by key order by seq) - 1 as nth, md5('demo|174|' || seq) as task_id, case k when 'p' then 'positive' when 'n' then 'pure_negative' else 'hard_negative' end as sample_type from p3),
+     tasks as (select *, {_shuffled_sql("frames", "'174'", "'frame'", "key", "cast(nth // len(frames) as varchar)")}[cast(nth % len(frames) as int) + 1] as frame, {', '.join(_bag_sql(v, n) for n, v in catalog.AXES.items())} from p4)
+"""
+_SEED = ("'174'", "'seed'", "task_id", "'0'", "label", "'0'")
+#: ... with seeds and look-alikes of the first attempt.
+PACKS_SQL = TASKS_SQL + f""", {_templates_sql(DEMO_LABELS)}, strategies(label, options) as (values {_STRATEGY_LIST}),
+     each as (select seq, task_id, unnest(labels) as label, unnest(range(1, len(labels) + 1)) as i from tasks where k <> 'n'),
+     seeds as (select seq, list({{'label': label, 'value': value}} order by i) as seeds from (select seq, label, i, {templates.sql_drawn(f"parts[{_pick(_h(*_SEED, "'variant'"), 'len(parts)')}]", ", ".join(_SEED))} as value from each join templates using (label)) group by seq),
+     lures as (select seq, task_id, labels, unnest(range(0, cast({_h("'174'", "'decoys'", "task_id", "'0'")} % 2 as int) + 1)) as j from tasks where k = 'h'),
+     picked as (select seq, task_id, j, labels[j % len(labels) + 1] as label, options[cast(({_h("'174'", "'strategy'", "task_id", "'0'")} + j // len(labels)) % 3 as int) + 1] as o from lures join strategies on strategies.label = labels[j % len(labels) + 1]),
+     decoys as (select seq, list({{'id': o.id, 'cue': o.cue, 'value': value, 'fits': regexp_matches(value, o.regex)}} order by j) as decoys from (select *, {templates.sql_drawn("o.parts", "'174', 'decoy', task_id, '0', j::varchar")} as value from picked) group by seq),
+     packs as (select tasks.*, seeds, decoys from tasks left join seeds using (seq) left join decoys using (seq))
+"""
+
+
+def _demo_packs(spark) -> DataFrame:
+    config = runs.demo()
+    return samples.seed_packs(plan_tasks(spark, config), strategies(spark), config.random_seed, 0, False, config.min_decoys, config.max_decoys)
+
+
+@query(PACKS_SQL + "select cast(seq as int) as sequence_no, sample_type, cast(coalesce(len(seeds), 0) as int) as n_seeds, d.id as strategy_id, d.value, 0 as n_issues from (select *, unnest(case when decoys is null then [null] else decoys end) as d from packs)")
 def decoy_pick(spark, sf_dir):
-    packs = samples.seed_packs(plan_tasks(spark, runs.demo()), catalog.strategies(spark), 174)
-    checked = samples.seed_pack_issues(packs, catalog.strategies(spark))
+    """Look-alikes of the demo run's tasks; every pack passes the seed-pack check."""
+    checked = samples.seed_pack_issues(_demo_packs(spark), strategies(spark), False, 1, 2)
     return checked.select("sequence_no", "sample_type", F.size("positives").alias("n_seeds"), F.explode_outer("decoys").alias("d"), F.size("pack_issues").alias("n_issues")).select("sequence_no", "sample_type", "n_seeds", "d.strategy_id", "d.value", "n_issues")
 
 
-@query()
+def _map_sql(rows: dict[str, str], key: str) -> str:
+    return f"case {key} " + " ".join(f"when '{k}' then '{v}'" for k, v in rows.items()) + " end"
+
+
+_CONTENT = [f"{xs}[{_pick(_h("'174'", f"'{name}'", 'task_id', "'0'", _map_sql({k: v[0] for k, v in catalog.FRAMES.items()}, 'frame')), str(len(xs)))}]" for name, xs in (("action", samples.ACTIONS), ("object", samples.OBJECTS))]
+#: ... and the text of the offline renderer.
+RENDER_SQL = PACKS_SQL + f""",
+     w as (select *, {_map_sql(samples.ROLES, "speaker_role")} as role, {_map_sql(samples.INTENTS, "intent")} as aim, {_map_sql(samples.MARKERS, "language_register")} as marker, {_map_sql({k: v[1] for k, v in catalog.FRAMES.items()}, "frame")} as document,
+             case when k = 'n' then {_CONTENT[0]} || ' ' || {_CONTENT[1]} else array_to_string(list_transform(seeds, lambda s: '<' || s.label || '>' || s.value || '</' || s.label || '>'), '; ') end as content from packs),
+     said as (select *, role || ' ' || aim || ' ' || content as said from w),
+     rendered as (select *, case document_structure
+        when 'short_dialogue' then upper(role[1]) || role[2:] || ': ' || aim || ' ' || content || '.' || chr(10) || 'Trực ban: Đã chép vào ' || document || '.'
+        when 'two_sentence_note' then marker || ': ' || said || '. Phần này nằm trong ' || document || ' chờ duyệt.'
+        when 'form_like_record' then upper(document) || ' / Bên gửi: ' || role || ' / Việc: ' || aim || ' / Phần chính: ' || content || '.'
+        else marker || ': ' || said || ' theo ' || document || '.' end
+        || coalesce(array_to_string(list_transform(decoys, lambda d: ' ' || upper(d.cue[1]) || d.cue[2:] || ' để chuyển bước sau là ' || d.value || '.'), ''), '') as tagged_text from said)
+"""
+
+
+@query(RENDER_SQL + "select cast(seq as int) as sequence_no, sample_type, tagged_text, true as valid from rendered")
 def render_offline(spark, sf_dir):
-    rows = runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo())
+    rows = runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo(), 0)
     return rows.select("sequence_no", "sample_type", "tagged_text", "valid")
 
 
-@query()
+@query(RENDER_SQL + """
+, dm as (select seq, k, labels, seeds, case when k = 'n' then null when seq % 5 = 0 then 0 when seq % 5 = 1 then 1 when seq % 5 = 2 and k = 'h' then 2 end as harm from rendered),
+  em as (select seq, 'invalid_output' as type, null as label, null as value from dm where harm in (0, 1)
+        union all select seq, 'missing_positive_seed', s.label, s.value from (select seq, unnest(seeds) as s from dm where harm = 0)
+        union all select seq, 'duplicate_positive_seed', s.label, s.value from (select seq, unnest(seeds) as s from dm where harm = 0)
+        union all select seq, 'missing_entity_metadata', seeds[1].label, seeds[1].value from dm where harm = 1
+        union all select dm.seq, 'decoy_occurrence', labels[1], decoys[1].value from dm join decoys using (seq) where harm = 2
+        union all select dm.seq, 'decoy_context_unclear', labels[1], decoys[1].value from dm join decoys using (seq) where harm = 3)
+select cast(dm.seq as int) as sequence_no, em.type, case when em.type is null then null else 'TEXT' end as scope, em.label, em.value from dm left join em using (seq)
+""")
 def validate_output(spark, sf_dir):
-    """Issues of candidates whose tags are damaged in every fifth text."""
-    config = runs.demo()
-    packs = samples.seed_packs(plan_tasks(spark, config), catalog.strategies(spark), config.random_seed)
-    rows = samples.render(packs, runs.DOCUMENTS).withColumn("tagged_text", F.when(F.col("sequence_no") % 5 == 0, F.regexp_replace("tagged_text", "</[A-Z_]+>", "")).otherwise(F.col("tagged_text")))
+    """Issues of candidates damaged in three ways: closing tags lost, the first entity unlisted, the first look-alike said twice."""
+    rows = samples.render(_demo_packs(spark), runs.DOCUMENTS)
+    n, seeded = F.col("sequence_no") % 5, F.col("sample_type") != "pure_negative"
+    twice = F.concat("tagged_text", F.lit(" Nhắc lại "), F.get("decoys", F.lit(0))["required"][0], F.lit(" "), F.get("decoys", F.lit(0))["value"], F.lit("."))
+    rows = rows.withColumns({
+        "tagged_text": F.when((n == 0) & seeded, F.regexp_replace("tagged_text", "</[A-Z_]+>", "")).when((n == 2) & (F.col("sample_type") == "hard_negative"), twice).otherwise(F.col("tagged_text")),
+        "entities": F.when((n == 1) & seeded, F.slice("entities", 2, 99)).otherwise(F.col("entities")),
+    })
     return samples.validate(rows).select("sequence_no", F.explode_outer("issues").alias("i")).select("sequence_no", "i.type", "i.scope", "i.label", "i.value")
 
 
@@ -389,13 +459,10 @@ def plan_constraints(spark, sf_dir):
 @query(_PLAN_SQL + "select k, name, count(*) as n from (select case k when 'p' then 'positive' when 'n' then 'pure_negative' else 'hard_negative' end as k, unnest(drawn[:budget]) as name from b) group by all")
 def constraint_distribution(spark, sf_dir):
     rows = plan_tasks(spark, runs.demo()).select(F.col("sample_type").alias("k"), F.explode("optional_constraints").alias("name"))
-    return rows.groupBy("k", "name").agg(F.count("*").alias("n"))
+    return audit.frequencies(rows, "k", "name")
 
 
-VARIANTS = {
-    "PERSON": "full_name family_given family_middle_given", "PHONE": "local_compact local_spaced international_spaced", "EMAIL": "dot_local hyphen_local plus_alias",
-    "DATE": "dmy_slash iso_date dmy_hyphen", "ADDRESS": "street apartment building", "GENDER": "default default default", "ZIP_CODE": "default default default",
-}
+VARIANTS = {k: " ".join(v) for k, v in values.FORMAT_VARIANTS.items()}
 
 
 @query("with v(label, names) as (values " + ", ".join(f"('{k}', string_split('{v}', ' '))" for k, v in VARIANTS.items()) + f"""),
@@ -404,7 +471,7 @@ select label, variant, count(*) as n from d group by all""")
 def format_variant_distribution(spark, sf_dir):
     rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in VARIANTS))).alias("label"))
     made = samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label"))
-    return rows.select("label", made["variant"].alias("variant")).groupBy("label", "variant").agg(F.count("*").alias("n"))
+    return samples.with_templates(rows).select("label", made["variant"].alias("variant")).groupBy("label", "variant").agg(F.count("*").alias("n"))
 
 
 NUMBERS_SQL = "(select distinct doc_id, unnest(regexp_extract_all(text, '[0-9]+')) as value from documents)"
@@ -504,11 +571,326 @@ def message_envelopes(spark, sf_dir):
 
 @query()
 def audit_report(spark, sf_dir):
-    accepted, _ = runs.run(spark, runs.demo(num_samples=400))
+    accepted = runs.run(spark, runs.demo(num_samples=400)).accepted
     values = lambda f: F.transform("decoys", lambda d: d[f])
-    rows = accepted.select(F.lit("demo").alias("run_id"), "sequence_no", "tagged_text", "entities", values("value").alias("decoys"), F.col("context_frame_id").alias("frame_id"), values("strategy_id").alias("strategy_ids"), F.col("optional_constraints").alias("constraints"))
+    rows = accepted.select(F.lit("demo").alias("run_id"), "sequence_no", "tagged_text", "entities", values("value").alias("decoys"), F.col("context_frame_id").alias("frame_id"), values("strategy_id").alias("strategy_ids"), F.col("optional_constraints").alias("constraints"), F.col("positives").alias("variants"))
     flat = audit.report(rows)
-    return flat.select("n", "duplicates", "exact_duplicate_rate", "near_duplicate_rate", F.to_json("unique_ratio").alias("unique_ratio"), F.to_json("coverage").alias("coverage"), F.to_json("frames").alias("frames"), F.to_json("strategies").alias("strategies"), F.to_json("constraint_counts").alias("constraints"))
+    return flat.select("n", "duplicates", "exact_duplicate_rate", "near_duplicate_rate", F.to_json("unique_ratio").alias("unique_ratio"), F.to_json("coverage").alias("coverage"), F.to_json("frames").alias("frames"), F.to_json("strategies").alias("strategies"), F.to_json("constraint_counts").alias("constraints"), F.to_json("variant_counts").alias("variants"))
+
+
+@query("""
+with o as (select o_orderkey as k, 'ban.doc' || o_orderkey || '@vi-du.org' as email, '09' || lpad(cast(o_orderkey % 100000000 as varchar), 8, '0') as phone, 'https://vi-du.org/don/' || o_orderkey as url, strftime(o_orderdate, '%d/%m/%Y') as day,
+             lpad(cast(o_orderkey % 24 as varchar), 2, '0') || ':' || lpad(cast(o_orderkey % 60 as varchar), 2, '0') as clock, '10.' || o_orderkey % 256 || '.' || o_custkey % 256 || '.7' as ip, 'USR-' || lpad(cast(o_orderkey as varchar), 6, '0') as account from orders),
+     u as (unpivot o on email, phone, url, day, clock, ip, account into name label value found)
+select k as o_orderkey, case label when 'email' then 'EMAIL' when 'phone' then 'PHONE' when 'url' then 'URL' when 'day' then 'DATE' when 'clock' then 'TIME' when 'ip' then 'IP' else 'ACCOUNT_ID' end as label, found as value from u
+""")
+def seven_detectors(spark, sf_dir):
+    """The first match of each detector in a sentence about each order, past look-alikes that are none."""
+    k, pad = F.col("o_orderkey").cast("string"), lambda x, n: F.lpad(x.cast("string"), n, F.lit("0"))
+    parts = [
+        F.lit("Mã 1234567890123456, ngày 45/13/2024, lúc 27:61, a@b, XUSR-99, 1.2.3.4.5: thư ban.doc"), k, F.lit("@vi-du.org gọi 09"), pad(F.col("o_orderkey") % 100000000, 8), F.lit(" xem https://vi-du.org/don/"), k, F.lit(" ngày "), F.date_format("o_orderdate", "dd/MM/yyyy"),
+        F.lit(" lúc "), pad(F.col("o_orderkey") % 24, 2), F.lit(":"), pad(F.col("o_orderkey") % 60, 2), F.lit(" máy 10."), (F.col("o_orderkey") % 256).cast("string"), F.lit("."), (F.col("o_custkey") % 256).cast("string"), F.lit(".7 mã USR-"), pad(F.col("o_orderkey"), 6), F.lit("!"),
+    ]
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(detect.first_matches(F.concat(*parts))).alias("m"))
+    return rows.select("o_orderkey", "m.label", "m.value")
+
+
+#: A run in which tasks fail in every way, by their number: see the attempt below.
+_FATE_SQL = """
+with f as (select seq, seq % 8 as fate from (select unnest(range(1, 121)) as seq)),
+     r as (select *, case when fate in (1, 2, 3, 5, 6) then 2 else 1 end as attempts, case when fate in (3, 5, 6) then 'REJECTED' when fate = 7 then 'VERIFYING' else 'ACCEPTED' end as status,
+             case fate when 4 then 'FIXED' when 7 then 'VERIFYING' when 3 then 'REGENERATE' when 5 then 'REGENERATE' when 6 then 'REGENERATE' else 'PASS' end as outcome from f)
+"""
+
+
+def _eventful(spark):
+    """120 positive tasks: of eight in turn 0 passes; 1 loses its tags once; 2 is refused by the judge once; 3 never has tags; 4 has an
+    unlisted entity, which the repair mends; 5 is refused always; 6 imitates an example; 7 meets a judge that is down."""
+    config = runs.demo(num_samples=120, minimum_per_label=0, sample_type_distribution={"positive": 1.0, "pure_negative": 0.0, "hard_negative": 0.0}, quality_checks=True, max_regenerate_attempts=1, max_task_replacements=0)
+    fate = F.col("slot_no") % 8
+
+    def attempt(packs, n):
+        rows = samples.render(packs, runs.DOCUMENTS)
+        bare = F.regexp_replace("tagged_text", "</?[A-Z_]+>", "")
+        copied = F.concat(F.lit("Câu mẫu dài để người ta so: "), F.array_join(F.transform("positives", lambda p: F.concat(F.lit("<"), p["label"], F.lit(">"), p["value"], F.lit("</"), p["label"], F.lit(">"))), " "))
+        return rows.withColumns({
+            "tagged_text": F.when((fate == 3) | ((fate == 1) & F.lit(n == 1)), bare).when(fate == 6, copied).otherwise(F.col("tagged_text")),
+            "entities": F.when(fate == 4, F.slice("entities", 2, 99)).otherwise(F.col("entities")),
+        })
+
+    def judge(rows):
+        refused = (fate == 5) | ((fate == 2) & (F.col("attempt_no") == 1))
+        issue = F.array(F.struct(F.lit("UNCLEAR"), F.lit("high"), F.lit("candidate"), F.lit("said so")).cast(verify.ISSUE))
+        status = F.when(fate == 7, "ERROR").when(refused, "REGENERATE").otherwise("PASS")
+        return rows.withColumn("verdict", F.struct(status.alias("status"), F.when(refused, issue).otherwise(F.filter(issue, lambda i: F.lit(False))).alias("issues")))
+
+    def repair(rows):
+        return rows.withColumn("entities", F.transform("positives", lambda p: F.struct(p["label"].alias("label"), p["value"].alias("value"))))
+
+    shot = lambda p: F.array(*(F.struct(F.lit(f"{p}{i}").alias("id"), F.lit(t).alias("expected_tagged_text"), F.lit("").alias("rationale")) for i, t in enumerate(["Câu mẫu dài để người ta so: <X>y</X>", "Khác.", "Nữa."])))
+    taxonomy = spark.createDataFrame([(x,) for x in runs.demo().focus_labels], "code string").select("code", F.lit("d").alias("definition"), F.array(F.lit("r")).alias("rules"), F.struct(shot("p").alias("POSITIVE"), shot("n").alias("PURE_NEGATIVE"), shot("h").alias("HARD_NEGATIVE")).alias("examples"))
+    return runs.run(spark, config, attempt=attempt, taxonomy=taxonomy, judge=judge, repair=repair)
+
+
+@query(_FATE_SQL + """
+select cast(seq as int) as slot_no, status, cast(attempts as int) as attempts, outcome,
+       cast(1 + 3 * attempts + case when fate in (3, 6) then 2 when fate = 1 then 1 else 0 end + case when fate in (0, 1, 4, 7) then 1 when fate in (2, 5) then 2 else 0 end
+            + case fate when 2 then 1 when 5 then 2 else 0 end + case status when 'ACCEPTED' then 2 when 'REJECTED' then 1 else 0 end as bigint) as events from r
+""")
+def run_outcomes(spark, sf_dir):
+    """Status, attempts, last outcome and events of each slot of a run in which tasks fail in every way."""
+    from annolith.sources.events import run_events
+
+    done = _eventful(spark)
+    last = done.attempts.groupBy("task_id").agg(F.count("*").cast("int").alias("attempts"), F.max_by("outcome", "attempt_no").alias("outcome"))
+    told = audit.frequencies(run_events(done, "2026-01-01 00:00:00").withColumnRenamed("causation_id", "task_id"), "task_id").withColumnRenamed("n", "events")
+    return done.tasks.join(last, "task_id").join(told, "task_id").select("slot_no", "status", "attempts", "outcome", "events")
+
+
+@query("""
+select o_orderkey as task_id, case o_orderstatus when 'F' then 'VERIFYING' when 'O' then 'GENERATING' else 'CREATED' end as status,
+  cast(case when nxt <= 3 then nxt end as int) as attempt_no from (select *, coalesce(last, 0) + case when o_orderstatus = 'F' and last is not null then 0 else 1 end as nxt
+  from orders left join (select l_orderkey, max(least(l_linenumber, 4)) as last from lineitem where l_quantity < 20 group by l_orderkey) on l_orderkey = o_orderkey)
+""")
+def resume_attempts(spark, sf_dir):
+    """Where work on each order, as a task, goes on, with its small lines as candidates."""
+    tasks = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("task_id"), F.when(F.col("o_orderstatus") == "F", "VERIFYING").when(F.col("o_orderstatus") == "O", "GENERATING").otherwise("CREATED").alias("status"), F.lit(3).alias("max_attempts"))
+    made = table(spark, sf_dir, "lineitem").where("l_quantity < 20").select(F.col("l_orderkey").alias("task_id"), F.least("l_linenumber", F.lit(4)).alias("attempt_no"))
+    return flow.next_attempt(tasks, made).select("task_id", "status", "attempt_no")
+
+
+@query("select o_orderkey as sequence_no from orders where o_orderstatus <> 'F' order by o_orderkey limit 25")
+def batch_limit(spark, sf_dir):
+    """The first tasks of a batch: the smaller of limit and batch size."""
+    rows = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("sequence_no"), F.when(F.col("o_orderstatus") == "F", "ACCEPTED").otherwise("CREATED").alias("status"))
+    return flow.batch(rows, 40, 25).select("sequence_no")
+
+
+@query("select distinct l_orderkey as task_id, l_linenumber as attempt_no from lineitem where l_orderkey not in (select o_orderkey from orders where o_orderstatus = 'F')")
+def candidate_idempotency(spark, sf_dir):
+    """Lines, delivered twice, as candidates; those of finished orders are known already."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("task_id"), F.col("l_linenumber").alias("attempt_no"))
+    known = rows.join(table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("task_id")), "task_id")
+    return flow.new_candidates(rows.union(rows), known)
+
+
+@query(PACKS_SQL + "select task_id, frame as frame_id, array_to_string(list_transform(coalesce(decoys, []), lambda d: d.id), ',') as strategies, array_to_string(list_transform(coalesce(decoys, []), lambda d: d.value), ',') as decoys from packs")
+def seed_event_join(spark, sf_dir):
+    """Results with the look-alikes and frame that their seed.validated events hold."""
+    packs = _demo_packs(spark)
+    decoys = F.transform("decoys", lambda d: F.struct(d["strategy_id"].alias("strategy_id"), d["value"].alias("value")))
+    events = packs.select(F.lit("seed.validated").alias("event_type"), F.col("task_id").alias("causation_id"), F.concat("task_id", F.lit(":seed")).alias("idempotency_key"), F.to_json(F.struct(F.lit(1).alias("attempt"), F.col("context_frame_id").alias("frame"), decoys.alias("decoys"))).alias("payload"))
+    out = audit.with_seed_events(plan_tasks(spark, runs.demo()).select("task_id"), events)
+    return out.select("task_id", "frame_id", F.array_join("strategy_ids", ",").alias("strategies"), F.array_join("decoys", ",").alias("decoys"))
+
+
+def _rules_sql() -> str:
+    from annolith.plans import rules
+
+    by = lambda rows, c: _map_sql({k: v.replace("'", "''") for k, v in rows.items()}, c)
+    types = "case sample_type " + " ".join("when '{}' then [{}]".format(k, ", ".join("'" + x.replace("'", "''") + "'" for x in v)) for k, v in rules.BY_TYPE.items()) + " end"
+    return TASKS_SQL + f"select cast(seq as int) as sequence_no, array_to_string(list_concat(list_concat({types}, [{by(rules.BY_DIFFICULTY, 'difficulty')}, {by(rules.BY_STRUCTURE, 'document_structure')}, {by(rules.BY_REGISTER, 'language_register')}]), list_transform(drawn[:budget], lambda c: {by(rules.BY_CONSTRAINT, 'c')})), chr(10)) as rules from (select *, case lim when 2 then 'easy' when 4 then 'medium' else 'hard' end as difficulty from tasks)"
+
+
+@query(_rules_sql())
+def prompt_rules(spark, sf_dir):
+    """The rules that a generating model gets for each task of the demo run."""
+    from annolith.plans import rules
+
+    return plan_tasks(spark, runs.demo()).select("sequence_no", F.array_join(rules.task_rules(), "\n").alias("rules"))
+
+
+@query(TASKS_SQL + "select cast(seq as int) as sequence_no, task_id, array_to_string(labels, ',') as labels, frame, case lim when 2 then 'easy' when 4 then 'medium' else 'hard' end as difficulty from tasks")
+def generation_request(spark, sf_dir):
+    """What a generating model is told of each task, read back from the JSON of its messages."""
+    from annolith.plans import rules
+
+    made = rules.generation_messages(_demo_packs(spark)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
+    part = lambda p: F.get_json_object("c", f"$.task.{p}")
+    return made.select("sequence_no", part("task_id").alias("task_id"), F.array_join(F.from_json(part("focus_labels"), "array<string>"), ",").alias("labels"), part("context_frame_id").alias("frame"), part("difficulty").alias("difficulty"))
+
+
+@query(RENDER_SQL + "select cast(seq as int) as sequence_no, tagged_text, cast(coalesce(len(seeds), 0) as int) as seeds, cast(coalesce(len(decoys), 0) as int) as decoys, 0 as issues from rendered")
+def judge_envelope(spark, sf_dir):
+    """What a judging model is told of each candidate, read back from the JSON of its messages."""
+    from annolith.plans import rules
+
+    made = rules.judge_messages(runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo(), 0)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
+    part = lambda p: F.get_json_object("c", f"$.{p}")
+    size = lambda p: F.json_array_length(part(p))
+    return made.select("sequence_no", part("tagged_text").alias("tagged_text"), size("positive_entities").alias("seeds"), size("decoys").alias("decoys"), size("issues").alias("issues"))
+
+
+@query(RENDER_SQL + """
+select cast(seq as int) as sequence_no, case when k <> 'n' and seq % 4 = 1 then 'a seed is not among the entities: ' || seeds[1].label when k <> 'n' and seq % 4 = 2 then 'a seed stands outside its tag: ' || seeds[1].label
+  when k = 'h' and seq % 4 = 3 then 'a look-alike must occur 1 to 1 times: ' || decoys[1].value when k <> 'n' and seq % 4 = 0 then 'a seed must stand once with its tag: ' || seeds[1].label end as error from rendered
+""")
+def seeded_contract(spark, sf_dir):
+    """The first rule of seeds and look-alikes that answers damaged in four ways break."""
+    rows = samples.render(_demo_packs(spark), runs.DOCUMENTS)
+    n, first, lure = F.col("sequence_no") % 4, F.get("positives", F.lit(0)), F.get("decoys", F.lit(0))
+    harmed = (
+        F.when((n == 2) & first.isNotNull(), F.concat("tagged_text", F.lit(" Nhắc "), first["value"], F.lit(".")))
+        .when((n == 3) & lure.isNotNull(), F.concat("tagged_text", F.lit(" Nhắc "), lure["value"], F.lit(".")))
+        .when((n == 0) & first.isNotNull(), F.regexp_replace("tagged_text", "</?[A-Z_]+>", ""))
+        .otherwise(F.col("tagged_text"))
+    )
+    listed = F.when(n == 1, F.slice("entities", 2, 99)).otherwise(F.col("entities"))
+    return rows.select("sequence_no", samples.seeded_contract_error(harmed, listed, F.col("positives"), F.col("decoys")).alias("error"))
+
+
+_VERDICTS = [
+    ('{"status": "PASS", "score": 97, "issues": []}', None), ('{"status": "PASS", "score": 101, "issues": []}', "the score is not 0 to 100"), ("[1]", "the answer is no object"), ('{"status": "PASS", "issues": []}', "the verdict's keys differ"),
+    ('{"status": "PASS", "score": 1, "issues": [], "x": 1}', "the verdict's keys differ"), ('{"status": "MAYBE", "score": 1, "issues": []}', "unknown status"), ('{"status": "REGENERATE", "score": 1, "issues": []}', "no issues"),
+    ('{"status": "FIXABLE", "score": 50, "issues": [{"type": "a", "severity": "low", "field": "f", "reason": "r"}]}', None), ('{"status": "FIXABLE", "score": 50, "issues": [{"type": "a", "severity": "high", "field": "f", "reason": "r"}]}', "FIXABLE needs low severity"),
+    ('{"status": "REJECTED", "score": 0, "issues": [{"type": "a", "severity": "critical", "field": "f", "reason": "r"}]}', None), ('{"status": "REJECTED", "score": 0, "issues": [{"type": "a", "severity": "low", "field": "f"}]}', "an issue's keys differ"),
+    ('{"status": "REJECTED", "score": 0, "issues": [{"type": "a", "severity": "grave", "field": "f", "reason": "r"}]}', "unknown severity"),
+]
+
+
+@query("select event_id, [" + ", ".join("null" if e is None else "'" + e.replace("'", "''") + "'" for _, e in _VERDICTS) + f"][event_id % {len(_VERDICTS)} + 1] as error from events")
+def verdict_contract(spark, sf_dir):
+    """What is wrong with a judge's answer: twelve answers, one to each event in turn."""
+    from annolith.sources.clients import parse_verdict
+
+    answer = F.element_at(F.array(*(F.lit(v) for v, _ in _VERDICTS)), (F.col("event_id") % len(_VERDICTS) + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", parse_verdict(answer)["error"].alias("error"))
+
+
+@query("""
+select event_id, case event_id % 4 when 0 then 'ok ' || event_id when 1 then 'ok ' || event_id end as raw, case event_id % 4 when 2 then 'HTTP 400: bad' when 3 then 'HTTP 503: down' end as call_error, cast(case event_id % 4 when 0 then 1 when 1 then 3 when 2 then 1 else 4 end as int) as calls from events
+""")
+def model_calls(spark, sf_dir):
+    """Calls to a stand-in model by event: at once, at the third try, refused for good, and down all the time."""
+    from annolith.sources.clients import answers
+
+    def connect():
+        tries: dict[str, int] = {}
+
+        def send(body: str) -> tuple[int, str]:
+            kind, tries[body] = int(body) % 4, tries.get(body, 0) + 1
+            if kind == 0 or (kind == 1 and tries[body] == 3):
+                return 200, f"ok {body}"
+            if kind == 1:
+                raise OSError("no route")
+            return (400, "bad") if kind == 2 else (503, "down")
+
+        return send
+
+    rows = table(spark, sf_dir, "events").select("event_id")
+    return answers(rows, F.col("event_id").cast("string"), connect, wait=lambda s: None).select("event_id", "raw", "call_error", "calls")
+
+
+@query("""
+select conv_id, turn, case turn % 3 when 0 then 'E' || turn || ': broken [REDACTED] here' when 1 then 'plain [REDACTED] text' else '' end as detail from conversations
+""")
+def error_details(spark, sf_dir):
+    """Error messages out of the bodies of failed calls, without the secret."""
+    from annolith.sources.clients import error_detail
+
+    nested = F.concat(F.lit('{"error": {"code": "E'), F.col("turn"), F.lit('", "message": "broken   s3cr3t\\n here"}}'))
+    body = F.when(F.col("turn") % 3 == 0, nested).when(F.col("turn") % 3 == 1, "plain s3cr3t   text").otherwise("")
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", error_detail(body, ["s3cr3t"]).alias("detail"))
+
+
+@query("""
+select event_id, quality, case status when 'PASS' then case when quality then 'JUDGE' else 'ACCEPT' end when 'FIXABLE' then case when quality then 'REPAIR' else 'REGENERATE' end when 'REJECTED' then 'REJECT' else 'REGENERATE' end as step
+from (select event_id, ['PASS', 'FIXABLE', 'REJECTED', 'REGENERATE'][event_id % 4 + 1] as status, event_id % 3 = 0 as quality from events)
+""")
+def gate_steps(spark, sf_dir):
+    """What follows a candidate's route, with and without quality checks."""
+    status = F.element_at(F.array(*(F.lit(x) for x in ("PASS", "FIXABLE", "REJECTED", "REGENERATE"))), (F.col("event_id") % 4 + 1).cast("int"))
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 3 == 0).alias("quality"), status.alias("status"))
+    return rows.select("event_id", "quality", F.when(F.col("quality"), flow.gate(F.col("status"), True)).otherwise(flow.gate(F.col("status"), False)).alias("step"))
+
+
+@query("""
+select event_id, case when st = 'PASS' and sev <> '' then 'PASS with issues' when st <> 'PASS' and sev = '' then 'no issues' when st = 'FIXABLE' and sev <> 'low' then 'FIXABLE needs low severity' when st = 'REJECTED' and sev <> 'critical' then 'REJECTED needs a critical issue' end as error
+from (select event_id, ['PASS', 'FIXABLE', 'REJECTED', 'REGENERATE'][event_id % 4 + 1] as st, ['', 'low', 'critical'][event_id // 4 % 3 + 1] as sev from events)
+""")
+def decision_consistency(spark, sf_dir):
+    """Verdicts that contradict their issues."""
+    status = F.element_at(F.array(*(F.lit(x) for x in ("PASS", "FIXABLE", "REJECTED", "REGENERATE"))), (F.col("event_id") % 4 + 1).cast("int"))
+    found = F.element_at(F.array(F.array().cast("array<string>"), F.array(F.lit("low")), F.array(F.lit("critical"))), (F.floor(F.col("event_id") / 4) % 3 + 1).cast("int"))
+    return table(spark, sf_dir, "events").select("event_id", flow.decision_error(status, found).alias("error"))
+
+
+@query("select label, count(*) as strategies, count(distinct family) as families, count(distinct id) = count(*) as distinct_ids from (values " + ", ".join(f"('{label}', '{family}', '{name}')" for name, label, family, *_ in registry()) + ") s(label, family, id) group by label")
+def strategy_registry(spark, sf_dir):
+    """Look-alike strategies by label: three each, of two families at least."""
+    return strategies(spark).groupBy("label").agg(F.count("*").alias("strategies"), F.count_distinct("family").alias("families"), (F.count_distinct("strategy_id") == F.count("*")).alias("distinct_ids"))
+
+
+@query(f"""
+with s(label, strategy_id, parts, regex) as (values {", ".join(f"('{label}', '{name}', {templates.sql_parts(parts)}, $re${regex}$re$)" for name, label, _, _, _, regex, *_, parts in registry())})
+select strategy_id, c_custkey, value, regexp_matches(value, regex) as fits from (select *, {templates.sql_drawn("parts", "'9', strategy_id, c_custkey::varchar")} as value from s, (select c_custkey from customer where c_custkey <= 20))
+""")
+def strategy_values(spark, sf_dir):
+    """Look-alikes of every strategy, each held against its strategy's pattern."""
+    keys = table(spark, sf_dir, "customer").where("c_custkey <= 20").select("c_custkey")
+    rows = keys.join(F.broadcast(strategies(spark)))  # 132 strategies
+    rows = rows.select("strategy_id", "c_custkey", "value_regex", templates.drawn(F.col("parts"), 9, F.col("strategy_id"), F.col("c_custkey").cast("string")).alias("value"))
+    return rows.select("strategy_id", "c_custkey", "value", F.regexp("value", F.col("value_regex")).alias("fits"))
+
+
+@query(TASKS_SQL + f"select cast(seq as int) as sequence_no, {_CONTENT[0]} as action, {_CONTENT[1]} as object from tasks where k = 'n'")
+def content_seeds(spark, sf_dir):
+    """Action and object that samples without any entity are written about."""
+    return _demo_packs(spark).where("sample_type = 'pure_negative'").select("sequence_no", "content_seeds.action", "content_seeds.object")
+
+
+@query("""
+with t as (select c_custkey, count(distinct cast('0x' || substr(md5(concat_ws('|', '5', c_custkey::varchar, 'GENDER', n::varchar, '0')), 1, 15) as bigint) % 3) as n from customer, (select unnest(range(0, 10)) as n) group by c_custkey)
+select c_custkey, cast(c_custkey % 4 + 1 as int) as n_labels, cast(least(c_custkey % 4 + 1, n) as int) as n_values from t
+""")
+def unique_seed_values(spark, sf_dir):
+    """Values for one to four seeds of a label that has three: none is kept twice, and ten draws are made for each."""
+    labels = F.array_repeat(F.lit("GENDER"), (F.col("c_custkey") % 4 + 1).cast("int"))
+    rows = samples.with_templates(table(spark, sf_dir, "customer")).select("c_custkey", F.size(labels).alias("n_labels"), _distinct_genders(labels).alias("made"))
+    return rows.select("c_custkey", "n_labels", F.size(F.array_distinct(F.transform("made", lambda m: m["value"]))).alias("n_values"))
+
+
+def _distinct_genders(labels):
+    return samples.positive_seeds(labels, 5, F.col("c_custkey").cast("string"))
+
+
+@query(f"""
+with t as (select doc_id, regexp_replace(text, '[<>]', ' ', 'g') as clean, regexp_extract(text, {EMAIL_SQL}) as v from documents where regexp_matches(text, {EMAIL_SQL})), p as (select *, instr(clean, v) as pos from t)
+select doc_id, v as value, regexp_replace(substr(clean, greatest(pos - 40, 1), pos + length(v) + 40 - greatest(pos - 40, 1)), '^[ \\t\\n\\x0B\\f\\r]+|[ \\t\\n\\x0B\\f\\r]+$', '', 'g') as context from p
+""")
+def window_contexts(spark, sf_dir):
+    """Forty characters on either side of a document's first e-mail address."""
+    rows = table(spark, sf_dir, "documents").where(F.col("text").rlike(detect.DETECTORS["EMAIL"])).withColumn("value", F.regexp_extract("text", detect.DETECTORS["EMAIL"], 0))
+    return rows.select("doc_id", "value", tags.window_context(F.regexp_replace("text", "[<>]", " "), F.col("value"), 40).alias("context"))
+
+
+@query("""
+select event_id, case event_id % 5 when 1 then 'nested, unknown or malformed tag' when 2 then 'label is not allowed' when 3 then 'metadata differs from tags' when 4 then 'text is empty' end as error from events
+""")
+def format_errors(spark, sf_dir):
+    """Why tagged texts can't become spans: five kinds, one to each event in turn."""
+    texts = ["Giờ <TIME>09:00</TIME>.", "Giờ <TIME>09:00</DATE>.", "Ngày <DATE>1/1/2020</DATE>.", "Giờ <TIME>10:00</TIME>.", "  "]
+    said = F.element_at(F.array(*(F.lit(t) for t in texts)), (F.col("event_id") % 5 + 1).cast("int"))
+    listed = F.when(F.col("event_id") % 5 == 4, F.array().cast("array<struct<label:string,value:string>>")).when(F.col("event_id") % 5 == 2, F.array(F.struct(F.lit("DATE").alias("label"), F.lit("1/1/2020").alias("value")))).otherwise(F.array(F.struct(F.lit("TIME").alias("label"), F.lit("09:00").alias("value"))))
+    return table(spark, sf_dir, "events").select("event_id", tags.format_error(said, listed, F.array(F.lit("TIME"))).alias("error"))
+
+
+@query("""
+select 'json-taxonomy' as run_name, 7 as num_samples, 'DATE,TIME' as labels, 1.0::double as hard_negative, 'azure/gpt-4o' as generator_model, 'https://x.test' as base_url, 'k' as api_key, 2500 as max_tokens
+""")
+def settings_and_flags(spark, sf_dir):
+    """A configuration from flags and settings from KEY=VALUE text, as a row."""
+    from annolith.sources.settings import flags_config, read_settings
+
+    c, s = flags_config(["--focus-labels", "date, TIME", "--samples", "7", "--hard-negative"]), read_settings("# note\nLLM_API_KEY='k'\nBASE_URL=https://x.test/\n", {})
+    row = (c.run_name, c.num_samples, ",".join(c.focus_labels), c.sample_type_distribution["hard_negative"], s.generator_model, s.base_url, s.api_key, s.max_tokens)
+    return spark.createDataFrame([row], "run_name string, num_samples int, labels string, hard_negative double, generator_model string, base_url string, api_key string, max_tokens int")
+
+
+@query()
+def frames_least_used(spark, sf_dir):
+    """Use of the frames by a run that takes the least used one each time."""
+    return audit.frequencies(plan_tasks(spark, runs.demo(frame_policy="least_used")), "context_frame_id")
 
 
 def queries() -> dict:

@@ -5,16 +5,23 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """df written to spark.checkpoint.dir (one of our own where that is unset, as in tests) and read back."""
-    spark = df.sparkSession
-    found = spark.conf.get("spark.checkpoint.dir", None)
+def folder(spark: SparkSession) -> str:
+    """spark.checkpoint.dir of the session or its context. A local master, which has no other machine, may go without."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='annolith-')}"
         spark.conf.set("spark.checkpoint.dir", found)
-    path = f"{found.rstrip('/')}/round-{uuid.uuid4().hex}"
+    return found.rstrip("/")
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """df written to the shared folder and read back."""
+    spark = df.sparkSession
+    path = f"{folder(spark)}/round-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

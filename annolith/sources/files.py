@@ -27,7 +27,7 @@ def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
     ]
     rows = rows.withColumn("errors", F.array_distinct(F.filter(F.array(*errors), lambda e: e.isNotNull())))
     twice = rows.groupBy("LABEL").agg(F.count("*").alias("n")).where("n > 1").select("LABEL", F.lit(True).alias("twice"))
-    rows = rows.join(F.broadcast(twice), "LABEL", "left").withColumn("errors", F.when(F.col("twice"), F.array_append("errors", F.lit("label repeats"))).otherwise(F.col("errors")))
+    rows = rows.join(twice, "LABEL", "left").withColumn("errors", F.when(F.col("twice"), F.array_append("errors", F.lit("label repeats"))).otherwise(F.col("errors")))
     return rows.select(F.col("LABEL").alias("code"), F.col("DEFINITION").alias("definition"), F.col("RULE").alias("rules"), F.col("EXAMPLES").alias("examples"), "errors")
 
 
@@ -57,12 +57,16 @@ def parse_config(text: str) -> RunConfig:
 
 
 def write_dataset(samples: DataFrame, path: str, name: str, partial: bool = False) -> str:
-    """Samples (text, entities) as JSON lines below path, committed by Spark's job commit; the final write supersedes a partial one."""
+    """Samples (text, entities) as JSON lines below path, committed by Spark's job commit; the final write, once done, removes the partial one."""
     from annolith.functions.text import file_stem
 
-    stem = samples.sparkSession.range(1).select(file_stem(F.lit(name))).first()[0]
-    target = f"{path.rstrip('/')}/{stem}.{'partial' if partial else 'final'}"
+    spark = samples.sparkSession
+    stem = spark.range(1).select(file_stem(F.lit(name))).first()[0]
+    target, other = (f"{path.rstrip('/')}/{stem}.{kind}" for kind in (("partial", "final") if partial else ("final", "partial")))
     samples.write.mode("overwrite").json(target)
+    if not partial:
+        old = spark._jvm.org.apache.hadoop.fs.Path(other)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return target
 
 

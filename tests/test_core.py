@@ -112,7 +112,7 @@ def test_least_used_frame_is_balanced(spark):
 
 
 def test_entity_values_are_valid_and_varied(spark):
-    rows = spark.range(100).crossJoin(catalog.labels(spark)).select("label", samples.entity_value(F.col("label"), 5, F.col("id").cast("string"), F.col("label")).alias("m"))
+    rows = samples.with_templates(spark.range(100).crossJoin(catalog.labels(spark))).select("label", samples.entity_value(F.col("label"), 5, F.col("id").cast("string"), F.col("label")).alias("m"))
     got = rows.groupBy("label").agg(F.min(detect.valid_format(F.col("label"), F.col("m.value"))).alias("ok"), F.count_distinct("m.value").alias("n"), F.count_distinct("m.variant").alias("variants")).collect()
     by = {r.label: r for r in got}
     assert len(by) == 44 and all(r.ok for r in got)
@@ -152,14 +152,7 @@ def test_routing(spark):
     assert r("decoy_context_unclear") == ("REGENERATE", "high") and r("credential_risk") == ("REJECTED", "critical") and r("invalid_output") == ("REGENERATE", "high")
 
 
-def test_rounds_and_replacements(spark):
-    from annolith.shared import cut
-
-    tasks = spark.range(6).select(F.col("id").alias("task"))
-    issue = F.array(F.struct(F.lit("x").alias("type")))
-    attempt = lambda df, n: df.withColumn("issues", F.when(F.col("task") < 2 * n, F.filter(issue, lambda i: F.lit(False))).otherwise(issue))
-    ok, bad = flow.attempt_rounds(tasks, attempt, 2, cut)
-    assert sorted((r.task, r.attempt_no) for r in ok.collect()) == [(0, 1), (1, 1), (2, 2), (3, 2)] and sorted(r.task for r in bad.collect()) == [4, 5]
+def test_replacement_tasks(spark):
     lost = spark.createDataFrame([("r", "a", 1, 1, 0, 5, "REJECTED"), ("r", "b", 2, 2, 1, 6, "REJECTED")], "run_id string, task_id string, sequence_no int, slot_no int, replacement_no int, task_seed long, status string")
     new, spent = flow.replacements(lost, 10, 1)
     n = new.first()
@@ -174,12 +167,20 @@ def test_audit_numbers(spark):
     assert (d.n, d.duplicates) == (3, 1)
 
 
-def test_run_formats_and_writes(spark, tmp_path):
-    ok, bad = runs.run(spark, runs.demo(num_samples=60, minimum_per_label=2))
+@pytest.fixture(scope="module")
+def demo_run(spark):
+    return runs.run(spark, runs.demo(num_samples=60, minimum_per_label=2))
+
+
+def test_run_formats_and_writes(spark, tmp_path, demo_run):
+    ok, bad = demo_run
     assert ok.count() + bad.count() == 60 and bad.count() == 0
     assert ok.where(~tags.spans_hold(F.col("formatted.text"), F.col("formatted.entities"))).count() == 0
-    path = write_dataset(ok.select("formatted.text", "formatted.entities"), str(tmp_path), "../my run")
-    assert path.endswith("my_run.final") and spark.read.json(path).count() == 60
+    out = ok.select("formatted.text", "formatted.entities")
+    early = write_dataset(out.limit(5), str(tmp_path), "../my run", partial=True)
+    assert early.endswith("my_run.partial") and spark.read.json(early).count() == 5
+    path = write_dataset(out, str(tmp_path), "../my run")
+    assert path.endswith("my_run.final") and spark.read.json(path).count() == 60 and not (tmp_path / "my_run.partial").exists()
 
 
 def test_taxonomy(spark, tmp_path):
@@ -209,25 +210,27 @@ def test_replacements_fill_slots_with_new_tasks(spark):
     from annolith.shared import cut
 
     config = runs.demo(num_samples=20, minimum_per_label=1, max_regenerate_attempts=1, max_task_replacements=2)
-    issue = F.array(F.struct(F.lit("x").alias("type"), F.lit("SEEDS").alias("scope"), F.lit("r").alias("reason"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("value")).cast(samples.ISSUE))
     good = lambda n: (F.col("slot_no") > 4) | (F.col("slot_no") > 1) & (F.col("replacement_no") == 2) & F.lit(n == 2)
 
-    def attempt(left, n):
-        rows = runs.candidates(spark, left, config, F.col("seed_attempt"))
-        return rows.withColumn("issues", F.when(good(n), F.filter("issues", lambda i: F.lit(False))).otherwise(issue))
+    def attempt(packs, n):
+        rows = samples.render(packs, runs.DOCUMENTS)
+        return rows.withColumn("tagged_text", F.when(good(n), F.col("tagged_text")).otherwise(F.concat("tagged_text", F.lit(" </X>"))))
 
-    ok, lost = runs.run(spark, config, cut, attempt)
+    done = runs.run(spark, config, cut, attempt)
+    ok, lost = done
     rows = {r.slot_no: r for r in ok.collect()}
-    assert sorted(rows) == list(range(2, 21)) and [r.slot_no for r in lost.collect()] == [1]
-    assert all(rows[s].replacement_no == 2 and rows[s].seed_attempt == 2 and rows[s].sequence_no > 24 and rows[s].parent_task_id for s in (2, 3, 4))
+    assert sorted(rows) == list(range(2, 21)) and [r.slot_no for r in lost.collect()] == [1] and done.status == "FAILED"
+    assert all(rows[s].replacement_no == 2 and rows[s].attempt_no == 2 and rows[s].sequence_no > 24 and rows[s].parent_task_id and rows[s].reflection.mandatory_repairs for s in (2, 3, 4))
     first = {r.slot_no: r for r in plan_tasks(spark, config).collect()}
     assert all(rows[s].focus_labels == first[s].focus_labels and rows[s].task_id != first[s].task_id for s in (2, 3, 4))
+    status = {(r.slot_no, r.replacement_no): r.status for r in done.tasks.collect()}
+    assert len(status) == 20 + 2 * 4 and status[1, 2] == "REJECTED" and status[2, 0] == "REJECTED" and status[2, 2] == status[9, 0] == "ACCEPTED"
 
 
 def test_regeneration_scopes(spark):
     tasks = plan_tasks(spark, runs.demo(num_samples=3, minimum_per_label=0)).withColumns({"seed_attempt": F.lit(1), "attempt_no": F.lit(1)})
     scopes = F.element_at(F.array(F.lit("TEXT"), F.lit("CONTEXT"), F.lit("SEEDS")), F.col("sequence_no"))
-    rows = tasks.withColumns({"issues": F.array(F.struct(scopes.alias("scope"))), "was": F.col("context_frame_id")})
+    rows = tasks.withColumns({"issues": F.array(F.struct(F.lit("x").alias("type"), scopes.alias("scope"), F.lit("why").alias("reason"))), "was": F.col("context_frame_id")})
     got = {r.sequence_no: r for r in runs.regenerate(rows, 1).collect()}
     assert [got[i].seed_attempt for i in (1, 2, 3)] == [1, 1, 2] and [got[i].context_frame_id != got[i].was for i in (1, 2, 3)] == [False, True, False]
 
@@ -295,7 +298,7 @@ def test_guidance(spark):
     assert m[0].content == "s" and m[1].content == '{"x":null,"r":{"mandatory_repairs":["why"],"must_not_repeat":[{"type":"t","reason":"why"}]}}'
 
 
-def test_exchange(spark, tmp_path):
+def test_exchange(spark, tmp_path, demo_run):
     import json
 
     from annolith.sources import exchange
@@ -316,8 +319,8 @@ def test_exchange(spark, tmp_path):
     assert answer({"tagged_text": " ", "entities": []}).error == "no tagged_text" and answer({"tagged_text": "x", "entities": 1}).error == "entities is no list"
     assert one(spark, exchange.parse_answer(F.col("a")), a="{}").error and answer({"tagged_text": "[x] y", "entities": []}).tagged_text == "[x] y"
     assert [one(spark, exchange.api_style(F.col("u")), u=u) for u in ("https://x.OpenAI.azure.com/v1", "https://api.x.test", "junk")] == ["azure", "openai", "openai"]
-    ok, lost = runs.run(spark, runs.demo(num_samples=10, minimum_per_label=1))
-    assert tuple(exchange.run_summary(ok, lost, 10).first()) == ("COMPLETED", 10, 0, 800, 400) and exchange.result_events(ok).count() == 10
+    ok, lost = demo_run
+    assert tuple(exchange.run_summary(ok, lost, 60).first()) == ("COMPLETED", 60, 0, 4800, 2400) and exchange.result_events(ok).count() == 60
     flat = flow.accepted_samples(spark.createDataFrame([("a", 2, 0, "ACCEPTED"), ("b", 1, 1, "ACCEPTED"), ("c", 1, 0, "REJECTED")], "task_id string, slot_no int, replacement_no int, status string").withColumn("sequence_no", F.lit(9)), spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "task_id string, x int"))
     assert [r.x for r in flat.collect()] == [2, 1]
 
@@ -339,3 +342,163 @@ def test_imitation(spark):
     rows = spark.createDataFrame([(1, "Hẹn <DATE>1/2/2020</DATE> ở quán", ["khác hẳn hoàn toàn", "Hẹn <DATE>3/4/2021</DATE> ở quán"]), (2, "xyz", ["Hẹn gặp ở quán"]), (3, "a b c", ["a b c", "a b c"])], "k int, t string, e array<string>")
     got = {x.k: x for x in audit.imitation(rows, "t", "e").collect()}
     assert got[1].imitates and got[1].closest == 1 and got[1].sequence == 1.0 and not got[2].imitates and got[3].closest == 0
+
+
+def test_imitation_keeps_every_row(spark):
+    rows = spark.createDataFrame([(1, "a", []), (1, "a", []), (2, "b", None), (3, None, ["x"])], "k int, t string, e array<string>")
+    got = audit.imitation(rows, "t", "e").collect()
+    assert sorted(x.k for x in got) == [1, 1, 2, 3] and not any(x.imitates for x in got) and all((x.closest is None) == (x.k < 3) for x in got)
+
+
+def test_near_duplicates_over_block_borders(spark, monkeypatch):
+    """Blocks of ten rows and a window of four give what one block gives; other columns and repeated rows stay."""
+    import random
+
+    r = random.Random(5)
+    rows = [("r", i // 2, "".join(r.choice("abc ") for _ in range(r.randrange(3, 9))), i) for i in range(70)] + [("r", 3, "abc abc", 99), ("r", 3, "abc abc", 98), ("q", 1, None, 97)]
+    frame = spark.createDataFrame(rows, "run string, n int, t string, extra int")
+    want = {x.extra: x.best_ratio for x in audit.near_duplicates(frame, "run", "n", "t", 0.7, 4).collect()}
+    monkeypatch.setattr(audit, "BLOCK", 10)
+    got = {x.extra: x.best_ratio for x in audit.near_duplicates(frame, "run", "n", "t", 0.7, 4).collect()}
+    assert len(want) == len(rows) and {k: v for k, v in got.items() if k < 90} == {k: v for k, v in want.items() if k < 90} and any(want.values())
+
+
+def test_strategies_are_varied_and_sound(spark):
+    from annolith.plans import strategies
+
+    found = strategies.registry()
+    by = {x: [r for r in found if r[1] == x] for x in catalog.LABELS}
+    assert len(found) == 132 and len({r[0] for r in found}) == 132 and all(len(v) == 3 and len({r[2] for r in v}) >= 2 for v in by.values())
+    rows = spark.createDataFrame([(r[0], r[1], r[5], r[10], k) for r in found for k in range(30)], strategies.SCHEMA.split(",")[0] + f", label string, value_regex string, parts array<{strategies.templates.PART}>, k int")
+    made = rows.select("label", "value_regex", strategies.templates.drawn(F.col("parts"), "t", F.col("strategy_id"), F.col("k").cast("string")).alias("v"))
+    assert made.where(~F.regexp("v", F.col("value_regex"))).count() == 0
+    assert made.where(F.size(F.array_except(detect.structured_labels(F.col("v")), F.array("label"))) > 0).count() == 0
+    assert made.where(F.col("v").rlike(r"(?i)^[a-z_]+-\d+(?:-beta)?$")).count() == 0
+
+
+def _pack(spark, **k):
+    base = {"sample_type": "hard_negative", "focus_labels": ["DATE"], "positives": [("DATE", "21/10/2026", "x")], "decoys": [("date_as_column_name", "DATE", "cot_date_A12", ["c"], [], ["DATE"], [])], "content_seeds": None} | k
+    schema = "sample_type string, focus_labels array<string>, positives array<struct<label:string,value:string,variant:string>>, decoys array<struct<strategy_id:string,label:string,value:string,required:array<string>,forbidden:array<string>,negative_labels:array<string>,collision_labels:array<string>>>, content_seeds struct<role:string,action:string,object:string>"
+    return spark.createDataFrame([tuple(base.values())], schema)
+
+
+def test_seed_pack_check(spark):
+    from annolith.plans.strategies import strategies
+
+    table = strategies(spark)
+    types = lambda only=False, low=1, high=1, **k: [i.type for i in samples.seed_pack_issues(_pack(spark, **k), table, only, low, high).first().pack_issues]
+    lure = lambda **k: [tuple(({"strategy_id": "date_as_column_name", "label": "DATE", "value": "cot_date_A12", "required": ["c"], "forbidden": [], "negative_labels": ["DATE"], "collision_labels": []} | k).values())]
+    assert types() == []
+    assert types(positives=[("DATE", "32/10/2026", "x")]) == ["malformed_seed"] and types(positives=[]) == ["missing_positive_seed"]
+    assert types(positives=[("DATE", "21/10/2026", "x"), ("TIME", "09:00", "x")]) == ["invalid_seed"]
+    assert types(positives=[("DATE", "cot_date_A12", "x")]) == ["malformed_seed", "invalid_seed"]
+    assert types(decoys=[]) == ["unsupported_decoy"] and types(decoys=lure() * 2) == ["unsupported_decoy"] and types(low=0, decoys=[]) == []
+    assert types(decoys=lure(strategy_id="none")) == ["unsupported_decoy"] and types(decoys=lure(value="cot_date_Z1")) == ["malformed_seed"]
+    assert types(decoys=lure(required=[])) == ["unsupported_decoy"] and types(decoys=lure(negative_labels=["TIME"])) == ["invalid_seed"] and types(decoys=lure(negative_labels=["DATE", "NOPE"])) == ["invalid_seed"]
+    assert "taxonomy_collision" in types(decoys=lure(value="1234")) and "taxonomy_collision" in types(decoys=lure(value="1234", negative_labels=["DATE", "CVV", "PIN"], collision_labels=["PIN"]))
+    assert "unsupported_decoy" in types(decoys=lure(value="date-12")) and "unsupported_decoy" in types(focus_labels=["TIME"], positives=[("TIME", "09:00", "x")])
+    assert types(True) == ["invalid_seed"] and types(True, positives=[]) == [] and types(True, positives=[], focus_labels=["DATE", "TIME"]) == ["unsupported_decoy"]
+    assert types(sample_type="positive") == ["invalid_seed"]
+    pure = {"sample_type": "pure_negative", "positives": [], "decoys": []}
+    assert types(**pure, content_seeds=("ai", "ghi", "sổ")) == [] and types(**pure) == ["invalid_seed"] and types(**pure, content_seeds=("ai", "gọi", "0912345678")) == ["malformed_seed"]
+    assert types(**pure | {"decoys": lure()}, content_seeds=("ai", "ghi", "sổ")) == ["invalid_seed"]
+
+
+def test_seed_packs_hold_as_many_look_alikes_as_asked(spark):
+    from annolith.plans.strategies import strategies
+
+    kinds = {"positive": 0.0, "pure_negative": 0.5, "hard_negative": 0.5}
+    for mode, low, high in (("mixed_contrastive", 1, 3), ("decoy_only", 2, 2)):
+        config = runs.demo(num_samples=60, minimum_per_label=0, sample_type_distribution=kinds, hard_negative_mode=mode, min_decoys=low, max_decoys=high)
+        packs = samples.seed_packs(plan_tasks(spark, config), strategies(spark), 1, 0, mode == "decoy_only", low, high)
+        rows = samples.seed_pack_issues(packs, strategies(spark), mode == "decoy_only", low, high).collect()
+        assert not any(r.pack_issues for r in rows)
+        hard = [r for r in rows if r.sample_type == "hard_negative"]
+        assert {len(r.decoys) for r in hard} == set(range(low, high + 1)) and all(len({d.strategy_id for d in r.decoys}) == len(r.decoys) for r in hard)
+        assert all(bool(r.positives) == (mode == "mixed_contrastive") for r in hard)
+        assert len({(r.content_seeds.action, r.content_seeds.object) for r in rows if r.sample_type == "pure_negative"}) >= 10
+
+
+def test_seed_rounds_draw_unfit_packs_anew(spark, monkeypatch):
+    from annolith.shared import cut
+
+    tasks = plan_tasks(spark, runs.demo(num_samples=10, minimum_per_label=1)).withColumns({"seed_attempt": F.lit(1)})
+    real = samples.seed_pack_issues
+
+    def picky(packs, *rest):  # packs whose first value has an odd digit last are refused
+        bad = F.get("positives", F.lit(0))["value"].rlike("[13579]$")
+        rows = real(packs, *rest)
+        issue = F.array(F.struct(F.lit("malformed_seed"), F.lit("SEEDS"), F.lit("odd"), F.lit(None).cast("string"), F.lit(None).cast("string")).cast(samples.ISSUE))
+        return rows.withColumn("pack_issues", F.when(F.coalesce(bad, F.lit(False)), issue).otherwise(F.col("pack_issues")))
+
+    monkeypatch.setattr(samples, "seed_pack_issues", picky)
+    fit, refused, unfit = runs.seed_rounds(tasks, runs.demo(max_seed_pack_attempts=3), cut)
+    assert fit.count() + unfit.count() == 10 and refused.count() > 0 and {r.seed_try for r in fit.collect()} != {1}
+    assert all(not (r.positives and r.positives[0].value[-1] in "13579") for r in fit.collect())
+
+
+def test_novelty_inside_a_run(spark):
+    """A generator that repeats itself: with enforce one sample is accepted, with audit all are, and each says what it resembles."""
+    config = runs.demo(num_samples=4, minimum_per_label=0, sample_type_distribution={"positive": 0.0, "pure_negative": 1.0, "hard_negative": 0.0}, quality_checks=True, max_regenerate_attempts=0, max_task_replacements=0)
+    same = lambda packs, n: samples.render(packs, runs.DOCUMENTS).withColumn("tagged_text", F.lit("Cùng một câu."))
+    strict = runs.run(spark, runs.dataclasses.replace(config, novelty_mode="enforce"), attempt=same)
+    assert strict.accepted.count() == 1 and strict.status == "FAILED" and {i.type for r in strict.lost.collect() for i in r.issues} == {"duplicate_sentence_skeleton"}
+    loose = runs.run(spark, config, attempt=same)
+    assert loose.accepted.count() == 4 and loose.status == "COMPLETED" and sorted(r.novelty.max_similarity for r in loose.accepted.collect()) == [0.0, 1.0, 1.0, 1.0]
+
+
+def test_limit_counts_accepted_samples_and_judging_resumes(spark):
+    from annolith.operators.verify import ISSUE
+    from annolith.sources.clients import offline_judge, offline_repair
+
+    config = runs.demo(num_samples=12, minimum_per_label=0, quality_checks=True, batch_size=5, max_regenerate_attempts=0, max_task_replacements=0)
+    down = lambda df: df.withColumn("verdict", F.struct(F.when(F.col("sequence_no") == 2, "ERROR").otherwise("PASS").alias("status"), F.array().cast(f"array<{ISSUE}>").alias("issues")))
+    done = runs.run(spark, config, judge=down, limit=4)
+    assert done.status == "RUNNING" and done.accepted.count() == 4 and [r.sequence_no for r in done.waiting.collect()] == [2]
+    again = runs.resume(done, offline_judge, offline_repair).collect()
+    assert [(r.sequence_no, r.outcome, r.attempt_no) for r in again] == [(2, "PASS", 1)]
+    cost = flow.usage_by_slot(flow.ledger(done.attempts), ["run_id", "slot_no"]).collect()
+    assert {r.total_tokens for r in cost} == {120} and {r.money_cost for r in cost} == {Decimal("0.00060000")}
+
+
+def test_frame_selection(spark):
+    from annolith.plans.planner import select_frame
+
+    pick = lambda preferred, *labels: one(spark, select_frame(F.lit(preferred), F.array(*(F.lit(x) for x in labels)), 1, F.lit("k")))
+    assert pick("travel_booking", "PASSPORT") == "travel_booking" and pick("delivery_request", "PASSPORT") in {k for k, v in catalog.FRAMES.items() if "PASSPORT" in v[4]} and pick("travel_booking", "NOPE") is None
+    rows = plan_tasks(spark, runs.demo(num_samples=300, minimum_per_label=0, focus_labels=["DATE", "TIME"], frame_policy="least_used")).collect()
+    counts = {k: sum(r.context_frame_id == k for r in rows) for k in catalog.FRAMES}
+    assert max(counts.values()) - min(counts.values()) <= 1
+    by: dict = {}
+    for r in plan_tasks(spark, runs.demo(num_samples=300, minimum_per_label=0, focus_labels=["DATE", "TIME", "PASSPORT"])).collect():
+        by.setdefault(tuple(sorted(r.focus_labels)), []).append(r.context_frame_id)
+    assert all(max(v.count(f) for f in v) - min(v.count(f) for f in set(v)) <= 1 for v in by.values())
+
+
+def test_events_append_and_read(spark, tmp_path, demo_run):
+    from annolith.sources.events import TYPES, run_events
+    from annolith.sources.files import append_events, read_events
+
+    found = run_events(demo_run, "2026-01-01 00:00:00")
+    append_events(found, str(tmp_path / "e"))
+    append_events(found.limit(0), str(tmp_path / "e"))
+    rows = read_events(spark, str(tmp_path / "e"), "demo").collect()
+    assert len(rows) == len({r.event_id for r in rows}) == 2 + 6 * 60 and {r.event_type for r in rows} <= set(TYPES) and "run.completed" in {r.event_type for r in rows}
+    assert read_events(spark, str(tmp_path / "e"), "other").count() == 0
+
+
+def test_settings():
+    from annolith.sources.settings import read_settings
+
+    s = read_settings("API_VERSION='v'\nMODEL=m", {"OPENAI_API_KEY": "k", "BASE_URL": "https://h/", "MODEL": "own", "VERIFIER_MODEL": "judge"})
+    assert (s.model, s.generator_model, s.verifier_model, s.api_version, s.base_url, s.retries) == ("own", "own", "judge", "v", "https://h", 3)
+    for bad in ({}, {"OPENAI_API_KEY": "k"}, {"OPENAI_API_KEY": "k", "BASE_URL": "ftp://h"}, {"OPENAI_API_KEY": "k", "BASE_URL": "http://h", "OPENAI_API_STYLE": "odd"}):
+        with pytest.raises(ValueError):
+            read_settings("", bad)
+
+
+def test_waits_between_calls():
+    from annolith.sources.clients import call
+
+    waits: list = []
+    assert call(lambda b: (503, "x"), "b", 5, waits.append) == (None, "HTTP 503: x", 6) and waits == [1, 2, 4, 8, 8]

@@ -2,6 +2,7 @@ import glob
 import os
 
 import duckdb
+import pandas as pd
 import pytest
 
 import __spark_entry__ as entry
@@ -12,7 +13,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(DATA), reason="no test tables"
 
 def rows(frame):
     frame = frame[sorted(frame.columns)]
-    clean = lambda v: "null" if v is None or v != v else str(int(v)) if isinstance(v, float) and v == int(v) else str(v)
+    clean = lambda v: "null" if v is None or v is pd.NA or v != v else str(int(v)) if isinstance(v, float) and v == int(v) else str(v)
     return sorted(tuple(map(clean, r)) for r in frame.itertuples(index=False))
 
 
