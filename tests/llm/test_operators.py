@@ -158,10 +158,13 @@ def test_piece_codec_equals_plain_viterbi_and_round_trips(spark):
     assert all(x.round_trip for x in piece_codec.piece_digests(docs(spark, ODD), PIECE).collect())
 
 
-def test_topk_equals_brute_force(spark):
+@pytest.mark.parametrize("wide", [64, 65, 128])
+def test_topk_equals_brute_force(spark, wide, monkeypatch):
+    for name, value in (("CODES_IN_BLOCK", 150), ("QUERIES_AT_ONCE", 5), ("LEAST_GROUP", 8)):  # several blocks, groups and batches
+        monkeypatch.setattr(topk_search, name, value)
     r = np.random.default_rng(2)
-    centres = r.normal(size=(4, 64))
-    vectors = [(i, (centres[i % 4] + r.normal(size=64) * 0.6).tolist()) for i in range(300)]
+    centres = r.normal(size=(4, wide))
+    vectors = [(i, (centres[i % 4] + r.normal(size=wide) * 0.6).tolist()) for i in range(300)]
     vectors += [(300 + i, vectors[0][1]) for i in range(30)] + [(400, None), (None, vectors[1][1]), (420, [])]
     frame = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
     got = {}
