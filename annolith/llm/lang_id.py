@@ -121,7 +121,8 @@ def _small(df: DataFrame, other: DataFrame, on: str) -> DataFrame:
 def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     """rows (key, text, declared, suffix, host) to (key, lang, probability, text_lang, declared, suffix, host, known).
 
-    known is false where the text has no letters, `und` wins or the probability is under a half. A null or empty declared value,
+    known is false where the text has no letters, `und` wins or the probability is under a half; a model without any language
+    knows nothing better than `und`, so with it every text that has letters counts as known. A null or empty declared value,
     suffix or host is no evidence. One row out for each row in; texts are scored whole."""
     spark, langs = rows.sparkSession, model.langs
     n = len(langs)
@@ -166,7 +167,7 @@ def identify(rows: DataFrame, model: TextModel) -> DataFrame:
     names = F.array(*(F.lit(x) for x in langs))
     share = F.lit(1.0) / F.aggregate("score", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
     out = out.select("key", F.element_at(names, F.col("at")).alias("lang"), share.alias("probability"), F.element_at(names, F.col("own") + 1).alias("text_lang"), "declared", "suffix", "host", "grams")
-    known = (F.col("grams") > 0) & (F.col("lang") != UND) & (F.col("probability") >= 0.5) if n > 1 else F.lit(True)
+    known = (F.col("grams") > 0) & (F.col("lang") != UND) & (F.col("probability") >= 0.5) if n > 1 else F.col("grams") > 0
     return out.withColumn("known", known).drop("grams")
 
 

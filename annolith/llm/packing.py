@@ -4,7 +4,8 @@ Every document is tokenized, ended by one id and, only where it is longer than t
 dealt by a hash into shards of about SHARD pieces; each shard is packed by itself, longest pieces first, so that shards run
 in parallel and the loss is at most about one sequence a shard. A piece goes where the sum over all gaps g of
 (open sequences with gap g)^2 becomes smallest; of equal choices the smallest gap wins. The rule keeps sequences of
-many gaps open, so each shard ends with a pass that dissolves the emptiest sequences into the gaps of the others.
+many gaps open, so each shard ends with passes that take sequences with gaps apart (all of them, then the emptiest half and
+quarter) and place their pieces anew, best fit first; a pass is kept if fewer sequences result.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from annolith.llm.common import arrow_batch, groups, lean, utf8
 from annolith.llm.segments import encoder, forget
 
 SHARD = 16_384
+SHARD_KEY = "_pack_shard"
 
 
 def _pieces(path: str, end_id: int, capacity: int, keep_ids: bool):
@@ -46,7 +48,10 @@ def _pieces(path: str, end_id: int, capacity: int, keep_ids: bool):
 
 
 def token_pieces(docs: DataFrame, path: str, end_id: int = 1, capacity: int = 4096, id_col: str = "doc_id", text_col: str = "text", keep_ids: bool = False) -> DataFrame:
-    """(doc_id, piece, start, length, ids_crc32 and, if asked for, ids: little-endian unsigned 32-bit) of each piece of each row."""
+    """(doc_id, piece, start, length, ids_crc32 and, if asked for, ids: little-endian unsigned 32-bit) of each piece of each row.
+
+    A null or empty text is one piece of the end id alone; rows without id and repeated rows are encoded each; other columns
+    are ignored; no rows give none."""
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * keep_ids
     return docs.select(F.col(id_col).cast("long"), F.col(text_col)).mapInArrow(lean(_pieces(path, end_id, capacity, keep_ids), forget), schema)
 
@@ -127,7 +132,7 @@ def _dissolve(lengths: np.ndarray, where: np.ndarray, gap: np.ndarray, capacity:
 
 def _packed(capacity: int, names: list[str], schema: pa.Schema):
     def run(batches):
-        for (shard,), t in groups(batches, ["shard"]):
+        for (shard,), t in groups(batches, [SHARD_KEY]):
             lengths = t.column("length").to_numpy().astype(np.int64)
             where = sum_of_squares(lengths, capacity)
             order = np.argsort(where, kind="stable")
@@ -144,10 +149,12 @@ def _packed(capacity: int, names: list[str], schema: pa.Schema):
 def pack(pieces: DataFrame, capacity: int = 4096, shard: int = SHARD) -> DataFrame:
     """pieces with sequence_id and offset, one row per row of pieces (its length is 1 to capacity).
 
-    Needs doc_id, piece and length; other columns pass through. Placement depends on the rows alone, not on their order:
+    Needs doc_id, piece and length; other columns pass through, but for columns sequence_id and offset, which the result's
+    own replace. Placement depends on the rows alone, not on their order:
     a shard's rows are sorted by length, doc_id and piece. No rows give no rows."""
     n = max(1, -(-pieces.count() // shard))
+    pieces = pieces.drop("sequence_id", "offset")
     schema = StructType(list(pieces.schema)).add("sequence_id", "long").add("offset", "long")
-    rows = pieces.withColumn("shard", F.expr(f"pmod(xxhash64(doc_id, piece, length), {n})"))
-    rows = rows.repartition("shard").sortWithinPartitions("shard", F.desc("length"), "doc_id", "piece")
+    rows = pieces.withColumn(SHARD_KEY, F.expr(f"pmod(xxhash64(doc_id, piece, length), {n})"))
+    rows = rows.repartition(SHARD_KEY).sortWithinPartitions(SHARD_KEY, F.desc("length"), "doc_id", "piece")
     return rows.mapInArrow(lean(_packed(capacity, list(pieces.columns), to_arrow_schema(schema))), schema)

@@ -287,6 +287,9 @@ def score(docs: DataFrame, labels: DataFrame, key, text_col: str = "text", id_co
 
 
 def document_scores(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, held_out, score, predicted) of every document."""
+    """(doc_id, held_out, score, predicted) of every document.
+
+    A null or empty text has the score of no words; rows without id are scored and in the held-out fold or not as the empty id;
+    repeated rows are scored each; other columns are ignored. Without documents there are no rows, without labels no lexicon."""
     rows = score(docs, labels, F.col("doc_id").cast("long")).withColumnRenamed("key", "doc_id")
     return rows.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

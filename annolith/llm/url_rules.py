@@ -94,16 +94,20 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=HOST_PATH_RULES) -> DataF
     """(page_id, host, path, rule, verdict) of every row of pages (page_id, url); labelled: (url, bad).
 
     A fitting host-and-path rule decides; else a URL that matches a mined rule is blocked and any other allowed. A null URL has
-    no tokens and is allowed. Rows with equal or null page ids are judged each by its own URL."""
+    no tokens and is allowed (its key is its own, so that null URLs don't meet in one task). Rows with equal or null page ids are judged each by its own URL."""
     url = F.col("url")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(url).alias("host"), path_of(url).alias("path"))
-    rows = rows.withColumn("given", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("url_key", F.xxhash64("url"))
-    bad = matched(rows.where("given is null and url is not null").select("url_key", url_tokens(url).alias("tokens")), mine_rules(labelled), "url_key").withColumn("bad", F.lit(True))
+    rows = rows.withColumn("given", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("url_key", F.coalesce("url", F.concat(F.lit("\0"), F.coalesce(F.col("page_id").cast("string"), F.uuid()))))
+    mined = mine_rules(labelled)
+    bad = matched(rows.where("given is null and url is not null").select("url_key", url_tokens(url).alias("tokens")), mined, "url_key").withColumn("bad", F.lit(True))
     out = rows.join(bad, "url_key", "left")
     return out.select("page_id", "host", "path", F.col("given.rule").alias("rule"), F.coalesce("given.verdict", F.when(F.col("bad"), "block").otherwise("allow")).alias("verdict"))
 
 
 def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
-    """(url, bad): a page is bad where the label row of its number says low quality or toxic."""
-    own = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("page_id")).agg(((F.min("quality") == 0) | (F.max("toxic") == 1)).alias("bad"))
-    return pages.select("page_id", "url").where("url is not null").join(own, "page_id").select("url", "bad")
+    """(url, bad): a page shows the document whose number its path names; it is bad where that label row says low quality or toxic.
+
+    Pages with a null URL, without a number in the path or without a label teach nothing."""
+    own = labels.where("doc_id is not null").groupBy("doc_id").agg(((F.min("quality") == 0) | (F.max("toxic") == 1)).alias("bad"))
+    shown = pages.select("url", F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:[./]|$)", 1).try_cast("long").alias("doc_id")).where("url is not null and doc_id is not null")
+    return shown.join(own, "doc_id").select("url", "bad")

@@ -25,6 +25,8 @@ from annolith.llm.common import arrow_batch, cut, lean, scratch
 EXTRA = struct.Struct("<4sIBBH2sHII")
 SIGNATURE = b"\x1f\x8b\x08\x04"
 SPLIT_BYTES = 64 << 20
+#: Digests (40 bytes and an id) that are broadcast; more are joined by a shuffle.
+BROADCAST_DIGESTS = 500_000
 SCHEMA = "record_id string, record_type string, target_uri string, date string, content_type string, payload_digest string, refers_to string, content_length long, http_length long, payload binary"
 #: The header that each column comes from.
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri", "date": "warc-date", "content_type": "content-type", "payload_digest": "warc-payload-digest", "refers_to": "warc-refers-to"}
@@ -87,8 +89,9 @@ def write_archive(pages: DataFrame, folder: str | None = None, least_bytes: int
     smaller payloads are responses. Where no such row has an id, all are responses. Rows equal in id and payload are equal records. An empty table writes nothing."""
     folder = folder or scratch(pages.sparkSession, "warc")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha1(F.encode(F.coalesce("html", F.lit("")), "UTF-8")).alias("digest"), F.octet_length(F.coalesce("html", F.lit(""))).alias("size"))
-    again = rows.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).where("n > 1").select("digest", "keep")
-    rows = rows.join(again, "digest", "left")
+    # payloads stay where they are unless the digests that repeat are too many to be sent to all
+    again = cut(rows.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("keep"), F.count("*").alias("n")).where("n > 1").select("digest", "keep"), "repeats")
+    rows = rows.join(F.broadcast(again) if again.count() <= BROADCAST_DIGESTS else again, "digest", "left")
     revisit = F.col("keep").isNotNull() & ~F.col("keep").eqNullSafe(F.col("page_id"))
     rows = rows.select("page_id", "url", "html", "digest", F.when(revisit, "revisit").otherwise("response").alias("record_type"), F.when(revisit, F.col("keep")).alias("refers_to"))
     cut(rows.mapInArrow(lean(_writer(folder, date)), "path string, records long"), "archive")
@@ -223,8 +226,12 @@ class WarcDataSource(DataSource):
 
 
 def read_archive(spark: SparkSession, folder: str, columns: str = SCHEMA) -> DataFrame:
-    """The records of all .warc.gz files below folder; predicates on record_type and other headers are pushed down."""
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+    """The records of all .warc.gz files below folder; predicates on record_type and other headers are pushed down.
+
+    Switches spark.sql.python.filterPushdown.enabled on in the session."""
+    push = "spark.sql.python.filterPushdown.enabled"
+    if spark.conf.get(push, "false") != "true":
+        spark.conf.set(push, "true")  # read when a query is planned, so it has to stay
     spark.dataSource.register(WarcDataSource)
     return spark.read.format("warc").schema(columns).load(folder)
 
