@@ -34,7 +34,15 @@ def request_errors() -> Column:
 
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
     """Requests, one JSON object a line, with key (idempotency) and errors; a line that is no object is all null and has errors."""
-    rows = spark.read.schema(REQUEST).json(path)
+    return checked_requests(spark.read.schema(REQUEST).json(path))
+
+
+def stream_requests(spark: SparkSession, path: str, files_at_once: int = 100) -> DataFrame:
+    """read_requests of a folder to which files are added, as a stream; see annolith.streaming.events.once for repeated keys."""
+    return checked_requests(spark.readStream.schema(REQUEST).option("maxFilesPerTrigger", files_at_once).json(path))
+
+
+def checked_requests(rows: DataFrame) -> DataFrame:
     key = F.concat(F.col("task.task_id"), F.lit(":attempt:"), F.col("attempt_no").cast("string"), F.lit(":data-generation"))
     return rows.withColumns({"idempotency_key": key, "errors": request_errors()})
 

@@ -311,6 +311,13 @@ def test_exchange(spark, tmp_path, demo_run):
     assert got[0].errors == [] and got[0].idempotency_key == "t:attempt:1:data-generation"
     assert got[1].errors == ["unknown difficulty", "attempt_no is not between 1 and max_attempts"] and len(got[2].errors) == 2 and got[3].errors
 
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text("\n".join(map(json.dumps, lines)))
+    q = exchange.stream_requests(spark, str(tmp_path / "in")).writeStream.format("memory").queryName("asked").option("checkpointLocation", str(tmp_path / "c")).start()
+    q.processAllAvailable()
+    q.stop()
+    assert sorted(len(r.errors) for r in spark.sql("select errors from asked").collect()) == [0, 2, 2]
+
     def answer(content, **usage):
         return one(spark, exchange.parse_answer(F.col("a")), a=json.dumps({"choices": [{"message": {"content": json.dumps(content)}}], "usage": usage}))
 
