@@ -209,8 +209,8 @@ def test_event_stream(spark, tmp_path):
 def test_replacements_fill_slots_with_new_tasks(spark):
     from annolith.shared import cut
 
-    config = runs.demo(num_samples=20, minimum_per_label=1, max_regenerate_attempts=1, max_task_replacements=2)
-    good = lambda n: (F.col("slot_no") > 4) | (F.col("slot_no") > 1) & (F.col("replacement_no") == 2) & F.lit(n == 2)
+    config = runs.demo(num_samples=20, minimum_per_label=1, max_regenerate_attempts=1, max_task_replacements=1)
+    good = lambda n: (F.col("slot_no") > 4) | (F.col("slot_no") > 1) & (F.col("replacement_no") == 1) & F.lit(n == 2)
 
     def attempt(packs, n):
         rows = samples.render(packs, runs.DOCUMENTS)
@@ -220,11 +220,11 @@ def test_replacements_fill_slots_with_new_tasks(spark):
     ok, lost = done
     rows = {r.slot_no: r for r in ok.collect()}
     assert sorted(rows) == list(range(2, 21)) and [r.slot_no for r in lost.collect()] == [1] and done.status == "FAILED"
-    assert all(rows[s].replacement_no == 2 and rows[s].attempt_no == 2 and rows[s].sequence_no > 24 and rows[s].parent_task_id and rows[s].reflection.mandatory_repairs for s in (2, 3, 4))
+    assert all(rows[s].replacement_no == 1 and rows[s].attempt_no == 2 and rows[s].sequence_no > 20 and rows[s].parent_task_id and rows[s].reflection.mandatory_repairs for s in (2, 3, 4))
     first = {r.slot_no: r for r in plan_tasks(spark, config).collect()}
     assert all(rows[s].focus_labels == first[s].focus_labels and rows[s].task_id != first[s].task_id for s in (2, 3, 4))
     status = {(r.slot_no, r.replacement_no): r.status for r in done.tasks.collect()}
-    assert len(status) == 20 + 2 * 4 and status[1, 2] == "REJECTED" and status[2, 0] == "REJECTED" and status[2, 2] == status[9, 0] == "ACCEPTED"
+    assert len(status) == 20 + 4 and status[1, 1] == "REJECTED" and status[2, 0] == "REJECTED" and status[2, 1] == status[9, 0] == "ACCEPTED"
 
 
 def test_regeneration_scopes(spark):
@@ -383,32 +383,33 @@ def test_strategies_are_varied_and_sound(spark):
     assert made.where(F.col("v").rlike(r"(?i)^[a-z_]+-\d+(?:-beta)?$")).count() == 0
 
 
-def _pack(spark, **k):
-    base = {"sample_type": "hard_negative", "focus_labels": ["DATE"], "positives": [("DATE", "21/10/2026", "x")], "decoys": [("date_as_column_name", "DATE", "cot_date_A12", ["c"], [], ["DATE"], [])], "content_seeds": None} | k
-    schema = "sample_type string, focus_labels array<string>, positives array<struct<label:string,value:string,variant:string>>, decoys array<struct<strategy_id:string,label:string,value:string,required:array<string>,forbidden:array<string>,negative_labels:array<string>,collision_labels:array<string>>>, content_seeds struct<role:string,action:string,object:string>"
-    return spark.createDataFrame([tuple(base.values())], schema)
+PACK = "sample_type string, focus_labels array<string>, positives array<struct<label:string,value:string,variant:string>>, decoys array<struct<strategy_id:string,label:string,value:string,required:array<string>,forbidden:array<string>,negative_labels:array<string>,collision_labels:array<string>>>, content_seeds struct<role:string,action:string,object:string>, n int"
 
 
 def test_seed_pack_check(spark):
     from annolith.plans.strategies import strategies
 
-    table = strategies(spark)
-    types = lambda only=False, low=1, high=1, **k: [i.type for i in samples.seed_pack_issues(_pack(spark, **k), table, only, low, high).first().pack_issues]
     lure = lambda **k: [tuple(({"strategy_id": "date_as_column_name", "label": "DATE", "value": "cot_date_A12", "required": ["c"], "forbidden": [], "negative_labels": ["DATE"], "collision_labels": []} | k).values())]
-    assert types() == []
-    assert types(positives=[("DATE", "32/10/2026", "x")]) == ["malformed_seed"] and types(positives=[]) == ["missing_positive_seed"]
-    assert types(positives=[("DATE", "21/10/2026", "x"), ("TIME", "09:00", "x")]) == ["invalid_seed"]
-    assert types(positives=[("DATE", "cot_date_A12", "x")]) == ["malformed_seed", "invalid_seed"]
-    assert types(decoys=[]) == ["unsupported_decoy"] and types(decoys=lure() * 2) == ["unsupported_decoy"] and types(low=0, decoys=[]) == []
-    assert types(decoys=lure(strategy_id="none")) == ["unsupported_decoy"] and types(decoys=lure(value="cot_date_Z1")) == ["malformed_seed"]
-    assert types(decoys=lure(required=[])) == ["unsupported_decoy"] and types(decoys=lure(negative_labels=["TIME"])) == ["invalid_seed"] and types(decoys=lure(negative_labels=["DATE", "NOPE"])) == ["invalid_seed"]
-    assert "taxonomy_collision" in types(decoys=lure(value="1234")) and "taxonomy_collision" in types(decoys=lure(value="1234", negative_labels=["DATE", "CVV", "PIN"], collision_labels=["PIN"]))
-    assert "unsupported_decoy" in types(decoys=lure(value="date-12")) and "unsupported_decoy" in types(focus_labels=["TIME"], positives=[("TIME", "09:00", "x")])
-    assert types(True) == ["invalid_seed"] and types(True, positives=[]) == [] and types(True, positives=[], focus_labels=["DATE", "TIME"]) == ["unsupported_decoy"]
-    assert types(sample_type="positive") == ["invalid_seed"]
+    base = {"sample_type": "hard_negative", "focus_labels": ["DATE"], "positives": [("DATE", "21/10/2026", "x")], "decoys": lure(), "content_seeds": None}
     pure = {"sample_type": "pure_negative", "positives": [], "decoys": []}
-    assert types(**pure, content_seeds=("ai", "ghi", "sổ")) == [] and types(**pure) == ["invalid_seed"] and types(**pure, content_seeds=("ai", "gọi", "0912345678")) == ["malformed_seed"]
-    assert types(**pure | {"decoys": lure()}, content_seeds=("ai", "ghi", "sổ")) == ["invalid_seed"]
+    none = ["unsupported_decoy"]
+    cases = {  # (look-alikes only, least, most) -> what differs from a fit pack, and its issues
+        (False, 1, 1): [
+            ({}, []), ({"positives": [("DATE", "32/10/2026", "x")]}, ["malformed_seed"]), ({"positives": []}, ["missing_positive_seed"]), ({"positives": [("DATE", "21/10/2026", "x"), ("TIME", "09:00", "x")]}, ["invalid_seed"]),
+            ({"positives": [("DATE", "cot_date_A12", "x")]}, ["malformed_seed", "invalid_seed"]), ({"decoys": []}, none), ({"decoys": lure() * 2}, none), ({"decoys": lure(strategy_id="none")}, none), ({"decoys": lure(value="cot_date_Z1")}, ["malformed_seed"]),
+            ({"decoys": lure(required=[])}, none), ({"decoys": lure(negative_labels=["TIME"])}, ["invalid_seed"]), ({"decoys": lure(negative_labels=["DATE", "NOPE"])}, ["invalid_seed"]), ({"decoys": lure(value="1234")}, ["malformed_seed", "taxonomy_collision"]),
+            ({"decoys": lure(value="1234", negative_labels=["DATE", "CVV", "PIN"], collision_labels=["PIN"])}, ["malformed_seed", "taxonomy_collision"]), ({"decoys": lure(value="date-12")}, ["malformed_seed", "unsupported_decoy"]),
+            ({"focus_labels": ["TIME"], "positives": [("TIME", "09:00", "x")]}, none), ({"sample_type": "positive"}, ["invalid_seed"]), (pure | {"content_seeds": ("ai", "ghi", "sổ")}, []), (pure, ["invalid_seed"]),
+            (pure | {"content_seeds": ("ai", "gọi", "0912345678")}, ["malformed_seed"]), (pure | {"decoys": lure(), "content_seeds": ("ai", "ghi", "sổ")}, ["invalid_seed"]),
+        ],
+        (False, 0, 1): [({"decoys": []}, [])],
+        (True, 1, 1): [({}, ["invalid_seed"]), ({"positives": []}, []), ({"positives": [], "focus_labels": ["DATE", "TIME"]}, none)],
+    }
+    table = strategies(spark)
+    for options, packs in cases.items():
+        rows = spark.createDataFrame([(*(base | k).values(), n) for n, (k, _) in enumerate(packs)], PACK)
+        got = {r.n: [i.type for i in r.pack_issues] for r in samples.seed_pack_issues(rows, table, *options).collect()}
+        assert got == {n: want for n, (_, want) in enumerate(packs)}
 
 
 def test_seed_packs_hold_as_many_look_alikes_as_asked(spark):
