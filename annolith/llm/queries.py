@@ -51,7 +51,7 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_audio_prints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return audio_prints.align(audio_prints.vector_prints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), F.col("id") % 20 == 0)
+    return audio_prints.identify(audio_prints.vector_prints(table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), F.col("id") % 20 == 0)
 
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

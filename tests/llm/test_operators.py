@@ -298,6 +298,26 @@ def test_audio_alignment_equals_brute_force(spark):
             want[q, c] = min(best)[1]
     assert {k: v for k, v in got.items() if k[1] is not None} == want
     assert {(0, 201), (0, 202), (0, 203), (20, 204), (40, 205), (80, 206), (80, 207), (120, 301)} <= set(want)
+    told = {x.query_id: x for x in audio_prints.identify(spark.createDataFrame([(i, x.astype("<u4").tobytes()) for i, x in p.items()], "id long, print binary"), F.col("id") % 20 == 0).collect()}
+    assert set(told) == {i for i in p if i % 20 == 0}
+    for q, x in told.items():
+        mine = {c: v for (a, c), v in want.items() if a == q}
+        assert x.n_matches == len(mine) and (x.match_class is None) == (not mine)
+        if mine:
+            c = min(mine, key=lambda k: (mine[k][2] / mine[k][3], -mine[k][3], k))
+            assert (x.match_class, x.offset, x.hits, x.bit_errors, x.bits) == (c, *mine[c])
+
+
+def test_long_prints_align_as_short_ones(monkeypatch):
+    """Both ways back from frequencies give the same alignments."""
+    r = np.random.default_rng(12)
+    base = r.integers(0, 1 << 32, 300, np.uint32)
+    flip = lambda x, share: x ^ np.packbits(r.random((len(x), 32)) < share, axis=1).view("<u4")[:, 0]
+    queries, prints = [flip(base[a:b], 0.15) for a, b in ((0, 60), (100, 180), (30, 300))], [base, base[50:200], r.integers(0, 1 << 32, 90, np.uint32)]
+    told = lambda: sorted(tuple(int(v) for v in x) for got in audio_prints.alignments(queries, prints) for x in zip(*got, strict=True))
+    short = told()
+    monkeypatch.setattr(audio_prints, "SHORT", 0)
+    assert told() == short and {(0, 0), (1, 0), (2, 0), (1, 1), (2, 1)} <= {x[:2] for x in short}
 
 
 def test_piece_digests_equal_library(spark):
