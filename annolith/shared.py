@@ -12,7 +12,7 @@ def folder(spark: SparkSession) -> str:
     """spark.checkpoint.dir of the session or its context. A local master, which has no other machine, may go without."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
-        if not spark.sparkContext.master.startswith("local["):
+        if not (spark.sparkContext.master == "local" or spark.sparkContext.master.startswith("local[")):
             raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='annolith-')}"
         spark.conf.set("spark.checkpoint.dir", found)
