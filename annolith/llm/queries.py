@@ -6,10 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolith.llm import audio_prints, lang_id, piece_codec, topk_search, toxicity, url_rules
+from annolith.llm import audio_prints, conv_trie, interval_join, lang_id, piece_codec, topk_search, toxicity, url_rules
 from annolith.llm.common import cut, table
 from annolith.llm.jaccard_join import jaccard_classes
 from annolith.llm.packing import pack, token_pieces
+from annolith.llm.simhash import simhash_classes
 from annolith.llm.token_store import read_shards, write_shards
 from annolith.llm.warc import page_records, write_archive
 
@@ -58,6 +59,18 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_records(spark, write_archive(table(spark, sf_dir, "pages")))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conv_trie.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
+def op12_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interval_join.sale_sessions(*(table(spark, sf_dir, t) for t in ("sales", "sale_lines", "clicks")))
+
+
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_classes(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -65,8 +78,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_topk_search, op2_jaccard_join, op3_best_fit_packing, op4_language_id, op5_piece_codec, op6_toxicity, op7_token_store, op8_url_rules, op9_audio_prints, op10_warc, pipeline)}
+    return {f.__name__: f for f in (op1_topk_search, op2_jaccard_join, op3_best_fit_packing, op4_language_id, op5_piece_codec, op6_toxicity, op7_token_store, op8_url_rules, op9_audio_prints, op10_warc, op11_conversation_trie, op12_interval_join, op13_simhash, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": topk_search.ORACLE_SQL}
+    return {"op1_topk_search": topk_search.ORACLE_SQL, "op11_conversation_trie": conv_trie.ORACLE_SQL, "op12_interval_join": interval_join.ORACLE_SQL}
