@@ -58,7 +58,8 @@ def head_length(conv: Column) -> Column:
 
 def rebuilt(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Conversations (conv, len) and their turns (conv, pos, id, bytes), rebuilt: the first h turns of conversation
-    conv - conv % FAMILY (all if fewer, none if absent), then the own ones after the first h; h = head_length(conv)."""
+    conv - conv % FAMILY (all if fewer, none if absent), then the own ones after the first h; h = head_length(conv). The remainder of a negative
+    conv is negative, as in SQL."""
     lens = cut(turns.groupBy("conv").agg(F.max("pos").alias("own")), "lengths")
     base = F.col("conv") - F.col("conv") % FAMILY
     heads = lens.select("conv", base.alias("base"), "own", head_length(F.col("conv")).alias("h"))
