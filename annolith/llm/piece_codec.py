@@ -1,11 +1,15 @@
 """SentencePiece encoding and decoding, by the rule of the model's kind.
 
-A BPE model's ids come of its merges: of the neighbours that make a piece together those of the best score join first, the
-leftmost of equal ones, until none is left. The best sum of scores, which is a unigram model's rule, gives other ids there.
+An Aho-Corasick automaton over the pieces drives a one-pass search. For every position it gives the pieces that end there,
+longest first (the state's own piece, then those along its output links), and each is held against the best that ends at its
+start. For a unigram model each relaxes the best score of a segmentation that ends at the position; of equal scores the
+longest last piece wins.
 
-Viterbi: an Aho-Corasick automaton over the pieces drives a one-pass search. For every position it gives the pieces that end
-there, longest first (the state's own piece, then those along its output links); each relaxes the best score of a
-segmentation that ends at the position. Of equal scores the longest last piece wins.
+A BPE model's ids come of its merges: of the neighbours that make a piece together those of the best score join first, the
+leftmost of equal ones, until none is left. The best sum of scores gives other ids there. But the merged segmentation of
+every prefix ends in one piece, and a piece may follow another where merging the two texts together gives just these two: so
+at each position the longest piece that may follow the last one at its start is the one, and the search needs no scores. Which
+pieces may follow each other is merged once and kept (PAIRS at most, then the table starts anew).
 
 By both rules a character that no piece covers becomes its UTF-8 bytes' pieces. Text is taken as it is, with one space put
 before it (the model's dummy prefix), spaces stand for U+2581, and a literal U+2581 is encoded as bytes, so decoding gives
@@ -26,6 +30,7 @@ from pyspark.sql import functions as F
 from annolith.llm.common import arrow_batch, lean, runs, utf8
 
 KEPT = 250_000
+PAIRS = 500_000
 CHUNK = 4 << 20
 SPACE = "▁"
 
@@ -70,6 +75,8 @@ class PieceCodec:
         self.start = np.cumsum(self.size) - self.size
         self.flat = np.frombuffer(b"".join(self.plain), np.uint8)
         self.kept: dict[bytes, bytes] = {}
+        self.pairs: dict[int, bool] = {}
+        self.text = [model.id_to_piece(i) for i in range(model.get_piece_size())]
 
     def search(self, text: str) -> list[int]:
         """Ids of the best segmentation of a text whose prefix is already there."""
@@ -103,9 +110,8 @@ class PieceCodec:
             at -= size
         return out[::-1]
 
-    def merge(self, text: str) -> list[int]:
-        """Ids by merges of a text whose prefix is already there."""
-        marked = text.replace(SPACE, "￿").replace(" ", SPACE)
+    def merged(self, marked: str) -> list[int]:
+        """Ends of the symbols that merging leaves of a text with U+2581 for spaces."""
         n, pieces = len(marked), self.pieces
         end, before = list(range(1, n + 1)), list(range(-1, n))  # of the symbol that starts at a place; end 0: none does
         heap = [(pieces[marked[i : i + 2]][0], i, i + 1, i + 2) for i in range(n - 1) if marked[i : i + 2] in pieces]
@@ -119,13 +125,41 @@ class PieceCodec:
                 heappush(heap, (pieces[marked[a : end[c]]][0], a, c, end[c]))
             if a and marked[before[a] : c] in pieces:
                 heappush(heap, (pieces[marked[before[a] : c]][0], before[a], a, c))
+        return [e for e in end if e]
+
+    def _follows(self, last: int, piece: int) -> bool:
+        """Whether merging leaves a last symbol (a piece, a character as a negative number, or 0 at the start) and a piece as they are."""
+        before, after = "" if not last else self.text[last] if last > 0 else chr(-last), self.text[piece]
+        return self.merged(before + after) == ([len(before)] if before else []) + [len(before) + len(after)]
+
+    def chain(self, text: str) -> list[int]:
+        """Ids by merges of a text whose prefix is already there: at each position the longest piece that may follow."""
+        marked = text.replace(SPACE, "\uffff").replace(" ", SPACE)
+        last, start = [0, *(-ord(c) for c in marked)], list(range(-1, len(marked)))
+        pairs, follows, most = self.pairs, self._follows, len(self.text)
+        done = 0
+        for end, (size, piece, _) in self.automaton.iter(marked):
+            if end < done:  # the position has its piece
+                continue
+            before = last[end + 1 - size]
+            key = before * most + piece
+            fits = pairs.get(key)
+            if fits is None:
+                if len(pairs) > PAIRS:
+                    pairs.clear()
+                fits = pairs[key] = follows(before, piece)
+            if fits:
+                done = end + 1
+                last[done], start[done] = piece, done - size
         out: list[int] = []
-        at = 0
-        while at < n:
-            found = pieces.get(marked[at : end[at]])
-            out += [found[1]] if found else [int(self.bytes[b]) for b in text[at].encode("utf-8", "surrogatepass")]
-            at = end[at]
-        return out
+        at = len(marked)
+        while at:
+            if last[at] > 0:
+                out.append(last[at])
+            else:
+                out += [int(self.bytes[b]) for b in reversed(text[at - 1].encode("utf-8", "surrogatepass"))]
+            at = start[at]
+        return out[::-1]
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """For ranges of rows: (first row, one past the last, all their ids, offsets of each row's ids)."""
@@ -159,14 +193,14 @@ class PieceCodec:
     def _values(self, distinct: list[bytes]) -> list[bytes]:
         if len(self.kept) > KEPT:
             self.kept = {}
-        find = self.merge if self.merges else self.search
+        find = self.chain if self.merges else self.search
         for x in distinct:
             if x not in self.kept:
                 self.kept[x] = np.array(find(x.decode("utf-8")), "<u4").tobytes()
         return [self.kept[x] for x in distinct]
 
     def encode_text(self, text: str) -> list[int]:
-        return (self.merge if self.merges else self.search)(" " + text) if text else []
+        return (self.chain if self.merges else self.search)(" " + text) if text else []
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """UTF-8 text of a row's ids; the space that encoding put first is taken off."""
