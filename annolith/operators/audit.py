@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annolith.functions import text as T
+from annolith.functions.similar import Recent
 from annolith.functions.tags import skeleton
 from annolith.plans.catalog import CATEGORICAL
 
@@ -27,31 +28,38 @@ def duplicate_counts(skeletons: DataFrame) -> DataFrame:
 
 
 def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit: float = AUDIT_LIMIT, window: int = AUDIT_WINDOW) -> DataFrame:
-    """rows with best_ratio and near_duplicate: difflib's ratio to the most similar, but different, of the `window` texts before in the run.
+    """rows with best_ratio and near_duplicate: difflib's ratio to the most similar, but different, of the `window` texts before in
+    the run, 0 where none has `limit` or more.
 
     A run is cut into blocks of consecutive rows, each with the `window` rows before it as well, so that blocks are compared in
     parallel and no row carries others' texts. Rows of one run and order are taken in order of their text."""
-    key = dict(rows.dtypes)
     size = max(BLOCK, window)
-    numbered = rows.select(run, order, text_col, (F.row_number().over(Window.partitionBy(run).orderBy(order, text_col)) - 1).alias("_at"))
+    clash = [c for c in rows.columns if c in ("best_ratio", "near_duplicate")]
+    numbered = rows.drop(*clash).withColumn("_row", F.struct(*(c for c in rows.columns if c not in clash)))
+    numbered = numbered.select("_row", F.col(run).alias("_run"), F.col(text_col).alias("_text"), (F.row_number().over(Window.partitionBy(run).orderBy(order, text_col)) - 1).alias("_at"))
     block = F.floor(F.col("_at") / size)
     dealt = numbered.withColumn("_block", F.explode(F.filter(F.array(block, F.when(F.col("_at") % size >= size - window, block + 1)), lambda b: b.isNotNull())))
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_at").reset_index(drop=True)
-        at, own, texts = pdf["_at"].to_numpy(), pdf["_block"].to_numpy() * size, [t or "" for t in pdf[text_col]]
-        out = []
-        for i in range(len(pdf)):
-            if at[i] >= own[i]:  # rows before are there to be compared with
-                out.append((i, max((T.ratio(e, texts[i], limit) for e in set(texts[max(0, i - window) : i]) if e != texts[i]), default=0.0)))
-        return pdf.iloc[[i for i, _ in out]].assign(best_ratio=[r for _, r in out])[[run, order, text_col, "best_ratio"]]
-
-    found = dealt.groupBy(run, "_block").applyInPandas(one, f"`{run}` {key[run]}, `{order}` {key[order]}, `{text_col}` string, best_ratio double")
-    others = [c for c in rows.columns if c not in (run, order, text_col)]
-    if others:
-        same = Window.partitionBy(run, order, text_col).orderBy(F.lit(1))
-        left, right = (d.withColumn("_n", F.row_number().over(same)) for d in (rows, found))
-        found = left.join(right, (F.lit(True) & left[run].eqNullSafe(right[run]) & left[order].eqNullSafe(right[order]) & left[text_col].eqNullSafe(right[text_col]) & (left["_n"] == right["_n"]))).select(*(left[c] for c in rows.columns), right["best_ratio"])
+    dealt = dealt.withColumn("_own", F.col("_at") >= F.col("_block") * size)
+    # rows of the block before come for their texts alone
+    dealt = dealt.select("_run", "_block", "_at", "_text", "_own", F.when(F.col("_own"), F.col("_row")).alias("_row"))
+    dealt = dealt.repartition("_run", "_block").sortWithinPartitions("_run", "_block", "_at")
+
+    def ratios(batches):
+        key = recent = None
+        for batch in batches:
+            runs, blocks, texts, own = (batch.column(c).to_pylist() for c in ("_run", "_block", "_text", "_own"))
+            found = []
+            for now, text, mine in zip(zip(runs, blocks, strict=True), texts, own, strict=True):
+                if recent is None or now != key:
+                    key, recent = now, Recent(window, kept_first=True)
+                if mine:
+                    found.append(next((r for r, _ in recent.nearest(text or "", 1, limit, differ=True)), 0.0))
+                recent.add(text or "")
+            rows_ = batch.column("_row").filter(pa.array(own, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([rows_, pa.array(found, pa.float64())], names=["_row", "best_ratio"])
+
+    kinds = numbered.schema["_row"].dataType.simpleString()
+    found = dealt.mapInArrow(ratios, f"_row {kinds}, best_ratio double").select("_row.*", "best_ratio")
     return found.withColumn("near_duplicate", F.col("best_ratio") >= limit)
 
 

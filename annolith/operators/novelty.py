@@ -1,20 +1,68 @@
-"""Novelty of candidates against the last accepted samples of their run."""
+"""Novelty of candidates against the last accepted samples of their run: in batches, and as keyed state of a stream."""
 
 from __future__ import annotations
 
-from collections import deque
+import json
+from functools import partial
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annolith.functions.text import ratio
+from annolith.functions.similar import Recent
 from annolith.operators.audit import GUARD_LIMIT, GUARD_WINDOW
 from annolith.plans.catalog import CATEGORICAL
 
 MODES = ("off", "audit", "enforce")
 FEEDBACK = 3
 ISSUES = "array<struct<type:string,scope:string,label:string,value:string>>"
+#: Accepted rows of a run that one task goes through, where what is accepted is known beforehand.
+BLOCK = 2000
+
+
+class Memory:
+    """The last accepted samples of a run, and what a candidate is told about them."""
+
+    def __init__(self, mode: str, limit: float, window: int, feedback: int):
+        self.mode, self.limit, self.feedback, self.recent = mode, min(limit, 1.0), feedback, Recent(window)
+
+    @staticmethod
+    def values(entities) -> list[tuple[str, str, str]]:
+        return [(e["label"], (e["value"] or "").strip().casefold(), e["value"]) for e in (entities if entities is not None else ()) if e["label"] not in CATEGORICAL]
+
+    def keep(self, skeleton: str | None, entities) -> None:
+        self.recent.add(skeleton or "", {(a, b) for a, b, _ in self.values(entities)})
+
+    def judge(self, skeleton: str | None, entities, valid) -> tuple[float, list[str], list[dict], bool]:
+        """(max_similarity, nearest, novelty_issues, accepted); an accepted candidate is kept."""
+        skeleton, near, issues = skeleton or "", [], []
+        if self.mode != "off":
+            near = self.recent.nearest(skeleton, max(1, self.feedback))
+            used = set().union(*self.recent.values) if self.recent.values else set()
+            issues = [{"type": "duplicate_entity_value", "scope": "SEEDS", "label": a, "value": v} for a, b, v in self.values(entities) if (a, b) in used]
+            if near and near[0][0] >= self.limit:
+                issues.append({"type": "duplicate_sentence_skeleton" if near[0][0] == 1.0 else "near_duplicate_sentence", "scope": "TEXT", "label": None, "value": None})
+        good = bool(valid) and not (self.mode == "enforce" and issues)
+        if good:
+            self.keep(skeleton, entities)
+        return near[0][0] if near else 0.0, [s for _, s in near[: self.feedback]], issues, good
+
+    def dump(self) -> str:
+        return json.dumps([(text, sorted(values)) for text, values in self.recent.in_order()], ensure_ascii=False)
+
+    def load(self, text: str) -> None:
+        for skeleton, values in json.loads(text):
+            self.recent.add(skeleton, {tuple(v) for v in values})
+
+
+def _schema(rows: DataFrame, run: str, order: str) -> str:
+    key = dict(rows.dtypes)
+    return f"`{run}` {key[run]}, `{order}` {key[order]}, max_similarity double, nearest array<string>, novelty_issues {ISSUES}, accepted boolean"
+
+
+def _check(mode: str) -> None:
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {', '.join(MODES)}")
 
 
 def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str = "sequence_no", limit: float = GUARD_LIMIT, window: int = GUARD_WINDOW, feedback: int = FEEDBACK) -> DataFrame:
@@ -25,34 +73,78 @@ def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str
     Each candidate is held against the `window` results of its run accepted before it, in order; nearest lists the most
     similar skeletons, `feedback` at most, for a new attempt. A value of a label that is not categorical and was accepted
     before, an equal skeleton and one of ratio `limit` or more are issues. audit accepts every valid row; enforce only those
-    without issues; off computes nothing and accepts valid rows. Whether a row counts depends on those before it, so a run
-    (100,000 samples at most) is one group; runs are independent."""
-    if mode not in MODES:
-        raise ValueError(f"mode is one of {', '.join(MODES)}")
-    key = dict(rows.dtypes)
-    schema = f"`{run}` {key[run]}, `{order}` {key[order]}, max_similarity double, nearest array<string>, novelty_issues {ISSUES}, accepted boolean"
-
-    def one(pdf: pd.DataFrame) -> pd.DataFrame:
-        recent: deque = deque(maxlen=window)
-        out = []
-        for r in pdf.sort_values(["prior", order], ascending=[False, True]).to_dict("records"):
-            if r["prior"]:
-                recent.append((r["skeleton"] or "", {(e["label"], (e["value"] or "").strip().casefold()) for e in (r["entities"] if r["entities"] is not None else ()) if e["label"] not in CATEGORICAL}))
-                continue
-            skeleton, valid = r["skeleton"] or "", bool(r["valid"])
-            pairs = [(e["label"], (e["value"] or "").strip().casefold(), e["value"]) for e in (r["entities"] if r["entities"] is not None else ()) if e["label"] not in CATEGORICAL]
-            near, issues = [], []
-            if mode != "off":
-                near = sorted(((ratio(skeleton, s), s) for s, _ in recent), reverse=True)
-                used = set().union(*(p for _, p in recent)) if recent else set()
-                issues = [{"type": "duplicate_entity_value", "scope": "SEEDS", "label": a, "value": v} for a, b, v in pairs if (a, b) in used]
-                if near and near[0][0] >= min(limit, 1.0):
-                    issues.append({"type": "duplicate_sentence_skeleton" if near[0][0] == 1.0 else "near_duplicate_sentence", "scope": "TEXT", "label": None, "value": None})
-            good = valid and not (mode == "enforce" and issues)
-            if good:
-                recent.append((skeleton, {(a, b) for a, b, _ in pairs}))
-            out.append((r[run], r[order], near[0][0] if near else 0.0, [s for _, s in near[:feedback]], issues, good))
-        return pd.DataFrame(out, columns=[run, order, "max_similarity", "nearest", "novelty_issues", "accepted"])
-
-    prior = F.col("prior") if "prior" in rows.columns else F.lit(False)
-    return rows.select(run, order, "skeleton", "entities", "valid", prior.alias("prior")).groupBy(run).applyInPandas(one, schema)
+    without issues; off computes nothing and accepts valid rows. Rows of equal order come in order of their skeletons.
+
+    Under enforce a row's fate depends on those before it, so a run's rows pass through one task, in order, with no more than
+    `window` of them kept. Otherwise what is accepted is known: a run is cut into blocks with the accepted rows before them."""
+    _check(mode)
+    prior = F.coalesce(F.col("prior"), F.lit(False)) if "prior" in rows.columns else F.lit(False)
+    own = rows.select(F.col(run).alias("_run"), F.col(order).alias("_order"), "skeleton", "entities", F.coalesce("valid", F.lit(False)).alias("valid"), prior.alias("prior"))
+    line = [F.desc("prior"), F.asc("_order"), F.asc("skeleton")]
+    if mode == "enforce":
+        dealt = own.withColumns({"_block": F.expr("0L"), "_told": ~F.col("prior")})
+    else:
+        size = max(BLOCK, window)
+        counted = F.when(F.col("valid") | F.col("prior"), 1).otherwise(0)
+        before = F.sum(counted).over(Window.partitionBy("_run").orderBy(*line).rowsBetween(Window.unboundedPreceding, Window.currentRow)) - counted
+        dealt = own.withColumn("_at", before).withColumn("_mine", F.floor(F.col("_at") / size))
+        next_ = F.when((counted == 1) & (F.col("_at") % size >= size - window), F.col("_mine") + 1)
+        dealt = dealt.withColumn("_block", F.explode(F.filter(F.array("_mine", next_), lambda b: b.isNotNull())))
+        dealt = dealt.withColumn("_told", (F.col("_block") == F.col("_mine")) & ~F.col("prior")).drop("_at", "_mine")
+    dealt = dealt.repartition("_run", "_block").sortWithinPartitions("_run", "_block", *line)
+
+    def judged(frames):
+        key = memory = None
+        for pdf in frames:
+            out = []
+            for r in pdf.to_dict("records"):
+                if (r["_run"], r["_block"]) != key or memory is None:
+                    key, memory = (r["_run"], r["_block"]), Memory(mode, limit, window, feedback)
+                if r["_told"]:
+                    out.append((r["_run"], r["_order"], *memory.judge(r["skeleton"], r["entities"], r["valid"])))
+                elif r["prior"] or r["valid"]:
+                    memory.keep(r["skeleton"], r["entities"])
+            yield pd.DataFrame(out, columns=[run, order, "max_similarity", "nearest", "novelty_issues", "accepted"])
+
+    return dealt.select("_run", "_block", "_order", "skeleton", "entities", "valid", "prior", "_told").mapInPandas(judged, _schema(rows, run, order))
+
+
+def last_accepted(accepted: DataFrame, window: int, run: str = "run_id", order: str = "sequence_no") -> DataFrame:
+    """The rows of accepted that a later round can meet: the last `window` of each run."""
+    newest = Window.partitionBy(run).orderBy(F.desc(order))
+    return accepted.withColumn("_newest", F.row_number().over(newest)).where(F.col("_newest") <= window).drop("_newest")
+
+
+def guard_stream(rows: DataFrame, mode: str = "enforce", run: str = "run_id", order: str = "sequence_no", limit: float = GUARD_LIMIT, window: int = GUARD_WINDOW, feedback: int = FEEDBACK) -> DataFrame:
+    """guard of a streaming DataFrame: each run's last `window` accepted skeletons and values are its state.
+
+    Rows count in the order of their micro-batches and, within one, of `order`; if they come in order, the result is that of
+    guard. State of a run is one value of bounded size. Needs the RocksDB state store."""
+    from pyspark.sql.streaming import StatefulProcessor
+
+    _check(mode)
+    columns = [run, order, "max_similarity", "nearest", "novelty_issues", "accepted"]
+    fresh = partial(Memory, mode, limit, window, feedback)
+
+    class Novelty(StatefulProcessor):
+        def init(self, handle) -> None:
+            self.state = handle.getValueState("recent", "kept string")
+
+        def handleInputRows(self, key, rows, timerValues):
+            memory = fresh()
+            if self.state.exists():
+                memory.load(self.state.get()[0])
+            pdf = pd.concat(list(rows)).sort_values([order, "skeleton"], kind="stable")
+            out = [(r[run], r[order], *memory.judge(r["skeleton"], r["entities"], r["valid"])) for r in pdf.to_dict("records")]
+            self.state.update((memory.dump(),))
+            yield pd.DataFrame(out, columns=columns)
+
+        def close(self) -> None:
+            pass
+
+    own = rows.select(run, order, "skeleton", "entities", F.coalesce("valid", F.lit(False)).alias("valid"))
+    return own.groupBy(run).transformWithStateInPandas(statefulProcessor=Novelty(), outputStructType=_schema(rows, run, order), outputMode="Append", timeMode="None")
+
+
+def issue_types(issues: Column) -> Column:
+    return F.transform(issues, lambda i: i["type"])

@@ -50,8 +50,8 @@ class RunConfig:
     novelty_recent_window: int = 100
     max_novelty_feedback: int = 3
     max_repairs: int = 1
-    #: balanced: samples of equal label sets take the compatible frames in turn; least_used: the frame that the whole run has used least.
-    frame_policy: str = "balanced"
+    #: least_used: the use of frames is levelled over the whole run; balanced: samples of equal label sets take the compatible frames in turn.
+    frame_policy: str = "least_used"
 
     def __post_init__(self) -> None:
         self.language = {"vietnamese": "vi", "vi-vn": "vi", "vi_vn": "vi"}.get(self.language.strip().lower(), self.language.strip().lower())
@@ -128,16 +128,18 @@ def _capacity(c: RunConfig, difficulty: str, kind: str) -> int:
 
 def compatible_frames(labels: Column, excluded: list[str] = ()) -> Column:
     """Ids of the frames that support all labels."""
-    table = F.array(*(F.struct(F.lit(k).alias("id"), F.array(*(F.lit(x) for x in v[4])).alias("labels")) for k, v in catalog.FRAMES.items() if k not in excluded))
-    return F.transform(F.filter(table, lambda f: F.size(F.array_except(labels, f["labels"])) == 0), lambda f: f["id"])
+    return catalog.frame_ids(catalog.frame_set(catalog.mask(labels), excluded))
 
 
-def plan_tasks(spark: SparkSession, c: RunConfig) -> DataFrame:
-    """One row per sample, each drawn by itself from (random_seed, axis, sequence_no); raises on a wrong configuration."""
+def plan_tasks(spark: SparkSession, c: RunConfig, slots: DataFrame | None = None) -> DataFrame:
+    """One row per sample, each drawn by itself from (random_seed, axis, sequence_no); raises on a wrong configuration.
+
+    slots: a table whose distinct sequence_no (1, 2, ...) are the samples, of any number; num_samples of them by default."""
     if errors := config_errors(c):
         raise ValueError("; ".join(errors))
     seq = F.col("sequence_no").cast("string")
-    rows = spark.range(1, c.num_samples + 1).select(F.col("id").cast("int").alias("sequence_no"))
+    numbers = spark.range(1, c.num_samples + 1).select(F.col("id").alias("sequence_no")) if slots is None else slots
+    rows = numbers.select(F.col("sequence_no").cast("int").alias("sequence_no"))
     rows = rows.withColumns({
         "difficulty": rng.weighted({d: c.difficulty_distribution[d] for d in DIFFICULTIES}, c.random_seed, "difficulty", seq),
         "sample_type": rng.weighted({t: c.sample_type_distribution[t] for t in SAMPLE_TYPES}, c.random_seed, "sample_type", seq),
@@ -178,15 +180,15 @@ def plan_tasks(spark: SparkSession, c: RunConfig) -> DataFrame:
         axes["language_register"] = F.when(axes["document_structure"] == "friend_chat", "informal").otherwise("neutral")
     elif c.structure == "custom":
         axes["document_structure"] = F.lit("custom_format")
-    rows = rows.withColumns(axes).withColumn("frames", compatible_frames(F.col("focus_labels")))
-    # samples of one label set take its frames in turn, in another order each time round; a run has 100,000 rows at most
-    labels = F.array_join(F.array_sort("focus_labels"), ",")
-    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(labels).orderBy("sequence_no")) - 1)
-    at = F.col("at")
-    order = rng.shuffled(F.col("frames"), c.random_seed, "frame", labels, F.floor(at / F.size("frames")).cast("string"))
-    rows = rows.withColumn("context_frame_id", F.element_at(order, (at % F.size("frames") + 1).cast("int")))
-    if c.frame_policy == "least_used":
-        rows = least_used_frames(rows.withColumn("run", F.lit(c.run_name)), "run", c.random_seed).withColumn("context_frame_id", F.col("frame_id")).drop("run", "frame_id")
+    rows = rows.withColumns(axes)
+    if c.frame_policy == "balanced":  # in another order each time round
+        labels = F.array_join(F.array_sort("focus_labels"), ",")
+        rows = rows.withColumn("frames", compatible_frames(F.col("focus_labels"))).withColumn("at", F.row_number().over(Window.partitionBy(labels).orderBy("sequence_no")) - 1)
+        at = F.col("at")
+        order = rng.shuffled(F.col("frames"), c.random_seed, "frame", labels, F.floor(at / F.size("frames")).cast("string"))
+        rows = rows.withColumn("context_frame_id", F.element_at(order, (at % F.size("frames") + 1).cast("int"))).drop("frames", "at")
+    else:
+        rows = least_used_frames(rows.withColumn("_of", F.lit(c.run_name)), "_of", c.random_seed).drop("_of").withColumnRenamed("frame_id", "context_frame_id")
     return rows.withColumns({
         "task_seed": rng.bits(c.random_seed, "task", seq),
         "task_id": F.md5(F.concat_ws("|", F.lit(c.run_name), F.lit(str(c.random_seed)), seq)),
@@ -194,30 +196,61 @@ def plan_tasks(spark: SparkSession, c: RunConfig) -> DataFrame:
         "language": F.lit(c.language),
         "max_attempts": F.lit(c.max_regenerate_attempts + 1),
         "replacement_no": F.lit(0),
-    }).drop("frames", "primary_label", "max_focus", "at")
+    }).drop("primary_label", "max_focus")
+
+
+def level_quotas(counts: dict[int, int]) -> dict[int, list[tuple[int, int]]]:
+    """For each frame set the samples that each of its frames gets, as (place of the frame, samples): sets of few frames first, each
+    poured like water onto those of its frames that are used least. One set alone is levelled to a difference of one."""
+    used = [0] * len(catalog.FRAMES)
+    out: dict[int, list[tuple[int, int]]] = {}
+    for frames in sorted(counts, key=lambda m: (m.bit_count(), m)):
+        n = counts[frames]
+        low = sorted((used[i], i) for i in range(len(used)) if frames >> i & 1)
+        if not low:
+            continue
+        m = sum(k * low[k - 1][0] - sum(t for t, _ in low[:k]) < n for k in range(1, len(low) + 1))
+        water, extra = divmod(n + sum(t for t, _ in low[:m]), max(m, 1))
+        got = sorted((i, water - t + (r < extra)) for r, (t, i) in enumerate(low[:m]))
+        for i, q in got:
+            used[i] += q
+        out[frames] = got
+    return out
+
+
+#: Parts of a frame set's samples that are numbered on their own.
+NUMBERED = 1024
 
 
 def least_used_frames(tasks: DataFrame, run_col: str = "run_id", seed: int = 0) -> DataFrame:
-    """tasks with frame_id: in order of sequence_no, the compatible frame that the run has used least, ties by a hash.
-
-    Sequential within a run of 100,000 rows at most, so each run is one group."""
-
-    def one(pdf):
-        import hashlib
-
-        used: dict[str, int] = {}
-        supported = {k: set(v[4]) for k, v in catalog.FRAMES.items()}
-        pdf = pdf.sort_values("sequence_no").reset_index(drop=True)
-        out = []
-        for n, labels in zip(pdf["sequence_no"], pdf["focus_labels"], strict=True):
-            fit = [k for k, have in supported.items() if set(labels) <= have]
-            best = min(fit, key=lambda k: (used.get(k, 0), hashlib.md5(f"{seed}|{n}|{k}".encode()).hexdigest()), default=None)
-            used[best] = used.get(best, 0) + 1
-            out.append(best)
-        return pdf.assign(frame_id=out)
-
-    schema = ", ".join(f"`{n}` {t}" for n, t in tasks.dtypes) + ", frame_id string"
-    return tasks.groupBy(run_col).applyInPandas(one, schema)
+    """tasks (run, sequence_no, focus_labels) with frame_id: the use of each run's frames is levelled over its label sets, and
+    differs by one at most where all tasks have one label set; null where no frame supports a task's labels.
+
+    No task looks at the ones before. Tasks count by run and frame set (2,047 sets at most); a run's counts become quotas of its
+    frames; and the tasks of a set, in an order drawn from the seed, take its frames up to their quotas. Numbers come from those
+    within NUMBERED parts of a set and the sizes of the parts before, so that a set of any size is dealt over tasks."""
+    own = tasks.withColumn("_run", F.coalesce(F.col(run_col).cast("string"), F.lit(""))).withColumn("_set", catalog.frame_set(catalog.mask(F.col("focus_labels"))))
+    own = own.withColumn("_draw", rng.bits(seed, "frame", F.col("_run"), F.col("sequence_no").cast("string"))).withColumn("_part", F.col("_draw") % NUMBERED)
+    sizes = own.groupBy("_run", "_set", "_part").agg(F.count("*").alias("n"))
+    parts = sizes.withColumn("_before", F.sum("n").over(Window.partitionBy("_run", "_set").orderBy("_part")) - F.col("n")).select("_run", "_set", "_part", "_before")
+    counts = sizes.groupBy("_run", "_set").agg(F.sum("n").alias("n"))
+
+    def quotas(pdf):
+        import pandas as pd
+
+        got = level_quotas({int(m): int(n) for m, n in zip(pdf["_set"], pdf["n"], strict=True) if m})
+        rows = []
+        for frames, shares in got.items():
+            ends = [sum(q for _, q in shares[: k + 1]) for k in range(len(shares))]
+            rows.append((pdf["_run"].iloc[0], frames, ends, [i for i, _ in shares]))
+        return pd.DataFrame(rows, columns=["_run", "_set", "_ends", "_frames"])
+
+    shares = counts.groupBy("_run").applyInPandas(quotas, "_run string, _set int, _ends array<long>, _frames array<int>")
+    place = F.row_number().over(Window.partitionBy("_run", "_set", "_part").orderBy("_draw", "sequence_no")) - 1
+    own = own.withColumn("_place", place).join(parts, ["_run", "_set", "_part"]).join(shares, ["_run", "_set"], "left")
+    names = F.array(*(F.lit(x) for x in catalog.FRAMES))
+    passed = F.size(F.filter("_ends", lambda e: e <= F.col("_place") + F.col("_before")))
+    return own.withColumn("frame_id", F.when(F.col("_ends").isNotNull(), F.get(names, F.get("_frames", passed)))).select(*tasks.columns, "frame_id")
 
 
 def select_frame(preferred: Column, labels: Column, seed: int, *key) -> Column:

@@ -49,14 +49,16 @@ def _add(have: DataFrame | None, more: DataFrame) -> DataFrame:
     return more if have is None else have.unionByName(more)
 
 
-def seed_rounds(tasks: DataFrame, config: RunConfig, cut: Step) -> tuple[DataFrame, DataFrame, DataFrame]:
+def seed_rounds(tasks: DataFrame, config: RunConfig, cut: Step, stride: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(packs without issues, refused packs, tasks that max_seed_pack_attempts draws gave no fit pack).
 
-    A refused pack is drawn anew; refused ones carry seed_try and pack_issues. A task without a frame has an issue of scope CONTEXT."""
+    A refused pack is drawn anew, its values from `stride` numbers further on (as many as tasks and their replacements can have); refused ones carry seed_try and pack_issues. A task without a frame has an issue of scope CONTEXT."""
     registry, names = strategies(tasks.sparkSession), tasks.columns
+    stride = stride or config.num_samples * (config.max_task_replacements + 1)
     left, fit, refused = tasks, None, None
     for n in range(1, config.max_seed_pack_attempts + 1):
-        drawn = samples.seed_packs(left, registry, config.random_seed, F.concat_ws(".", "seed_attempt", F.lit(n)), _only(config), config.min_decoys, config.max_decoys)
+        draw = (F.col("seed_attempt") - 1) * config.max_seed_pack_attempts + n - 1
+        drawn = samples.seed_packs(left, registry, config.random_seed, F.concat_ws(".", "seed_attempt", F.lit(n)), _only(config), config.min_decoys, config.max_decoys, draw, stride)
         checked = samples.seed_pack_issues(drawn, registry, _only(config), config.min_decoys, config.max_decoys, config.reject_mixed_locale)
         frameless = F.array(F.struct(F.lit("incompatible_context_frame"), F.lit("CONTEXT"), F.lit("no frame supports all labels"), F.lit(None).cast("string"), F.lit(None).cast("string")).cast(samples.ISSUE))
         checked = checked.withColumn("pack_issues", F.when(F.col("context_frame_id").isNull(), F.concat(frameless, "pack_issues")).otherwise(F.col("pack_issues")))
@@ -68,9 +70,9 @@ def seed_rounds(tasks: DataFrame, config: RunConfig, cut: Step) -> tuple[DataFra
     return fit.drop("pack_issues"), refused, left
 
 
-def candidates(spark: SparkSession, tasks: DataFrame, config: RunConfig, attempt: int | Column = 1) -> DataFrame:
+def candidates(spark: SparkSession, tasks: DataFrame, config: RunConfig, attempt: int | Column = 1, draw: int | Column = 0, stride: int = 0) -> DataFrame:
     """Offline candidates of tasks with their issues: seeds and look-alikes of this attempt, rendered text."""
-    packs = samples.seed_packs(tasks, strategies(spark), config.random_seed, attempt, _only(config), config.min_decoys, config.max_decoys)
+    packs = samples.seed_packs(tasks, strategies(spark), config.random_seed, attempt, _only(config), config.min_decoys, config.max_decoys, draw, stride)
     return check(samples.render(packs, DOCUMENTS, config.structure, config.custom_instruction, _only(config)), config)
 
 
@@ -94,7 +96,7 @@ def guard_novelty(rows: DataFrame, accepted: DataFrame | None, config: RunConfig
     With novelty_mode enforce the issues of an otherwise valid row become its own."""
     values = F.transform("decoys", lambda d: d["value"])
     shown = lambda df, prior: df.select("run_id", "sequence_no", tags.skeleton(F.col("tagged_text"), values).alias("skeleton"), "entities", "valid", F.lit(prior).alias("prior"))
-    known = shown(rows, False) if accepted is None else shown(rows, False).unionByName(shown(accepted, True))
+    known = shown(rows, False) if accepted is None else shown(rows, False).unionByName(shown(novelty.last_accepted(accepted, config.novelty_recent_window), True))
     found = novelty.guard(known, config.novelty_mode, limit=config.near_duplicate_threshold, window=config.novelty_recent_window, feedback=config.max_novelty_feedback)
     found = found.select("run_id", "sequence_no", F.struct("max_similarity", "nearest", F.col("novelty_issues").alias("issues")).alias("novelty"))
     rows = rows.drop("novelty").join(found, ["run_id", "sequence_no"])
@@ -148,7 +150,7 @@ def run(
     spark: SparkSession, config: RunConfig, cut: Step = shared.cut, attempt: Callable[[DataFrame, int], DataFrame] | None = None, taxonomy: DataFrame | None = None,
     judge: Step = offline_judge, repair: Step = offline_repair, limit: int | None = None, planned: DataFrame | None = None,
 ) -> Run:
-    """Work off a run's tasks (planned, or plan_tasks of the configuration).
+    """Work off a run's tasks (planned, by plan_tasks over a table of slots, say; or plan_tasks of the configuration).
 
     attempt(packs, n) adds tagged_text, entities, input_tokens and output_tokens; the offline renderer by default. Each
     candidate is validated and, where a taxonomy gives its guidance, held against the examples. With quality_checks it is held
@@ -159,6 +161,7 @@ def run(
     extra = {"run_id": F.lit(config.run_name), "seed_attempt": F.lit(1), "status": F.lit("CREATED"), "parent_task_id": F.lit(None).cast("string"), "reflection": F.lit(None).cast(REFLECTION)}
     tasks = cut((planned or plan_tasks(spark, config)).withColumns(extra))
     names, last = tasks.columns, tasks.count()
+    stride = last * (config.max_task_replacements + 1)  # numbers that tasks and their replacements can have
     asked = last if limit is None else min(limit, config.batch_size, last)
     kept: dict[str, DataFrame] = {}
     count = begun = 0
@@ -166,7 +169,7 @@ def run(
         left = tasks if limit is None else cut(tasks.where(F.col("sequence_no") > begun).orderBy("sequence_no").limit(asked - count))
         begun = left.agg(F.max("sequence_no")).first()[0] or begun
         for turn in range(config.max_task_replacements + 1):
-            lost = _attempts(left, names, config, cut, attempt, taxonomy, judge, repair, kept)
+            lost = _attempts(left, names, config, cut, attempt, taxonomy, judge, repair, kept, stride)
             spent = lost.where(F.col("replacement_no") >= config.max_task_replacements)
             kept["lost"] = _add(kept.get("lost"), spent)
             new, _ = flow.replacements(lost.select(*names), last, config.max_task_replacements)
@@ -188,7 +191,7 @@ def run(
     return Run(config, every, kept["packs"], kept["unfit"], kept["attempts"], accepted, kept["lost"], kept["waiting"], status)
 
 
-def _attempts(tasks: DataFrame, names: list[str], config: RunConfig, cut: Step, attempt, taxonomy, judge: Step, repair: Step, kept: dict[str, DataFrame]) -> DataFrame:
+def _attempts(tasks: DataFrame, names: list[str], config: RunConfig, cut: Step, attempt, taxonomy, judge: Step, repair: Step, kept: dict[str, DataFrame], stride: int) -> DataFrame:
     """Rejected last candidates of tasks; all else goes to kept."""
     lost, left, most = None, tasks, config.max_regenerate_attempts + 1
 
@@ -197,7 +200,7 @@ def _attempts(tasks: DataFrame, names: list[str], config: RunConfig, cut: Step,
         return guard_imitation(rows) if taxonomy is not None else rows
 
     for n in range(1, most + 1):
-        packs, refused, unfit = seed_rounds(left, config, cut)
+        packs, refused, unfit = seed_rounds(left, config, cut, stride)
         kept["packs"] = _add(kept.get("packs"), packs.withColumn("attempt_no", F.lit(n)))
         kept["unfit"] = _add(kept.get("unfit"), refused.withColumn("attempt_no", F.lit(n)))
         if taxonomy is not None:
@@ -236,5 +239,5 @@ def resume(done: Run, judge: Step, repair: Step, cut: Step = shared.cut) -> Data
 
 def demo(**changes) -> RunConfig:
     """The configuration of the registered queries."""
-    base = RunConfig(run_name="demo", num_samples=2000, focus_labels=["PERSON", "DATE", "TIME", "EMAIL", "PHONE", "ADDRESS", "MONEY", "CARD_NUMBER", "ORGANIZATION", "GENDER"], minimum_per_label=20, optional_constraint_distribution={"multi_sentence": 0.5, "abbreviation": 0.3, "numeric_noise": 0.2}, random_seed=174)
+    base = RunConfig(run_name="demo", num_samples=2000, focus_labels=["PERSON", "DATE", "TIME", "EMAIL", "PHONE", "ADDRESS", "MONEY", "CARD_NUMBER", "ORGANIZATION", "GENDER"], minimum_per_label=20, optional_constraint_distribution={"multi_sentence": 0.5, "abbreviation": 0.3, "numeric_noise": 0.2}, random_seed=174, frame_policy="balanced")
     return dataclasses.replace(base, **changes)

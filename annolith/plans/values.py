@@ -15,13 +15,12 @@ LISTS = {
     "middle": ["Hữu", "Gia", "Bảo", "Khánh", "Diệu", "Tường", "Xuân", "Hải"],
     "given": ["Duy", "Giang", "Hạnh", "Kiên", "Linh", "My", "Nhi", "Oanh", "Phong", "Quân", "Tâm", "Uyên", "Vinh", "Yến"],
     "city": list(CITIES),
-    "district": [f"{ward.split(', ')[1]}, {city}" for city, wards in _WARDS.items() for ward in wards],
+    "district": list(dict.fromkeys(f"{ward.split(', ')[1]}, {city}" for city, wards in _WARDS.items() for ward in wards)),
     "ward": [f"{ward}, {city}" for city, wards in _WARDS.items() for ward in wards],
     "street": ["Hàm Nghi", "Phan Chu Trinh", "Yersin", "Võ Văn Tần", "Lý Tự Trọng", "Bạch Đằng"],
     "block": ["K1", "K2", "M3", "N4", "P5"],
     "mobile": ["033", "038", "058", "077", "089", "096"],
     "mobile_abroad": ["33", "38", "58", "77", "89", "96"],
-    "pan": ["453201", "510510", "601111"],
     "plate": ["A", "B", "D", "E", "F"],
     "half": ["AM", "PM"],
     "illness": ["viêm xoang", "đau dạ dày", "tiểu đường", "rối loạn tiền đình", "thoái hóa khớp"],
@@ -67,7 +66,7 @@ TEMPLATES = {
     "MONEY": ["{1-899}.{3d}.000 VND", "VND {1-899},{3d},000", "₫{1-899},{3d}"],
     "URL": ["https://example.org/muc/{9d}", "https://cong.example.net/don/{9d}", "http://dich-vu.example.com/v2/{9d}"],
     "IP": ["203.0.113.{1-254}", "192.0.2.{1-254}", "2001:db8:{3h}:{3h}::2"],
-    "CARD_NUMBER": ["{pan}{9d}{luhn}", "{pan}{9d}{luhn}", "{pan}{9d}{luhn}"],
+    "CARD_NUMBER": ["453201{9d}{luhn}", "510510{9d}{luhn}", "402400{9d}{luhn}"],
     "PLATE": ["{11-99}{plate}-{5d}", "{11-99}{plate}1-{5d}", "{11-99}{plate} {3d}.{2d}"],
     "PASSPORT": ["B{8d}", "C{8d}", "P{7d}"],
     "MEDICAL_INFO": ["từng mắc {illness}", "uống thuốc vì {illness}", "phiếu khám ghi {illness}"],

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from annolith.functions import detect, tags, templates, text
+from annolith import shared
+from annolith.functions import detect, tags, templates, text, unique
 from annolith.operators import audit, flow, novelty, samples, verify
 from annolith.plans import catalog, guidance, runs, values
 from annolith.plans.planner import compatible_frames, plan_tasks, unknown_labels
@@ -92,6 +95,15 @@ def tag_and_format_spans(spark, sf_dir):
     return rows.select("doc_id", "e.label", "e.start", "e.end", "e.text")
 
 
+@query(SPANS_SQL + 'select doc_id, \'EMAIL\' as label, cast(b as int) as start, cast(b + length(value) as int) as "end", value as text from s')
+def spans_table_function(spark, sf_dir):
+    """tag_and_format_spans by SQL: a lateral join with the table function."""
+    tags.register_spans(spark)
+    view = f"tagged_{uuid.uuid4().hex}"
+    _tagged(spark, sf_dir).createOrReplaceTempView(view)
+    return spark.sql(f"select doc_id, s.label, s.start, s.`end`, s.text from {view} as t, lateral spans(t.tagged) as s")
+
+
 @query(SPANS_SQL + "select doc_id, cast(count(*) as bigint) as spans, true as valid from s group by doc_id")
 def span_invariants(spark, sf_dir):
     rows = _tagged(spark, sf_dir).select("doc_id", tags.format_spans(F.col("tagged")).alias("f"))
@@ -157,7 +169,16 @@ def _bag_sql(values: list[str], axis: str) -> str:
     return f"list_transform(list_sort(list_transform([{items}], lambda v: {{'h': md5(concat_ws('|', '174', '{axis}', {bag}, v)), 'v': v}})), lambda x: x.v)[cast((seq - 1) % {k} + 1 as int)] as {axis}"
 
 
-SEQ = "(select unnest(range(1, 2001)) as seq)"
+#: Orders as the tasks of a run: their numbers are the samples' numbers.
+SEQ = "(select o_orderkey + 1 as seq from orders)"
+
+
+def _numbers(spark, sf_dir, name: str, key: str) -> DataFrame:
+    return table(spark, sf_dir, name).select((F.col(key) + 1).alias("sequence_no"))
+
+
+def _demo_tasks(spark, sf_dir) -> DataFrame:
+    return plan_tasks(spark, runs.demo(), _numbers(spark, sf_dir, "orders", "o_orderkey"))
 
 
 @query(f"""
@@ -167,12 +188,12 @@ select cast(seq as int) as sequence_no,
 from {SEQ}
 """)
 def plan_difficulty_types(spark, sf_dir):
-    return plan_tasks(spark, runs.demo()).select("sequence_no", "difficulty", "sample_type")
+    return _demo_tasks(spark, sf_dir).select("sequence_no", "difficulty", "sample_type")
 
 
 @query(f"select cast(seq as int) as sequence_no, {', '.join(_bag_sql(v, k) for k, v in catalog.AXES.items())} from {SEQ}")
 def plan_quota_axes(spark, sf_dir):
-    return plan_tasks(spark, runs.demo()).select("sequence_no", *catalog.AXES)
+    return _demo_tasks(spark, sf_dir).select("sequence_no", *catalog.AXES)
 
 
 POOL = "['PERSON', 'DATE', 'TIME', 'EMAIL', 'PHONE', 'ADDRESS', 'MONEY', 'CARD_NUMBER', 'ORGANIZATION', 'GENDER']"
@@ -180,7 +201,7 @@ POOL = "['PERSON', 'DATE', 'TIME', 'EMAIL', 'PHONE', 'ADDRESS', 'MONEY', 'CARD_N
 
 @query(f"select cast(seq as int) as sequence_no, case when seq <= 200 then {POOL}[cast(floor((seq - 1) / 20) as int) + 1] else {POOL}[cast({_h("'174'", "'primary'", "seq::varchar")} % 10 as int) + 1] end as label from {SEQ}")
 def plan_mandatory_labels(spark, sf_dir):
-    return plan_tasks(spark, runs.demo()).select("sequence_no", F.element_at("focus_labels", 1).alias("label"))
+    return _demo_tasks(spark, sf_dir).select("sequence_no", F.element_at("focus_labels", 1).alias("label"))
 
 
 _PLAN_SQL = f"""
@@ -194,7 +215,7 @@ with d as (select seq, {_h("'174'", "'difficulty'", "seq::varchar")} / 429496729
 
 @query(_PLAN_SQL + f"select cast(seq as int) as sequence_no, cast(lim as int) as max_entities, cast({_h("'174'", "'focus_count'", "seq::varchar")} % most + 1 as int) as n_labels, array_to_string(drawn[:budget], ',') as constraints from b")
 def plan_complexity_budget(spark, sf_dir):
-    return plan_tasks(spark, runs.demo()).select("sequence_no", "max_entities", F.size("focus_labels").alias("n_labels"), F.array_join("optional_constraints", ",").alias("constraints"))
+    return _demo_tasks(spark, sf_dir).select("sequence_no", "max_entities", F.size("focus_labels").alias("n_labels"), F.array_join("optional_constraints", ",").alias("constraints"))
 
 
 _FRAMES_SQL = " union all ".join(f"select '{k}' as frame_id, {list(v[4])} as labels" for k, v in catalog.FRAMES.items())
@@ -352,15 +373,30 @@ def _pick(h: str, size: str) -> str:
     return f"cast({h} % {size} as int) + 1"
 
 
-_VALUE_SQL = templates.sql_drawn(f"t.parts[{_pick(_h("'174'", "'query'", 'c_custkey::varchar', 't.label', "'variant'"), 'len(t.parts)')}]", "'174', 'query', c_custkey::varchar, t.label")
+_UNIQUE_SQL = f"with each as (select c_custkey, unnest({list(catalog.LABELS)}) as label, c_custkey as counter from customer), {unique.sql_values('each', "'174'")}"
+
 
+def _customer_values(spark, sf_dir) -> DataFrame:
+    """A value of every label for each customer, none of them repeated while a label has values left."""
+    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("counter"), F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
+    return unique.with_values(rows, [F.lit("174")])
 
-@query(f"with {_templates_sql(catalog.LABELS)} select c_custkey, t.label, {_VALUE_SQL} as value, variants[{_pick(_h("'174'", "'query'", 'c_custkey::varchar', 't.label', "'variant'"), 'len(t.parts)')}] as variant, true as valid from customer, templates t")
+
+@query(_UNIQUE_SQL + "select c_custkey, label, value, variant, true as valid from unique_values")
 def seed_values(spark, sf_dir):
     """A value, its variant and format check for every label and customer."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
-    rows = samples.with_templates(rows).select("c_custkey", "label", samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label")).alias("made"))
-    return rows.select("c_custkey", "label", "made.value", "made.variant", detect.valid_format(F.col("label"), F.col("made.value")).alias("valid"))
+    return _customer_values(spark, sf_dir).select("c_custkey", "label", "value", "variant", detect.valid_format(F.col("label"), F.col("value")).alias("valid"))
+
+
+@query(_UNIQUE_SQL + ", c(label, capacity) as (values " + ", ".join(f"('{k}', {n}::bigint)" for k, n in unique.capacities().items()) + """)
+select label, capacity, count(*) as n_values, count(distinct lower(trim(value))) as n_distinct, least(count(*), capacity) = count(distinct lower(trim(value))) as never_early from unique_values join c using (label) group by label, capacity
+""")
+def run_wide_unique_values(spark, sf_dir):
+    """How many of a run's values are distinct, by label: all of them, or all that a label of small capacity has."""
+    ratios = audit.unique_ratios(_customer_values(spark, sf_dir))
+    capacity = spark.createDataFrame(list(unique.capacities().items()), "label string, capacity long")
+    rows = ratios.join(F.broadcast(capacity), "label")  # 44 labels
+    return rows.select("label", "capacity", "n_values", "n_distinct", (F.least("n_values", "capacity") == F.col("n_distinct")).alias("never_early"))
 
 
 def _shuffled_sql(items: str, *key: str) -> str:
@@ -369,6 +405,8 @@ def _shuffled_sql(items: str, *key: str) -> str:
 
 DEMO_LABELS = runs.demo().focus_labels
 _FRAME_LIST = "[" + ", ".join(f"{{'id': '{k}', 'labels': {list(v[4])}}}" for k, v in catalog.FRAMES.items()) + "]"
+_FRAME_PLACE = "case f " + " ".join(f"when '{k}' then {i}" for i, k in enumerate(catalog.FRAMES, 1)) + " end"
+_FRAME_BIT = "case f " + " ".join(f"when '{k}' then {1 << i}" for i, k in enumerate(catalog.FRAMES)) + " end"
 _STRATEGY_LIST = ", ".join(
     f"('{label}', [" + ", ".join(f"{{'id': '{name}', 'cue': '{required[0]}', 'regex': $re${regex}$re$, 'parts': {templates.sql_parts(parts)}}}" for name, x, _, _, _, regex, required, *_, parts in sorted(registry(), key=lambda r: r[0]) if x == label) + "])"
     for label in DEMO_LABELS)
@@ -380,11 +418,11 @@ TASKS_SQL = _PLAN_SQL + f""",
      p4 as (select *, row_number() over (partition by key order by seq) - 1 as nth, md5('demo|174|' || seq) as task_id, case k when 'p' then 'positive' when 'n' then 'pure_negative' else 'hard_negative' end as sample_type from p3),
      tasks as (select *, {_shuffled_sql("frames", "'174'", "'frame'", "key", "cast(nth // len(frames) as varchar)")}[cast(nth % len(frames) as int) + 1] as frame, {', '.join(_bag_sql(v, n) for n, v in catalog.AXES.items())} from p4)
 """
-_SEED = ("'174'", "'seed'", "task_id", "'0'", "label", "'0'")
 #: ... with seeds and look-alikes of the first attempt.
-PACKS_SQL = TASKS_SQL + f""", {_templates_sql(DEMO_LABELS)}, strategies(label, options) as (values {_STRATEGY_LIST}),
-     each as (select seq, task_id, unnest(labels) as label, unnest(range(1, len(labels) + 1)) as i from tasks where k <> 'n'),
-     seeds as (select seq, list({{'label': label, 'value': value}} order by i) as seeds from (select seq, label, i, {templates.sql_drawn(f"parts[{_pick(_h(*_SEED, "'variant'"), 'len(parts)')}]", ", ".join(_SEED))} as value from each join templates using (label)) group by seq),
+PACKS_SQL = TASKS_SQL + f""", strategies(label, options) as (values {_STRATEGY_LIST}),
+     each as (select seq, unnest(labels) as label, unnest(range(1, len(labels) + 1)) as place, seq - 1 as counter from tasks where k <> 'n'),
+     {unique.sql_values("each", "'174'")},
+     seeds as (select seq, list({{'label': label, 'value': value}} order by place) as seeds from unique_values group by seq),
      lures as (select seq, task_id, labels, unnest(range(0, cast({_h("'174'", "'decoys'", "task_id", "'0'")} % 2 as int) + 1)) as j from tasks where k = 'h'),
      picked as (select seq, task_id, j, labels[j % len(labels) + 1] as label, options[cast(({_h("'174'", "'strategy'", "task_id", "'0'")} + j // len(labels)) % 3 as int) + 1] as o from lures join strategies on strategies.label = labels[j % len(labels) + 1]),
      decoys as (select seq, list({{'id': o.id, 'cue': o.cue, 'value': value, 'fits': regexp_matches(value, o.regex)}} order by j) as decoys from (select *, {templates.sql_drawn("o.parts", "'174', 'decoy', task_id, '0', j::varchar")} as value from picked) group by seq),
@@ -392,15 +430,15 @@ PACKS_SQL = TASKS_SQL + f""", {_templates_sql(DEMO_LABELS)}, strategies(label, o
 """
 
 
-def _demo_packs(spark) -> DataFrame:
+def _demo_packs(spark, sf_dir) -> DataFrame:
     config = runs.demo()
-    return samples.seed_packs(plan_tasks(spark, config), strategies(spark), config.random_seed, 0, False, config.min_decoys, config.max_decoys)
+    return samples.seed_packs(_demo_tasks(spark, sf_dir), strategies(spark), config.random_seed, 0, False, config.min_decoys, config.max_decoys)
 
 
 @query(PACKS_SQL + "select cast(seq as int) as sequence_no, sample_type, cast(coalesce(len(seeds), 0) as int) as n_seeds, d.id as strategy_id, d.value, 0 as n_issues from (select *, unnest(case when decoys is null then [null] else decoys end) as d from packs)")
 def decoy_pick(spark, sf_dir):
     """Look-alikes of the demo run's tasks; every pack passes the seed-pack check."""
-    checked = samples.seed_pack_issues(_demo_packs(spark), strategies(spark), False, 1, 2)
+    checked = samples.seed_pack_issues(_demo_packs(spark, sf_dir), strategies(spark), False, 1, 2)
     return checked.select("sequence_no", "sample_type", F.size("positives").alias("n_seeds"), F.explode_outer("decoys").alias("d"), F.size("pack_issues").alias("n_issues")).select("sequence_no", "sample_type", "n_seeds", "d.strategy_id", "d.value", "n_issues")
 
 
@@ -425,7 +463,7 @@ RENDER_SQL = PACKS_SQL + f""",
 
 @query(RENDER_SQL + "select cast(seq as int) as sequence_no, sample_type, tagged_text, true as valid from rendered")
 def render_offline(spark, sf_dir):
-    rows = runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo(), 0)
+    rows = runs.candidates(spark, _demo_tasks(spark, sf_dir), runs.demo(), 0)
     return rows.select("sequence_no", "sample_type", "tagged_text", "valid")
 
 
@@ -441,7 +479,7 @@ select cast(dm.seq as int) as sequence_no, em.type, case when em.type is null th
 """)
 def validate_output(spark, sf_dir):
     """Issues of candidates damaged in three ways: closing tags lost, the first entity unlisted, the first look-alike said twice."""
-    rows = samples.render(_demo_packs(spark), runs.DOCUMENTS)
+    rows = samples.render(_demo_packs(spark, sf_dir), runs.DOCUMENTS)
     n, seeded = F.col("sequence_no") % 5, F.col("sample_type") != "pure_negative"
     twice = F.concat("tagged_text", F.lit(" Nhắc lại "), F.get("decoys", F.lit(0))["required"][0], F.lit(" "), F.get("decoys", F.lit(0))["value"], F.lit("."))
     rows = rows.withColumns({
@@ -453,12 +491,12 @@ def validate_output(spark, sf_dir):
 
 @query(_PLAN_SQL + "select cast(seq as int) as sequence_no, unnest(drawn[:budget]) as name from b")
 def plan_constraints(spark, sf_dir):
-    return plan_tasks(spark, runs.demo()).select("sequence_no", F.explode("optional_constraints").alias("name"))
+    return _demo_tasks(spark, sf_dir).select("sequence_no", F.explode("optional_constraints").alias("name"))
 
 
 @query(_PLAN_SQL + "select k, name, count(*) as n from (select case k when 'p' then 'positive' when 'n' then 'pure_negative' else 'hard_negative' end as k, unnest(drawn[:budget]) as name from b) group by all")
 def constraint_distribution(spark, sf_dir):
-    rows = plan_tasks(spark, runs.demo()).select(F.col("sample_type").alias("k"), F.explode("optional_constraints").alias("name"))
+    rows = _demo_tasks(spark, sf_dir).select(F.col("sample_type").alias("k"), F.explode("optional_constraints").alias("name"))
     return audit.frequencies(rows, "k", "name")
 
 
@@ -557,7 +595,7 @@ def novelty_guard(spark, sf_dir):
     """Conversation turns against those accepted before in their conversation; none is accepted twice."""
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", tags.skeleton(F.col("text")).alias("skeleton"), F.array().cast("array<struct<label:string,value:string>>").alias("entities"), F.lit(True).alias("valid"))
     out = novelty.guard(rows, "enforce", "conv_id", "turn")
-    return out.select("conv_id", "turn", F.round("max_similarity", 6).alias("max_similarity"), F.size("nearest").alias("n_nearest"), F.array_join(F.transform("novelty_issues", lambda i: i["type"]), ",").alias("issues"), "accepted")
+    return out.select("conv_id", "turn", F.round("max_similarity", 6).alias("max_similarity"), F.size("nearest").alias("n_nearest"), F.array_join(novelty.issue_types(F.col("novelty_issues")), ",").alias("issues"), "accepted")
 
 
 @query("""
@@ -571,7 +609,8 @@ def message_envelopes(spark, sf_dir):
 
 @query()
 def audit_report(spark, sf_dir):
-    accepted = runs.run(spark, runs.demo(num_samples=400)).accepted
+    planned = plan_tasks(spark, runs.demo(), _numbers(spark, sf_dir, "customer", "c_custkey"))
+    accepted = runs.run(spark, runs.demo(), planned=planned).accepted
     values = lambda f: F.transform("decoys", lambda d: d[f])
     rows = accepted.select(F.lit("demo").alias("run_id"), "sequence_no", "tagged_text", "entities", values("value").alias("decoys"), F.col("context_frame_id").alias("frame_id"), values("strategy_id").alias("strategy_ids"), F.col("optional_constraints").alias("constraints"), F.col("positives").alias("variants"))
     flat = audit.report(rows)
@@ -591,22 +630,22 @@ def seven_detectors(spark, sf_dir):
         F.lit("Mã 1234567890123456, ngày 45/13/2024, lúc 27:61, a@b, XUSR-99, 1.2.3.4.5: thư ban.doc"), k, F.lit("@vi-du.org gọi 09"), pad(F.col("o_orderkey") % 100000000, 8), F.lit(" xem https://vi-du.org/don/"), k, F.lit(" ngày "), F.date_format("o_orderdate", "dd/MM/yyyy"),
         F.lit(" lúc "), pad(F.col("o_orderkey") % 24, 2), F.lit(":"), pad(F.col("o_orderkey") % 60, 2), F.lit(" máy 10."), (F.col("o_orderkey") % 256).cast("string"), F.lit("."), (F.col("o_custkey") % 256).cast("string"), F.lit(".7 mã USR-"), pad(F.col("o_orderkey"), 6), F.lit("!"),
     ]
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.explode(detect.first_matches(F.concat(*parts))).alias("m"))
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(*parts).alias("said")).select("o_orderkey", F.explode(detect.first_matches(F.col("said"))).alias("m"))
     return rows.select("o_orderkey", "m.label", "m.value")
 
 
 #: A run in which tasks fail in every way, by their number: see the attempt below.
 _FATE_SQL = """
-with f as (select seq, seq % 8 as fate from (select unnest(range(1, 121)) as seq)),
+with f as (select seq, seq % 8 as fate from (select s_suppkey + 1 as seq from supplier)),
      r as (select *, case when fate in (1, 2, 3, 5, 6) then 2 else 1 end as attempts, case when fate in (3, 5, 6) then 'REJECTED' when fate = 7 then 'VERIFYING' else 'ACCEPTED' end as status,
              case fate when 4 then 'FIXED' when 7 then 'VERIFYING' when 3 then 'REGENERATE' when 5 then 'REGENERATE' when 6 then 'REGENERATE' else 'PASS' end as outcome from f)
 """
 
 
-def _eventful(spark):
-    """120 positive tasks: of eight in turn 0 passes; 1 loses its tags once; 2 is refused by the judge once; 3 never has tags; 4 has an
+def _eventful(spark, sf_dir):
+    """A positive task for each supplier: of eight in turn 0 passes; 1 loses its tags once; 2 is refused by the judge once; 3 never has tags; 4 has an
     unlisted entity, which the repair mends; 5 is refused always; 6 imitates an example; 7 meets a judge that is down."""
-    config = runs.demo(num_samples=120, minimum_per_label=0, sample_type_distribution={"positive": 1.0, "pure_negative": 0.0, "hard_negative": 0.0}, quality_checks=True, max_regenerate_attempts=1, max_task_replacements=0)
+    config = runs.demo(minimum_per_label=0, sample_type_distribution={"positive": 1.0, "pure_negative": 0.0, "hard_negative": 0.0}, quality_checks=True, max_regenerate_attempts=1, max_task_replacements=0)
     fate = F.col("slot_no") % 8
 
     def attempt(packs, n):
@@ -629,7 +668,8 @@ def _eventful(spark):
 
     shot = lambda p: F.array(*(F.struct(F.lit(f"{p}{i}").alias("id"), F.lit(t).alias("expected_tagged_text"), F.lit("").alias("rationale")) for i, t in enumerate(["Câu mẫu dài để người ta so: <X>y</X>", "Khác.", "Nữa."])))
     taxonomy = spark.createDataFrame([(x,) for x in runs.demo().focus_labels], "code string").select("code", F.lit("d").alias("definition"), F.array(F.lit("r")).alias("rules"), F.struct(shot("p").alias("POSITIVE"), shot("n").alias("PURE_NEGATIVE"), shot("h").alias("HARD_NEGATIVE")).alias("examples"))
-    return runs.run(spark, config, attempt=attempt, taxonomy=taxonomy, judge=judge, repair=repair)
+    planned = plan_tasks(spark, config, _numbers(spark, sf_dir, "supplier", "s_suppkey"))
+    return runs.run(spark, config, attempt=attempt, taxonomy=taxonomy, judge=judge, repair=repair, planned=planned)
 
 
 @query(_FATE_SQL + """
@@ -641,7 +681,7 @@ def run_outcomes(spark, sf_dir):
     """Status, attempts, last outcome and events of each slot of a run in which tasks fail in every way."""
     from annolith.sources.events import run_events
 
-    done = _eventful(spark)
+    done = _eventful(spark, sf_dir)
     last = done.attempts.groupBy("task_id").agg(F.count("*").cast("int").alias("attempts"), F.max_by("outcome", "attempt_no").alias("outcome"))
     told = audit.frequencies(run_events(done, "2026-01-01 00:00:00").withColumnRenamed("causation_id", "task_id"), "task_id").withColumnRenamed("n", "events")
     return done.tasks.join(last, "task_id").join(told, "task_id").select("slot_no", "status", "attempts", "outcome", "events")
@@ -677,10 +717,10 @@ def candidate_idempotency(spark, sf_dir):
 @query(PACKS_SQL + "select task_id, frame as frame_id, array_to_string(list_transform(coalesce(decoys, []), lambda d: d.id), ',') as strategies, array_to_string(list_transform(coalesce(decoys, []), lambda d: d.value), ',') as decoys from packs")
 def seed_event_join(spark, sf_dir):
     """Results with the look-alikes and frame that their seed.validated events hold."""
-    packs = _demo_packs(spark)
+    packs = _demo_packs(spark, sf_dir)
     decoys = F.transform("decoys", lambda d: F.struct(d["strategy_id"].alias("strategy_id"), d["value"].alias("value")))
     events = packs.select(F.lit("seed.validated").alias("event_type"), F.col("task_id").alias("causation_id"), F.concat("task_id", F.lit(":seed")).alias("idempotency_key"), F.to_json(F.struct(F.lit(1).alias("attempt"), F.col("context_frame_id").alias("frame"), decoys.alias("decoys"))).alias("payload"))
-    out = audit.with_seed_events(plan_tasks(spark, runs.demo()).select("task_id"), events)
+    out = audit.with_seed_events(_demo_tasks(spark, sf_dir).select("task_id"), events)
     return out.select("task_id", "frame_id", F.array_join("strategy_ids", ",").alias("strategies"), F.array_join("decoys", ",").alias("decoys"))
 
 
@@ -697,7 +737,7 @@ def prompt_rules(spark, sf_dir):
     """The rules that a generating model gets for each task of the demo run."""
     from annolith.plans import rules
 
-    return plan_tasks(spark, runs.demo()).select("sequence_no", F.array_join(rules.task_rules(), "\n").alias("rules"))
+    return _demo_tasks(spark, sf_dir).select("sequence_no", F.array_join(rules.task_rules(), "\n").alias("rules"))
 
 
 @query(TASKS_SQL + "select cast(seq as int) as sequence_no, task_id, array_to_string(labels, ',') as labels, frame, case lim when 2 then 'easy' when 4 then 'medium' else 'hard' end as difficulty from tasks")
@@ -705,7 +745,7 @@ def generation_request(spark, sf_dir):
     """What a generating model is told of each task, read back from the JSON of its messages."""
     from annolith.plans import rules
 
-    made = rules.generation_messages(_demo_packs(spark)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
+    made = rules.generation_messages(_demo_packs(spark, sf_dir)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
     part = lambda p: F.get_json_object("c", f"$.task.{p}")
     return made.select("sequence_no", part("task_id").alias("task_id"), F.array_join(F.from_json(part("focus_labels"), "array<string>"), ",").alias("labels"), part("context_frame_id").alias("frame"), part("difficulty").alias("difficulty"))
 
@@ -715,7 +755,7 @@ def judge_envelope(spark, sf_dir):
     """What a judging model is told of each candidate, read back from the JSON of its messages."""
     from annolith.plans import rules
 
-    made = rules.judge_messages(runs.candidates(spark, plan_tasks(spark, runs.demo()), runs.demo(), 0)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
+    made = rules.judge_messages(runs.candidates(spark, _demo_tasks(spark, sf_dir), runs.demo(), 0)).select("sequence_no", F.element_at("messages", 2)["content"].alias("c"))
     part = lambda p: F.get_json_object("c", f"$.{p}")
     size = lambda p: F.json_array_length(part(p))
     return made.select("sequence_no", part("tagged_text").alias("tagged_text"), size("positive_entities").alias("seeds"), size("decoys").alias("decoys"), size("issues").alias("issues"))
@@ -727,7 +767,7 @@ select cast(seq as int) as sequence_no, case when k <> 'n' and seq % 4 = 1 then
 """)
 def seeded_contract(spark, sf_dir):
     """The first rule of seeds and look-alikes that answers damaged in four ways break."""
-    rows = samples.render(_demo_packs(spark), runs.DOCUMENTS)
+    rows = samples.render(_demo_packs(spark, sf_dir), runs.DOCUMENTS)
     n, first, lure = F.col("sequence_no") % 4, F.get("positives", F.lit(0)), F.get("decoys", F.lit(0))
     harmed = (
         F.when((n == 2) & first.isNotNull(), F.concat("tagged_text", F.lit(" Nhắc "), first["value"], F.lit(".")))
@@ -815,19 +855,22 @@ def decision_consistency(spark, sf_dir):
     return table(spark, sf_dir, "events").select("event_id", flow.decision_error(status, found).alias("error"))
 
 
-@query("select label, count(*) as strategies, count(distinct family) as families, count(distinct id) = count(*) as distinct_ids from (values " + ", ".join(f"('{label}', '{family}', '{name}')" for name, label, family, *_ in registry()) + ") s(label, family, id) group by label")
+@query(f"select {list(catalog.LABELS)}[o_orderkey % 44 + 1] as label, count(*) as tasks, 3::bigint * count(*) as offers, 3::bigint as strategies, true as varied from orders group by 1")
 def strategy_registry(spark, sf_dir):
-    """Look-alike strategies by label: three each, of two families at least."""
-    return strategies(spark).groupBy("label").agg(F.count("*").alias("strategies"), F.count_distinct("family").alias("families"), (F.count_distinct("strategy_id") == F.count("*")).alias("distinct_ids"))
+    """Look-alikes that orders, as tasks of one label each, can choose from: three a label, of two families at least."""
+    label = F.element_at(F.array(*(F.lit(x) for x in catalog.LABELS)), (F.col("o_orderkey") % 44 + 1).cast("int"))
+    offers = table(spark, sf_dir, "orders").select("o_orderkey", label.alias("label")).join(F.broadcast(strategies(spark)), "label")  # 132 strategies
+    each = offers.groupBy("label", "strategy_id", "family").agg(F.count("*").alias("n"))
+    return each.groupBy("label").agg(F.max("n").alias("tasks"), F.sum("n").alias("offers"), F.count_distinct("strategy_id").alias("strategies"), (F.count_distinct("family") >= 2).alias("varied"))
 
 
 @query(f"""
 with s(label, strategy_id, parts, regex) as (values {", ".join(f"('{label}', '{name}', {templates.sql_parts(parts)}, $re${regex}$re$)" for name, label, _, _, _, regex, *_, parts in registry())})
-select strategy_id, c_custkey, value, regexp_matches(value, regex) as fits from (select *, {templates.sql_drawn("parts", "'9', strategy_id, c_custkey::varchar")} as value from s, (select c_custkey from customer where c_custkey <= 20))
+select strategy_id, c_custkey, value, regexp_matches(value, regex) as fits from (select *, {templates.sql_drawn("parts", "'9', strategy_id, c_custkey::varchar")} as value from s, (select c_custkey from customer))
 """)
 def strategy_values(spark, sf_dir):
     """Look-alikes of every strategy, each held against its strategy's pattern."""
-    keys = table(spark, sf_dir, "customer").where("c_custkey <= 20").select("c_custkey")
+    keys = table(spark, sf_dir, "customer").select("c_custkey")
     rows = keys.join(F.broadcast(strategies(spark)))  # 132 strategies
     rows = rows.select("strategy_id", "c_custkey", "value_regex", templates.drawn(F.col("parts"), 9, F.col("strategy_id"), F.col("c_custkey").cast("string")).alias("value"))
     return rows.select("strategy_id", "c_custkey", "value", F.regexp("value", F.col("value_regex")).alias("fits"))
@@ -836,7 +879,7 @@ def strategy_values(spark, sf_dir):
 @query(TASKS_SQL + f"select cast(seq as int) as sequence_no, {_CONTENT[0]} as action, {_CONTENT[1]} as object from tasks where k = 'n'")
 def content_seeds(spark, sf_dir):
     """Action and object that samples without any entity are written about."""
-    return _demo_packs(spark).where("sample_type = 'pure_negative'").select("sequence_no", "content_seeds.action", "content_seeds.object")
+    return _demo_packs(spark, sf_dir).where("sample_type = 'pure_negative'").select("sequence_no", "content_seeds.action", "content_seeds.object")
 
 
 @query("""
@@ -876,21 +919,58 @@ def format_errors(spark, sf_dir):
 
 
 @query("""
-select 'json-taxonomy' as run_name, 7 as num_samples, 'DATE,TIME' as labels, 1.0::double as hard_negative, 'azure/gpt-4o' as generator_model, 'https://x.test' as base_url, 'k' as api_key, 2500 as max_tokens
+select c_custkey, 'json-taxonomy' as run_name, cast(c_custkey + 1 as int) as num_samples, case when c_custkey % 3 = 0 then 'DATE,TIME' else 'EMAIL' end as labels, case when c_custkey % 2 = 0 then 1.0 else 0.0 end::double as hard_negative,
+       case when c_custkey % 5 = 0 then 'm' || c_nationkey else 'azure/gpt-4o' end as generator_model, 'https://x' || c_nationkey || '.test' as base_url, 'k' || c_custkey as api_key, 2500 as max_tokens from customer
 """)
 def settings_and_flags(spark, sf_dir):
-    """A configuration from flags and settings from KEY=VALUE text, as a row."""
-    from annolith.sources.settings import flags_config, read_settings
+    """Configurations from flags and settings from KEY=VALUE text, one of both for each customer's run."""
+    from annolith.sources.settings import run_requests
 
-    c, s = flags_config(["--focus-labels", "date, TIME", "--samples", "7", "--hard-negative"]), read_settings("# note\nLLM_API_KEY='k'\nBASE_URL=https://x.test/\n", {})
-    row = (c.run_name, c.num_samples, ",".join(c.focus_labels), c.sample_type_distribution["hard_negative"], s.generator_model, s.base_url, s.api_key, s.max_tokens)
-    return spark.createDataFrame([row], "run_name string, num_samples int, labels string, hard_negative double, generator_model string, base_url string, api_key string, max_tokens int")
+    k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
+    flags = F.concat(F.array(F.lit("--focus-labels"), F.when(k % 3 == 0, "date, TIME, Date").otherwise("email"), F.lit("--samples"), (k + 1).cast("string")), F.when(k % 2 == 0, F.array(F.lit("--hard-negative"))).otherwise(F.array().cast("array<string>")))
+    settings = F.concat(F.lit("# note\nLLM_API_KEY='k"), k.cast("string"), F.lit("'\nBASE_URL=https://x"), nation, F.lit(".test/\n"), F.when(k % 5 == 0, F.concat(F.lit("MODEL=m"), nation)).otherwise(""))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", flags.alias("flags"), settings.alias("settings"))
+    return run_requests(rows, "c_custkey").select("c_custkey", "run_name", "num_samples", "labels", "hard_negative", "generator_model", "base_url", "api_key", "max_tokens")
 
 
-@query()
+_USED = "[" + ", ".join(["0::bigint"] * len(catalog.FRAMES)) + "]"
+
+
+@query(TASKS_SQL.replace("with ", "with recursive ", 1) + f""",
+     w as (select frames, count(*) as n, row_number() over (order by len(frames), mask) as k from (select *, list_sum(list_transform(frames, lambda f: {_FRAME_BIT})) as mask from p3) group by frames, mask),
+     pour as (select 0::bigint as k, {_USED} as used
+              union all select k, list_transform(used, lambda u, i: u + coalesce(list_sum(list_transform(list_filter(got, lambda g: g.i = i), lambda g: g.q)), 0)::bigint) from (
+                select k, used, list_transform(low[1:m], lambda x, r: {{'i': x.i, 'q': water // m - x.t + case when r <= water % m then 1 else 0 end}}) as got from (
+                  select *, (n + list_sum(list_transform(low[1:m], lambda x: x.t)))::bigint as water from (
+                    select *, len(list_filter(range(1, len(low) + 1), lambda m: m * low[m].t - list_sum(list_transform(low[1:m], lambda x: x.t)) < n)) as m from (
+                      select w.k, n, used, list_sort(list_transform(list_transform(frames, lambda f: {_FRAME_PLACE}), lambda i: {{'t': used[i], 'i': i}})) as low from pour join w on w.k = pour.k + 1))))),
+     final as (select used from pour order by k desc limit 1)
+select context_frame_id, n from (select unnest({list(catalog.FRAMES)}) as context_frame_id, unnest(used) as n from final) where n > 0
+""")
 def frames_least_used(spark, sf_dir):
-    """Use of the frames by a run that takes the least used one each time."""
-    return audit.frequencies(plan_tasks(spark, runs.demo(frame_policy="least_used")), "context_frame_id")
+    """Use of the frames by a run that levels it over all its tasks."""
+    planned = plan_tasks(spark, runs.demo(frame_policy="least_used"), _numbers(spark, sf_dir, "orders", "o_orderkey"))
+    return audit.frequencies(planned, "context_frame_id")
+
+
+@query("""
+select event_id, user_id::varchar as run, row_number() over (partition by user_id order by ts, event_id) as place from events where user_id is not null
+""")
+def event_log(spark, sf_dir):
+    """Events appended to a log in two batches, the second twice, read back in each run's order."""
+    from annolith.sources.files import append_events, read_events
+
+    rows = table(spark, sf_dir, "events").where("user_id is not null")
+    null = F.lit(None).cast("string")
+    told = rows.select(
+        F.col("event_id").cast("string").alias("event_id"), "event_type", F.lit(1).alias("event_version"), F.col("ts").cast("timestamp").alias("occurred_at"), F.col("user_id").cast("string").alias("correlation_id"), null.alias("causation_id"),
+        F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("idempotency_key"), F.to_json(F.struct("value")).alias("payload"), F.unix_micros(F.col("ts").cast("timestamp")).alias("position"))
+    log = f"{shared.folder(spark)}/log-{uuid.uuid4().hex}"
+    parts = F.col("event_id").cast("long") % 2
+    for name, part in (("even", 0), ("odd", 1), ("odd", 1)):
+        append_events(told.where(parts == part).repartition("correlation_id"), log, name)
+    place = F.row_number().over(Window.partitionBy("correlation_id").orderBy("position", F.col("event_id").cast("long"))).cast("long")
+    return read_events(spark, log).select(F.col("event_id").cast("long").alias("event_id"), F.col("correlation_id").alias("run"), place.alias("place"))
 
 
 def queries() -> dict:

@@ -5,8 +5,10 @@ rows with an error, never exceptions, so one bad call doesn't end a job of many.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,10 +25,36 @@ VERDICT = f"struct<status:string,score:int,issues:array<{ISSUE}>>"
 VERDICT_KEYS, ISSUE_KEYS = ("status", "score", "issues"), ("type", "severity", "field", "reason")
 
 
-def call(send: Callable[[str], tuple[int, str]], body: str, retries: int = 3, wait: Callable[[float], None] = time.sleep) -> tuple[str | None, str | None, int]:
-    """(answer, error, calls made): tries again after RETRIED statuses and unreachable hosts, waiting 1, 2, 4, 8, 8... seconds."""
-    error = None
+class Pace:
+    """A token bucket for the calls of a task's threads: `rate` a second on average, `burst` at once."""
+
+    def __init__(self, rate: float | None, burst: int = 1, clock: Callable[[], float] = time.monotonic, wait: Callable[[float], None] = time.sleep):
+        self.rate, self.clock, self.wait, self.lock = rate, clock, wait, threading.Lock()
+        self.full = max(0, burst - 1) / rate if rate else 0.0
+        self.free = clock() - self.full
+
+    def take(self) -> None:
+        """Waits until a call may begin."""
+        if not self.rate:
+            return
+        with self.lock:
+            now = self.clock()
+            begin = max(self.free, now - self.full)
+            self.free = begin + 1 / self.rate
+        if begin > now:
+            self.wait(begin - now)
+
+
+def call(
+    send: Callable[[str], tuple[int, str]], body: str, retries: int = 3, wait: Callable[[float], None] = time.sleep, pace: Pace | None = None, deadline: float | None = None, clock: Callable[[], float] = time.monotonic,
+) -> tuple[str | None, str | None, int]:
+    """(answer, error, calls made): tries again after RETRIED statuses and unreachable hosts, waiting 1, 2, 4, 8, 8... seconds.
+
+    deadline: seconds after which no other try begins."""
+    error, until = None, None if deadline is None else clock() + deadline
     for n in range(retries + 1):
+        if pace:
+            pace.take()
         try:
             status, text = send(body)
             if 200 <= status < 300:
@@ -37,21 +65,42 @@ def call(send: Callable[[str], tuple[int, str]], body: str, retries: int = 3, wa
         except OSError as e:
             error = f"unreachable: {e}"
         if n < retries:
-            wait(min(2**n, LONGEST_WAIT))
+            pause = min(2**n, LONGEST_WAIT)
+            if until is not None and clock() + pause >= until:
+                return None, f"deadline of {deadline:g} s: {error}", n + 1
+            wait(pause)
     return None, error, retries + 1
 
 
-def answers(rows: DataFrame, body: Column, connect: Callable[[], Callable[[str], tuple[int, str]]], retries: int = 3, wait: Callable[[float], None] = time.sleep) -> DataFrame:
-    """rows with raw, call_error and calls; connect() makes a transport once a task.
+def answers(
+    rows: DataFrame, body: Column, connect: Callable[[], Callable[[str], tuple[int, str]]], retries: int = 3, wait: Callable[[float], None] = time.sleep,
+    at_once: int = 8, rate: float | None = None, burst: int = 1, deadline: float | None = None,
+) -> DataFrame:
+    """rows with raw, call_error and calls; connect() makes a transport once for each thread of a task.
 
-    An infrastructure error leaves raw null: such a row's attempt isn't used up and its candidate can be sent again."""
+    at_once rows of a task wait for their answers at a time, begun in order and given back in order; a task begins `rate` calls
+    a second at most (`burst` at once), so a cluster begins as many as it has task slots times that. An infrastructure error, a
+    passed deadline (seconds a row) and an error of the transport's own leave raw null: such a row's attempt isn't used up and
+    its candidate can be sent again. A null body is not sent."""
 
     def run(frames):
-        send = connect()
-        for pdf in frames:
-            got = [call(send, b, retries, wait) for b in pdf["_body"]]
-            out = pdf.drop(columns="_body")
-            yield out.assign(raw=pd.Series([g[0] for g in got], dtype=object), call_error=pd.Series([g[1] for g in got], dtype=object), calls=[g[2] for g in got])
+        pace, own = Pace(rate, burst, wait=wait), threading.local()
+
+        def one(b):
+            if b is None:
+                return None, "no body", 0
+            try:
+                if not hasattr(own, "send"):
+                    own.send = connect()
+                return call(own.send, b, retries, wait, pace, deadline)
+            except Exception as e:  # noqa: BLE001  a transport's fault is this row's error and no other's
+                return None, f"{type(e).__name__}: {e}", 0
+
+        with ThreadPoolExecutor(at_once) as pool:
+            for pdf in frames:
+                got = list(pool.map(one, pdf["_body"]))
+                out = pdf.drop(columns="_body")
+                yield out.assign(raw=pd.Series([g[0] for g in got], dtype=object), call_error=pd.Series([g[1] for g in got], dtype=object), calls=[g[2] for g in got])
 
     schema = ", ".join(f"`{n}` {t}" for n, t in rows.dtypes) + ", raw string, call_error string, calls int"
     return rows.withColumn("_body", body).mapInPandas(run, schema)

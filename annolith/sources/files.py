@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import dataclasses
 import json
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from annolith.plans.planner import RunConfig
 
 EXAMPLE = "array<struct<id:string,expected_tagged_text:string,rationale:string>>"
 TAXONOMY = f"LABEL string, DEFINITION string, RULE array<string>, EXAMPLES struct<POSITIVE:{EXAMPLE},PURE_NEGATIVE:{EXAMPLE},HARD_NEGATIVE:{EXAMPLE}>"
-ENVELOPE = "event_id string, event_type string, event_version int, occurred_at timestamp, correlation_id string, causation_id string, idempotency_key string, payload string"
+ENVELOPE = "event_id string, event_type string, event_version int, occurred_at timestamp, correlation_id string, causation_id string, idempotency_key string, payload string, position long"
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -70,10 +71,22 @@ def write_dataset(samples: DataFrame, path: str, name: str, partial: bool = Fals
     return target
 
 
-def append_events(events: DataFrame, path: str) -> None:
-    events.write.mode("append").partitionBy("event_type").json(path)
+def append_events(events: DataFrame, path: str, batch: str) -> None:
+    """Add a batch of events (columns of ENVELOPE) to the log below path. A batch that is written again, after a failure or a replay,
+    takes its own place and adds nothing. Files lie by batch and run; events without run lie in a folder of their own."""
+    target = f"{path.rstrip('/')}/batch={quote(batch, safe='')}"
+    events.withColumn("run", F.coalesce("correlation_id", F.lit(""))).write.mode("overwrite").partitionBy("run").json(target)
+
+
+def event_sink(path: str, name: str):
+    """A function for foreachBatch that appends a stream's micro-batches: each by its number, so a repeated one adds nothing."""
+    return lambda batch, n: append_events(batch, path, f"{name}-{n}")
 
 
 def read_events(spark: SparkSession, path: str, correlation_id: str | None = None) -> DataFrame:
-    rows = spark.read.schema(ENVELOPE).json(path)
-    return rows if correlation_id is None else rows.where(F.col("correlation_id") == correlation_id)
+    """The log's events, each once by its key, those of a run (of which only its files are read) in order of causation."""
+    rows = spark.read.schema(f"{ENVELOPE}, batch string, run string").json(path)
+    if correlation_id is not None:
+        rows = rows.where(F.col("run") == correlation_id)
+    rows = rows.dropDuplicates(["idempotency_key"]).drop("batch", "run")
+    return rows if correlation_id is None else rows.orderBy("position", "event_id")

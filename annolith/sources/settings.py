@@ -7,6 +7,9 @@ import os
 from collections.abc import Mapping
 from dataclasses import dataclass
 
+import pandas as pd
+from pyspark.sql import DataFrame
+
 from annolith.plans.planner import RunConfig
 
 # Names of settings, by field, first found wins, with the default.
@@ -81,3 +84,30 @@ def flags_config(args: list[str], taxonomy: str = "taxonomy") -> RunConfig:
     chosen = "hard_negative" if got.hard_negative else "positive"
     labels = [x for x in got.focus_labels.split(",") if x.strip()]
     return RunConfig(run_name=f"json-{taxonomy}", num_samples=got.samples, focus_labels=labels, sample_type_distribution={k: float(k == chosen) for k in ("positive", "pure_negative", "hard_negative")})
+
+
+REQUEST = "run_name string, num_samples int, labels string, hard_negative double, generator_model string, verifier_model string, base_url string, api_key string, max_tokens int, retries int, error string"
+
+
+def run_requests(rows: DataFrame, key: str) -> DataFrame:
+    """(key, run_name, ..., error) of rows (key, flags array<string>, settings KEY=VALUE text): many runs' requests, read in parallel.
+
+    A request that can't be read has its reason as error and nulls elsewhere; null flags or settings are empty ones."""
+
+    def one(flags, settings) -> tuple:
+        try:
+            c, s = flags_config([str(x) for x in (flags if flags is not None else ())]), read_settings(settings or "", {})
+        except (ValueError, argparse.ArgumentError, SystemExit) as e:
+            return (None,) * 10 + (str(e) or "the flags can't be read",)
+        return (c.run_name, c.num_samples, ",".join(c.focus_labels), c.sample_type_distribution["hard_negative"], s.generator_model, s.verifier_model, s.base_url, s.api_key, s.max_tokens, s.retries, None)
+
+    names = [x.split()[0] for x in REQUEST.split(", ")]
+
+    def run(frames):
+        for pdf in frames:
+            made = pd.DataFrame([one(f, t) for f, t in zip(pdf["flags"], pdf["settings"], strict=True)], columns=names)
+            yield pd.concat([pdf[["key"]].reset_index(drop=True), made.astype({"num_samples": "Int32", "max_tokens": "Int32", "retries": "Int32", "hard_negative": "Float64"})], axis=1)
+
+    kind = dict(rows.dtypes)[key]
+    found = rows.select(rows[key].alias("key"), "flags", "settings").mapInPandas(run, f"key {kind}, {REQUEST}")
+    return found.withColumnRenamed("key", key)

@@ -478,7 +478,7 @@ def test_frame_selection(spark):
     counts = {k: sum(r.context_frame_id == k for r in rows) for k in catalog.FRAMES}
     assert max(counts.values()) - min(counts.values()) <= 1
     by: dict = {}
-    for r in plan_tasks(spark, runs.demo(num_samples=300, minimum_per_label=0, focus_labels=["DATE", "TIME", "PASSPORT"])).collect():
+    for r in plan_tasks(spark, runs.demo(num_samples=300, minimum_per_label=0, focus_labels=["DATE", "TIME", "PASSPORT"], frame_policy="balanced")).collect():
         by.setdefault(tuple(sorted(r.focus_labels)), []).append(r.context_frame_id)
     assert all(max(v.count(f) for f in v) - min(v.count(f) for f in set(v)) <= 1 for v in by.values())
 
@@ -488,8 +488,10 @@ def test_events_append_and_read(spark, tmp_path, demo_run):
     from annolith.sources.files import append_events, read_events
 
     found = run_events(demo_run, "2026-01-01 00:00:00")
-    append_events(found, str(tmp_path / "e"))
-    append_events(found.limit(0), str(tmp_path / "e"))
+    append_events(found, str(tmp_path / "e"), "one")
+    append_events(found.limit(0), str(tmp_path / "e"), "two")
+    append_events(found, str(tmp_path / "e"), "one")  # a retry
+    append_events(found.where("event_type = 'data.generated'"), str(tmp_path / "e"), "again/elsewhere")
     rows = read_events(spark, str(tmp_path / "e"), "demo").collect()
     assert len(rows) == len({r.event_id for r in rows}) == 2 + 6 * 60 and {r.event_type for r in rows} <= set(TYPES) and "run.completed" in {r.event_type for r in rows}
     assert read_events(spark, str(tmp_path / "e"), "other").count() == 0
