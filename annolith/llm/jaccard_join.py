@@ -370,3 +370,18 @@ def _tiled(rows: DataFrame, num: int, den: int) -> DataFrame:
     rows = rows.withColumns({"lo": F.concat_ws(".", "lo.band", "lo.part"), "hi": F.concat_ws(".", "hi.band", "hi.part")})
     rows = rows.repartition("grp", "lo", "hi").sortWithinPartitions("grp", "lo", "hi", "rep")
     return rows.mapInArrow(lean(_tiles(num, den)), "rep long, low long, big boolean")
+
+
+#: The classes of the query's three-word shingles at a similarity of 90 in 100.
+ORACLE_SQL = r"""
+with recursive w as (select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+     s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+                          else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from w),
+     n as (select doc_id, len(s) as n from s),
+     x as (select doc_id, unnest(s) as g from s),
+     c as (select a.doc_id as a, b.doc_id as b, count(*) as c from x a join x b on a.g = b.g and a.doc_id < b.doc_id group by all),
+     l as (select a, b from c join n na on na.doc_id = a join n nb on nb.doc_id = b where 100 * c >= 90 * (na.n + nb.n - c)),
+     e as (select a, b from l union all select b, a from l),
+     r as (select doc_id as id, doc_id as root from n union select e.b, r.root from r join e on e.a = r.id where r.root < e.b)
+select id as doc_id, n.n as n_shingles, min(root) as component_id from r join n on n.doc_id = r.id group by id, n.n
+"""

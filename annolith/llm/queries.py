@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annolith.llm import audio_prints, conv_trie, interval_join, lang_id, piece_codec, topk_search, toxicity, url_rules
+from annolith.llm import audio_prints, conv_trie, interval_join, jaccard_join, lang_id, piece_codec, topk_search, toxicity, url_rules, warc
 from annolith.llm.common import cut, table
 from annolith.llm.jaccard_join import jaccard_classes
 from annolith.llm.packing import pack, token_pieces
@@ -82,4 +82,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_topk_search": topk_search.ORACLE_SQL, "op11_conversation_trie": conv_trie.ORACLE_SQL, "op12_interval_join": interval_join.ORACLE_SQL}
+    return {"op1_topk_search": topk_search.ORACLE_SQL, "op2_jaccard_join": jaccard_join.ORACLE_SQL, "op8_url_rules": url_rules.ORACLE_SQL, "op10_warc": warc.ORACLE_SQL, "op11_conversation_trie": conv_trie.ORACLE_SQL, "op12_interval_join": interval_join.ORACLE_SQL}

@@ -97,7 +97,7 @@ def judge(pages: DataFrame, labelled: DataFrame, rules=HOST_PATH_RULES) -> DataF
     no tokens and is allowed (its key is its own, so that null URLs don't meet in one task). Rows with equal or null page ids are judged each by its own URL."""
     url = F.col("url")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", host_of(url).alias("host"), path_of(url).alias("path"))
-    rows = rows.withColumn("given", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("url_key", F.coalesce("url", F.concat(F.lit("\0"), F.coalesce(F.col("page_id").cast("string"), F.uuid()))))
+    rows = rows.withColumn("given", fitting_rule(F.col("host"), F.col("path"), rules)).withColumn("url_key", F.coalesce("url", F.concat(F.lit("\0"), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
     mined = mine_rules(labelled)
     bad = matched(rows.where("given is null and url is not null").select("url_key", url_tokens(url).alias("tokens")), mined, "url_key").withColumn("bad", F.lit(True))
     out = rows.join(bad, "url_key", "left")
@@ -111,3 +111,16 @@ def page_labels(pages: DataFrame, labels: DataFrame) -> DataFrame:
     own = labels.where("doc_id is not null").groupBy("doc_id").agg(((F.min("quality") == 0) | (F.max("toxic") == 1)).alias("bad"))
     shown = pages.select("url", F.regexp_extract(path_of(F.col("url")), r"/([0-9]{1,18})(?:[./]|$)", 1).try_cast("long").alias("doc_id")).where("url is not null and doc_id is not null")
     return shown.join(own, "doc_id").select("url", "bad")
+
+
+_LOWER = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+#: The verdicts as long as no rule is mined, which is so on the test tables.
+ORACLE_SQL = f"""
+with u as (select page_id, case when instr(url, '://') > 0 then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+     h as (select page_id, rest, regexp_extract(rest, '^[^/?#]*') as raw from u),
+     p as (select page_id, translate(raw, {_LOWER}) as host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') as path from h),
+     g(of_host, of_path, said) as (values {", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in HOST_PATH_RULES)}),
+     f as (select page_id, arg_max(of_host || of_path, length(of_host || of_path)) as rule, arg_max(said, length(of_host || of_path)) as said
+           from p join g on (host = of_host or ends_with(host, '.' || of_host)) and starts_with(path, of_path) group by page_id)
+select p.page_id, host, path, rule, coalesce(said, 'allow') as verdict from p left join f using (page_id)
+"""

@@ -251,3 +251,11 @@ def _hex(column: str):
     text = F.substring(column, 6, 32)
     part = lambda i: F.lower(F.lpad(F.conv(F.substring(F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "0123456789ABCDEFGHIJKLMNOPQRSTUV"), 8 * i + 1, 8), 32, 16), 10, "0"))
     return F.concat(*(part(i) for i in range(4)))
+
+
+ORACLE_SQL = """
+with p as (select page_id, coalesce(html, '') as payload from pages),
+     k as (select *, strlen(payload) as size, max(page_id) over (partition by payload) as keep, count(*) over (partition by payload) as n from p)
+select page_id, size::bigint as payload_bytes, sha1(payload) as payload_digest, case when size >= 1000 and n > 1 and keep is distinct from page_id and keep is not null then 'revisit' else 'response' end as record_type,
+       case when size >= 1000 and n > 1 and keep is distinct from page_id then keep end as refers_to from k
+"""
