@@ -973,6 +973,30 @@ def event_log(spark, sf_dir):
     return read_events(spark, log).select(F.col("event_id").cast("long").alias("event_id"), F.col("correlation_id").alias("run"), place.alias("place"))
 
 
+@query("""
+with l as (select l_orderkey, count(distinct l_linenumber) as n, arg_max(l_returnflag, l_linenumber) as flag from lineitem group by l_orderkey)
+select o_orderkey::varchar as task_id, case when n is null then 'CREATED' when flag = 'R' then 'REGENERATING' when o_orderstatus = 'F' then 'ACCEPTED' when o_orderstatus = 'P' then 'VERIFYING' else 'VALIDATING' end as status,
+       coalesce(n, 0)::int as attempts, case when flag = 'R' then 'REGENERATE' when n is null then null when o_orderstatus = 'F' then 'PASS' when o_orderstatus = 'P' then 'VERIFYING' end as outcome
+from orders left join l on l_orderkey = o_orderkey
+""")
+def task_life_cycle(spark, sf_dir):
+    """Where each order, as a task with its lines as attempts, stands after its events: returned lines fail, finished orders are accepted."""
+    from annolith.streaming.lifecycle import task_states
+
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("n"), (F.col("l_returnflag") == "R").alias("bad")).dropDuplicates(["k", "n"])
+    orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    event = lambda kind, at, **payload: F.struct(F.lit(kind).alias("event_type"), at.alias("position"), F.to_json(F.struct(*(v.alias(k) for k, v in payload.items())) if payload else F.struct(F.lit(1).alias("v"))).alias("payload"))
+    at = F.col("n") * 10
+    steps = F.array(event("seed.validated", at), event("data.generated", at + 1), event("data.deterministic.validated", at + 2, route=F.when(F.col("bad"), "REGENERATE").otherwise("PASS")))
+    steps = F.when(F.col("bad"), F.array_append(steps, event("data.generation.rejected", at + 3, route=F.lit("none")))).otherwise(steps)
+    tried = lines.select("k", F.explode(steps).alias("e"))
+    last = lines.groupBy("k").agg(F.max_by("bad", "n").alias("bad")).where("not bad").join(orders, "k")
+    ends = F.when(F.col("s") == "F", event("sample.accepted", F.lit(1000).cast("long"))).when(F.col("s") == "P", event("data.verification.judged", F.lit(1000).cast("long"), outcome=F.lit("VERIFYING")))
+    begun = orders.select("k", event("generation.task.created", F.lit(0).cast("long")).alias("e"))
+    told = begun.unionByName(tried).unionByName(last.select("k", ends.alias("e")).where("e is not null")).select(F.col("k").cast("string").alias("causation_id"), "e.*")
+    return task_states(told).select("task_id", "status", "attempts", "outcome")
+
+
 def queries() -> dict:
     return dict(QUERIES)
 
