@@ -66,14 +66,31 @@ OWN = {
     "INSURANCE_ID": ("catalog_code", "warranty_mark", "bảo hành {letter}/{3d}"),
     "MEDICAL_INFO": ("invalid_value", "device_fault", "lỗi tim máy {letter}{2d}"),
 }
-#: Two more for every label, by a rule; `{slug}` is the label in lower case.
+#: Two more look-alikes of their own for labels whose values have several formats.
+MORE_OWN = {
+    "PERSON": [("catalog_code", "street_sign", "biển đường Lê Lai đoạn {letter}{2d}"), ("quantity", "statue_height", "tượng Hai Bà cao {2d} tấc mẫu {letter}")],
+    "PHONE": [("quantity", "meter_reading", "công tơ {5d} kWh ô {letter}"), ("schema_field", "extension_key", "may_le_{letter}{3d}")],
+    "EMAIL": [("schema_field", "letter_template", "mau_thu_{letter}{2d}"), ("product_name", "envelope", "phong bì A Còng {letter}{2d}")],
+    "ADDRESS": [("catalog_code", "warehouse_slot", "kho {letter} dãy {2d} ngăn {1-9}"), ("product_name", "board_square", "ô cờ Phố Cổ {letter}{2d}")],
+    "LOCATION": [("schema_field", "region_key", "vung_mien_{letter}{2d}"), ("catalog_code", "map_sheet", "mảnh bản đồ {letter}{2d} tờ {1-9}")],
+    "DATE": [("quantity", "scale_ratio", "tỉ lệ {1-9}/{20-90} khổ {letter}"), ("catalog_code", "lot_mark", "lô sản xuất {letter}{2d}/{3d}")],
+    "TIME": [("quantity", "match_score", "tỉ số {1-9}:{60-99} hiệp {letter}"), ("schema_field", "duration_key", "thoi_luong_{letter}{2d}")],
+    "MONEY": [("catalog_code", "coin_model", "xu kỷ niệm {letter}{3d}"), ("product_name", "game_token", "thẻ nạp Vàng {letter}{2d}")],
+    "URL": [("schema_field", "route_key", "duong_dan_{letter}{2d}"), ("product_name", "site_theme", "giao diện Mạng Nhện {letter}{2d}")],
+    "IP": [("quantity", "section_number", "mục {1-9}.{0-9} khoản {letter}{2d}"), ("product_name", "housing_class", "vỏ chống nước IP{60-69} loại {letter}")],
+    "CARD_NUMBER": [("catalog_code", "library_slip", "phiếu mượn {letter}{4d}"), ("quantity", "step_count", "{4d} bước chân chặng {letter}")],
+    "PLATE": [("catalog_code", "engraving", "bản khắc {letter}{3d}"), ("quantity", "weight_plate", "tạ đĩa {2d} cân số {letter}")],
+    "PASSPORT": [("catalog_code", "stamp_design", "mẫu tem {letter}{4d}"), ("schema_field", "travel_flag", "co_xuat_canh_{letter}{2d}")],
+    "MEDICAL_INFO": [("product_name", "herbal_tea", "trà Thanh Nhiệt {letter}{2d}"), ("quantity", "device_level", "mức đo thiết bị {2d}{letter}")],
+}
+#: Two more for every other label, by a rule; `{slug}` is the label in lower case.
 MORE = [("schema_field", "column_name", "cot_{slug}_{letter}{2d}"), ("invalid_value", "rejected_input", "nhap_{slug}_sai_{letter}{3d}")]
 
 
 def registry() -> list[tuple]:
-    """All look-alike strategies: one of its own and two by rule for each label."""
+    """All look-alike strategies, three for each label: of its own, or one of its own and two by rule."""
     own = [(f"{label.lower()}_as_{kind}", label, family, kind, t) for label, (family, kind, t) in OWN.items()]
-    ruled = [(f"{label.lower()}_as_{kind}", label, family, kind, t.replace("{slug}", label.lower())) for label in OWN for family, kind, t in MORE]
+    ruled = [(f"{label.lower()}_as_{kind}", label, family, kind, t.replace("{slug}", label.lower())) for label in OWN for family, kind, t in MORE_OWN.get(label, MORE)]
     out = []
     for name, label, family, kind, template in own + ruled:
         parts = templates.parse(template, LISTS)

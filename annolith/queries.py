@@ -966,6 +966,7 @@ def event_log(spark, sf_dir):
         F.col("event_id").cast("string").alias("event_id"), "event_type", F.lit(1).alias("event_version"), F.col("ts").cast("timestamp").alias("occurred_at"), F.col("user_id").cast("string").alias("correlation_id"), null.alias("causation_id"),
         F.concat(F.lit("e"), F.col("event_id").cast("string")).alias("idempotency_key"), F.to_json(F.struct("value")).alias("payload"), F.unix_micros(F.col("ts").cast("timestamp")).alias("position"))
     log = f"{shared.folder(spark)}/log-{uuid.uuid4().hex}"
+    shared.written.append(log)
     parts = F.col("event_id").cast("long") % 2
     for name, part in (("even", 0), ("odd", 1), ("odd", 1)):
         append_events(told.where(parts == part).repartition("correlation_id"), log, name)

@@ -19,9 +19,24 @@ def folder(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that this process has had written below the shared one.
+written: list[str] = []
+
+
+def release(spark: SparkSession) -> int:
+    """Delete what has been written to the shared folder so far, for when the results that read it are stored; how many folders went."""
+    n = len(written)
+    for path in written:
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    written.clear()
+    return n
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """df written to the shared folder and read back."""
+    """df written to the shared folder and read back. The folder stays until release."""
     spark = df.sparkSession
     path = f"{folder(spark)}/round-{uuid.uuid4().hex}"
+    written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

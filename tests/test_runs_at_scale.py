@@ -240,3 +240,47 @@ def test_run_requests(spark):
     got = {r.id: r for r in run_requests(spark.createDataFrame(rows, "id int, flags array<string>, settings string"), "id").collect()}
     assert (got[1].labels, got[1].num_samples, got[1].base_url, got[1].error) == ("DATE,TIME", 4, "https://h", None)
     assert all(got[i].error and got[i].run_name is None for i in (2, 3, 4, 5))
+
+
+# ---- look-alikes
+
+
+def test_every_look_alike_makes_a_pack_without_issues(spark):
+    """Many draws of each label's packs: all valid, and each of its strategies comes up."""
+    config = runs.demo(num_samples=60, minimum_per_label=0, focus_labels=list(catalog.LABELS), sample_type_distribution={"positive": 0.0, "pure_negative": 0.0, "hard_negative": 1.0}, hard_negative_mode="decoy_only")
+    base = plan_tasks(spark, config).limit(1)
+    tasks = base.drop("focus_labels", "task_id", "sequence_no").crossJoin(catalog.labels(spark).select("label")).crossJoin(spark.range(1, 31).withColumnRenamed("id", "sequence_no"))
+    tasks = tasks.withColumn("focus_labels", F.array("label")).withColumn("task_id", F.concat_ws("-", "label", "sequence_no")).drop("label")
+    table = strategies(spark)
+    packs = samples.seed_pack_issues(samples.seed_packs(tasks, table, 3, 0, True, 1, 1), table, True, 1, 1).cache()
+    assert packs.count() == 44 * 30
+    assert packs.where("size(pack_issues) > 0").select("task_id", "decoys", "pack_issues").limit(3).collect() == []
+    seen = {r.label: r.n for r in packs.select(F.explode("decoys").alias("d")).groupBy("d.label").agg(F.count_distinct("d.strategy_id").alias("n")).collect()}
+    assert seen == dict.fromkeys(catalog.LABELS, 3)
+    packs.unpersist()
+
+
+def test_collisions_of_look_alikes(spark):
+    """A value that also has another label's format is refused, whether its strategy declares that or not."""
+    schema = "sample_type string, focus_labels array<string>, positives array<struct<label:string,value:string,variant:string>>, content_seeds struct<role:string,action:string,object:string>, decoys array<struct<strategy_id:string,label:string,value:string,required:array<string>,forbidden:array<string>,negative_labels:array<string>,collision_labels:array<string>>>"
+    decoy = lambda value, negative, collisions: ("hard_negative", ["PIN"], [], None, [("pin_as_pressure", "PIN", value, ["chỉ số đo"], [], negative, collisions)])
+    rows = [decoy("123 bar mức A", ["PIN"], []), decoy("10000", ["PIN"], []), decoy("10000", ["PIN"], ["ZIP_CODE"]), decoy("10000", ["PIN", "ZIP_CODE"], []), decoy("123 bar mức A", ["PIN", "NOPE"], [])]
+    got = samples.seed_pack_issues(spark.createDataFrame(rows, schema).coalesce(1), strategies(spark), True, 1, 1).collect()
+    kinds = [[(i.type, i.reason) for i in r.pack_issues if "strategy" not in i.reason] for r in got]
+    assert kinds[0] == [] and kinds[3] == []
+    assert kinds[1] == [("taxonomy_collision", "also a value of ZIP_CODE")]
+    assert kinds[2] == [("taxonomy_collision", "also a value of ZIP_CODE"), ("taxonomy_collision", "declared collision with ZIP_CODE")]
+    assert kinds[4] == [("invalid_seed", "labels absent from the taxonomy: NOPE")]
+
+
+def test_release_deletes_what_was_cut(spark):
+    import os
+
+    from annolith import shared
+
+    kept, shared.written[:] = list(shared.written), []
+    rows = shared.cut(spark.range(5))
+    path = shared.written[0].removeprefix("file://")
+    assert rows.count() == 5 and os.path.isdir(path)
+    assert shared.release(spark) == 1 and not os.path.exists(path) and not shared.written
+    shared.written[:] = kept
