@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from annolith.shared import written
+
 
 #: Bytes of one Arrow batch, so that a Python worker's memory doesn't follow the length of texts.
 BATCH_BYTES = 4 << 20
@@ -33,8 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, what: str) -> str:
-    """A new folder name below shared_dir."""
-    return f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    """A new folder name below shared_dir, which annolith.shared.release deletes once results are stored."""
+    path = f"{shared_dir(spark)}/{what}-{uuid.uuid4().hex}"
+    written.append(path)
+    return path
 
 
 def cut(df: DataFrame, what: str = "cut") -> DataFrame:
