@@ -169,8 +169,8 @@ def _bag_sql(values: list[str], axis: str) -> str:
     return f"list_transform(list_sort(list_transform([{items}], lambda v: {{'h': md5(concat_ws('|', '174', '{axis}', {bag}, v)), 'v': v}})), lambda x: x.v)[cast((seq - 1) % {k} + 1 as int)] as {axis}"
 
 
-#: Orders as the tasks of a run: their numbers are the samples' numbers.
-SEQ = "(select o_orderkey + 1 as seq from orders)"
+#: Customers as the tasks of a run: their numbers are the samples' numbers.
+SEQ = "(select c_custkey + 1 as seq from customer)"
 
 
 def _numbers(spark, sf_dir, name: str, key: str) -> DataFrame:
@@ -178,7 +178,7 @@ def _numbers(spark, sf_dir, name: str, key: str) -> DataFrame:
 
 
 def _demo_tasks(spark, sf_dir) -> DataFrame:
-    return plan_tasks(spark, runs.demo(), _numbers(spark, sf_dir, "orders", "o_orderkey"))
+    return plan_tasks(spark, runs.demo(), _numbers(spark, sf_dir, "customer", "c_custkey"))
 
 
 @query(f"""
@@ -949,7 +949,7 @@ select context_frame_id, n from (select unnest({list(catalog.FRAMES)}) as contex
 """)
 def frames_least_used(spark, sf_dir):
     """Use of the frames by a run that levels it over all its tasks."""
-    planned = plan_tasks(spark, runs.demo(frame_policy="least_used"), _numbers(spark, sf_dir, "orders", "o_orderkey"))
+    planned = plan_tasks(spark, runs.demo(frame_policy="least_used"), _numbers(spark, sf_dir, "customer", "c_custkey"))
     return audit.frequencies(planned, "context_frame_id")
 
 
