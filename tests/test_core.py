@@ -389,14 +389,14 @@ PACK = "sample_type string, focus_labels array<string>, positives array<struct<l
 def test_seed_pack_check(spark):
     from annolith.plans.strategies import strategies
 
-    lure = lambda **k: [tuple(({"strategy_id": "date_as_column_name", "label": "DATE", "value": "cot_date_A12", "required": ["c"], "forbidden": [], "negative_labels": ["DATE"], "collision_labels": []} | k).values())]
+    lure = lambda **k: [tuple(({"strategy_id": "date_as_lot_mark", "label": "DATE", "value": "lô sản xuất A12/345", "required": ["c"], "forbidden": [], "negative_labels": ["DATE"], "collision_labels": []} | k).values())]
     base = {"sample_type": "hard_negative", "focus_labels": ["DATE"], "positives": [("DATE", "21/10/2026", "x")], "decoys": lure(), "content_seeds": None}
     pure = {"sample_type": "pure_negative", "positives": [], "decoys": []}
     none = ["unsupported_decoy"]
     cases = {  # (look-alikes only, least, most) -> what differs from a fit pack, and its issues
         (False, 1, 1): [
             ({}, []), ({"positives": [("DATE", "32/10/2026", "x")]}, ["malformed_seed"]), ({"positives": []}, ["missing_positive_seed"]), ({"positives": [("DATE", "21/10/2026", "x"), ("TIME", "09:00", "x")]}, ["invalid_seed"]),
-            ({"positives": [("DATE", "cot_date_A12", "x")]}, ["malformed_seed", "invalid_seed"]), ({"decoys": []}, none), ({"decoys": lure() * 2}, none), ({"decoys": lure(strategy_id="none")}, none), ({"decoys": lure(value="cot_date_Z1")}, ["malformed_seed"]),
+            ({"positives": [("DATE", "lô sản xuất A12/345", "x")]}, ["malformed_seed", "invalid_seed"]), ({"decoys": []}, none), ({"decoys": lure() * 2}, none), ({"decoys": lure(strategy_id="none")}, none), ({"decoys": lure(value="lô sản xuất Z1")}, ["malformed_seed"]),
             ({"decoys": lure(required=[])}, none), ({"decoys": lure(negative_labels=["TIME"])}, ["invalid_seed"]), ({"decoys": lure(negative_labels=["DATE", "NOPE"])}, ["invalid_seed"]), ({"decoys": lure(value="1234")}, ["malformed_seed", "taxonomy_collision"]),
             ({"decoys": lure(value="1234", negative_labels=["DATE", "CVV", "PIN"], collision_labels=["PIN"])}, ["malformed_seed", "taxonomy_collision"]), ({"decoys": lure(value="date-12")}, ["malformed_seed", "unsupported_decoy"]),
             ({"focus_labels": ["TIME"], "positives": [("TIME", "09:00", "x")]}, none), ({"sample_type": "positive"}, ["invalid_seed"]), (pure | {"content_seeds": ("ai", "ghi", "sổ")}, []), (pure, ["invalid_seed"]),
