@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from annolith.functions.text import casefold
+
 #: Fixed patterns: a tagged value as the validator reads it, as the formatter reads it, and any tag at all.
 TAGGED = r"(?s)<([A-Z][A-Z0-9_]*)>(.*?)</\1>"
 PLAIN_TAGGED = r"<([A-Z][A-Z0-9_]*)>([^<>]+)</\1>"
@@ -79,13 +83,13 @@ def spans_hold(text: Column, entities: Column) -> Column:
     return fits & apart
 
 
-def skeleton(text: Column, decoys: Column | None = None) -> Column:
-    """Sentence skeleton: tagged spans become `<label>`, decoy values (longest first) `<decoy>`; lower case, single spaces."""
+def skeleton(text: Column, decoys: Column | None = None, fold: Callable[[Column], Column] = casefold) -> Column:
+    """Sentence skeleton: tagged spans become `<label>`, decoy values (longest first) `<decoy>`; case-folded, single spaces."""
     out = F.regexp_replace(text, ANY_TAGGED, "<$1>")
     if decoys is not None:
         longest = F.array_sort(F.transform(F.filter(decoys, lambda d: F.length(d) > 0), lambda d: F.struct((-F.length(d)).alias("n"), d.alias("d"))))
         out = F.aggregate(longest, out, lambda acc, d: F.replace(acc, d["d"], F.lit("<decoy>")))
-    return F.trim(F.regexp_replace(F.lower(out), r"\s+", " "))
+    return F.trim(F.regexp_replace(fold(out), r"\s+", " "))
 
 
 def occurrences(text: Column, value: Column) -> Column:

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import difflib
+import functools
 import re
+import sys
 import unicodedata
 
 import pandas as pd
@@ -119,6 +121,28 @@ def file_stem(name: Column) -> Column:
     return F.when(F.length(safe) > 0, safe).otherwise("pii-run")
 
 
+@functools.cache
+def _folds() -> dict[str, str]:
+    """Characters whose case folding isn't their lower case alone; and capital sigma, whose lower case depends on its place."""
+    return {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c.lower() or c == "Σ"}
+
+
+def casefold(text: Column) -> Column:
+    """Unicode's full case folding, as Python's str.casefold. Only texts with a character that lower case leaves apart go letter by letter."""
+    table = F.str_to_map(F.lit(";".join(f"{a}={b}" for a, b in _folds().items())), F.lit(";"), F.lit("="))
+    each = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), F.lower(c)))
+    return F.when(text.rlike(f"[{''.join(_folds())}]"), F.array_join(each, "")).otherwise(F.lower(text))
+
+
+#: All white space that Python's strip takes away.
+SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
+
+
+def fold_key(value: Column) -> Column:
+    """What two values that count as one have in common: the case-folded value without white space around it."""
+    return casefold(F.btrim(value, F.lit(SPACES)))
+
+
 def capitalize(text: Column) -> Column:
     return F.concat(F.upper(F.left(text, F.lit(1))), F.lower(F.substr(text, F.lit(2))))
 

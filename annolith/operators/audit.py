@@ -18,7 +18,7 @@ BLOCK = 1000
 
 def unique_ratios(entities: DataFrame) -> DataFrame:
     """(label, values, distinct_values) of (label, value); ratio = distinct_values / values."""
-    return entities.groupBy("label").agg(F.count("*").alias("n_values"), F.count_distinct(F.lower(F.trim("value"))).alias("n_distinct"))
+    return entities.groupBy("label").agg(F.count("*").alias("n_values"), F.count_distinct(T.fold_key(F.col("value"))).alias("n_distinct"))
 
 
 def duplicate_counts(skeletons: DataFrame) -> DataFrame:
@@ -67,7 +67,7 @@ def reused_values(entities: DataFrame, run: str, order: str, window: int = GUARD
     """entities (run, order, label, value) with reused: whether one of the run's last `window` numbers before had the value.
 
     A range self-comparison by the previous use of the same value: no join. Categorical labels are exempt."""
-    same = Window.partitionBy(run, "label", F.lower(F.trim("value"))).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
+    same = Window.partitionBy(run, "label", T.fold_key(F.col("value"))).orderBy(order).rangeBetween(Window.unboundedPreceding, -1)
     last = F.max(order).over(same)
     return entities.withColumn("reused", F.coalesce(F.col(order) - last <= window, F.lit(False)) & ~F.col("label").isin(*CATEGORICAL))
 

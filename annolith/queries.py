@@ -13,6 +13,7 @@ from annolith.operators import audit, flow, novelty, samples, verify
 from annolith.plans import catalog, guidance, runs, values
 from annolith.plans.planner import compatible_frames, plan_tasks, unknown_labels
 from annolith.plans.strategies import registry, strategies
+from annolith.sources import dataset
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -104,6 +105,17 @@ def spans_table_function(spark, sf_dir):
     return spark.sql(f"select doc_id, s.label, s.start, s.`end`, s.text from {view} as t, lateral spans(t.tagged) as s")
 
 
+@query(SPANS_SQL + 'select doc_id, \'EMAIL\' as label, cast(b as int) as start, cast(b + length(value) as int) as "end", value as text, count(*) over () as published from s')
+def published_spans(spark, sf_dir):
+    """Spans of the tagged documents as the dataset sink has published them, with its manifest's count of the label."""
+    path, rows = f"{shared.folder(spark)}/dataset-{uuid.uuid4().hex}", _tagged(spark, sf_dir).select("doc_id", tags.format_spans(F.col("tagged")).alias("f"))
+    shared.written.append(path)
+    dataset.publish(rows.select("doc_id", "f.text", "f.entities"), path, "tagged documents")
+    told = dataset.manifest(spark, path, "tagged documents")["labels"]
+    rows = dataset.read_published(spark, path, "tagged documents").select("doc_id", F.explode("entities").alias("e"))
+    return rows.select("doc_id", "e.label", "e.start", "e.end", "e.text", F.lit(told.get("EMAIL", 0)).cast("long").alias("published"))
+
+
 @query(SPANS_SQL + "select doc_id, cast(count(*) as bigint) as spans, true as valid from s group by doc_id")
 def span_invariants(spark, sf_dir):
     rows = _tagged(spark, sf_dir).select("doc_id", tags.format_spans(F.col("tagged")).alias("f"))
@@ -115,12 +127,19 @@ SKELETON_SQL = r"trim(regexp_replace(lower(text), '[ \t\n\x0B\f\r]+', ' ', 'g'))
 
 @query(f"select doc_id, sha256({SKELETON_SQL}) as skeleton from documents")
 def sentence_skeletons(spark, sf_dir):
+    """Skeletons in lower case, which leaves ß and its like; folded_skeletons has those that runs compare."""
+    return table(spark, sf_dir, "documents").select("doc_id", F.sha2(tags.skeleton(F.col("text"), fold=F.lower), 256).alias("skeleton"))
+
+
+@query(f"select doc_id, sha256(replace({SKELETON_SQL}, 'ß', 'ss')) as skeleton from documents")
+def folded_skeletons(spark, sf_dir):
+    """Case-folded skeletons. Of the letters that fold further than lower case, the tables hold ß alone."""
     return table(spark, sf_dir, "documents").select("doc_id", F.sha2(tags.skeleton(F.col("text")), 256).alias("skeleton"))
 
 
 @query(f"select cast(sum(n) as bigint) as n, cast(sum(n - 1) as bigint) as duplicates from (select count(*) as n from documents group by {SKELETON_SQL})")
 def exact_duplicate_rate(spark, sf_dir):
-    return audit.duplicate_counts(table(spark, sf_dir, "documents").select(F.sha2(tags.skeleton(F.col("text")), 256).alias("skeleton")))
+    return audit.duplicate_counts(table(spark, sf_dir, "documents").select(F.sha2(tags.skeleton(F.col("text"), fold=F.lower), 256).alias("skeleton")))
 
 
 @query(f"select label, count(*) as n_values, count(distinct lower(trim(value))) as n_distinct from ({DETECTED_SQL}) group by label")
@@ -446,7 +465,16 @@ def _map_sql(rows: dict[str, str], key: str) -> str:
     return f"case {key} " + " ".join(f"when '{k}' then '{v}'" for k, v in rows.items()) + " end"
 
 
-_CONTENT = [f"{xs}[{_pick(_h("'174'", f"'{name}'", 'task_id', "'0'", _map_sql({k: v[0] for k, v in catalog.FRAMES.items()}, 'frame')), str(len(xs)))}]" for name, xs in (("action", samples.ACTIONS), ("object", samples.OBJECTS))]
+_DOMAIN = _map_sql({k: v[0] for k, v in catalog.FRAMES.items()}, "frame")
+
+
+def _terms_sql(name: str) -> str:
+    general, place = samples.CONTENT[name]
+    own = "[]" if place is None else "case " + _DOMAIN + " " + " ".join(f"when '{k}' then ['{v[place]}']" for k, v in samples.DOMAIN_TERMS.items()) + " else [] end"
+    return _shuffled_sql(f"list_concat({general}, {own})", "'174'", f"'{name}'", "task_id", "'0'", _DOMAIN) + f"[:{samples.CONTENT_TERMS}]"
+
+
+_CONTENT = [f"({_terms_sql(name)})[1]" for name in ("action", "object")]
 #: ... and the text of the offline renderer.
 RENDER_SQL = PACKS_SQL + f""",
      w as (select *, {_map_sql(samples.ROLES, "speaker_role")} as role, {_map_sql(samples.INTENTS, "intent")} as aim, {_map_sql(samples.MARKERS, "language_register")} as marker, {_map_sql({k: v[1] for k, v in catalog.FRAMES.items()}, "frame")} as document,
@@ -876,10 +904,12 @@ def strategy_values(spark, sf_dir):
     return rows.select("strategy_id", "c_custkey", "value", F.regexp("value", F.col("value_regex")).alias("fits"))
 
 
-@query(TASKS_SQL + f"select cast(seq as int) as sequence_no, {_CONTENT[0]} as action, {_CONTENT[1]} as object from tasks where k = 'n'")
+@query(TASKS_SQL + f"select cast(seq as int) as sequence_no, {_DOMAIN} as domain, {_CONTENT[0]} as action, {_CONTENT[1]} as object, " + ", ".join(f"array_to_string({_terms_sql(x)}, ' / ') as {x}s" for x in samples.CONTENT) + " from tasks where k = 'n'")
 def content_seeds(spark, sf_dir):
-    """Action and object that samples without any entity are written about."""
-    return _demo_packs(spark, sf_dir).where("sample_type = 'pure_negative'").select("sequence_no", "content_seeds.action", "content_seeds.object")
+    """Roles, actions and objects of samples without any entity, those of their frame's domain among them, and what the text is about."""
+    rows = _demo_packs(spark, sf_dir).where("sample_type = 'pure_negative'")
+    lists = (F.array_join(f"content_seeds.{x}s", " / ").alias(f"{x}s") for x in samples.CONTENT)
+    return rows.select("sequence_no", "content_seeds.domain", "content_seeds.action", "content_seeds.object", *lists)
 
 
 @query("""
