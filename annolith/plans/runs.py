@@ -116,12 +116,16 @@ def other_frame(seed: int, *key) -> Column:
 def regenerate(rows: DataFrame, seed: int) -> DataFrame:
     """Failed candidates with the task of their next attempt, by the widest scope of their issues, and what the next attempt has to heed.
 
-    TEXT keeps seeds and frame, SEEDS draws new seeds, CONTEXT keeps the seeds in another frame."""
+    TEXT keeps seeds and frame, SEEDS draws new seeds, CONTEXT keeps the seeds in another frame: seed_frame_id is the frame in
+    which they were drawn, null if that is the present one."""
+    none = F.lit(None).cast("string")
+    drawn_in = F.col("seed_frame_id") if "seed_frame_id" in rows.columns else none
     scope = flow.worst_scope(F.transform("issues", lambda i: i["scope"]))
     rows = rows.withColumn("_scope", scope)
     return rows.withColumns({
         "context_frame_id": F.when(F.col("_scope") == "CONTEXT", other_frame(seed, F.col("task_id"), F.col("attempt_no").cast("string"))).otherwise(F.col("context_frame_id")),
         "seed_attempt": F.col("seed_attempt") + F.when(F.col("_scope") == "SEEDS", 1).otherwise(0),
+        "seed_frame_id": F.when(F.col("_scope") == "SEEDS", none).when(F.col("_scope") == "CONTEXT", F.coalesce(drawn_in, "context_frame_id")).otherwise(drawn_in),
         "reflection": guidance.reflection(F.col("issues")).cast(REFLECTION),
     }).drop("_scope")
 
@@ -158,7 +162,7 @@ def run(
     with its reflection, max_regenerate_attempts times; a rejected task is replaced in its slot by a new one with another
     number, seed and frame, max_task_replacements times. limit: stop once so many (or batch_size, if less) are accepted."""
     attempt = attempt or (lambda packs, n: samples.render(packs, DOCUMENTS, config.structure, config.custom_instruction, _only(config)))
-    extra = {"run_id": F.lit(config.run_name), "seed_attempt": F.lit(1), "status": F.lit("CREATED"), "parent_task_id": F.lit(None).cast("string"), "reflection": F.lit(None).cast(REFLECTION)}
+    extra = {"run_id": F.lit(config.run_name), "seed_attempt": F.lit(1), "seed_frame_id": F.lit(None).cast("string"), "status": F.lit("CREATED"), "parent_task_id": F.lit(None).cast("string"), "reflection": F.lit(None).cast(REFLECTION)}
     tasks = cut((planned or plan_tasks(spark, config)).withColumns(extra))
     names, last = tasks.columns, tasks.count()
     stride = last * (config.max_task_replacements + 1)  # numbers that tasks and their replacements can have
@@ -173,7 +177,7 @@ def run(
             spent = lost.where(F.col("replacement_no") >= config.max_task_replacements)
             kept["lost"] = _add(kept.get("lost"), spent)
             new, _ = flow.replacements(lost.select(*names), last, config.max_task_replacements)
-            fresh = {"context_frame_id": other_frame(config.random_seed, F.col("task_id")), "seed_attempt": F.lit(1), "reflection": F.lit(None).cast(REFLECTION)}
+            fresh = {"context_frame_id": other_frame(config.random_seed, F.col("task_id")), "seed_attempt": F.lit(1), "seed_frame_id": F.lit(None).cast("string"), "reflection": F.lit(None).cast(REFLECTION)}
             left = cut(new.withColumns(fresh).select(*names))
             if not (more := left.count()):
                 break
