@@ -123,15 +123,27 @@ def file_stem(name: Column) -> Column:
 
 @functools.cache
 def _folds() -> dict[str, str]:
-    """Characters whose case folding isn't their lower case alone; and capital sigma, whose lower case depends on its place."""
-    return {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c.lower() or c == "Σ"}
+    """Lower-case letters whose case folding is another text."""
+    return {c: c.casefold() for c in map(chr, range(sys.maxunicode + 1)) if c.casefold() != c == c.lower()}
+
+
+def _ranges(letters: list[str]) -> str:
+    """A character class of the letters, with what lies between two that are at most eight apart: few ranges are quick to test."""
+    codes = sorted(map(ord, letters))
+    starts = [c for before, c in zip([-9, *codes], codes, strict=False) if c - before > 8]
+    ends = [c for c, after in zip(codes, [*codes[1:], sys.maxunicode + 9], strict=False) if after - c > 8]
+    return "[" + "".join(f"{chr(x)}-{chr(y)}" for x, y in zip(starts, ends, strict=True)) + "]"
 
 
 def casefold(text: Column) -> Column:
-    """Unicode's full case folding, as Python's str.casefold. Only texts with a character that lower case leaves apart go letter by letter."""
-    table = F.str_to_map(F.lit(";".join(f"{a}={b}" for a, b in _folds().items())), F.lit(";"), F.lit("="))
-    each = F.transform(F.split(text, ""), lambda c: F.coalesce(F.try_element_at(table, c), F.lower(c)))
-    return F.when(text.rlike(f"[{''.join(_folds())}]"), F.array_join(each, "")).otherwise(F.lower(text))
+    """Unicode's full case folding, as Python's str.casefold: lower case, then the letters that fold further, where a text has any."""
+    single = {x: y for x, y in _folds().items() if len(y) == 1}
+    lower = F.lower(text)
+    folded = F.translate(lower, "".join(single), "".join(single.values()))
+    for x, y in _folds().items():
+        if len(y) > 1:
+            folded = F.replace(folded, F.lit(x), F.lit(y))
+    return F.when(lower.rlike(_ranges(list(_folds()))), folded).otherwise(lower)
 
 
 #: All white space that Python's strip takes away.
