@@ -999,7 +999,7 @@ def event_log(spark, sf_dir):
     shared.written.append(log)
     parts = F.col("event_id").cast("long") % 2
     for name, part in (("even", 0), ("odd", 1), ("odd", 1)):
-        append_events(told.where(parts == part).repartition("correlation_id"), log, name)
+        append_events(told.where(parts == part), log, name)
     place = F.row_number().over(Window.partitionBy("correlation_id").orderBy("position", F.col("event_id").cast("long"))).cast("long")
     return read_events(spark, log).select(F.col("event_id").cast("long").alias("event_id"), F.col("correlation_id").alias("run"), place.alias("place"))
 

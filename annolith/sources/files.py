@@ -6,7 +6,7 @@ import dataclasses
 import json
 from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annolith.plans.planner import RunConfig
@@ -14,6 +14,8 @@ from annolith.plans.planner import RunConfig
 EXAMPLE = "array<struct<id:string,expected_tagged_text:string,rationale:string>>"
 TAXONOMY = f"LABEL string, DEFINITION string, RULE array<string>, EXAMPLES struct<POSITIVE:{EXAMPLE},PURE_NEGATIVE:{EXAMPLE},HARD_NEGATIVE:{EXAMPLE}>"
 ENVELOPE = "event_id string, event_type string, event_version int, occurred_at timestamp, correlation_id string, causation_id string, idempotency_key string, payload string, position long"
+#: Folders of a batch of events: a run's are in one of them, so a batch of many runs stays at few files.
+BUCKETS = 32
 
 
 def read_taxonomy(spark: SparkSession, path: str) -> DataFrame:
@@ -71,11 +73,16 @@ def write_dataset(samples: DataFrame, path: str, name: str, partial: bool = Fals
     return target
 
 
+def _bucket(run: Column) -> Column:
+    """The folder of a run's events: its bucket, by a hash of its name; events without run go with the run of an empty name."""
+    return F.pmod(F.xxhash64(F.coalesce(run, F.lit(""))), F.lit(BUCKETS)).cast("int")
+
+
 def append_events(events: DataFrame, path: str, batch: str) -> None:
     """Add a batch of events (columns of ENVELOPE) to the log below path. A batch that is written again, after a failure or a replay,
-    takes its own place and adds nothing. Files lie by batch and run; events without run lie in a folder of their own."""
+    takes its own place and adds nothing. Files lie by batch and bucket of runs: BUCKETS of them, however many runs there are."""
     target = f"{path.rstrip('/')}/batch={quote(batch, safe='')}"
-    events.withColumn("run", F.coalesce("correlation_id", F.lit(""))).write.mode("overwrite").partitionBy("run").json(target)
+    events.withColumn("bucket", _bucket(F.col("correlation_id"))).write.mode("overwrite").partitionBy("bucket").json(target)
 
 
 def event_sink(path: str, name: str):
@@ -84,9 +91,9 @@ def event_sink(path: str, name: str):
 
 
 def read_events(spark: SparkSession, path: str, correlation_id: str | None = None) -> DataFrame:
-    """The log's events, each once by its key, those of a run (of which only its files are read) in order of causation."""
-    rows = spark.read.schema(f"{ENVELOPE}, batch string, run string").json(path)
+    """The log's events, each once by its key, those of a run (for which only its bucket's files are read) in order of causation."""
+    rows = spark.read.schema(f"{ENVELOPE}, batch string, bucket int").json(path)
     if correlation_id is not None:
-        rows = rows.where(F.col("run") == correlation_id)
-    rows = rows.dropDuplicates(["idempotency_key"]).drop("batch", "run")
+        rows = rows.where((F.col("bucket") == _bucket(F.lit(correlation_id))) & (F.coalesce("correlation_id", F.lit("")) == correlation_id))
+    rows = rows.dropDuplicates(["idempotency_key"]).drop("batch", "bucket")
     return rows if correlation_id is None else rows.orderBy("position", "event_id")
