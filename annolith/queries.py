@@ -1014,8 +1014,11 @@ def task_life_cycle(spark, sf_dir):
     """Where each order, as a task with its lines as attempts, stands after its events: returned lines fail, finished orders are accepted."""
     from annolith.streaming.lifecycle import task_states
 
-    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("n"), (F.col("l_returnflag") == "R").alias("bad")).dropDuplicates(["k", "n"])
+    # of lines of one number that of the table's first row counts, whatever tasks read them
+    place = F.struct("_metadata.file_path", "_metadata.row_index")
+    lines = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("k"), F.col("l_linenumber").cast("long").alias("n"), (F.col("l_returnflag") == "R").alias("bad"), place.alias("place"))
     orders = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_orderstatus").alias("s"))
+    lines = lines.groupBy("k", "n").agg(F.min_by("bad", "place").alias("bad")).join(orders.select("k"), "k", "left_semi")
     event = lambda kind, at, **payload: F.struct(F.lit(kind).alias("event_type"), at.alias("position"), F.to_json(F.struct(*(v.alias(k) for k, v in payload.items())) if payload else F.struct(F.lit(1).alias("v"))).alias("payload"))
     at = F.col("n") * 10
     steps = F.array(event("seed.validated", at), event("data.generated", at + 1), event("data.deterministic.validated", at + 2, route=F.when(F.col("bad"), "REGENERATE").otherwise("PASS")))
