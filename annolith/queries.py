@@ -193,7 +193,7 @@ SEQ = "(select c_custkey + 1 as seq from customer)"
 
 
 def _numbers(spark, sf_dir, name: str, key: str) -> DataFrame:
-    return table(spark, sf_dir, name).select((F.col(key) + 1).alias("sequence_no"))
+    return shared.spread(table(spark, sf_dir, name).select((F.col(key) + 1).alias("sequence_no")), 10)
 
 
 def _demo_tasks(spark, sf_dir) -> DataFrame:
@@ -397,7 +397,8 @@ _UNIQUE_SQL = f"with each as (select c_custkey, unnest({list(catalog.LABELS)}) a
 
 def _customer_values(spark, sf_dir) -> DataFrame:
     """A value of every label for each customer, none of them repeated while a label has values left."""
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("counter"), F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
+    keys = shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), len(catalog.LABELS))
+    rows = keys.select("c_custkey", F.col("c_custkey").alias("counter"), F.explode(F.array(*(F.lit(x) for x in catalog.LABELS))).alias("label"))
     return unique.with_values(rows, [F.lit("174")])
 
 
@@ -535,7 +536,8 @@ VARIANTS = {k: " ".join(v) for k, v in values.FORMAT_VARIANTS.items()}
      d as (select label, names[cast({_h("'174'", "'query'", "c_custkey::varchar", "label", "'variant'")} % 3 as int) + 1] as variant from customer, v)
 select label, variant, count(*) as n from d group by all""")
 def format_variant_distribution(spark, sf_dir):
-    rows = table(spark, sf_dir, "customer").select("c_custkey", F.explode(F.array(*(F.lit(x) for x in VARIANTS))).alias("label"))
+    keys = shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), len(VARIANTS))
+    rows = keys.select("c_custkey", F.explode(F.array(*(F.lit(x) for x in VARIANTS))).alias("label"))
     made = samples.entity_value(F.col("label"), 174, "query", F.col("c_custkey").cast("string"), F.col("label"))
     return samples.with_templates(rows).select("label", made["variant"].alias("variant")).groupBy("label", "variant").agg(F.count("*").alias("n"))
 
@@ -658,7 +660,7 @@ def seven_detectors(spark, sf_dir):
         F.lit("Mã 1234567890123456, ngày 45/13/2024, lúc 27:61, a@b, XUSR-99, 1.2.3.4.5: thư ban.doc"), k, F.lit("@vi-du.org gọi 09"), pad(F.col("o_orderkey") % 100000000, 8), F.lit(" xem https://vi-du.org/don/"), k, F.lit(" ngày "), F.date_format("o_orderdate", "dd/MM/yyyy"),
         F.lit(" lúc "), pad(F.col("o_orderkey") % 24, 2), F.lit(":"), pad(F.col("o_orderkey") % 60, 2), F.lit(" máy 10."), (F.col("o_orderkey") % 256).cast("string"), F.lit("."), (F.col("o_custkey") % 256).cast("string"), F.lit(".7 mã USR-"), pad(F.col("o_orderkey"), 6), F.lit("!"),
     ]
-    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.concat(*parts).alias("said")).select("o_orderkey", F.explode(detect.first_matches(F.col("said"))).alias("m"))
+    rows = shared.spread(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate"), 7).select("o_orderkey", F.concat(*parts).alias("said")).select("o_orderkey", F.explode(detect.first_matches(F.col("said"))).alias("m"))
     return rows.select("o_orderkey", "m.label", "m.value")
 
 
@@ -898,7 +900,7 @@ select strategy_id, c_custkey, value, regexp_matches(value, regex) as fits from
 """)
 def strategy_values(spark, sf_dir):
     """Look-alikes of every strategy, each held against its strategy's pattern."""
-    keys = table(spark, sf_dir, "customer").select("c_custkey")
+    keys = shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), len(registry()))
     rows = keys.join(F.broadcast(strategies(spark)))  # 132 strategies
     rows = rows.select("strategy_id", "c_custkey", "value_regex", templates.drawn(F.col("parts"), 9, F.col("strategy_id"), F.col("c_custkey").cast("string")).alias("value"))
     return rows.select("strategy_id", "c_custkey", "value", F.regexp("value", F.col("value_regex")).alias("fits"))
@@ -919,7 +921,7 @@ select c_custkey, cast(c_custkey % 4 + 1 as int) as n_labels, cast(least(c_custk
 def unique_seed_values(spark, sf_dir):
     """Values for one to four seeds of a label that has three: none is kept twice, and ten draws are made for each."""
     labels = F.array_repeat(F.lit("GENDER"), (F.col("c_custkey") % 4 + 1).cast("int"))
-    rows = samples.with_templates(table(spark, sf_dir, "customer")).select("c_custkey", F.size(labels).alias("n_labels"), _distinct_genders(labels).alias("made"))
+    rows = samples.with_templates(shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), 10)).select("c_custkey", F.size(labels).alias("n_labels"), _distinct_genders(labels).alias("made"))
     return rows.select("c_custkey", "n_labels", F.size(F.array_distinct(F.transform("made", lambda m: m["value"]))).alias("n_values"))
 
 
@@ -959,7 +961,7 @@ def settings_and_flags(spark, sf_dir):
     k, nation = F.col("c_custkey"), F.col("c_nationkey").cast("string")
     flags = F.concat(F.array(F.lit("--focus-labels"), F.when(k % 3 == 0, "date, TIME, Date").otherwise("email"), F.lit("--samples"), (k + 1).cast("string")), F.when(k % 2 == 0, F.array(F.lit("--hard-negative"))).otherwise(F.array().cast("array<string>")))
     settings = F.concat(F.lit("# note\nLLM_API_KEY='k"), k.cast("string"), F.lit("'\nBASE_URL=https://x"), nation, F.lit(".test/\n"), F.when(k % 5 == 0, F.concat(F.lit("MODEL=m"), nation)).otherwise(""))
-    rows = table(spark, sf_dir, "customer").select("c_custkey", flags.alias("flags"), settings.alias("settings"))
+    rows = shared.spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), 10).select("c_custkey", flags.alias("flags"), settings.alias("settings"))
     return run_requests(rows, "c_custkey").select("c_custkey", "run_name", "num_samples", "labels", "hard_negative", "generator_model", "base_url", "api_key", "max_tokens")
 
 

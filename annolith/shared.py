@@ -33,6 +33,18 @@ def release(spark: SparkSession) -> int:
     return n
 
 
+#: Rows that a task makes, at most and about, where a table's rows make many each.
+TASK_ROWS = 2_000_000
+
+
+def spread(df: DataFrame, each: int = 1) -> DataFrame:
+    """df, whose rows make `each` rows or values each, dealt over all cores and over as many tasks as keep each under TASK_ROWS. Short
+    rows make much work here, and a file of them is read by few tasks."""
+    spark = df.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism, -(-df.count() * each // TASK_ROWS))
+    return df.repartition(tasks)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """df written to the shared folder and read back. The folder stays until release."""
     spark = df.sparkSession
