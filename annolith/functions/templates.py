@@ -7,8 +7,12 @@ draw is the md5 of its key and its place in the template, so Spark and any SQL e
 
 from __future__ import annotations
 
+import hashlib
 import re
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -62,7 +66,9 @@ def drawn(parts: Column, *key) -> Column:
     """The value of a template (array of PART) for a key."""
     key = [k if isinstance(k, Column) else F.lit(str(k)) for k in key]
 
-    def piece(done: Column, p: Column, h: Column) -> Column:
+    def piece(p: Column) -> Column:
+        # each branch has its own hash, so that a part takes one at most and text none
+        h = F.md5(F.concat_ws("|", *key, p["at"].cast("string")))
         bits = F.conv(F.substring(h, 1, 15), 16, 10).cast("long")
         number = (bits % p["span"] + p["low"]).cast("string")
         return (
@@ -70,10 +76,45 @@ def drawn(parts: Column, *key) -> Column:
             .when(p["kind"] == "int", F.when(p["width"] > 0, F.lpad(number, p["width"], F.lit("0"))).otherwise(number))
             .when(p["kind"] == "pick", F.get(p["options"], (bits % F.size(p["options"])).cast("int")))
             .when(p["kind"] == "hex", F.substr(h, F.lit(1), p["width"]))
-            .otherwise(luhn_digit(done))
+            .otherwise("")
         )
 
-    return F.aggregate(parts, F.lit(""), lambda done, p: F.concat(done, bound(F.md5(F.concat_ws("|", *key, p["at"].cast("string"))), lambda h: piece(done, p, h))))
+    def whole(made: Column) -> Column:
+        return F.when(F.exists(parts, lambda p: p["kind"] == "luhn"), bound(made, lambda m: F.concat(m, luhn_digit(m)))).otherwise(made)
+
+    return bound(F.array_join(F.transform(parts, piece), ""), whole)
+
+
+def drawn_batch(parts: list[tuple], before: str, keys: list[str | None]) -> pa.Array:
+    """The values of a template (rows of PART) for many keys, as `drawn` gives them for before and each key: a column of an Arrow task."""
+    pieces, said = [], [b"" if k is None else f"{k}|".encode() for k in keys]  # a null key is left out, as concat_ws does
+    head = f"{before}|".encode()
+    for at, kind, text, low, span, width, options in parts:
+        if kind == "text":
+            pieces.append(pa.scalar(text))
+            continue
+        if kind == "luhn":
+            made = pc.binary_join_element_wise(*pieces, pa.array([""] * len(keys)), "").to_pylist()
+            pieces.append(pa.array([_luhn(x) for x in made], pa.string()))
+            continue
+        tail = str(at).encode()
+        if kind == "hex":
+            pieces.append(pa.array([hashlib.md5(head + k + tail).hexdigest()[:width] for k in said], pa.string()))
+            continue
+        # the first 15 hex digits: 60 bits
+        bits = (np.frombuffer(b"".join([hashlib.md5(head + k + tail).digest() for k in said]), ">u8")[::2] >> np.uint64(4)).astype(np.int64)
+        if kind == "pick":
+            pieces.append(pa.array(options, pa.string()).take(pa.array(bits % len(options))))
+        else:
+            number = pa.array(bits % span + low).cast(pa.string())
+            pieces.append(pc.utf8_lpad(number, width, "0") if width else number)
+    return pc.binary_join_element_wise(*pieces, pa.array([""] * len(keys)), "")
+
+
+def _luhn(payload: str) -> str:
+    """luhn_digit of one string."""
+    twice = [2 * int(c) if i % 2 == 0 else int(c) for i, c in enumerate(reversed(payload))]
+    return str(-sum(d - 9 if d > 9 else d for d in twice) % 10)
 
 
 def sql_parts(parts: list[dict]) -> str:

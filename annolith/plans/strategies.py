@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 from annolith.functions import templates
@@ -100,3 +102,20 @@ def registry() -> list[tuple]:
 
 def strategies(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(registry(), SCHEMA)
+
+
+def look_alikes(keys: DataFrame, seed: int) -> DataFrame:
+    """(strategy_id, key, value, fits) of keys (one column): a look-alike of every strategy for each key, and whether its strategy's
+    pattern fits it. A batch of keys meets one strategy at a time, so that templates and patterns are taken apart once."""
+    name, kind = keys.dtypes[0]
+    made = [(r[0], r[5], [tuple(p.values()) for p in r[-1]]) for r in registry()]
+
+    def draw(batches):
+        for batch in batches:
+            key = batch.column(0)
+            said = key.cast(pa.string()).to_pylist()
+            for strategy, pattern, parts in made:
+                value = templates.drawn_batch(parts, f"{seed}|{strategy}", said)
+                yield pa.RecordBatch.from_arrays([pa.array([strategy] * len(said)), key, value, pc.match_substring_regex(value, pattern)], names=["strategy_id", name, "value", "fits"])
+
+    return keys.mapInArrow(draw, f"strategy_id string, `{name}` {kind}, value string, fits boolean")

@@ -12,7 +12,7 @@ from annolith.functions import detect, tags, templates, text, unique
 from annolith.operators import audit, flow, novelty, samples, verify
 from annolith.plans import catalog, guidance, runs, values
 from annolith.plans.planner import compatible_frames, plan_tasks, unknown_labels
-from annolith.plans.strategies import registry, strategies
+from annolith.plans.strategies import look_alikes, registry, strategies
 from annolith.sources import dataset
 
 QUERIES: dict = {}
@@ -900,10 +900,7 @@ select strategy_id, c_custkey, value, regexp_matches(value, regex) as fits from
 """)
 def strategy_values(spark, sf_dir):
     """Look-alikes of every strategy, each held against its strategy's pattern."""
-    keys = shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), len(registry()))
-    rows = keys.join(F.broadcast(strategies(spark)))  # 132 strategies
-    rows = rows.select("strategy_id", "c_custkey", "value_regex", templates.drawn(F.col("parts"), 9, F.col("strategy_id"), F.col("c_custkey").cast("string")).alias("value"))
-    return rows.select("strategy_id", "c_custkey", "value", F.regexp("value", F.col("value_regex")).alias("fits"))
+    return look_alikes(shared.spread(table(spark, sf_dir, "customer").select("c_custkey"), len(registry())), 9)
 
 
 @query(TASKS_SQL + f"select cast(seq as int) as sequence_no, {_DOMAIN} as domain, {_CONTENT[0]} as action, {_CONTENT[1]} as object, " + ", ".join(f"array_to_string({_terms_sql(x)}, ' / ') as {x}s" for x in samples.CONTENT) + " from tasks where k = 'n'")
