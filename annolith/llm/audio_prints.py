@@ -5,8 +5,8 @@ filters compare sums of rectangles of the frame-by-class image, read off its int
 bits (Gray code), which makes one 32-bit integer for each window of frames. Frames overlap by seven eighths, so that excerpts
 that start between frames still have few wrong bits and many equal integers. Recordings with equal prints form a class.
 
-Search: the integers of windows LAG apart are a key of 64 bits; of a run of equal keys the first counts. Keys that more than HOT
-windows share are made longer, by one more integer. Keys of queries meet those of classes in a join; its rows, counted by pair
+Search: the integers of windows LAG apart are a key of 64 bits; of a run of equal keys the first counts. Windows of a key that more
+than HOT share are dealt into tiles of about HOT by HOT, and all of them meet. Keys of queries meet those of classes in a join; its rows, counted by pair
 and offset, are the offset histograms. At each offset with a hit the bits are compared exactly: pairs align where at most
 MAX_ERROR of them are wrong over MIN_OVERLAP windows or more, and the offset with most equal integers is reported.
 
@@ -29,7 +29,7 @@ WINDOW = 32
 #: Least windows of an alignment (as many seconds as 16 frames without overlap), and the share of its bits that may be wrong:
 #: excerpts that start anywhere have 2.7% on average and 6.2% at most, under noise of 0.4; unrelated tunes 20% or more.
 MIN_OVERLAP, MAX_ERROR = 64, 0.15
-#: Windows between a key's two integers, and windows that share a key from which on it is made longer.
+#: Windows between a key's two integers, and windows that share a key from which on they are dealt into tiles.
 LAG, HOT = 8, 4096
 #: Frames that are transformed at once.
 FRAMES_AT_ONCE = 1 << 13
@@ -245,29 +245,25 @@ def _blocks(batches):
             yield arrow_batch(out, query_class=query[other], match_class=match[other], offset=offset[other], hits=hits[other], bit_errors=errors[other], bits=bits[other])
 
 
-def print_keys(p: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, longer keys, windows): each window's integer with that LAG further on, at the first of a run of equal keys; longer:
-    mixed with the integer that follows in the same distance, or the key itself where the print ends before."""
+def print_keys(p: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(keys, windows): each window's integer with that LAG further on, at the first of a run of equal keys."""
     n = len(p) - LAG
     if n < 1:
-        return (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     key = p[:n].astype(np.uint64) << np.uint64(32) | p[LAG:].astype(np.uint64)
     at = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-    longer = key.copy()
-    more = max(0, n - LAG)
-    longer[:more] = (key[:more] * np.uint64(0x9E3779B97F4A7C15)) ^ p[2 * LAG : 2 * LAG + more]
-    return key[at], longer[at], at
+    return key[at], at
 
 
 def _keys(batches):
-    out = pa.schema([("class_id", pa.int64()), ("asked", pa.int32()), ("key", pa.int64()), ("longer", pa.int64()), ("at", pa.int32())])
+    out = pa.schema([("class_id", pa.int64()), ("asked", pa.int32()), ("key", pa.int64()), ("at", pa.int32())])
     for batch in batches:
         found = [print_keys(np.frombuffer(x, "<u4")) for x in batch.column("print").to_pylist()]
-        size = np.array([len(k) for k, _, _ in found], np.int64)
+        size = np.array([len(k) for k, _ in found], np.int64)
         if size.sum():
-            key, longer, at = (np.concatenate([f[i] for f in found]) for i in range(3))
+            key, at = (np.concatenate([f[i] for f in found]) for i in range(2))
             each = lambda c: np.repeat(batch.column(c).to_numpy(), size)
-            yield arrow_batch(out, class_id=each("class_id"), asked=each("asked"), key=key.view(np.int64), longer=longer.view(np.int64), at=at)
+            yield arrow_batch(out, class_id=each("class_id"), asked=each("asked"), key=key.view(np.int64), at=at)
 
 
 def _verified(batches):
@@ -293,13 +289,23 @@ def _verified(batches):
 
 def _met(classes: DataFrame, hot: int) -> DataFrame:
     """Alignments of query classes with other classes that share a key: (query_class, match_class, offset, hits, bit_errors, bits)."""
-    keys = cut(classes.mapInArrow(lean(_keys), "class_id long, asked int, key long, longer long, at int"), "keys")
-    common = cut(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key", F.lit(True).alias("hot")), "hot")
-    if not common.isEmpty():
-        keys = keys.join(common, "key", "left").withColumn("key", F.when(F.col("hot"), F.col("longer")).otherwise(F.col("key")))
-    theirs = keys.select("key", F.col("class_id").alias("match_class"), F.col("at").alias("there"))
-    ours = keys.where("asked = 1").select("key", F.col("class_id").alias("query_class"), F.col("at").alias("here"))
-    met = ours.join(theirs, "key").where("query_class <> match_class").select("query_class", "match_class", (F.col("there") - F.col("here")).alias("offset"))
+    keys = cut(classes.mapInArrow(lean(_keys), "class_id long, asked int, key long, at int"), "keys")
+    columns = lambda df: (df.where("asked = 1").select("key", F.col("class_id").alias("query_class"), F.col("at").alias("here")), df.select("key", F.col("class_id").alias("match_class"), F.col("at").alias("there")))
+    offset = lambda df: df.where("query_class <> match_class").select("query_class", "match_class", (F.col("there") - F.col("here")).alias("offset"))
+    common = keys.groupBy("key").agg(F.count("*").alias("n"), F.sum("asked").alias("n_asked")).where(F.col("n") > hot)
+    common = cut(common.select("key", *(F.ceil(F.col(n) / max(hot, 1)).cast("int").alias(to) for n, to in (("n_asked", "rows"), ("n", "cols")))), "hot")
+    if common.isEmpty():
+        ours, theirs = columns(keys)
+        met = offset(ours.join(theirs, "key"))
+    else:
+        ours, theirs = columns(keys.join(common.select("key"), "key", "left_anti"))
+        met = offset(ours.join(theirs, "key"))
+        ours, theirs = columns(keys.join(common.where("rows > 0"), "key", "left_semi"))
+        tile = lambda own, n: F.expr(f"pmod(xxhash64({own}), {n})").cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        ours = ours.join(common, "key").select("key", "query_class", "here", tile("query_class, here", "rows").alias("row"), every("cols").alias("col"))
+        theirs = theirs.join(common, "key").select("key", "match_class", "there", every("rows").alias("row"), tile("match_class, there", "cols").alias("col"))
+        met = met.unionByName(offset(ours.join(theirs, ["key", "row", "col"])))
     pairs = met.groupBy("query_class", "match_class").agg(F.collect_set("offset").alias("offsets"))
     pairs = pairs.join(classes.select(F.col("class_id").alias("query_class"), F.col("print").alias("query_print")), "query_class")
     pairs = pairs.join(classes.select(F.col("class_id").alias("match_class"), "print"), "match_class")
