@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from annolith import shared
 from annolith.functions import text as T
 from annolith.functions.similar import Recent
 from annolith.functions.tags import skeleton
@@ -27,6 +28,20 @@ def duplicate_counts(skeletons: DataFrame) -> DataFrame:
     return each.agg(F.sum("n").cast("long").alias("n"), F.sum(F.col("n") - 1).cast("long").alias("duplicates"))
 
 
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows (_run, _order, _text, ...) with _at, their number within their run by order and text. Rows are dealt by ranges, so that a run of
+    any size goes over many tasks, and are numbered within a range, after the sizes of their run's ranges before."""
+    line = ("_run", "_order", "_text")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * rows.sparkSession.sparkContext.defaultParallelism)
+    # written, as ranges are drawn from a sample and a second reading could draw others
+    dealt = shared.cut(rows.repartitionByRange(tasks, *line).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy(F.col("_run").alias("_of"), F.col("_part").alias("_in")).agg(F.count("*").alias("_n"))
+    sizes = sizes.select("_of", "_in", (F.sum("_n").over(Window.partitionBy("_of").orderBy("_in")) - F.col("_n")).alias("_before"))
+    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_run", "_part").orderBy("_order", "_text")) - 1)
+    placed = placed.join(sizes, F.col("_run").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in")))
+    return placed.withColumn("_at", F.col("_before") + F.col("_place")).drop("_of", "_in", "_before", "_place", "_part", "_order")
+
+
 def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit: float = AUDIT_LIMIT, window: int = AUDIT_WINDOW) -> DataFrame:
     """rows with best_ratio and near_duplicate: difflib's ratio to the most similar, but different, of the `window` texts before in
     the run, 0 where none has `limit` or more.
@@ -36,7 +51,7 @@ def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit:
     size = max(BLOCK, window)
     clash = [c for c in rows.columns if c in ("best_ratio", "near_duplicate")]
     numbered = rows.drop(*clash).withColumn("_row", F.struct(*(c for c in rows.columns if c not in clash)))
-    numbered = numbered.select("_row", F.col(run).alias("_run"), F.col(text_col).alias("_text"), (F.row_number().over(Window.partitionBy(run).orderBy(order, text_col)) - 1).alias("_at"))
+    numbered = _numbered(numbered.select("_row", F.col(run).alias("_run"), F.col(order).alias("_order"), F.col(text_col).alias("_text")))
     block = F.floor(F.col("_at") / size)
     dealt = numbered.withColumn("_block", F.explode(F.filter(F.array(block, F.when(F.col("_at") % size >= size - window, block + 1)), lambda b: b.isNotNull())))
     dealt = dealt.withColumn("_own", F.col("_at") >= F.col("_block") * size)
@@ -141,7 +156,7 @@ def report(samples: DataFrame) -> DataFrame:
     as_map = lambda df, k, v, name: df.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(k, v)))).alias(name))
     counts = lambda col, name: as_map(samples.select(F.explode(col).alias("k")).where("k <> ''").groupBy("k").agg(F.count("*").alias("n")), "k", "n", name)
     out = duplicate_counts(rows)
-    out = out.join(near_duplicates(rows, "run_id", "sequence_no", "skeleton").agg(F.avg(F.col("near_duplicate").cast("double")).alias("near_duplicate_rate")))
+    out = out.join(near_duplicates(rows.select("run_id", "sequence_no", "skeleton"), "run_id", "sequence_no", "skeleton").agg(F.avg(F.col("near_duplicate").cast("double")).alias("near_duplicate_rate")))
     out = out.join(as_map(ratio.where(~F.col("label").isin(*CATEGORICAL)), "label", (F.col("n_distinct") / F.col("n_values")).alias("r"), "unique_ratio"))
     out = out.join(as_map(ratio.where(F.col("label").isin(*CATEGORICAL)), "label", "n_distinct", "coverage"))
     variants = F.transform("variants", lambda v: F.concat(v["label"], F.lit(":"), v["variant"]))
