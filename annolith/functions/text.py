@@ -13,6 +13,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructType
 
+from annolith.functions import blocks
+
 SEQUENCE_LIMIT, NGRAM_LIMIT = 0.84, 0.72
 
 
@@ -42,7 +44,7 @@ def ratio(a: str, b: str, least: float = 0.0) -> float:
 
 @F.pandas_udf(DoubleType())
 def sequence_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-    return pd.Series([ratio(x or "", y or "") for x, y in zip(a, b, strict=True)])
+    return pd.Series(blocks.ratios([x or "" for x in a], [y or "" for y in b]))
 
 
 def best_earlier(least: float):
@@ -86,12 +88,13 @@ def closest_example(text: pd.Series, examples: pd.Series) -> pd.DataFrame:
             kept[t] = imitation_tokens(t)
         return kept[t]
 
+    owns, others = [imitation_tokens(t) for t in text], [[tokens(e or "") for e in (es if es is not None else ())] for es in examples]
+    measured = iter(blocks.ratios([" ".join(own) for own, es in zip(owns, others, strict=True) for _ in es], [" ".join(e) for es in others for e in es]).tolist())
     out = []
-    for t, es in zip(text, examples, strict=True):
-        best, own = (None, None, None), imitation_tokens(t)
-        for i, e in enumerate(es if es is not None else ()):
-            other = tokens(e or "")
-            now = (i, ratio(" ".join(own), " ".join(other)), token_jaccard(own, other))
+    for own, es in zip(owns, others, strict=True):
+        best = (None, None, None)
+        for i, other in enumerate(es):
+            now = (i, next(measured), token_jaccard(own, other))
             if best[0] is None or max(now[1:]) > max(best[1:]):
                 best = now
         out.append(best)
