@@ -1,20 +1,29 @@
-"""The most similar of the last texts by difflib's ratio, exactly, with few calls of difflib.
+"""The most similar of the last texts by difflib's ratio, exactly, with few measured.
 
 The ratio is 2 m / t, with m matched characters of t. Characters counted by their last eight bits give at least as many in
 common, so the sum of the smaller counts bounds m from above for all kept texts in one NumPy step. Texts are then measured in
-order of that bound, until it falls under what is already found. difflib prepares its second text once: a kept one where kept
-texts come second, the current one where they come first.
+order of that bound, several at once, until it falls under what is already found.
 """
 
 from __future__ import annotations
 
-import difflib
 import heapq
+import itertools
+from collections.abc import Generator
 
 import numpy as np
 
+from annolith.functions import blocks
+
+#: Asks for ratios of pairs, is sent them, and returns (ratio, text) of the nearest.
+Search = Generator[list[tuple[str, str]], list[float] | None, list[tuple[float, str]]]
+
 #: Kept texts under which bounds cost more than they save.
 FEW = 3
+#: Kept texts that are measured at once, at first; then twice as many each time.
+ONCE = 8
+#: Searches that are led together.
+TOGETHER = 256
 
 
 def counts(text: str) -> np.ndarray:
@@ -22,13 +31,13 @@ def counts(text: str) -> np.ndarray:
 
 
 class Recent:
-    """A ring of the last `size` texts, each with a value of the caller's. kept_first: kept texts are difflib's first argument."""
+    """A ring of the last `size` texts, each with a value of the caller's. kept_first: kept texts are difflib's first argument.
+    known: ratios of (first, second) that the caller has measured already."""
 
-    def __init__(self, size: int, kept_first: bool = False):
-        self.size, self.kept_first, self.n = size, kept_first, 0
+    def __init__(self, size: int, kept_first: bool = False, known: dict[tuple[str, str], float] | None = None):
+        self.size, self.kept_first, self.n, self.known = size, kept_first, 0, {} if known is None else known
         self.texts: list[str] = []
         self.values: list = []
-        self.matchers: list = []
         self.table = np.zeros((min(size, 16), 256), np.int32)
 
     def add(self, text: str, value=None) -> None:
@@ -36,10 +45,9 @@ class Recent:
         if place == len(self.texts):
             self.texts.append(text)
             self.values.append(value)
-            self.matchers.append(None)
             if place == len(self.table):
                 self.table = np.concatenate([self.table, np.zeros((min(self.size, 2 * place) - place, 256), np.int32)])
-        self.texts[place], self.values[place], self.matchers[place] = text, value, None
+        self.texts[place], self.values[place] = text, value
         self.table[place] = counts(text)
 
     def in_order(self) -> list[tuple]:
@@ -48,44 +56,55 @@ class Recent:
         order = [*range(start, len(self.texts)), *range(start)]
         return [(self.texts[i], self.values[i]) for i in order]
 
-    def _ratio(self, text: str, i: int, own) -> float:
-        if self.texts[i] == text:
-            return 1.0
-        if not text or not self.texts[i]:
-            return 0.0
-        if self.kept_first:
-            own.set_seq1(self.texts[i])
-            return own.ratio()
-        if self.matchers[i] is None:
-            self.matchers[i] = difflib.SequenceMatcher(None, "", self.texts[i])
-        self.matchers[i].set_seq1(text)
-        return self.matchers[i].ratio()
-
-    def nearest(self, text: str, k: int, least: float = 0.0, differ: bool = False) -> list[tuple[float, str]]:
-        """The k kept texts of greatest (ratio, text), in falling order, of those with a ratio of `least` or more; differ: without equal texts."""
+    def search(self, text: str, k: int, least: float = 0.0, differ: bool = False) -> Search:
+        """nearest of what is kept now, for `together`."""
         n = len(self.texts)
-        if not n or k < 1:
-            return []
-        if n > FEW or least > 0:
+        if n > FEW or (n and least > 0):
             lengths = self.table[:n].sum(axis=1) + len(text)
             bounds = np.where(lengths > 0, 2.0 * np.minimum(self.table[:n], counts(text)).sum(axis=1) / np.maximum(lengths, 1), 1.0)
         else:
             bounds = np.ones(n)
-        own = difflib.SequenceMatcher(None, "", text) if self.kept_first else None
+        order = np.argsort(-bounds, kind="stable")
+        return self._steps(text, [self.texts[i] for i in order], bounds[order], k, least, differ)
+
+    def _steps(self, text: str, texts: list[str], bounds: np.ndarray, k: int, least: float, differ: bool) -> Search:
         best: list[tuple[float, str]] = []
         seen: dict[str, float] = {}
-        for i in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[i] < least or (len(best) == k and bounds[i] < best[0][0]):
+        at, many = 0, ONCE
+        while k > 0 and at < len(texts):
+            floor = max(least, best[0][0]) if len(best) == k else least
+            part = texts[at : at + min(many, int(np.count_nonzero(bounds[at:] >= floor)))]
+            if not part:
                 break
-            other = self.texts[i]
-            if differ and other == text:
-                continue
-            if other not in seen:
-                seen[other] = self._ratio(text, i, own)
-            if seen[other] < least:
-                continue
-            if len(best) < k:
-                heapq.heappush(best, (seen[other], other))
-            else:
-                heapq.heappushpop(best, (seen[other], other))
+            part, at, many = [x for x in part if not differ or x != text], at + len(part), 2 * many
+            pairs = {x: (x, text) if self.kept_first else (text, x) for x in part if x not in seen}
+            seen.update((x, self.known[p]) for x, p in pairs.items() if p in self.known)
+            asked = [x for x in pairs if x not in seen]
+            seen.update(zip(asked, (yield [pairs[x] for x in asked]) if asked else (), strict=True))
+            for found in ((seen[x], x) for x in part if seen[x] >= least):
+                if len(best) < k:
+                    heapq.heappush(best, found)
+                else:
+                    heapq.heappushpop(best, found)
         return sorted(best, reverse=True)
+
+    def nearest(self, text: str, k: int, least: float = 0.0, differ: bool = False) -> list[tuple[float, str]]:
+        """The k kept texts of greatest (ratio, text), in falling order, of those with a ratio of `least` or more; differ: without equal texts."""
+        return together([self.search(text, k, least, differ)])[0]
+
+
+def together(searches: list[Search]) -> list[list[tuple[float, str]]]:
+    """What each search finds. What all of them ask for next is measured at once."""
+    found: list[list[tuple[float, str]]] = [[] for _ in searches]
+    live: list[tuple[int, list[float] | None]] = [(i, None) for i in range(len(searches))]
+    while live:
+        asked = []
+        for i, told in live:
+            try:
+                asked.append((i, searches[i].send(told)))
+            except StopIteration as end:
+                found[i] = end.value
+        pairs = [p for _, ask in asked for p in ask]
+        ratios = iter(blocks.ratios([a for a, _ in pairs], [b for _, b in pairs]).tolist())
+        live = [(i, list(itertools.islice(ratios, len(ask)))) for i, ask in asked]
+    return found

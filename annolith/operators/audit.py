@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from annolith import shared
 from annolith.functions import text as T
-from annolith.functions.similar import Recent
+from annolith.functions.similar import TOGETHER, Recent, together
 from annolith.functions.tags import skeleton
 from annolith.plans.catalog import CATEGORICAL
 
@@ -28,18 +28,23 @@ def duplicate_counts(skeletons: DataFrame) -> DataFrame:
     return each.agg(F.sum("n").cast("long").alias("n"), F.sum(F.col("n") - 1).cast("long").alias("duplicates"))
 
 
-def _numbered(rows: DataFrame) -> DataFrame:
-    """rows (_run, _order, _text, ...) with _at, their number within their run by order and text. Rows are dealt by ranges, so that a run of
-    any size goes over many tasks, and are numbered within a range, after the sizes of their run's ranges before."""
-    line = ("_run", "_order", "_text")
+def numbered(rows: DataFrame, line: list[Column], counted: Column) -> DataFrame:
+    """rows (_run, ...) with _at, how many of the rows before them in their run's line are counted (1, else 0). Rows are dealt by ranges, so
+    that a run of any size goes over many tasks, and are numbered within a range, after the counts of their run's ranges before."""
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * rows.sparkSession.sparkContext.defaultParallelism)
     # written, as ranges are drawn from a sample and a second reading could draw others
-    dealt = shared.cut(rows.repartitionByRange(tasks, *line).withColumn("_part", F.spark_partition_id()))
-    sizes = dealt.groupBy(F.col("_run").alias("_of"), F.col("_part").alias("_in")).agg(F.count("*").alias("_n"))
+    dealt = shared.cut(rows.repartitionByRange(tasks, "_run", *line).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy(F.col("_run").alias("_of"), F.col("_part").alias("_in")).agg(F.sum(counted).alias("_n"))
     sizes = sizes.select("_of", "_in", (F.sum("_n").over(Window.partitionBy("_of").orderBy("_in")) - F.col("_n")).alias("_before"))
-    placed = dealt.withColumn("_place", F.row_number().over(Window.partitionBy("_run", "_part").orderBy("_order", "_text")) - 1)
+    own = Window.partitionBy("_run", "_part").orderBy(*line).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    placed = dealt.withColumn("_place", F.sum(counted).over(own) - counted)
     placed = placed.join(sizes, F.col("_run").eqNullSafe(F.col("_of")) & (F.col("_part") == F.col("_in")))
-    return placed.withColumn("_at", F.col("_before") + F.col("_place")).drop("_of", "_in", "_before", "_place", "_part", "_order")
+    return placed.withColumn("_at", F.col("_before") + F.col("_place")).drop("_of", "_in", "_before", "_place", "_part")
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """rows (_run, _order, _text, ...) with _at, their number within their run by order and text."""
+    return numbered(rows, [F.asc("_order"), F.asc("_text")], F.lit(1)).drop("_order")
 
 
 def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit: float = AUDIT_LIMIT, window: int = AUDIT_WINDOW) -> DataFrame:
@@ -63,13 +68,16 @@ def near_duplicates(rows: DataFrame, run: str, order: str, text_col: str, limit:
         key = recent = None
         for batch in batches:
             runs, blocks, texts, own = (batch.column(c).to_pylist() for c in ("_run", "_block", "_text", "_own"))
-            found = []
+            found, searches = [], []
             for now, text, mine in zip(zip(runs, blocks, strict=True), texts, own, strict=True):
                 if recent is None or now != key:
                     key, recent = now, Recent(window, kept_first=True)
                 if mine:
-                    found.append(next((r for r, _ in recent.nearest(text or "", 1, limit, differ=True)), 0.0))
+                    searches.append(recent.search(text or "", 1, limit, differ=True))
                 recent.add(text or "")
+                if len(searches) == TOGETHER:
+                    found, searches = found + together(searches), []
+            found = [next((r for r, _ in near), 0.0) for near in found + together(searches)]
             rows_ = batch.column("_row").filter(pa.array(own, pa.bool_()))
             yield pa.RecordBatch.from_arrays([rows_, pa.array(found, pa.float64())], names=["_row", "best_ratio"])
 
