@@ -71,7 +71,7 @@ class SegmentEncoder:
                 continue
             cuts = np.append(_boundaries(part, own), len(part))
             coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(part))]).dictionary_encode()
-            values = self._values(coded.dictionary.to_pylist())
+            values = self._values(coded.dictionary.to_numpy(zero_copy_only=False).tolist())  # to_pylist goes by a scalar object each
             flat = np.frombuffer(b"".join(values), "<u4")
             size = np.fromiter(map(len, values), np.int64, len(values)) // 4
             start = np.cumsum(size) - size
@@ -98,35 +98,36 @@ class SegmentEncoder:
             if found[i] is not None:
                 self.kept[distinct[i]] = found[i]
         miss = [i for i, v in enumerate(found) if v is None]
-        learnt = self._learn([distinct[i] for i in miss])
-        for i in miss:
-            found[i] = learnt[distinct[i]]
-        self.kept.update((x, v) for x, v in learnt.items() if len(x) <= SHORT)
+        new = [distinct[i] for i in miss]
+        for i, x, v in zip(miss, new, self._learn(new), strict=True):
+            found[i] = v
+            if len(x) <= SHORT:
+                self.kept[x] = v
         if len(self.kept) > KEPT:
             self.kept, self.older = {}, self.kept
         return found
 
-    def _learn(self, new: list[bytes]) -> dict[bytes, bytes]:
-        learnt: dict[bytes, bytes] = {}
-        plain, other = [], []
-        for x in new:
-            text = x.decode("utf-8")
-            (plain if text[0] == " " and text[1:].isalpha() else other).append((x, text))
+    def _learn(self, new: list[bytes]) -> list[bytes]:
+        """Ids of each run. Lists run alongside, as pairs in great numbers keep Python's collector of cycles at work."""
+        texts = [x.decode("utf-8") for x in new]
+        learnt = [b""] * len(new)
+        is_plain = [t[0] == " " and t[1:].isalpha() for t in texts]
+        plain, other = ([i for i, p in enumerate(is_plain) if p == kind] for kind in (True, False))
         for a in range(0, len(plain), JOINED):
             part = plain[a : a + JOINED]
-            ids = np.array(self.library.encode_batch_fast(["".join([t for _, t in part])], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.array(self.library.encode_batch_fast(["".join([texts[i] for i in part])], add_special_tokens=False)[0].ids, "<u4")
             edge = np.flatnonzero(self.edge[ids]) + self.ends
             if len(edge) != len(part):
                 other += part
                 continue
             cuts = (np.append(0, edge) if self.ends else np.append(edge, len(ids))) * 4
             raw, cuts = ids.tobytes(), cuts.tolist()
-            for (x, _), i, j in zip(part, cuts, cuts[1:], strict=False):
-                learnt[x] = raw[i:j]
+            for i, c, d in zip(part, cuts, cuts[1:], strict=False):
+                learnt[i] = raw[c:d]
         for a in range(0, len(other), 4096):
             part = other[a : a + 4096]
-            for (x, _), e in zip(part, self.library.encode_batch_fast([t for _, t in part], add_special_tokens=False), strict=True):
-                learnt[x] = np.array(e.ids, "<u4").tobytes()
+            for i, e in zip(part, self.library.encode_batch_fast([texts[i] for i in part], add_special_tokens=False), strict=True):
+                learnt[i] = np.array(e.ids, "<u4").tobytes()
         return learnt
 
 
