@@ -120,7 +120,9 @@ def guard(rows: DataFrame, mode: str = "audit", run: str = "run_id", order: str
     # a number of its own, as few bytes make much work here and small parts would be put together
     spark = rows.sparkSession
     tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism)
-    dealt = dealt.repartition(tasks, "_run", "_block").sortWithinPartitions("_run", "_block", *line)
+    # a run's blocks go to tasks in turn, so that none gets several while others wait
+    turn = F.pmod(F.xxhash64("_run") % tasks + F.col("_block"), F.lit(tasks)).cast("int")
+    dealt = dealt.repartitionById(tasks, turn).sortWithinPartitions("_run", "_block", *line)
 
     def judged(frames):
         key = memory = None

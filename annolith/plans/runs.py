@@ -80,6 +80,16 @@ def check(rows: DataFrame, config: RunConfig) -> DataFrame:
     return samples.validate(rows, _only(config), config.pure_negative_structured_scan, config.hard_negative_structured_scan)
 
 
+def guided(packs: DataFrame, taxonomy: DataFrame | None, config: RunConfig) -> DataFrame:
+    """packs with the context that a taxonomy gives them, if there is one, dealt over all cores: few bytes make much work from here on."""
+    many = shared.tasks(packs.sparkSession, packs.count())
+    if taxonomy is not None:
+        context = guidance.taxonomy_context(packs.select("task_id", "sample_type", "focus_labels"), taxonomy, config.random_seed)
+        packs = packs.join(context.select("task_id", "context"), "task_id")
+    # by another column too, as Spark drops a shuffle by the key of the join before it
+    return packs.repartition(many, "task_id", "sequence_no")
+
+
 def guard_imitation(rows: DataFrame) -> DataFrame:
     """rows (tagged_text, issues, context) with an issue for a text that is too much like an example of its guidance."""
     examples = F.transform("context.focus.examples", lambda e: e["expected_tagged_text"])
@@ -207,9 +217,7 @@ def _attempts(tasks: DataFrame, names: list[str], config: RunConfig, cut: Step,
         packs, refused, unfit = seed_rounds(left, config, cut, stride)
         kept["packs"] = _add(kept.get("packs"), packs.withColumn("attempt_no", F.lit(n)))
         kept["unfit"] = _add(kept.get("unfit"), refused.withColumn("attempt_no", F.lit(n)))
-        if taxonomy is not None:
-            packs = packs.join(guidance.taxonomy_context(packs.select("task_id", "sample_type", "focus_labels"), taxonomy, config.random_seed).select("task_id", "context"), "task_id")
-        rows = recheck(attempt(packs, n).withColumn("attempt_no", F.lit(n)))
+        rows = recheck(attempt(guided(packs, taxonomy, config), n).withColumn("attempt_no", F.lit(n)))
         rows = rows.withColumn("novelty", F.lit(None).cast("struct<max_similarity:double,nearest:array<string>,issues:array<struct<type:string,scope:string,label:string,value:string>>>"))
         if config.quality_checks:
             rows = guard_novelty(cut(rows), kept.get("accepted"), config)

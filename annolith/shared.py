@@ -37,12 +37,15 @@ def release(spark: SparkSession) -> int:
 TASK_ROWS = 2_000_000
 
 
+def tasks(spark: SparkSession, made: int) -> int:
+    """Over how many tasks work on few bytes is dealt: over all cores, and no task makes more than about TASK_ROWS of the `made` rows or values."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism, -(-made // TASK_ROWS))
+
+
 def spread(df: DataFrame, each: int = 1) -> DataFrame:
     """df, whose rows make `each` rows or values each, dealt over all cores and over as many tasks as keep each under TASK_ROWS. Short
     rows make much work here, and a file of them is read by few tasks."""
-    spark = df.sparkSession
-    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism, -(-df.count() * each // TASK_ROWS))
-    return df.repartition(tasks)
+    return df.repartition(tasks(df.sparkSession, df.count() * each))
 
 
 def cut(df: DataFrame) -> DataFrame:
